@@ -53,3 +53,25 @@ def windows(h: np.ndarray, size: int, base: int = 0x9E3779B97F4A7C15) -> np.ndar
     up, down = _powers(base, 1 << max(12, (n + 1).bit_length()))
     upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * up[:n])])
     return mix((upto[size:] - upto[:-size]) * down[: n - size + 1])
+
+
+class Spans:
+    """Hashes of any spans of a sequence of word hashes, in two independent ways."""
+
+    def __init__(self, h: np.ndarray):
+        self.n = len(h)
+        self.h = h
+        self.sums: dict[int, np.ndarray] = {}
+
+    def _of(self, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
+        up, down = _powers(base, 1 << max(12, (self.n + 1).bit_length()))
+        if base not in self.sums:
+            self.sums[base] = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.h * up[: self.n])])
+        upto = self.sums[base]
+        return mix((upto[ends] - upto[starts]) * down[starts] + (ends - starts).astype(np.uint64) * M2)
+
+    def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return self._of(starts, ends, 0x9E3779B97F4A7C15)
+
+    def again(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return self._of(starts, ends, 0xD6E8FEB86659FD93)

@@ -7,10 +7,32 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, quality_rules, secrets, tokens
+from . import decontaminate, line_dedup, lm_quality, mixing, near_dup, quality_rules, secrets, substring_dedup, tokens
 from .common import table
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = line_dedup.mark_lines(table(spark, sf_dir, "documents"))
+    lines = F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)).cast("long")
+    return marked.select("doc_id", lines.alias("n_lines"), F.size("removed").cast("long").alias("n_removed"), F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed"))
+
+
+OP1_SQL = r"""
+WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, pos, regexp_extract_all(lower(ls[pos + 1]), '[^\x20\x09-\x0D]+') AS ws FROM (SELECT doc_id, ls, unnest(range(0, len(ls))) AS pos FROM split)),
+firsts AS (SELECT ws, min((doc_id, pos)) AS place FROM l WHERE len(ws) >= 3 GROUP BY ws),
+v AS (SELECT ws, place, i, list_concat(list_slice(ws, 1, i - 1), list_slice(ws, i + 1, len(ws))) AS cut FROM (SELECT ws, place, unnest(range(1, len(ws) + 1)) AS i FROM firsts WHERE len(ws) >= 8)),
+held AS (SELECT cut, i, min(place) AS keeper FROM v GROUP BY cut, i HAVING count(*) > 1),
+near AS (
+  SELECT v.ws FROM v JOIN held USING (cut, i) WHERE v.place > held.keeper
+  UNION SELECT CASE WHEN v.place > f.place THEN v.ws ELSE f.ws END FROM v JOIN firsts f ON v.cut = f.ws WHERE len(f.ws) >= 8),
+gone AS (SELECT DISTINCT l.doc_id, l.pos FROM l JOIN firsts f USING (ws) LEFT JOIN (SELECT DISTINCT ws, 1 AS is_near FROM near) n USING (ws)
+  WHERE len(l.ws) >= 3 AND (is_near = 1 OR (l.doc_id, l.pos) <> f.place)),
+per AS (SELECT doc_id, count(*) AS n, string_agg(pos::VARCHAR, ',' ORDER BY pos) AS removed FROM gone GROUP BY doc_id)
+SELECT doc_id, len(ls)::BIGINT AS n_lines, coalesce(n, 0)::BIGINT AS n_removed, coalesce(removed, '') AS removed FROM split LEFT JOIN per USING (doc_id)
+"""
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan_mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -50,11 +72,51 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, digest.alias("base_sha256"), secrets.spans_text(F.col("spans")).alias("spans"))
 
 
+def op4_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = near_dup.link_components(table(spark, sf_dir, "documents"), k=3, percent=85)
+    return linked.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+OP4_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, CASE WHEN len(ws) < 3 THEN array_to_string(ws, ' ') ELSE array_to_string(list_slice(ws, i, i + 2), ' ') END AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(1, len(ws) - 2) + 1)) AS i FROM d WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM pairs JOIN n nx ON x = nx.doc_id JOIN n ny ON y = ny.doc_id WHERE 100 * c >= 85 * (nx.n + ny.n - c)),
+edges AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.y FROM reach r JOIN edges e ON r.b = e.x)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM d JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+"""
+
+
 def op5_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = tokens.count_tokens(table(spark, sf_dir, "documents"), vocabulary="word_bpe_49k.json")
     return counted.withColumn("over_limit", F.col("n_tokens") > 2048)
 
 
+def op6_lm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = lm_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "lang", "n_symbols", "perplexity", "least", "most", "kept")
+
+
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.cut_repeats(table(spark, sf_dir, "documents"), size=35)
+
+
+OP7_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+w AS (SELECT rid, i, md5(array_to_string(list_slice(ws, i, i + 34), ' ')) AS h FROM (SELECT rid, ws, unnest(range(1, len(ws) - 33)) AS i FROM d WHERE len(ws) >= 35)),
+twice AS (SELECT h FROM w GROUP BY h HAVING count(*) > 1),
+gone AS (SELECT DISTINCT rid, unnest(range(i, i + 35)) AS p FROM w JOIN twice USING (h)),
+spots AS (SELECT rid, list(p) AS ps FROM gone GROUP BY rid),
+kept AS (SELECT d.rid, string_agg(word, ' ' ORDER BY d.p) AS text FROM (SELECT rid, unnest(ws) AS word, generate_subscripts(ws, 1) AS p FROM d) d LEFT JOIN gone g ON d.rid = g.rid AND d.p = g.p WHERE g.p IS NULL GROUP BY d.rid)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(len(ps), 0)::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN spots USING (rid) LEFT JOIN kept USING (rid)
+"""
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=10)
     return found.select(
@@ -86,13 +148,17 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_line_dedup": op1_line_dedup,
         "op2_mixing": op2_mixing,
         "op3_secrets": op3_secrets,
+        "op4_near_dup": op4_near_dup,
         "op5_tokens": op5_tokens,
+        "op6_lm_quality": op6_lm_quality,
+        "op7_substring_dedup": op7_substring_dedup,
         "op9_decontaminate": op9_decontaminate,
         "op10_quality_rules": op10_quality_rules,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": OP2_SQL, "op9_decontaminate": OP9_SQL}
+    return {"op1_line_dedup": OP1_SQL, "op2_mixing": OP2_SQL, "op4_near_dup": OP4_SQL, "op7_substring_dedup": OP7_SQL, "op9_decontaminate": OP9_SQL}
