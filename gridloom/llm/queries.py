@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, lm_quality, mixing, near_dup, quality_rules, secrets, substring_dedup, tokens
+from . import decontaminate, line_dedup, lm_quality, mixing, near_dup, pii, quality_rules, secrets, substring_dedup, tokens
 from .common import table
 
 
@@ -117,6 +117,13 @@ FROM d LEFT JOIN spots USING (rid) LEFT JOIN kept USING (rid)
 """
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf_dir, "documents"))
+    counts = [F.size(pii.of_kind(F.col("base_spans"), k)).cast("long").alias(f"n_{k}") for k in pii.BASE]
+    every = F.concat("base_spans", "more_spans")
+    return found.select("doc_id", *counts, F.sha2(pii.spans_text(F.col("base_spans")), 256).alias("base_sha256"), pii.spans_text(every).alias("spans"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=10)
     return found.select(
@@ -155,6 +162,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_tokens": op5_tokens,
         "op6_lm_quality": op6_lm_quality,
         "op7_substring_dedup": op7_substring_dedup,
+        "op8_pii": op8_pii,
         "op9_decontaminate": op9_decontaminate,
         "op10_quality_rules": op10_quality_rules,
     }
