@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 CJK_DIGITS, ASCII_DIGITS = "〇零○一二三四五六七八九", "000123456789"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), lambda x: use(x)), F.lit(0))
+
+
 def _text(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 
@@ -60,7 +67,8 @@ def top_level_seq(c: Column) -> Column:
 def split_amount(c: Column) -> tuple[Column, Column]:
     """The first number without commas, and the text without it."""
     number = F.regexp_extract(_text(c), r"-?[0-9][0-9,]*(?:\.[0-9]+)?", 0)
-    rest = F.when(number == "", _text(c)).otherwise(F.concat(F.substring_index(_text(c), number, 1), F.substring(_text(c), F.instr(_text(c), number) + F.length(number), F.length(_text(c)))))
+    at = F.instr(_text(c), number)
+    rest = F.when(number == "", _text(c)).otherwise(F.concat(F.left(_text(c), at - 1), F.substring(_text(c), at + F.length(number), F.length(_text(c)))))
     return F.replace(number, F.lit(","), F.lit("")), strip(rest)
 
 
