@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from .common import stored
 
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: The same before lower-casing.
+RAW = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RESULTS = ("n_words", "n_hit", "items", "hit")
 
@@ -86,9 +88,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = 10, drop_sh
     (with what follows each up to the next word) are cut from the text.
     """
     found = find_hits(docs, benchmark, size).where(F.col("n_hit") <= drop_share * F.col("n_words"))
-    pieces = F.split("text", "(?<=[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F])(?=[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F])|(?<=[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F])(?=[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F])", -1)
+    pieces = F.split("text", f"(?<=[^{RAW}])(?=[{RAW}])|(?<=[{RAW}])(?=[^{RAW}])", -1)
     # Runs of word and other characters alternate: run 2k + lead is word k, the run after it what follows it.
-    lead = F.when(F.col("text").rlike("^[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]"), 1).otherwise(0)
+    lead = F.when(F.col("text").rlike(f"^[{RAW}]"), 1).otherwise(0)
     cut = F.aggregate(
         F.arrays_zip(F.col("_from").alias("a"), F.col("_to").alias("b")),
         F.struct(F.lit("").alias("t"), F.lit(1).alias("at")),
