@@ -7,13 +7,15 @@ earlier: in a smaller doc_id, or higher up in the same document. Lines under
 edit leaves 7/8 of the words.
 
 Equal lines meet by hash, so only first occurrences go on. Two lines within one edit
-share their first or their last words (the edit cannot touch both ends), so only lines
-whose head or tail occurs with another line emit the deletion neighbourhood: the line,
-and the line without each one word, as hashed keys. Lines that lack the same place's
-word and are otherwise equal differ by a replacement; a line equal to another without a
-word differs by an insertion. Each key keeps its earliest line only, so that no pairs
-within a group arise, and the edit distance of each (line, earlier line) is verified
-on the words.
+share their first or their last words (the edit cannot touch both ends), and all words
+outside one quarter of the line; lines that share neither with another line drop out in
+these two steps, which are exact. The others emit the deletion neighbourhood: the line,
+and the line without each one word, as hashed keys, in time linear in the line (a
+sequence's hash is the exclusive or of its words' hashes with their places, so leaving
+out a word takes two prefix sums). Lines that lack the same place's word and are
+otherwise equal differ by a replacement; a line equal to another without a word differs
+by an insertion. Each key keeps its earliest line only, so that no pairs within a group
+arise, and the edit distance of each (line, earlier line) is verified on the words.
 
 Nulls: a null text has one empty line and stays null; a null id sorts first. Rows that
 repeat an id and text count as one place. An empty table gives an empty result. Extra
@@ -47,6 +49,43 @@ def _lines(docs: DataFrame, near_words: int) -> DataFrame:
     return lines.select("doc_id", "pos", "n", F.xxhash64("ws").alias("lh"), F.when(F.col("n") >= near_words, _ends("ws", F.col("n"))).alias("ends"))
 
 
+def _quarters(hs: str) -> Column:
+    """Hashes of a line's words outside each quarter; counted from both ends, and for the length of a line with one word less too."""
+    n = F.size(hs)
+    keys = []
+    for m in (n, n - 1):
+        for j in range(4):
+            before, after = F.floor(m * j / 4).cast("int"), (m - F.floor(m * (j + 1) / 4)).cast("int")
+            keys.append(F.xxhash64(m, F.lit(j), F.slice(hs, F.lit(1), before), F.slice(hs, n - after + 1, after)))
+    return F.array(*keys)
+
+
+def _placed(hs: str, shift: int) -> Column:
+    return F.transform(hs, lambda h, i: F.xxhash64(h, i - shift))
+
+
+def _xor(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(x))
+
+
+def _neighbourhood(hashed: DataFrame) -> DataFrame:
+    """(line, held, cut) for each word of a line (line, hs): the line without it, its place held open or closed."""
+    df = hashed.withColumns({"_a": _placed("hs", 0), "_b": _placed("hs", 1)}).withColumns({"_x": _xor(F.col("_a")), "_y": _xor(F.col("_b"))})
+    none = F.expr("cast(array() as array<bigint>)")
+    steps = F.aggregate(
+        F.zip_with("_a", "_b", lambda a, b: a.bitwiseXOR(b)),
+        F.struct(F.lit(0).cast("long").alias("upto"), none.alias("out")),
+        lambda acc, d: F.struct(acc["upto"].bitwiseXOR(d).alias("upto"), F.concat(acc["out"], F.array(acc["upto"])).alias("out")),
+        lambda acc: acc["out"],
+    )
+    df = df.withColumn("_d", steps)
+    n = F.size("hs")
+    keys = F.transform("_a", lambda a, i: F.struct(
+        F.xxhash64(n, i, F.col("_x").bitwiseXOR(a)).alias("held"),
+        F.xxhash64(n - 1, F.col("_y").bitwiseXOR(F.get(F.col("_d"), i)).bitwiseXOR(F.get(F.col("_b"), i))).alias("cut")))
+    return df.select("line", F.explode(keys).alias("v")).select("line", "v.held", "v.cut")
+
+
 def _one_edit(a: Column, b: Column) -> Column:
     """Whether two word arrays are one edit apart."""
     short, long = F.when(F.size(a) <= F.size(b), a).otherwise(b), F.when(F.size(a) <= F.size(b), b).otherwise(a)
@@ -72,12 +111,15 @@ def later_lines(docs: DataFrame, exact_words: int = 3, near_words: int = 8) -> D
     cut = text.withColumn("all", F.split("text", "\n", -1)).select("doc_id", F.explode(F.transform("at", lambda p: F.struct(p.alias("pos"), F.get(F.col("all"), p).alias("line")))).alias("x"))
     spelt = cut.select("doc_id", F.col("x.pos").alias("pos"), line_words(F.col("x.line")).alias("ws"))
     spelt = stored(spelt.withColumn("lh", F.xxhash64("ws")).dropDuplicates(["lh", "doc_id", "pos"]).join(close.select("lh"), "lh", "left_semi"), "line-words")
-    hashed = spelt.select(F.struct("doc_id", "pos", "lh").alias("line"), "lh", F.transform("ws", lambda w: F.xxhash64(w)).alias("hs"))
-    without = F.transform("hs", lambda h, i: F.struct(i.alias("i"), F.xxhash64(F.slice("hs", 1, i), F.lit(-1), F.slice("hs", i + 2, F.size("hs"))).alias("held"), F.xxhash64(F.concat(F.slice("hs", 1, i), F.slice("hs", i + 2, F.size("hs")))).alias("cut")))
-    variants = stored(hashed.select("line", F.explode(without).alias("v")).select("line", "v.held", "v.cut"), "line-variants")
+    hashed = spelt.select(F.struct("doc_id", "pos", "lh").alias("line"), F.transform("ws", lambda w: F.xxhash64(w)).alias("hs"))
+    quarters = hashed.select(F.col("line.lh").alias("lh"), F.explode(_quarters("hs")).alias("end"))
+    agree = quarters.groupBy("end").agg(F.min("lh").alias("a"), F.max("lh").alias("b")).where("a != b").select("end")
+    near_by = stored(quarters.join(agree, "end").select("lh").distinct(), "line-agree")
+    hashed = stored(hashed.join(near_by.withColumnRenamed("lh", "_lh"), F.col("line.lh") == F.col("_lh"), "left_semi"), "line-hashes")
+    variants = stored(_neighbourhood(hashed), "line-variants")
     earliest = variants.groupBy("held").agg(F.min("line").alias("keeper"), F.count("*").alias("c")).where("c > 1").select("held", "keeper")
     replaced = variants.join(earliest, "held").where("line > keeper").select("line", "keeper")
-    whole = hashed.select(F.col("line").alias("self"), F.xxhash64("hs").alias("cut"))
+    whole = hashed.select(F.col("line").alias("self"), F.xxhash64(F.size("hs"), _xor(_placed("hs", 0))).alias("cut"))
     inserted = variants.join(whole, "cut").select(F.greatest("line", "self").alias("line"), F.least("line", "self").alias("keeper"))
     pairs = replaced.unionByName(inserted).select(F.col("line.lh").alias("lh"), F.col("keeper.lh").alias("kh")).distinct()
     words = spelt.select("lh", "ws")
