@@ -106,16 +106,15 @@ def later_lines(docs: DataFrame, exact_words: int = 3, near_words: int = 8) -> D
     close = stored(ends.join(shared, "end").select("lh").distinct().join(firsts.select("lh", "first"), "lh").select("lh", F.col("first.doc_id").alias("doc_id"), F.col("first.pos").alias("pos")), "line-close")
 
     # the words of the lines that may have a neighbour
-    wanted = close.groupBy("doc_id").agg(F.collect_set("pos").alias("at")).withColumnRenamed("doc_id", "_id")
+    wanted = close.groupBy("doc_id").agg(F.collect_set(F.struct("pos", "lh")).alias("at")).withColumnRenamed("doc_id", "_id")
     text = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")))
-    cut = text.withColumn("all", F.split("text", "\n", -1)).select("doc_id", F.explode(F.transform("at", lambda p: F.struct(p.alias("pos"), F.get(F.col("all"), p).alias("line")))).alias("x"))
-    spelt = cut.select("doc_id", F.col("x.pos").alias("pos"), line_words(F.col("x.line")).alias("ws"))
-    spelt = stored(spelt.withColumn("lh", F.xxhash64("ws")).dropDuplicates(["lh", "doc_id", "pos"]).join(close.select("lh"), "lh", "left_semi"), "line-words")
-    hashed = spelt.select(F.struct("doc_id", "pos", "lh").alias("line"), F.transform("ws", lambda w: F.xxhash64(w)).alias("hs"))
-    quarters = hashed.select(F.col("line.lh").alias("lh"), F.explode(_quarters("hs")).alias("end"))
+    cut = text.withColumn("all", F.split("text", "\n", -1)).select("doc_id", F.explode(F.transform("at", lambda p: F.struct(p["pos"].alias("pos"), p["lh"].alias("lh"), F.get(F.col("all"), p["pos"]).alias("line")))).alias("x"))
+    spelt = stored(cut.select("doc_id", "x.pos", "x.lh", line_words(F.col("x.line")).alias("ws")).where(F.xxhash64("ws") == F.col("lh")), "line-words")
+    quarters = spelt.select("lh", F.transform("ws", lambda w: F.xxhash64(w)).alias("hs")).select("lh", F.explode(_quarters("hs")).alias("end"))
     agree = quarters.groupBy("end").agg(F.min("lh").alias("a"), F.max("lh").alias("b")).where("a != b").select("end")
     near_by = stored(quarters.join(agree, "end").select("lh").distinct(), "line-agree")
-    hashed = stored(hashed.join(near_by.withColumnRenamed("lh", "_lh"), F.col("line.lh") == F.col("_lh"), "left_semi"), "line-hashes")
+    spelt = stored(spelt.join(near_by, "lh", "left_semi").dropDuplicates(["lh"]), "line-near")
+    hashed = spelt.select(F.struct("doc_id", "pos", "lh").alias("line"), F.transform("ws", lambda w: F.xxhash64(w)).alias("hs"))
     variants = stored(_neighbourhood(hashed), "line-variants")
     earliest = variants.groupBy("held").agg(F.min("line").alias("keeper"), F.count("*").alias("c")).where("c > 1").select("held", "keeper")
     replaced = variants.join(earliest, "held").where("line > keeper").select("line", "keeper")
@@ -135,8 +134,13 @@ def later_lines(docs: DataFrame, exact_words: int = 3, near_words: int = 8) -> D
 
 def mark_lines(docs: DataFrame, exact_words: int = 3, near_words: int = 8) -> DataFrame:
     """``docs`` with removed, the positions of its lines that stand earlier elsewhere."""
-    gone = stored(later_lines(docs, exact_words, near_words), "line-gone").withColumnRenamed("doc_id", "_id")
-    joined = docs.drop("removed").join(gone, F.col("doc_id").eqNullSafe(F.col("_id")), "left").drop("_id")
+    return with_removed(docs, later_lines(docs, exact_words, near_words))
+
+
+def with_removed(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """Adds removed to any rows with doc_id; columns that aren't needed beyond it needn't be there."""
+    gone = stored(gone, "line-gone").withColumnRenamed("doc_id", "_id")
+    joined = rows.drop("removed").join(gone, F.col("doc_id").eqNullSafe(F.col("_id")), "left").drop("_id")
     return joined.withColumn("removed", F.coalesce("removed", F.expr("cast(array() as array<int>)")))
 
 

@@ -12,9 +12,10 @@ from .common import table
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    marked = line_dedup.mark_lines(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
     lines = F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)).cast("long")
-    return marked.select("doc_id", lines.alias("n_lines"), F.size("removed").cast("long").alias("n_removed"), F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed"))
+    marked = line_dedup.with_removed(docs.select("doc_id", lines.alias("n_lines")), line_dedup.later_lines(docs))
+    return marked.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed"))
 
 
 OP1_SQL = r"""
