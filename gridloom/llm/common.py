@@ -47,3 +47,8 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 def words(text: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text; none for null."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE), "")
+
+
+def grows(df: DataFrame) -> DataFrame:
+    """Marks a join side that grows with the corpus: it is hashed by partition, never broadcast, at any size."""
+    return df.hint("shuffle_hash")
