@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, stored
+from .common import SPACE, grows, stored
 
 
 def line_words(line: Column) -> Column:
@@ -103,23 +103,23 @@ def later_lines(docs: DataFrame, exact_words: int = 3, near_words: int = 8) -> D
     firsts = stored(lines.groupBy("lh").agg(F.min(place).alias("first"), F.first("ends").alias("ends"), F.count("*").alias("c")), "line-firsts")
     ends = firsts.where("ends is not null").select("lh", F.explode("ends").alias("end"))
     shared = ends.groupBy("end").agg(F.min("lh").alias("a"), F.max("lh").alias("b")).where("a != b").select("end")
-    close = stored(ends.join(shared, "end").select("lh").distinct().join(firsts.select("lh", "first"), "lh").select("lh", F.col("first.doc_id").alias("doc_id"), F.col("first.pos").alias("pos")), "line-close")
+    close = stored(ends.join(grows(shared), "end").select("lh").distinct().join(firsts.select("lh", "first"), "lh").select("lh", F.col("first.doc_id").alias("doc_id"), F.col("first.pos").alias("pos")), "line-close")
 
     # the words of the lines that may have a neighbour
     wanted = close.groupBy("doc_id").agg(F.collect_set(F.struct("pos", "lh")).alias("at")).withColumnRenamed("doc_id", "_id")
-    text = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")))
+    text = docs.select("doc_id", "text").join(grows(wanted), F.col("doc_id").eqNullSafe(F.col("_id")))
     cut = text.withColumn("all", F.split("text", "\n", -1)).select("doc_id", F.explode(F.transform("at", lambda p: F.struct(p["pos"].alias("pos"), p["lh"].alias("lh"), F.get(F.col("all"), p["pos"]).alias("line")))).alias("x"))
     spelt = stored(cut.select("doc_id", "x.pos", "x.lh", line_words(F.col("x.line")).alias("ws")).where(F.xxhash64("ws") == F.col("lh")), "line-words")
     quarters = spelt.select("lh", F.transform("ws", lambda w: F.xxhash64(w)).alias("hs")).select("lh", F.explode(_quarters("hs")).alias("end"))
     agree = quarters.groupBy("end").agg(F.min("lh").alias("a"), F.max("lh").alias("b")).where("a != b").select("end")
-    near_by = stored(quarters.join(agree, "end").select("lh").distinct(), "line-agree")
-    spelt = stored(spelt.join(near_by, "lh", "left_semi").dropDuplicates(["lh"]), "line-near")
+    near_by = stored(quarters.join(grows(agree), "end").select("lh").distinct(), "line-agree")
+    spelt = stored(spelt.join(grows(near_by), "lh", "left_semi").dropDuplicates(["lh"]), "line-near")
     hashed = spelt.select(F.struct("doc_id", "pos", "lh").alias("line"), F.transform("ws", lambda w: F.xxhash64(w)).alias("hs"))
     variants = stored(_neighbourhood(hashed), "line-variants")
     earliest = variants.groupBy("held").agg(F.min("line").alias("keeper"), F.count("*").alias("c")).where("c > 1").select("held", "keeper")
-    replaced = variants.join(earliest, "held").where("line > keeper").select("line", "keeper")
+    replaced = variants.join(grows(earliest), "held").where("line > keeper").select("line", "keeper")
     whole = hashed.select(F.col("line").alias("self"), F.xxhash64(F.size("hs"), _xor(_placed("hs", 0))).alias("cut"))
-    inserted = variants.join(whole, "cut").select(F.greatest("line", "self").alias("line"), F.least("line", "self").alias("keeper"))
+    inserted = variants.join(grows(whole), "cut").select(F.greatest("line", "self").alias("line"), F.least("line", "self").alias("keeper"))
     pairs = replaced.unionByName(inserted).select(F.col("line.lh").alias("lh"), F.col("keeper.lh").alias("kh")).distinct()
     words = spelt.select("lh", "ws")
     near = (
@@ -128,7 +128,7 @@ def later_lines(docs: DataFrame, exact_words: int = 3, near_words: int = 8) -> D
         .where(_one_edit(F.col("mine"), F.col("theirs"))).select("lh").distinct().withColumn("near", F.lit(True))
     )
     marks = firsts.where("c > 1").select("lh", "first").join(near, "lh", "full_outer").select("lh", "first", F.coalesce("near", F.lit(False)).alias("near"))
-    gone = lines.select("doc_id", "pos", "lh").join(stored(marks, "line-marks"), "lh").where(F.col("near") | (place != F.col("first")))
+    gone = lines.select("doc_id", "pos", "lh").join(grows(stored(marks, "line-marks")), "lh").where(F.col("near") | (place != F.col("first")))
     return gone.groupBy("doc_id").agg(F.array_sort(F.collect_set("pos")).alias("removed"))
 
 
@@ -140,7 +140,7 @@ def mark_lines(docs: DataFrame, exact_words: int = 3, near_words: int = 8) -> Da
 def with_removed(rows: DataFrame, gone: DataFrame) -> DataFrame:
     """Adds removed to any rows with doc_id; columns that aren't needed beyond it needn't be there."""
     gone = stored(gone, "line-gone").withColumnRenamed("doc_id", "_id")
-    joined = rows.drop("removed").join(gone, F.col("doc_id").eqNullSafe(F.col("_id")), "left").drop("_id")
+    joined = rows.drop("removed").join(grows(gone), F.col("doc_id").eqNullSafe(F.col("_id")), "left").drop("_id")
     return joined.withColumn("removed", F.coalesce("removed", F.expr("cast(array() as array<int>)")))
 
 
