@@ -73,9 +73,9 @@ def _start(auto: Automaton, data: bytes, end: int, low: int) -> int:
     return found
 
 
-def find_secrets(texts: list[bytes], rules: tuple[Rule, ...] = RULES) -> list[list[tuple[str, int, int]]]:
+def find_secrets(texts: list[bytes], rules: tuple[Rule, ...] = RULES, compiled: tuple | None = None) -> list[list[tuple[str, int, int]]]:
     """The spans of each UTF-8 text, by start, then by rule order."""
-    forward, backward, exact = _compiled(rules)
+    forward, backward, exact = compiled or _compiled(rules)
     data = bytes([FENCE]).join(texts)
     accepts = forward.accepts[run(forward, np.frombuffer(data, np.uint8))]
     begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
@@ -111,6 +111,9 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     kinds = docs.select(F.col(id_col).alias(id_col), F.col(text_col).cast("string").alias("_text"))
     schema = f"`{id_col}` {kinds.schema[0].dataType.simpleString()}, spans array<struct<kind:string,start:int,end:int>>"
 
+    # compiled once, on the driver; the arrays depend on the rules only
+    shared = docs.sparkSession.sparkContext.broadcast(_compiled(rules))
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
         for batch in batches:
@@ -120,10 +123,10 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 group.append(t)
                 held += len(t) + 1
                 if held >= PASS_BYTES:
-                    rows += find_secrets(group, rules)
+                    rows += find_secrets(group, rules, shared.value)
                     group, held = [], 0
             if group:
-                rows += find_secrets(group, rules)
+                rows += find_secrets(group, rules, shared.value)
             spans = pa.array([[{"kind": k, "start": s, "end": e} for k, s, e in row] for row in rows], span)
             yield pa.RecordBatch.from_arrays([batch.column(0), spans], names=[id_col, "spans"])
 
