@@ -11,9 +11,12 @@ to ``SMALL`` shingles have too few filled bins for that and get keys that the pi
 principle makes nearly certain: a partition of the hash range into more parts than two
 linked sets may differ in, or, for the very small, the set without each one shingle.
 In each bucket only star edges to one hub are candidates: the member whose buckets are
-largest in sum, which in a family of copies is the text they derive from. Members that
-the verified links leave outside their hub's component are then compared with those of
-the bucket's members that are in other components, so a star loses no link.
+largest in sum, which in a family of copies is the text they derive from. A member that
+is not linked to its hub can still be linked to another member; then the two differ from
+the hub in the same way, in part. So each comparison also gives the smallest hashes of
+what the two sets differ in, and members that share one of these for the same hub form
+second buckets, with a star to the first member that is linked to the hub and one to the
+first that is not. All stars are linear in the members, whatever a family's size.
 
 Components come from minimum labels with pointer jumping over stored tables; no links or
 labels reach the driver.
@@ -39,6 +42,7 @@ from .hashing import M1, M2, M3, mix, word_hashes
 
 BINS, ROWS = 80, 4
 SMALL = 128
+UNLIKE = 24
 
 
 def shingle_set(text: bytes, k: int) -> np.ndarray:
@@ -140,24 +144,35 @@ def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {_id_type(docs)}, set binary")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of ``pairs`` (a, b) that are linked, decided on the full sets."""
-    kind = pairs.schema["a"].dataType.simpleString()
+def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``pairs`` (m, h) with linked, decided on the full sets, and unlike, the smallest hashes that one set has alone."""
+    kind = pairs.schema["m"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ok = []
+            linked, unlike = [], []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
                 p, q = (np.frombuffer(v.as_py(), np.uint64) for v in (x, y))
-                small, large = (p, q) if len(p) < len(q) else (q, p)
-                at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-                both = int((large[at] == small).sum())
-                ok.append(100 * both >= percent * (len(p) + len(q) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+                alone = np.setxor1d(p, q, assume_unique=True)
+                both = (len(p) + len(q) - len(alone)) // 2
+                linked.append(100 * both >= percent * (both + len(alone)))
+                unlike.append(alone[:UNLIKE].view(np.int64))
+            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, unlike)]), pa.int32()), pa.array(np.concatenate(unlike) if unlike else np.zeros(0, np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_()), lists], names=["m", "h", "linked", "unlike"])
 
-    with_a = pairs.select("a", "b").join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("sa")), "a")
-    with_both = with_a.join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("sb")), "b")
-    return with_both.select("a", "b", "sa", "sb").mapInArrow(run, f"a {kind}, b {kind}")
+    with_m = pairs.select("m", "h").join(sets.select(F.col("doc_id").alias("m"), F.col("set").alias("sm")), "m")
+    with_both = with_m.join(sets.select(F.col("doc_id").alias("h"), F.col("set").alias("sh")), "h")
+    return with_both.select("m", "h", "sm", "sh").mapInArrow(run, f"m {kind}, h {kind}, linked boolean, unlike array<long>")
+
+
+def second_star(first: DataFrame) -> DataFrame:
+    """(m, h) between members that share a difference to the same hub, of which one at least is not linked to it."""
+    places = first.select("h", "m", "linked", F.explode("unlike").alias("key"))
+    heads = places.groupBy("h", "key").agg(F.count("*").alias("size"), F.min(F.when(~F.col("linked"), F.col("m"))).alias("loose"), F.min(F.when(F.col("linked"), F.col("m"))).alias("tied")).where("size > 1 AND loose IS NOT NULL")
+    met = stored(places.join(heads.withColumnsRenamed({"h": "_h", "key": "_key"}), (F.col("h") == F.col("_h")) & (F.col("key") == F.col("_key"))).select("m", "linked", "loose", "tied"), "near-met")
+    to_loose = met.where("m <> loose").select("m", F.col("loose").alias("h"))
+    to_tied = met.where("NOT linked AND tied IS NOT NULL").select("m", F.col("tied").alias("h"))
+    return to_loose.unionByName(to_tied).select(F.greatest("m", "h").alias("m"), F.least("m", "h").alias("h")).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -186,32 +201,13 @@ def link_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     hubs = members.join(weight, "rep").groupBy("key").agg(F.min(F.struct((-F.col("weight")).alias("w"), F.col("rep"), F.col("n"))).alias("hub"))
     near = lambda p, q: 100 * F.least(p, q) >= percent * F.greatest(p, q)
     spokes = stored(members.join(hubs, "key").select("key", "rep", "n", F.col("hub.rep").alias("hub"), F.col("hub.n").alias("hub_n")), "near-spokes")
-    star = spokes.where((F.col("rep") != F.col("hub")) & near(F.col("n"), F.col("hub_n"))).select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
+    star = spokes.where((F.col("rep") != F.col("hub")) & near(F.col("n"), F.col("hub_n"))).select(F.col("rep").alias("m"), F.col("hub").alias("h")).distinct()
     involved = stored(members.select("rep").distinct(), "near-involved")
     sets = stored(shingle_sets(docs.select("doc_id", "text").join(involved.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi"), k).groupBy("doc_id").agg(F.first("set").alias("set")), "near-sets")
-    links = stored(verified(stored(star, "near-star"), sets, percent), "near-links")
+    first = stored(compared(stored(star, "near-star"), sets, percent), "near-compared")
+    second = compared(stored(second_star(first), "near-second"), sets, percent)
+    links = stored(first.unionByName(second).where("linked").select(F.col("m").alias("a"), F.col("h").alias("b")), "near-links")
     labels = components(links)
-
-    # what the stars left open: members outside their hub's component, against members of other components
-    marks = labels.select(F.col("node"), F.col("label"))
-    placed = stored(
-        spokes.join(marks.select(F.col("node").alias("rep"), F.col("label").alias("c")), "rep", "left")
-        .join(marks.select(F.col("node").alias("hub"), F.col("label").alias("hc")), "hub", "left")
-        .select("key", "rep", "n", F.coalesce("c", "rep").alias("c"), F.coalesce("hc", "hub").alias("hc"), F.col("hub")),
-        "near-placed",
-    )
-    left = placed.where("c != hc").select("key", F.col("rep").alias("r"), F.col("n").alias("rn"), F.col("c").alias("rc"))
-    more = (
-        left.join(placed.where("rep != hub").select("key", "rep", "n", "c"), "key")
-        .where((F.col("c") != F.col("rc")) & near(F.col("n"), F.col("rn")))
-        .select(F.least("r", "rep").alias("a"), F.greatest("r", "rep").alias("b"))
-        .distinct()
-    )
-    more = stored(more, "near-more")
-    if not more.isEmpty():
-        extra = stored(verified(more, sets, percent), "near-links")
-        if not extra.isEmpty():
-            labels = components(links.unionByName(extra))
     named = classes.select("same", "rep").join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left").select("same", F.coalesce("label", "rep").alias("_component"))
     linked = F.col("doc_id").isNotNull() & (F.col("n") > 0)
     return (
