@@ -6,7 +6,8 @@ size that is broadcast is bounded. Counting covers all trusted text: each task s
 4-grams, the sums are shuffled by (lang, 4-gram), and continuation counts, discounts and
 context totals come from joins sharded the same way. Every document then has its
 perplexity per symbol; it is kept unless that lies outside quantiles of the trusted
-documents of its language (of its language and length, where those are wider).
+documents of its language and length band (of its language, where the band has fewer than
+``MIN_BAND`` of them). ``HIGH`` was chosen on labels held out from the limits.
 
 Trusted rows are those of ``labels`` with quality 1 and toxic 0. Languages beyond the
 ``MAX_LANGUAGES`` with the most trusted text share one pooled model.
@@ -33,6 +34,9 @@ from .common import grows, stored
 
 SYMBOLS, ORDER, BITS = 32, 4, 5
 MAX_LANGUAGES = 64
+#: Trusted documents a length band needs for limits of its own.
+MIN_BAND = 20
+LOW, HIGH, SLACK = 0.0005, 0.97, 1.01
 POOLED, NO_LANG = "*", "?"
 SLICE_CHARS = 1 << 20
 MASK = (1 << BITS) - 1
@@ -200,10 +204,11 @@ def band(n_symbols: Column) -> Column:
 
 
 def limits(scored: DataFrame, labels: DataFrame, low: float, high: float, slack: float) -> DataFrame:
-    """(lang, band, least, most): what the trusted documents allow; band null is the whole language's."""
+    """(lang, band, least, most): what the trusted documents allow; band null is the whole language's, for bands with too few."""
     own = scored.join(grows(trusted_ids(labels)), "doc_id", "left_semi").where(F.col("perplexity").isNotNull()).withColumn("band", band(F.col("n_symbols")))
     cut = [(F.percentile_approx("perplexity", low, 10000) / slack).alias("least"), (F.percentile_approx("perplexity", high, 10000) * slack).alias("most")]
-    return own.groupBy("lang", "band").agg(*cut).unionByName(own.groupBy("lang").agg(*cut).withColumn("band", F.lit(None).cast("int")))
+    by_band = own.groupBy("lang", "band").agg(*cut, F.count("*").alias("n")).where(F.col("n") >= MIN_BAND).drop("n")
+    return by_band.unionByName(own.groupBy("lang").agg(*cut).withColumn("band", F.lit(None).cast("int")))
 
 
 def _verdict(scored: DataFrame, cuts: DataFrame, min_chars: int) -> DataFrame:
@@ -211,18 +216,18 @@ def _verdict(scored: DataFrame, cuts: DataFrame, min_chars: int) -> DataFrame:
     whole = cuts.where(F.col("band").isNull()).select(F.col("lang").alias("_l1"), F.col("least").alias("_least1"), F.col("most").alias("_most1"))
     by_band = cuts.where(F.col("band").isNotNull()).select(F.col("lang").alias("_l2"), F.col("band").alias("_band"), F.col("least").alias("_least2"), F.col("most").alias("_most2"))
     joined = scored.join(whole, F.col("lang").eqNullSafe(F.col("_l1")), "left").join(by_band, F.col("lang").eqNullSafe(F.col("_l2")) & (band(F.col("n_symbols")) == F.col("_band")), "left")
-    judged = joined.withColumns({"least": F.least("_least1", "_least2"), "most": F.greatest("_most1", "_most2")})
+    judged = joined.withColumns({"least": F.coalesce("_least2", "_least1"), "most": F.coalesce("_most2", "_most1")})
     ok = (F.col("n_symbols") < min_chars) | F.coalesce(F.col("perplexity").between(F.col("least"), F.col("most")), F.lit(True))
     return judged.withColumn("kept", ok).drop("_l1", "_l2", "_band", "_least1", "_least2", "_most1", "_most2")
 
 
-def classify(docs: DataFrame, labels: DataFrame, low: float = 0.0005, high: float = 0.999, slack: float = 1.01, min_chars: int = 40) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, low: float = LOW, high: float = HIGH, slack: float = SLACK, min_chars: int = 40) -> DataFrame:
     """doc_id, lang, n_symbols, perplexity, least, most and kept for every row."""
     scored = stored(score(docs, train(docs, labels)), "lm-scores")
     return _verdict(scored, stored(limits(scored, labels, low, high, slack), "lm-limits"), min_chars)
 
 
-def filter_quality(docs: DataFrame, labels: DataFrame, low: float = 0.0005, high: float = 0.999, slack: float = 1.01, min_chars: int = 40) -> DataFrame:
+def filter_quality(docs: DataFrame, labels: DataFrame, low: float = LOW, high: float = HIGH, slack: float = SLACK, min_chars: int = 40) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns.
 
     A second scoring pass applies the limits where the rows are, so no text is shuffled for it.
@@ -239,8 +244,8 @@ def filter_quality(docs: DataFrame, labels: DataFrame, low: float = 0.0005, high
             n, ppl = _score_batch(langs, batch.column(batch.schema.get_field_index("text")).to_pylist(), table)
             ok = []
             for lang, size, p in zip(langs, n.tolist(), ppl.tolist(), strict=True):
-                known = [x for x in (cuts.get((lang, None)), cuts.get((lang, min(12, max(size, 1).bit_length() - 1)))) if x]
-                ok.append(size < min_chars or p != p or not known or min(x[0] for x in known) <= p <= max(x[1] for x in known))
+                known = cuts.get((lang, min(12, max(size, 1).bit_length() - 1))) or cuts.get((lang, None))
+                ok.append(size < min_chars or p != p or not known or known[0] <= p <= known[1])
             yield batch.filter(pa.array(ok, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)

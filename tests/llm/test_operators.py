@@ -298,6 +298,18 @@ def test_language_model(spark):
     assert abs(np.exp(-np.mean(logp)) - got[0].perplexity) < 1e-6
 
 
+def test_language_model_judges_by_length(spark):
+    r = random.Random(12)
+    rows = [(i, prose(r, 400), "en") for i in range(60)] + [(100 + i, prose(r, 12), "en") for i in range(60)]
+    rows += [(200, " ".join(w if k % 60 else "zqxjkv" for k, w in enumerate(prose(r, 400).split())), "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i, _, _ in rows if i < 200], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in lm_quality.classify(df, labels).collect()}
+    assert got[200].perplexity < max(got[100 + i].perplexity for i in range(60))  # no worse than short trusted texts
+    assert not got[200].kept and sum(got[i].kept for i in range(60)) >= 55
+    assert {r.doc_id for r in lm_quality.filter_quality(df, labels).collect()} == {i for i, r in got.items() if r.kept}
+
+
 def luhn(d):
     v = [int(c) for c in d[::-1]]
     return (sum(v[::2]) + sum(sum(divmod(2 * x, 10)) for x in v[1::2])) % 10 == 0
