@@ -11,12 +11,19 @@ to ``SMALL`` shingles have too few filled bins for that and get keys that the pi
 principle makes nearly certain: a partition of the hash range into more parts than two
 linked sets may differ in, or, for the very small, the set without each one shingle.
 In each bucket only star edges to one hub are candidates: the member whose buckets are
-largest in sum, which in a family of copies is the text they derive from. A member that
-is not linked to its hub can still be linked to another member; then the two differ from
-the hub in the same way, in part. So each comparison also gives the smallest hashes of
-what the two sets differ in, and members that share one of these for the same hub form
-second buckets, with a star to the first member that is linked to the hub and one to the
-first that is not. All stars are linear in the members, whatever a family's size.
+largest in sum, which in a family of copies is the text they derive from. A member x that
+is not linked to its hub can still be linked to another member y. Linked sets differ in
+at most t = r * (|x| + |y|) hashes, r = (100 - percent) / (100 + percent); x differs from
+the hub in more than that allows, so the two differences from the hub, of dx and dy
+hashes, share at least (dx + dy - t) / 2 > 0 of them, and the first they share, in
+whatever order (own hashes first, as they are rare), stands within the first
+(dx - dy + t) / 2 + 1 of x's and (dy - dx + t) / 2 + 1 of y's. So each comparison also
+gives the first t + 1 differences, for members of any size. Members that share one for
+the same hub form second buckets, with stars that only serve to settle most of them:
+buckets of one component, or without a member unlinked to the hub, are done. In the
+others every two members of different components that pass these bounds are compared, so
+that no link within a bucket is lost. All but that last step is linear in the members; it
+grows with the pairs of a family that share differences and are still unlinked.
 
 Components come from minimum labels with pointer jumping over stored tables; no links or
 labels reach the driver.
@@ -34,7 +41,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
@@ -42,7 +49,6 @@ from .hashing import M1, M2, M3, mix, word_hashes
 
 BINS, ROWS = 80, 4
 SMALL = 128
-UNLIKE = 24
 
 
 def shingle_set(text: bytes, k: int) -> np.ndarray:
@@ -145,34 +151,62 @@ def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
 
 
 def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``pairs`` (m, h) with linked, decided on the full sets, and unlike, the smallest hashes that one set has alone."""
+    """``pairs`` (m, h) with linked, decided on the full sets, n and d (sizes of m's set and of the difference), and unlike, the first differences."""
     kind = pairs.schema["m"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked, unlike = [], []
+            linked, n, d, unlike = [], [], [], []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
                 p, q = (np.frombuffer(v.as_py(), np.uint64) for v in (x, y))
-                alone = np.setxor1d(p, q, assume_unique=True)
+                alone = np.concatenate([np.setdiff1d(p, q, assume_unique=True), np.setdiff1d(q, p, assume_unique=True)])
                 both = (len(p) + len(q) - len(alone)) // 2
                 linked.append(100 * both >= percent * (both + len(alone)))
-                unlike.append(alone[:UNLIKE].view(np.int64))
+                n.append(len(p))
+                d.append(len(alone))
+                unlike.append(alone[: (100 - percent) * (len(p) + 100 * len(p) // percent) // (100 + percent) + 1].view(np.int64))
             lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, unlike)]), pa.int32()), pa.array(np.concatenate(unlike) if unlike else np.zeros(0, np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_()), lists], names=["m", "h", "linked", "unlike"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_()), pa.array(n, pa.int64()), pa.array(d, pa.int64()), lists], names=["m", "h", "linked", "n", "d", "unlike"])
 
     with_m = pairs.select("m", "h").join(sets.select(F.col("doc_id").alias("m"), F.col("set").alias("sm")), "m")
     with_both = with_m.join(sets.select(F.col("doc_id").alias("h"), F.col("set").alias("sh")), "h")
-    return with_both.select("m", "h", "sm", "sh").mapInArrow(run, f"m {kind}, h {kind}, linked boolean, unlike array<long>")
+    return with_both.select("m", "h", "sm", "sh").mapInArrow(run, f"m {kind}, h {kind}, linked boolean, n long, d long, unlike array<long>")
 
 
-def second_star(first: DataFrame) -> DataFrame:
-    """(m, h) between members that share a difference to the same hub, of which one at least is not linked to it."""
-    places = first.select("h", "m", "linked", F.explode("unlike").alias("key"))
-    heads = places.groupBy("h", "key").agg(F.count("*").alias("size"), F.min(F.when(~F.col("linked"), F.col("m"))).alias("loose"), F.min(F.when(F.col("linked"), F.col("m"))).alias("tied")).where("size > 1 AND loose IS NOT NULL")
-    met = stored(places.join(heads.withColumnsRenamed({"h": "_h", "key": "_key"}), (F.col("h") == F.col("_h")) & (F.col("key") == F.col("_key"))).select("m", "linked", "loose", "tied"), "near-met")
+def shared_differences(at: DataFrame, links: DataFrame) -> DataFrame:
+    """Places (h, key, pos, m, n, d, c) of ``at`` in the second buckets that ``links`` have not settled, with their least loose and tied members."""
+    labels = components(links).select(F.col("node").alias("m"), "label")
+    named = at.join(labels, "m", "left").withColumn("c", F.coalesce("label", "m"))
+    places = named.select("h", "m", "n", "d", "c", "linked", F.posexplode("unlike").alias("pos", "key"))
+    heads = places.groupBy("h", "key").agg(F.min(F.when(~F.col("linked"), F.col("m"))).alias("loose"), F.min(F.when(F.col("linked"), F.col("m"))).alias("tied"), F.min("c").alias("low"), F.max("c").alias("high"))
+    heads = heads.where("low <> high AND loose IS NOT NULL").select(F.col("h").alias("_h"), F.col("key").alias("_key"), "loose", "tied")
+    return stored(places.join(heads, (F.col("h") == F.col("_h")) & (F.col("key") == F.col("_key"))).drop("_h", "_key"), "near-met")
+
+
+def all_links(star: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links that join all linked members of the buckets of ``star`` (m, h)."""
+    ends = lambda x: x.where("linked").select(F.col("m").alias("a"), F.col("h").alias("b"))
+    ordered = lambda x: stored(x.select(F.greatest("m", "h").alias("m"), F.least("m", "h").alias("h")).distinct(), "near-second")
+    at = stored(compared(star, sets, percent), "near-compared")
+    met = shared_differences(at, ends(at))
     to_loose = met.where("m <> loose").select("m", F.col("loose").alias("h"))
     to_tied = met.where("NOT linked AND tied IS NOT NULL").select("m", F.col("tied").alias("h"))
-    return to_loose.unionByName(to_tied).select(F.greatest("m", "h").alias("m"), F.least("m", "h").alias("h")).distinct()
+    second = ordered(to_loose.unionByName(to_tied))
+    links = stored(ends(at).unionByName(ends(compared(second, sets, percent))), "near-links")
+    met = shared_differences(at, links).select("h", "key", "pos", "m", "n", "d", "c")
+    other = met.select(*[F.col(x).alias(f"_{x}") for x in met.columns])
+    t = (100 - percent) * (F.col("n") + F.col("_n"))  # times 100 + percent, as are the sides below
+    within = lambda pos, more: (100 + percent) * (2 * F.col(pos) - more) <= t
+    gap = F.col("d") - F.col("_d")
+    meet = (F.col("h") == F.col("_h")) & (F.col("key") == F.col("_key")) & (F.col("m") > F.col("_m")) & (F.col("c") != F.col("_c")) & near(F.col("n"), F.col("_n"), percent)
+    pairs = met.join(other, meet & within("pos", gap) & within("_pos", -gap)).select("m", F.col("_m").alias("h")).distinct()
+    rest = stored(pairs.join(second, ["m", "h"], "left_anti"), "near-rest")
+    return links.unionByName(stored(ends(compared(rest, sets, percent)), "near-links"))
+
+
+def near(p: Column, q: Column, percent: int) -> Column:
+    """Whether sets of these sizes can be linked."""
+    return 100 * F.least(p, q) >= percent * F.greatest(p, q)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -199,15 +233,10 @@ def link_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     members = stored(places.join(sizes, "key"), "near-members")
     weight = members.groupBy("rep").agg(F.sum("size").alias("weight"))
     hubs = members.join(weight, "rep").groupBy("key").agg(F.min(F.struct((-F.col("weight")).alias("w"), F.col("rep"), F.col("n"))).alias("hub"))
-    near = lambda p, q: 100 * F.least(p, q) >= percent * F.greatest(p, q)
-    spokes = stored(members.join(hubs, "key").select("key", "rep", "n", F.col("hub.rep").alias("hub"), F.col("hub.n").alias("hub_n")), "near-spokes")
-    star = spokes.where((F.col("rep") != F.col("hub")) & near(F.col("n"), F.col("hub_n"))).select(F.col("rep").alias("m"), F.col("hub").alias("h")).distinct()
+    star = members.join(hubs, "key").where(F.col("rep") != F.col("hub.rep")).select(F.col("rep").alias("m"), F.col("hub.rep").alias("h")).distinct()
     involved = stored(members.select("rep").distinct(), "near-involved")
     sets = stored(shingle_sets(docs.select("doc_id", "text").join(involved.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi"), k).groupBy("doc_id").agg(F.first("set").alias("set")), "near-sets")
-    first = stored(compared(stored(star, "near-star"), sets, percent), "near-compared")
-    second = compared(stored(second_star(first), "near-second"), sets, percent)
-    links = stored(first.unionByName(second).where("linked").select(F.col("m").alias("a"), F.col("h").alias("b")), "near-links")
-    labels = components(links)
+    labels = components(all_links(stored(star, "near-star"), sets, percent))
     named = classes.select("same", "rep").join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left").select("same", F.coalesce("label", "rep").alias("_component"))
     linked = F.col("doc_id").isNotNull() & (F.col("n") > 0)
     return (

@@ -171,6 +171,31 @@ def test_near_duplicates(docs, texts, k, percent):
     assert len({v for _, v in got.values()}) < len(texts)
 
 
+def test_near_duplicates_lose_no_link_in_a_bucket(spark):
+    import numpy as np
+
+    r = random.Random(21)
+    fresh = lambda n: {r.getrandbits(63) for _ in range(n)}
+    base = fresh(200)
+    sets = [base]
+    for _ in range(18):  # versions that grow
+        sets.append(sets[-1] | fresh(len(sets[-1]) * 13 // 100))
+    for _ in range(12):  # copies of copies: families beyond the hub's reach, and chains out of them
+        own = set(r.sample(sorted(base), 170)) | fresh(30)
+        for _ in range(4):
+            sets.append(set(r.sample(sorted(own), 192)) | fresh(8))
+            own = sets[-1] if r.random() < 0.5 else own
+    rows = [(i, np.array(sorted(x), np.uint64).tobytes()) for i, x in enumerate(sets)]
+    stored = spark.createDataFrame(rows, "doc_id long, set binary")
+    true = [(i, j) for i in range(len(sets)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])]
+    labels = lambda df: {x.node: x.label for x in near_dup.components(df).collect()}
+    expected = labels(spark.createDataFrame(true, "a long, b long"))
+    assert len(true) > 60 and len(set(expected.values())) > 5
+    for hub in (0, 18, 25):
+        star = spark.createDataFrame([(i, hub) for i in range(len(sets)) if i != hub], "m long, h long")
+        assert labels(near_dup.all_links(star, stored, 85)) == expected
+
+
 def test_candidate_keys_meet():
     r = random.Random(4)
     missed = 0
