@@ -372,3 +372,14 @@ def test_pii_model(spark):
     got = {r.doc_id: [s.kind for s in r.more_spans] for r in pii.find_pii(df).collect()}
     assert "local_phone" in got[1] and got[2] == [] and "account" in got[3] and got[4] == []
     assert {r.doc_id: r.text for r in pii.redact(spark.createDataFrame([(1, "to a@b.cd, ok")], "doc_id long, text string")).collect()} == {1: "to <email>, ok"}
+
+
+IBANS = ["DE89370400440532013000", "GB82WEST12345698765432", "FR1420041010050500013M02606", "IT60X0542811101000000123456", "NL91ABNA0417164300", "CH9300762011623852957", "ES9121000418450200051332", "NO9386011117947", "MT84MALT011000012345MTLCAST001S"]
+
+
+def test_pii_national_account_lengths(spark):
+    grouped = [" ".join(x[i : i + 4] for i in range(0, len(x), 4)) for x in IBANS]
+    for x in IBANS + grouped:
+        assert [m[0] for m in re.finditer(pii.MORE["account"], f"to {x} now")] == [x], x
+    df = spark.createDataFrame([(i, f"transfer to the account: {x}, thanks") for i, x in enumerate(IBANS + grouped)], "doc_id long, text string")
+    assert {r.text for r in pii.redact(df).collect()} == {"transfer to the account: <account>, thanks"}
