@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,9 @@ from pyspark.sql import functions as F
 #: What separates words: ASCII white space.
 SPACE = r"[\x20\x09-\x0D]+"
 
+#: Paths written since the innermost ``settled`` began; None outside of it.
+_written: list[str] | None = None
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -30,6 +34,13 @@ def scratch_root(spark: SparkSession) -> str:
     return spark.conf.get("spark.checkpoint.dir")
 
 
+def _path(spark: SparkSession, label: str) -> str:
+    path = f"{scratch_root(spark)}/gridloom/{label}-{uuid.uuid4().hex}"
+    if _written is not None:
+        _written.append(path)
+    return path
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Writes ``df`` to the shared folder and reads it back.
 
@@ -38,17 +49,47 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     it only while it is below ``spark.sql.autoBroadcastJoinThreshold``.
     """
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/gridloom/{label}-{uuid.uuid4().hex}"
+    path = _path(spark, label)
     schema = df.schema
     df.write.parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
+def stored_by(df: DataFrame, key: str, label: str) -> DataFrame:
+    """Writes ``df`` in buckets of ``key``: grouping or joining by it later moves no row of it."""
+    spark = df.sparkSession
+    name = f"gridloom_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(buckets, key).option("path", _path(spark, label)).saveAsTable(name)
+    return spark.table(name)
+
+
+def settled(spark: SparkSession, make: Callable[[], DataFrame], label: str) -> DataFrame:
+    """Stores what ``make`` returns and deletes the tables that were stored on the way."""
+    global _written
+    outer, _written = _written, []
+    try:
+        result = make()
+        done, _written = _written, outer
+        kept = stored(result, label)
+    finally:
+        _written = outer
+    for path in done:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    return kept
+
+
 def words(text: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text; none for null."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE), "")
 
 
-def grows(df: DataFrame) -> DataFrame:
-    """Marks a join side that grows with the corpus: it is hashed by partition, never broadcast, at any size."""
-    return df.hint("shuffle_hash")
+def packed(df: DataFrame, **more: Column) -> DataFrame:
+    """``df`` as one struct column ``row`` beside the columns ``more``, so that no name of ``df`` can clash with them."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *[c.alias(name) for name, c in more.items()])
+
+
+def unpacked(df: DataFrame, like: DataFrame, **changed: Column) -> DataFrame:
+    """The columns of ``like`` out of ``row``, those named in ``changed`` replaced."""
+    return df.select(*[changed.get(c, F.col("row").getField(c)).alias(c) for c in like.columns])

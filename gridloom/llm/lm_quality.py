@@ -1,251 +1,279 @@
 """Quality classifier: an interpolated modified Kneser-Ney model of trusted text.
 
-Text is folded to 32 symbols (letters without case, other letters, digit, space, stop,
-other), so a language's 4-gram model has 32**4 entries at most whatever the corpus: the
-size that is broadcast is bounded. Counting covers all trusted text: each task sums its
-4-grams, the sums are shuffled by (lang, 4-gram), and continuation counts, discounts and
-context totals come from joins sharded the same way. Every document then has its
-perplexity per symbol; it is kept unless that lies outside quantiles of the trusted
-documents of its language and length band (of its language, where the band has fewer than
-``MIN_BAND`` of them). ``HIGH`` was chosen on labels held out from the limits.
-
-Trusted rows are those of ``labels`` with quality 1 and toxic 0. Languages beyond the
-``MAX_LANGUAGES`` with the most trusted text share one pooled model.
-
-Nulls: a null text is empty; a null language is a language of its own; null labels are
-not trusted. Documents under ``min_chars``, and all documents if there is no trusted
-text of their language, are kept with what perplexity they have (null without a model).
-Repeated rows are scored alike; repeated trusted rows count as often as they stand
-there, a document with several labels once. An empty table gives an empty result. Extra
-columns are passed on by ``filter_quality`` and not read by ``score``.
+The model is over characters as they stand (any script, case kept), with n-grams of up
+to ``ORDER`` of them, by language. Its tables are keyed by (lang, n-gram), grow with the
+trusted text and stay sharded:
+
+1. Rows are dealt to blocks of at most ``BLOCK_ROWS``, which are written in buckets, so that
+   no text is shuffled afterwards. Each block gives its distinct n-grams, with how often
+   they stand in its training rows.
+2. Sums over blocks are the counts. Continuation counts, discounts and context totals are
+   aggregates of them, and the n-grams that occur anywhere get their probabilities by
+   joins with those tables, from the shortest to the longest.
+3. Joined with each block's n-grams, the probabilities return to the blocks, where every
+   document gets two perplexities: that of the whole text, and that of its worst
+   ``WINDOW`` characters in a row, which a few strange words in a long text do not leave.
+
+Documents are kept unless either lies outside quantiles of the language's trusted
+documents, by length band. The upper quantiles come from ``1 / HELD`` of the trusted
+documents, chosen by hash, which the counts don't contain; the lower one from all of them,
+since counted documents surprise less. Trusted rows are those of ``labels`` with quality 1
+and toxic 0.
+
+Surprises are rounded to millionths of a nat and summed as integers, so results don't
+depend on the order of rows. A value that equals a limit is inside it.
+
+Nulls: a null text is empty; a null language is a language of its own; null labels and
+null ids are not trusted. Documents under ``min_chars``, and all documents of a language
+with fewer than ``MIN_LANG`` held-out trusted ones, are kept with what perplexity they
+have (null without a model). Repeated rows are scored alike; repeated trusted rows
+count as often as they stand there, a document with several labels once. An empty table
+gives an empty result. Extra columns of any name are passed on by ``filter_quality`` and
+not read by ``classify``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from .common import packed, stored, stored_by
+
+ORDER, WINDOW = 5, 8
+BLOCK_ROWS_LOG2 = 14
+#: One in so many trusted documents is held out for the limits.
+HELD = 4
+#: Held-out trusted documents that a length band, and a language, need for limits of their own.
+MIN_BAND, MIN_LANG = 20, 8
+LOW, HIGH, HIGH_WORST = 0.0005, 0.985, 0.975
+NO_LANG = "?"
+SLICE_CHARS = 1 << 20
+NATS = 1_000_000
+PAD = "\0"
 
-from .common import grows, stored
 
-SYMBOLS, ORDER, BITS = 32, 4, 5
-MAX_LANGUAGES = 64
-#: Trusted documents a length band needs for limits of its own.
-MIN_BAND = 20
-LOW, HIGH, SLACK = 0.0005, 0.97, 1.01
-POOLED, NO_LANG = "*", "?"
-SLICE_CHARS = 1 << 20
-MASK = (1 << BITS) - 1
+def blocked(docs: DataFrame, whole_rows: bool) -> DataFrame:
+    """(block, at, row): the rows of ``docs``, or the three columns that are read, in blocks."""
+    rows = docs if whole_rows else docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
+    at = F.monotonically_increasing_id()
+    return stored_by(packed(rows, at=at).withColumn("block", F.shiftright("at", BLOCK_ROWS_LOG2)), "block", "lm-blocks")
 
 
-@lru_cache(maxsize=1)
-def _classes() -> np.ndarray:
-    lut = np.full(0x110000, 27, np.uint8)  # letters beyond ASCII
-    lut[:128] = 31
-    lut[0] = 0  # between documents
-    for k in range(26):
-        lut[ord("a") + k] = lut[ord("A") + k] = 1 + k
-    lut[ord("0") : ord("9") + 1] = 28
-    for c in "\t\n\x0b\x0c\r \x85\xa0  　":
-        lut[ord(c)] = 29
-    for c in ".,;:!?'\"()-":
-        lut[ord(c)] = 30
-    return lut
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    return labels.where((F.col("quality") == 1) & (F.col("toxic") == 0) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
 
 
-def _keys(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The 4-gram that ends at each character of the joined texts, and each text's first place; texts are three places apart."""
-    joined = "\0\0\0" + "\0\0\0".join(texts)
-    c = _classes()[np.frombuffer(joined.encode("utf-32-le", "replace"), np.uint32)].astype(np.int32)
-    keys = (c[:-3] << (3 * BITS)) | (c[1:-2] << (2 * BITS)) | (c[2:-1] << BITS) | c[3:]
-    return keys, np.concatenate([[0], np.cumsum([len(t) + 3 for t in texts])[:-1]]).astype(np.int64)
+def roles(blocks: DataFrame, labels: DataFrame) -> DataFrame:
+    """(block, at, held) of the trusted rows; held rows are for the limits, the others for the counts."""
+    ids = blocks.select("block", "at", F.col("row.doc_id").alias("doc_id"))
+    held = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(HELD)) == 0
+    return stored(ids.join(trusted_ids(labels), "doc_id").select("block", "at", held.alias("held")), "lm-roles")
 
 
 def _slices(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
     first, held = 0, 0
     for k, t in enumerate(texts):
-        held += len(t) + 3
+        held += len(t)
         if held >= SLICE_CHARS or k == len(texts) - 1:
             yield first, texts[first : k + 1]
             first, held = k + 1, 0
 
 
-def _by_lang(langs: list[str]) -> dict[str, list[int]]:
-    groups: dict[str, list[int]] = {}
-    for k, lang in enumerate(langs):
-        groups.setdefault(lang, []).append(k)
-    return groups
+def _grams(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+    """The n-gram that ends at each character of the texts, as UTF-32 bytes, and the number of characters up to the end of each text."""
+    pad = PAD * (ORDER - 1)
+    codes = np.frombuffer((pad + pad.join(texts)).encode("utf-32-le", "replace"), np.uint32)
+    size = np.array([len(t) for t in texts], np.int64)
+    ends = np.cumsum(size)
+    place = np.arange(ends[-1]) + np.repeat(np.arange(len(texts)) * (ORDER - 1), size)
+    flat = np.lib.stride_tricks.sliding_window_view(codes, ORDER)[place]
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * ORDER), len(place), [None, pa.py_buffer(np.ascontiguousarray(flat))]), ends
+
+
+def _spelt(grams: pa.Array) -> list[str]:
+    whole = b"".join(grams.to_pylist()).decode("utf-32-le", "replace")
+    return [whole[i : i + ORDER] for i in range(0, len(whole), ORDER)]
+
+
+def _texts(rows: pa.StructArray) -> tuple[list[str], list[str]]:
+    return [NO_LANG if x is None else x for x in rows.field("lang").cast(pa.string()).to_pylist()], [x or "" for x in rows.field("text").cast(pa.string()).to_pylist()]
+
+
+def _one(column: pa.ChunkedArray) -> pa.Array:
+    return pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
+
 
+def block_grams(blocks: DataFrame, trusted: DataFrame) -> DataFrame:
+    """(block, lang, g, c): the distinct n-grams of each block, and how often training rows have them."""
 
-def count_grams(trusted: DataFrame) -> DataFrame:
-    """(lang, g, c) over ``trusted`` (lang, text): how often each 4-gram stands there."""
+    def count(left: pa.Table, right: pa.Table) -> pa.Table:
+        empty = pa.table({"block": pa.array([], pa.int64()), "lang": pa.array([], pa.string()), "g": pa.array([], pa.string()), "c": pa.array([], pa.int64())})
+        if left.num_rows == 0:
+            return empty
+        langs, texts = _texts(_one(left.column("row")))
+        training = set(right.filter(pc.invert(right.column("held"))).column("at").to_pylist())
+        groups: dict[tuple[str, bool], list[str]] = {}
+        for lang, text, at in zip(langs, texts, left.column("at").to_pylist(), strict=True):
+            if text:
+                groups.setdefault((lang, at in training), []).append(text)
+        out = [empty.select(["lang", "g", "c"])]
+        for (lang, trained), own in groups.items():
+            parts = []
+            for _, part in _slices(own):
+                seen = _grams(part)[0].value_counts()
+                c = seen.field("counts") if trained else pa.array(np.zeros(len(seen), np.int64))
+                parts.append(pa.table({"g": seen.field("values").cast(pa.binary()), "c": c}))
+            total = pa.concat_tables(parts).group_by("g").aggregate([("c", "sum")])
+            spelt = _spelt(_one(total.column("g")))
+            out.append(pa.table({"lang": pa.array([lang] * len(spelt), pa.string()), "g": pa.array(spelt, pa.string()), "c": _one(total.column("c_sum"))}))
+        rows = pa.concat_tables(out).group_by(["lang", "g"]).aggregate([("c", "sum")])
+        block = pa.array(np.full(rows.num_rows, left.column("block")[0].as_py(), np.int64))
+        return pa.table({"block": block, "lang": _one(rows.column("lang")), "g": _one(rows.column("g")), "c": _one(rows.column("c_sum"))})
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[str, np.ndarray] = {}
-        for batch in batches:
-            langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for lang, rows in _by_lang(langs).items():
-                total = sums.setdefault(lang, np.zeros(1 << (BITS * ORDER), np.int64))
-                for _, part in _slices([texts[k] for k in rows]):
-                    keys, _ = _keys(part)
-                    total += np.bincount(keys[(keys & MASK) > 0], minlength=len(total))
-        for lang, total in sums.items():
-            g = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(g), pa.string()), pa.array(g, pa.int64()), pa.array(total[g], pa.int64())], names=["lang", "g", "c"])
+    left = blocks.select("block", "at", F.struct("row.lang", "row.text").alias("row"))
+    return left.groupBy("block").cogroup(trusted.groupBy("block")).applyInArrow(count, "block long, lang string, g string, c long")
 
-    per_task = trusted.select("lang", "text").mapInArrow(count, "lang string, g long, c long")
-    return per_task.groupBy("lang", "g").agg(F.sum("c").alias("c"))
 
+def kneser_ney(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of ``counts`` (lang, g, c): (lang, n, g, alpha), the discounted share of each n-gram in its context, and (lang, n, ctx, gamma), the weight that contexts leave to shorter n-grams.
 
-def kneser_ney(counts: DataFrame) -> DataFrame:
-    """(lang, n, g, alpha, gamma): the discounted share of each seen n-gram, and the weight its context leaves to shorter ones."""
-    levels, at = [], counts.withColumn("n", F.lit(ORDER))
+    The context of single characters is empty; what it leaves is shared evenly by the
+    language's characters and one that stands for all others.
+    """
+    levels, at = [], counts.select("lang", "g", "c").withColumn("n", F.lit(ORDER))
     levels.append(at)
-    for n in range(ORDER - 1, 0, -1):  # a shorter n-gram counts the distinct symbols that stand before it
-        at = at.groupBy("lang", F.col("g").bitwiseAND((1 << (BITS * n)) - 1).alias("g")).agg(F.count("*").alias("c")).withColumn("n", F.lit(n))
+    for n in range(ORDER - 1, 0, -1):  # a shorter n-gram counts the distinct characters that stand before it
+        at = at.groupBy("lang", F.substring("g", 2, n).alias("g")).agg(F.count("*").alias("c")).withColumn("n", F.lit(n))
         levels.append(at)
-    grams = levels[0]
-    for x in levels[1:]:
-        grams = grams.unionByName(x)
-    grams = stored(grams.withColumn("ctx", F.shiftright("g", BITS)), "lm-grams")
+    grams = stored(reduce(DataFrame.unionByName, levels).withColumn("ctx", F.substring("g", F.lit(1), F.col("n") - 1)), "lm-grams")
     ones = [F.sum((F.col("c") == k).cast("double")).alias(f"n{k}") for k in range(1, 5)]
     y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
     usual = lambda k: F.when((F.col(f"n{k}") > 0) & (F.col("n1") > 0), F.greatest(F.lit(0.0), F.least(F.lit(float(k)), k - (k + 1) * y * F.col(f"n{k + 1}") / F.col(f"n{k}")))).otherwise(k * 0.5)
-    cuts = grams.groupBy("lang", "n").agg(*ones).select("lang", "n", *[usual(k).alias(f"d{k}") for k in (1, 2, 3)])
-    totals = grams.groupBy("lang", "n", "ctx").agg(
-        F.sum("c").alias("total"), F.sum((F.col("c") == 1).cast("long")).alias("m1"), F.sum((F.col("c") == 2).cast("long")).alias("m2"), F.sum((F.col("c") > 2).cast("long")).alias("m3")
-    )
+    cuts = stored(grams.groupBy("lang", "n").agg(*ones).select("lang", "n", *[usual(k).alias(f"d{k}") for k in (1, 2, 3)]), "lm-discounts")
+    many = [F.sum((F.col("c") == k).cast("long")).alias(f"m{k}") for k in (1, 2)] + [F.sum((F.col("c") > 2).cast("long")).alias("m3")]
+    totals = stored(grams.groupBy("lang", "n", "ctx").agg(F.sum("c").alias("total"), *many), "lm-contexts").join(cuts, ["lang", "n"])
+    gamma = (F.col("d1") * F.col("m1") + F.col("d2") * F.col("m2") + F.col("d3") * F.col("m3")) / F.col("total")
     cut = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
-    return (
-        grams.join(totals, ["lang", "n", "ctx"])
-        .join(cuts, ["lang", "n"])
-        .select(
-            "lang", "n", "g", (F.greatest(F.lit(0.0), F.col("c") - cut) / F.col("total")).alias("alpha"),
-            ((F.col("d1") * F.col("m1") + F.col("d2") * F.col("m2") + F.col("d3") * F.col("m3")) / F.col("total")).alias("gamma"),
-        )
-    )
-
-
-def _dense(rows: pa.Table) -> dict[str, np.ndarray]:
-    """Interpolates: log probability of every 4-gram, by language."""
-    out = {}
-    lang, n, g, alpha, gamma = (rows.column(k) for k in ("lang", "n", "g", "alpha", "gamma"))
-    langs = np.array(lang.to_pylist(), dtype=object)
-    n, g, alpha, gamma = (x.to_numpy() for x in (n, g, alpha, gamma))
-    for name in dict.fromkeys(langs):
-        own = langs == name
-        shorter = np.full(SYMBOLS, 1.0 / SYMBOLS)
-        for order in range(1, ORDER + 1):
-            at = own & (n == order)
-            seen, left = np.zeros(SYMBOLS**order), np.ones(SYMBOLS ** (order - 1))
-            seen[g[at]] = alpha[at]
-            left[g[at] >> BITS] = gamma[at]
-            lower = shorter if order == 1 else np.tile(shorter, SYMBOLS)
-            shorter = seen + np.repeat(left, SYMBOLS) * lower
-        out[name] = np.log(np.maximum(shorter, 1e-12)).astype(np.float32)
-    return out
-
-
-def train(docs: DataFrame, labels: DataFrame) -> dict[str, np.ndarray]:
-    """Log probabilities of the 4-grams by language, from all trusted documents."""
-    good = trusted_ids(labels)
-    text = docs.select("doc_id", F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANG)).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    counts = stored(count_grams(text.join(grows(good), "doc_id", "left_semi")), "lm-counts")
-    by_size = counts.groupBy("lang").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "lang")
-    own = [r.lang for r in by_size.limit(MAX_LANGUAGES + 1).collect()]
-    if len(own) > MAX_LANGUAGES:
-        own = own[:MAX_LANGUAGES]
-        counts = counts.withColumn("lang", F.when(F.col("lang").isin(own), F.col("lang")).otherwise(POOLED)).groupBy("lang", "g").agg(F.sum("c").alias("c"))
-    return _dense(kneser_ney(counts).toArrow())
-
-
-def trusted_ids(labels: DataFrame) -> DataFrame:
-    return labels.where((F.col("quality") == 1) & (F.col("toxic") == 0)).select("doc_id").distinct()
-
-
-def _score_batch(langs: list, texts: list, model: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Symbols and perplexity of each text; NaN without a model or symbols."""
-    n, ppl = np.zeros(len(texts), np.int64), np.full(len(texts), np.nan)
-    for lang, rows in _by_lang([NO_LANG if x is None else x for x in langs]).items():
-        table = model.get(lang, model.get(POOLED))
-        own = [texts[k] or "" for k in rows]
-        for first, part in _slices(own):
-            keys, at = _keys(part)
-            length = np.array([len(t) for t in part])
-            where = np.array(rows[first : first + len(part)])
-            n[where] = length
-            if table is None:
+    alpha = F.greatest(F.lit(0.0), F.col("c") - cut) / F.col("total")
+    alphas = grams.join(totals, ["lang", "n", "ctx"]).select("lang", "n", "g", alpha.alias("alpha"))
+    symbols = F.when(F.col("n") == 1, F.col("m1") + F.col("m2") + F.col("m3") + 1)
+    return stored(alphas, "lm-alphas"), stored(totals.select("lang", "n", "ctx", gamma.alias("gamma"), symbols.alias("symbols")), "lm-gammas")
+
+
+def probabilities(wanted: DataFrame, alphas: DataFrame, gammas: DataFrame) -> DataFrame:
+    """(lang, g, p) for each distinct (lang, g) of ``wanted`` whose language has a model."""
+    share = lambda n: alphas.where(F.col("n") == n).select("lang", "g", "alpha")
+    rest = lambda n: gammas.where(F.col("n") == n).select("lang", "ctx", "gamma")
+    suffix = lambda n: F.substring("g", ORDER - n + 1, n)
+    seen = F.coalesce("alpha", F.lit(0.0))
+    start = gammas.where(F.col("n") == 1).select("lang", (F.col("gamma") / F.col("symbols")).alias("even"))
+    p = wanted.select("lang", suffix(1).alias("g")).distinct().join(start, "lang").join(share(1), ["lang", "g"], "left").select("lang", "g", (seen + F.col("even")).alias("p"))
+    for n in range(2, ORDER + 1):
+        own = wanted.select("lang", suffix(n).alias("g")).distinct().withColumns({"ctx": F.substring("g", 1, n - 1), "tail": F.substring("g", 2, n - 1)})
+        lower = stored(p, f"lm-p{n - 1}").select("lang", F.col("g").alias("tail"), F.col("p").alias("lower"))
+        joined = own.join(lower, ["lang", "tail"]).join(rest(n), ["lang", "ctx"], "left").join(share(n), ["lang", "g"], "left")
+        p = joined.select("lang", "g", (seen + F.coalesce("gamma", F.lit(1.0)) * F.col("lower")).alias("p"))
+    return stored(p, f"lm-p{ORDER}")
+
+
+def surprises(blocks: DataFrame, trusted: DataFrame) -> DataFrame:
+    """(block, lang, g, s): the surprise of each block's n-grams in millionths of a nat."""
+    grams = stored(block_grams(blocks, trusted), "lm-block-grams")
+    totals = stored(grams.groupBy("lang", "g").agg(F.sum("c").alias("c")), "lm-counts")
+    p = probabilities(totals, *kneser_ney(totals.where("c > 0")))
+    s = F.round(-F.log("p") * NATS).cast("long")
+    return grams.select("block", "lang", "g").join(p.select("lang", "g", s.alias("s")), ["lang", "g"])
+
+
+def _measure(texts: list[str], grams: pa.Array, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The summed surprise of each text, and the largest of ``WINDOW`` characters in a row (of all, in a shorter text)."""
+    whole, worst = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+    for first, part in _slices(texts):
+        keys, ends = _grams(part)
+        upto = np.concatenate([[0], np.cumsum(s[pc.index_in(keys, value_set=grams).to_numpy()])])
+        for k, (a, b) in enumerate(zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True), first):
+            w = min(WINDOW, b - a)
+            whole[k] = upto[b] - upto[a]
+            worst[k] = (upto[a + w : b + 1] - upto[a : b + 1 - w]).max()
+    return whole, worst
+
+
+def score(blocks: DataFrame, s: DataFrame) -> DataFrame:
+    """(block, at, doc_id, lang, n_symbols, perplexity, worst) of every row."""
+    kind = blocks.select("row.doc_id").schema[0].dataType.simpleString()
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        rows = _one(left.column("row")) if left.num_rows else pa.array([], left.schema.field("row").type)
+        langs, texts = _texts(rows)
+        n = np.array([len(t) for t in texts], np.int64)
+        whole, worst, known = np.zeros(len(n)), np.zeros(len(n)), np.zeros(len(n), bool)
+        names = np.array(langs, object)
+        for lang in set(langs):
+            own = right.filter(pc.equal(right.column("lang"), lang))
+            at = np.flatnonzero((names == lang) & (n > 0))
+            if own.num_rows == 0 or len(at) == 0:
                 continue
-            upto = np.concatenate([[0.0], np.cumsum(np.where((keys & MASK) > 0, table[keys], 0.0), dtype=np.float64)])
-            with np.errstate(invalid="ignore", divide="ignore"):
-                ppl[where] = np.where(length > 0, np.exp(-(upto[at + length] - upto[at]) / length), np.nan)
-    return n, ppl
-
+            flat = np.frombuffer("".join(own.column("g").to_pylist()).encode("utf-32-le"), np.uint8)
+            grams = pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * ORDER), own.num_rows, [None, pa.py_buffer(flat)])
+            whole[at], worst[at] = _measure([texts[k] for k in at], grams, own.column("s").to_numpy())
+            known[at] = True
+        size = np.maximum(n, 1)
+        mean = lambda x, k: pa.array(np.where(known, np.exp(x / k / NATS), 0.0), mask=~known)
+        return pa.table({"block": left.column("block"), "at": left.column("at"), "doc_id": rows.field("doc_id"), "lang": rows.field("lang").cast(pa.string()),
+                         "n_symbols": pa.array(n), "perplexity": mean(whole, size), "worst": mean(worst, np.minimum(size, WINDOW))})
 
-def score(docs: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
-    """doc_id, lang, n_symbols and perplexity of every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    narrow = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n, ppl = _score_batch(batch.column(1).to_pylist(), batch.column(2).to_pylist(), shared.value)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n), pa.array(ppl, from_pandas=True)], names=["doc_id", "lang", "n_symbols", "perplexity"])
-
-    return narrow.mapInArrow(run, f"doc_id {narrow.schema[0].dataType.simpleString()}, lang string, n_symbols long, perplexity double")
+    left = blocks.select("block", "at", F.struct("row.doc_id", "row.lang", "row.text").alias("row"))
+    return left.groupBy("block").cogroup(s.groupBy("block")).applyInArrow(run, f"block long, at long, doc_id {kind}, lang string, n_symbols long, perplexity double, worst double")
 
 
 def band(n_symbols: Column) -> Column:
     return F.least(F.floor(F.log2(F.greatest(n_symbols, F.lit(1)))), F.lit(12)).cast("int")
 
 
-def limits(scored: DataFrame, labels: DataFrame, low: float, high: float, slack: float) -> DataFrame:
-    """(lang, band, least, most): what the trusted documents allow; band null is the whole language's, for bands with too few."""
-    own = scored.join(grows(trusted_ids(labels)), "doc_id", "left_semi").where(F.col("perplexity").isNotNull()).withColumn("band", band(F.col("n_symbols")))
-    cut = [(F.percentile_approx("perplexity", low, 10000) / slack).alias("least"), (F.percentile_approx("perplexity", high, 10000) * slack).alias("most")]
-    by_band = own.groupBy("lang", "band").agg(*cut, F.count("*").alias("n")).where(F.col("n") >= MIN_BAND).drop("n")
-    return by_band.unionByName(own.groupBy("lang").agg(*cut).withColumn("band", F.lit(None).cast("int")))
+def limits(scored: DataFrame, trusted: DataFrame, low: float, high: float, high_worst: float) -> DataFrame:
+    """(lang, band, least, most, most_worst): what the trusted documents allow; band -1 is the whole language's."""
+    own = scored.select("block", "at", "lang", "n_symbols", "perplexity", "worst").join(trusted, ["block", "at"]).where(F.col("perplexity").isNotNull())
+    both = own.withColumn("band", F.explode(F.array(band(F.col("n_symbols")), F.lit(-1))))
+    cut = lambda c, q: F.percentile_approx(c, q, 10000)
+    held = lambda c: F.when(F.col("held"), F.col(c))
+    rows = both.groupBy("lang", "band").agg(
+        cut("perplexity", low).alias("least"), cut(held("perplexity"), high).alias("most"), cut(held("worst"), high_worst).alias("most_worst"), F.count(held("perplexity")).alias("n"))
+    return rows.where(F.col("n") >= F.when(F.col("band") < 0, MIN_LANG).otherwise(MIN_BAND)).drop("n")
 
 
-def _verdict(scored: DataFrame, cuts: DataFrame, min_chars: int) -> DataFrame:
-    """Adds least, most and kept."""
-    whole = cuts.where(F.col("band").isNull()).select(F.col("lang").alias("_l1"), F.col("least").alias("_least1"), F.col("most").alias("_most1"))
-    by_band = cuts.where(F.col("band").isNotNull()).select(F.col("lang").alias("_l2"), F.col("band").alias("_band"), F.col("least").alias("_least2"), F.col("most").alias("_most2"))
-    joined = scored.join(whole, F.col("lang").eqNullSafe(F.col("_l1")), "left").join(by_band, F.col("lang").eqNullSafe(F.col("_l2")) & (band(F.col("n_symbols")) == F.col("_band")), "left")
-    judged = joined.withColumns({"least": F.coalesce("_least2", "_least1"), "most": F.coalesce("_most2", "_most1")})
-    ok = (F.col("n_symbols") < min_chars) | F.coalesce(F.col("perplexity").between(F.col("least"), F.col("most")), F.lit(True))
-    return judged.withColumn("kept", ok).drop("_l1", "_l2", "_band", "_least1", "_least2", "_most1", "_most2")
+def judged(blocks: DataFrame, labels: DataFrame, low: float, high: float, high_worst: float, min_chars: int) -> DataFrame:
+    """The scores with least, most, most_worst and kept."""
+    trusted = roles(blocks, labels)
+    scored = stored(score(blocks, surprises(blocks, trusted)), "lm-scores")
+    cuts = stored(limits(scored, trusted, low, high, high_worst), "lm-limits")
+    names = ("least", "most", "most_worst")
+    side = lambda k, where: cuts.where(where).select(F.col("lang").alias(f"_l{k}"), F.col("band").alias(f"_b{k}"), *[F.col(c).alias(f"_{c}{k}") for c in names])
+    own, whole = side(1, F.col("band") >= 0), side(2, F.col("band") < 0)
+    joined = scored.join(own, F.col("lang").eqNullSafe(F.col("_l1")) & (band(F.col("n_symbols")) == F.col("_b1")), "left").join(whole, F.col("lang").eqNullSafe(F.col("_l2")), "left")
+    joined = joined.select(*scored.columns, *[F.coalesce(f"_{c}1", f"_{c}2").alias(c) for c in names])
+    inside = F.col("perplexity").between(F.col("least"), F.col("most")) & (F.col("worst") <= F.col("most_worst"))
+    return joined.withColumn("kept", (F.col("n_symbols") < min_chars) | F.coalesce(inside, F.lit(True)))
 
 
-def classify(docs: DataFrame, labels: DataFrame, low: float = LOW, high: float = HIGH, slack: float = SLACK, min_chars: int = 40) -> DataFrame:
-    """doc_id, lang, n_symbols, perplexity, least, most and kept for every row."""
-    scored = stored(score(docs, train(docs, labels)), "lm-scores")
-    return _verdict(scored, stored(limits(scored, labels, low, high, slack), "lm-limits"), min_chars)
+def classify(docs: DataFrame, labels: DataFrame, low: float = LOW, high: float = HIGH, high_worst: float = HIGH_WORST, min_chars: int = 40) -> DataFrame:
+    """doc_id, lang, n_symbols, both perplexities, their limits and kept for every row."""
+    return judged(blocked(docs, False), labels, low, high, high_worst, min_chars).drop("block", "at")
 
 
-def filter_quality(docs: DataFrame, labels: DataFrame, low: float = LOW, high: float = HIGH, slack: float = SLACK, min_chars: int = 40) -> DataFrame:
-    """The rows of ``docs`` that are kept, with all their columns.
+def filter_quality(docs: DataFrame, labels: DataFrame, low: float = LOW, high: float = HIGH, high_worst: float = HIGH_WORST, min_chars: int = 40) -> DataFrame:
+    """The rows of ``docs`` that are kept, with all their columns; the rejected places come to the blocks, so no text is shuffled."""
+    blocks = blocked(docs, True)
+    gone = stored(judged(blocks, labels, low, high, high_worst, min_chars).where(~F.col("kept")).select("block", "at"), "lm-rejected")
 
-    A second scoring pass applies the limits where the rows are, so no text is shuffled for it.
-    """
-    model = train(docs, labels)
-    scored = stored(score(docs, model), "lm-scores")
-    cuts = {(r.lang, r.band): (r.least, r.most) for r in limits(scored, labels, low, high, slack).collect()}  # languages x 14 rows at most
-    shared = docs.sparkSession.sparkContext.broadcast((model, cuts))
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, cuts = shared.value
-        for batch in batches:
-            langs = batch.column(batch.schema.get_field_index("lang")).to_pylist()
-            n, ppl = _score_batch(langs, batch.column(batch.schema.get_field_index("text")).to_pylist(), table)
-            ok = []
-            for lang, size, p in zip(langs, n.tolist(), ppl.tolist(), strict=True):
-                known = cuts.get((lang, min(12, max(size, 1).bit_length() - 1))) or cuts.get((lang, None))
-                ok.append(size < min_chars or p != p or not known or known[0] <= p <= known[1])
-            yield batch.filter(pa.array(ok, pa.bool_()))
-
-    return docs.mapInArrow(keep, docs.schema)
+    def keep(left: pa.Table, right: pa.Table) -> pa.Table:
+        return left.filter(pc.invert(pc.is_in(left.column("at"), value_set=_one(right.column("at"))))).select(["row"])
+
+    schema = StructType([f for f in blocks.schema if f.name == "row"])
+    return blocks.groupBy("block").cogroup(gone.groupBy("block")).applyInArrow(keep, schema).select("row.*")
