@@ -3,23 +3,26 @@
 Lines (``\\n``-split) are compared by their words, lower-cased. A line is dropped if an
 equal line, or one within one word edit (a word inserted, deleted or replaced), stands
 earlier: in a smaller doc_id, or higher up in the same document. Lines under
-``exact_words`` words always stay; edits count from ``near_words`` words on, where one
-edit leaves 7/8 of the words.
-
-Equal lines meet by hash, so only first occurrences go on. Two lines within one edit
-share their first or their last words (the edit cannot touch both ends), and all words
-outside one quarter of the line; lines that share neither with another line drop out in
-these two steps, which are exact. The others emit the deletion neighbourhood: the line,
-and the line without each one word, as hashed keys, in time linear in the line (a
-sequence's hash is the exclusive or of its words' hashes with their places, so leaving
-out a word takes two prefix sums). Lines that lack the same place's word and are
-otherwise equal differ by a replacement; a line equal to another without a word differs
-by an insertion. Each key keeps its earliest line only, so that no pairs within a group
-arise, and the edit distance of each (line, earlier line) is verified on the words.
-
-Nulls: a null text has one empty line and stays null; a null id sorts first. Rows that
-repeat an id and text count as one place. An empty table gives an empty result. Extra
-columns are passed on by ``dedup_lines``.
+``exact_words`` words always stay; edits count from ``near_words`` words on (2 at least;
+8, where one edit leaves 7/8 of the words, by default).
+
+Equal lines meet by two 64-bit hashes, so only first occurrences go on. Two lines within
+one edit share their first or their last words (the edit cannot touch both ends), and all
+words outside one quarter of the line; lines that share neither with another line drop out
+in these two steps, which are exact. The others emit the deletion neighbourhood: the line,
+and the line without each one word, as hashed keys (a sequence's hash is the exclusive or
+of its words' hashes with their places, so leaving out a word takes two running sums;
+these are built by blocks, in n ** 1.5 steps for a line of n words). Lines that lack the
+same place's word and are otherwise equal differ by a replacement; a line equal to another
+without a word differs by an insertion. Each key keeps its earliest line only, so that no
+pairs within a group arise, and the edit distance of each (line, earlier line) is verified
+on the words.
+
+A row is known by its doc_id and a digest of its text. Rows that share a doc_id but not
+their text are ordered by that digest and lose only their own lines; rows that repeat both
+count as one place, and all of them keep or lose a line alike. Nulls: a null text has one
+empty line and stays null; a null id sorts first. An empty table gives an empty result.
+Extra columns of any name are passed on by ``dedup_lines``.
 """
 
 from __future__ import annotations
@@ -27,26 +30,38 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, grows, stored
+from .common import SPACE, packed, stored, unpacked
+
+LINE, ROW = ["lh", "l2"], ["doc_id", "dk"]
 
 
 def line_words(line: Column) -> Column:
     return F.array_remove(F.split(F.lower(line), SPACE), "")
 
 
-def _ends(ws: str, n: Column) -> Column:
+def text_key(text: Column) -> Column:
+    """60 bits of the text's MD5; they tell rows of the same doc_id apart."""
+    return F.conv(F.substring(F.md5(F.coalesce(text.cast("string"), F.lit(""))), 1, 15), 16, 10).cast("long")
+
+
+def _line_hashes(ws: Column) -> list[Column]:
+    return [F.xxhash64(ws).alias("lh"), F.xxhash64(F.lit("line"), ws).alias("l2")]
+
+
+def _ends(ws: str, n: Column, near_words: int) -> Column:
     """Hashed heads and tails; a length class's ends are at most half of its shortest line, and both classes meet at a boundary."""
     def pair(q: int) -> list[Column]:
         return [F.xxhash64(F.lit(f"head{q}"), F.slice(ws, 1, q)), F.xxhash64(F.lit(f"tail{q}"), F.slice(ws, F.greatest(n - (q - 1), F.lit(1)), F.lit(q)))]
 
     none = F.expr("cast(array() as array<bigint>)")
-    return F.concat(*[F.when(n.between(2 * q, top), F.array(*pair(q))).otherwise(none) for q, top in ((4, 16), (8, 32), (16, 1 << 30))])
+    classes = [(q, top) for q, top in ((1, 4), (2, 8), (4, 16), (8, 32), (16, 1 << 30)) if top > near_words]
+    return F.concat(*[F.when(n.between(2 * q, top), F.array(*pair(q))).otherwise(none) for q, top in classes])
 
 
 def _lines(docs: DataFrame, near_words: int) -> DataFrame:
-    lines = docs.select("doc_id", F.posexplode(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n", -1)).alias("pos", "line"))
+    lines = docs.select(*ROW, F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("pos", "line"))
     lines = lines.withColumn("ws", line_words(F.col("line"))).withColumn("n", F.size("ws"))
-    return lines.select("doc_id", "pos", "n", F.xxhash64("ws").alias("lh"), F.when(F.col("n") >= near_words, _ends("ws", F.col("n"))).alias("ends"))
+    return lines.select(*ROW, "pos", "n", *_line_hashes(F.col("ws")), F.when(F.col("n") >= near_words, _ends("ws", F.col("n"), near_words)).alias("ends"))
 
 
 def _quarters(hs: str) -> Column:
@@ -68,17 +83,24 @@ def _xor(values: Column) -> Column:
     return F.aggregate(values, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(x))
 
 
+def _running_xor(values: Column) -> Column:
+    """For each entry the exclusive or of those before it; first within blocks of about the root of the length, then across them."""
+    step = F.ceil(F.sqrt(F.size(values))).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), F.size(values) - 1, step), lambda s: F.slice(values, s + 1, step))
+
+    def run(items: Column) -> Column:
+        start = F.struct(F.lit(0).cast("long").alias("upto"), F.expr("cast(array() as array<bigint>)").alias("out"))
+        return F.aggregate(items, start, lambda acc, x: F.struct(acc["upto"].bitwiseXOR(x).alias("upto"), F.concat(acc["out"], F.array(acc["upto"])).alias("out")))
+
+    inner = F.transform(blocks, run)
+    before = run(F.transform(inner, lambda x: x["upto"]))["out"]
+    return F.flatten(F.zip_with(inner, before, lambda x, b: F.transform(x["out"], lambda y: y.bitwiseXOR(b))))
+
+
 def _neighbourhood(hashed: DataFrame) -> DataFrame:
     """(line, held, cut) for each word of a line (line, hs): the line without it, its place held open or closed."""
     df = hashed.withColumns({"_a": _placed("hs", 0), "_b": _placed("hs", 1)}).withColumns({"_x": _xor(F.col("_a")), "_y": _xor(F.col("_b"))})
-    none = F.expr("cast(array() as array<bigint>)")
-    steps = F.aggregate(
-        F.zip_with("_a", "_b", lambda a, b: a.bitwiseXOR(b)),
-        F.struct(F.lit(0).cast("long").alias("upto"), none.alias("out")),
-        lambda acc, d: F.struct(acc["upto"].bitwiseXOR(d).alias("upto"), F.concat(acc["out"], F.array(acc["upto"])).alias("out")),
-        lambda acc: acc["out"],
-    )
-    df = df.withColumn("_d", steps)
+    df = df.withColumn("_ab", F.zip_with("_a", "_b", lambda a, b: a.bitwiseXOR(b))).withColumn("_d", _running_xor(F.col("_ab")))
     n = F.size("hs")
     keys = F.transform("_a", lambda a, i: F.struct(
         F.xxhash64(n, i, F.col("_x").bitwiseXOR(a)).alias("held"),
@@ -97,63 +119,70 @@ def _one_edit(a: Column, b: Column) -> Column:
 
 
 def later_lines(docs: DataFrame, exact_words: int = 3, near_words: int = 8) -> DataFrame:
-    """(doc_id, removed): for each document that loses lines, their sorted positions."""
-    lines = stored(_lines(docs.select("doc_id", "text"), near_words).where(F.col("n") >= exact_words), "line-all")
-    place = F.struct("doc_id", "pos")
-    firsts = stored(lines.groupBy("lh").agg(F.min(place).alias("first"), F.first("ends").alias("ends"), F.count("*").alias("c")), "line-firsts")
-    ends = firsts.where("ends is not null").select("lh", F.explode("ends").alias("end"))
-    shared = ends.groupBy("end").agg(F.min("lh").alias("a"), F.max("lh").alias("b")).where("a != b").select("end")
-    close = stored(ends.join(grows(shared), "end").select("lh").distinct().join(firsts.select("lh", "first"), "lh").select("lh", F.col("first.doc_id").alias("doc_id"), F.col("first.pos").alias("pos")), "line-close")
+    """(doc_id, dk, removed): for each row that loses lines, their sorted positions; dk is the row's ``text_key``."""
+    if near_words < 2:
+        raise ValueError("near_words is 2 at least: any two lines of one word are one edit apart")
+    docs = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("dk", text_key(F.col("text")))
+    lines = stored(_lines(docs, near_words).where(F.col("n") >= exact_words), "line-all")
+    place = F.struct(*ROW, "pos")
+    firsts = stored(lines.groupBy(*LINE).agg(F.min(place).alias("first"), F.first("ends").alias("ends"), F.count("*").alias("c")), "line-firsts")
+    ends = firsts.where("ends is not null").select(*LINE, "first", F.explode("ends").alias("end"))
+    shared = ends.groupBy("end").agg(F.min("first").alias("a"), F.max("first").alias("b")).where("a != b").select("end")
+    close = stored(ends.join(shared, "end").select(*LINE, "first").distinct(), "line-close")
 
     # the words of the lines that may have a neighbour
-    wanted = close.groupBy("doc_id").agg(F.collect_set(F.struct("pos", "lh")).alias("at")).withColumnRenamed("doc_id", "_id")
-    text = docs.select("doc_id", "text").join(grows(wanted), F.col("doc_id").eqNullSafe(F.col("_id")))
-    cut = text.withColumn("all", F.split("text", "\n", -1)).select("doc_id", F.explode(F.transform("at", lambda p: F.struct(p["pos"].alias("pos"), p["lh"].alias("lh"), F.get(F.col("all"), p["pos"]).alias("line")))).alias("x"))
-    spelt = stored(cut.select("doc_id", "x.pos", "x.lh", line_words(F.col("x.line")).alias("ws")).where(F.xxhash64("ws") == F.col("lh")), "line-words")
-    quarters = spelt.select("lh", F.transform("ws", lambda w: F.xxhash64(w)).alias("hs")).select("lh", F.explode(_quarters("hs")).alias("end"))
-    agree = quarters.groupBy("end").agg(F.min("lh").alias("a"), F.max("lh").alias("b")).where("a != b").select("end")
-    near_by = stored(quarters.join(grows(agree), "end").select("lh").distinct(), "line-agree")
-    spelt = stored(spelt.join(grows(near_by), "lh", "left_semi").dropDuplicates(["lh"]), "line-near")
-    hashed = spelt.select(F.struct("doc_id", "pos", "lh").alias("line"), F.transform("ws", lambda w: F.xxhash64(w)).alias("hs"))
+    wanted = close.groupBy(F.col("first.doc_id").alias("_id"), F.col("first.dk").alias("_dk")).agg(F.collect_set(F.struct("first.pos", *LINE)).alias("at"))
+    text = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("dk") == F.col("_dk")))
+    cut = text.withColumn("all", F.split("text", "\n", -1)).select(*ROW, F.explode(F.transform("at", lambda p: F.struct(p["pos"].alias("pos"), p["lh"].alias("lh"), p["l2"].alias("l2"), F.get(F.col("all"), p["pos"]).alias("line")))).alias("x"))
+    spelt = stored(cut.select(*ROW, "x.pos", "x.lh", "x.l2", line_words(F.col("x.line")).alias("ws")).dropDuplicates(LINE), "line-words")
+    quarters = spelt.select(*LINE, F.transform("ws", lambda w: F.xxhash64(w)).alias("hs")).select(*LINE, F.explode(_quarters("hs")).alias("end"))
+    line = F.struct(*LINE)
+    agree = quarters.groupBy("end").agg(F.min(line).alias("a"), F.max(line).alias("b")).where("a != b").select("end")
+    near_by = stored(quarters.join(agree, "end").select(*LINE).distinct(), "line-agree")
+    spelt = stored(spelt.join(near_by, LINE, "left_semi"), "line-near")
+    hashed = spelt.select(F.struct(*ROW, "pos", *LINE).alias("line"), F.transform("ws", lambda w: F.xxhash64(w)).alias("hs"))
     variants = stored(_neighbourhood(hashed), "line-variants")
     earliest = variants.groupBy("held").agg(F.min("line").alias("keeper"), F.count("*").alias("c")).where("c > 1").select("held", "keeper")
-    replaced = variants.join(grows(earliest), "held").where("line > keeper").select("line", "keeper")
+    replaced = variants.join(earliest, "held").where("line > keeper").select("line", "keeper")
     whole = hashed.select(F.col("line").alias("self"), F.xxhash64(F.size("hs"), _xor(_placed("hs", 0))).alias("cut"))
-    inserted = variants.join(grows(whole), "cut").select(F.greatest("line", "self").alias("line"), F.least("line", "self").alias("keeper"))
-    pairs = replaced.unionByName(inserted).select(F.col("line.lh").alias("lh"), F.col("keeper.lh").alias("kh")).distinct()
-    words = spelt.select("lh", "ws")
+    inserted = variants.join(whole, "cut").select(F.greatest("line", "self").alias("line"), F.least("line", "self").alias("keeper"))
+    pairs = replaced.unionByName(inserted).select("line.lh", "line.l2", F.col("keeper.lh").alias("kh"), F.col("keeper.l2").alias("k2")).distinct()
+    words = spelt.select(*LINE, "ws")
     near = (
-        pairs.join(words, "lh").withColumnRenamed("ws", "mine")
-        .join(words.select(F.col("lh").alias("kh"), F.col("ws").alias("theirs")), "kh")
-        .where(_one_edit(F.col("mine"), F.col("theirs"))).select("lh").distinct().withColumn("near", F.lit(True))
+        pairs.join(words, LINE).withColumnRenamed("ws", "mine")
+        .join(words.select(F.col("lh").alias("kh"), F.col("l2").alias("k2"), F.col("ws").alias("theirs")), ["kh", "k2"])
+        .where(_one_edit(F.col("mine"), F.col("theirs"))).select(*LINE).distinct().withColumn("near", F.lit(True))
     )
-    marks = firsts.where("c > 1").select("lh", "first").join(near, "lh", "full_outer").select("lh", "first", F.coalesce("near", F.lit(False)).alias("near"))
-    gone = lines.select("doc_id", "pos", "lh").join(grows(stored(marks, "line-marks")), "lh").where(F.col("near") | (place != F.col("first")))
-    return gone.groupBy("doc_id").agg(F.array_sort(F.collect_set("pos")).alias("removed"))
-
-
-def mark_lines(docs: DataFrame, exact_words: int = 3, near_words: int = 8) -> DataFrame:
-    """``docs`` with removed, the positions of its lines that stand earlier elsewhere."""
-    return with_removed(docs, later_lines(docs, exact_words, near_words))
+    marks = firsts.where("c > 1").select(*LINE, "first").join(near, LINE, "full_outer").select(*LINE, "first", F.coalesce("near", F.lit(False)).alias("near"))
+    gone = lines.select(*ROW, "pos", *LINE).join(stored(marks, "line-marks"), LINE).where(F.col("near") | (place != F.col("first")))
+    return gone.groupBy(*ROW).agg(F.array_sort(F.collect_set("pos")).alias("removed"))
 
 
 def with_removed(rows: DataFrame, gone: DataFrame) -> DataFrame:
-    """Adds removed to any rows with doc_id; columns that aren't needed beyond it needn't be there."""
-    gone = stored(gone, "line-gone").withColumnRenamed("doc_id", "_id")
-    joined = rows.drop("removed").join(grows(gone), F.col("doc_id").eqNullSafe(F.col("_id")), "left").drop("_id")
+    """Adds removed, an array of positions, to rows that have doc_id and dk."""
+    gone = stored(gone, "line-gone").select(F.col("doc_id").alias("_id"), F.col("dk").alias("_dk"), "removed")
+    joined = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("dk") == F.col("_dk")), "left").drop("_id", "_dk")
     return joined.withColumn("removed", F.coalesce("removed", F.expr("cast(array() as array<int>)")))
 
 
+def mark_lines(docs: DataFrame, exact_words: int = 3, near_words: int = 8) -> DataFrame:
+    """doc_id, n_lines and removed, the positions of the lines that stand earlier elsewhere, of every row."""
+    n_lines = F.size(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), "\n", -1)).cast("long")
+    rows = docs.select("doc_id", n_lines.alias("n_lines"), text_key(F.col("text")).alias("dk"))
+    return with_removed(rows, later_lines(docs, exact_words, near_words)).drop("dk")
+
+
 def dedup_lines(docs: DataFrame, exact_words: int = 3, near_words: int = 8) -> DataFrame:
     """``docs`` without those lines.
 
     A document that loses lines and has no line of ``exact_words`` words left goes.
     """
-    marked = mark_lines(docs, exact_words, near_words).withColumn("_all", F.split("text", "\n", -1))
+    rows = packed(docs, doc_id=F.col("doc_id"), dk=text_key(F.col("text")))
+    marked = with_removed(rows, later_lines(docs, exact_words, near_words)).withColumn("all", F.split(F.col("row.text").cast("string"), "\n", -1))
     # between two removed positions the lines stay: join the slices, which is linear in the lines
-    bounds = F.concat(F.array(F.lit(-1)), F.col("removed"), F.array(F.size("_all")))
-    kept = F.flatten(F.transform(F.slice(bounds, 1, F.size("removed") + 1), lambda p, i: F.slice("_all", p + 2, F.get(bounds, i + 1) - p - 1)))
-    left = marked.withColumn("_kept", F.when(F.size("removed") > 0, kept))
+    bounds = F.concat(F.array(F.lit(-1)), F.col("removed"), F.array(F.size("all")))
+    kept = F.flatten(F.transform(F.slice(bounds, 1, F.size("removed") + 1), lambda p, i: F.slice("all", p + 2, F.get(bounds, i + 1) - p - 1)))
+    left = marked.withColumn("kept", F.when(F.size("removed") > 0, kept))
     whole = F.size("removed") == 0
-    some = F.exists("_kept", lambda x: F.size(line_words(x)) >= exact_words)
-    return left.where(whole | some).withColumn("text", F.when(whole, F.col("text")).otherwise(F.array_join("_kept", "\n"))).select(*docs.columns)
+    some = F.exists("kept", lambda x: F.size(line_words(x)) >= exact_words)
+    return unpacked(left.where(whole | some), docs, text=F.when(whole, F.col("row.text")).otherwise(F.array_join("kept", "\n")))

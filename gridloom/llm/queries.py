@@ -8,29 +8,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate, line_dedup, lm_quality, mixing, near_dup, pii, quality_rules, secrets, substring_dedup, tokens
-from .common import table
+from .common import settled, table
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    lines = F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)).cast("long")
-    marked = line_dedup.with_removed(docs.select("doc_id", lines.alias("n_lines")), line_dedup.later_lines(docs))
+    marked = settled(spark, lambda: line_dedup.mark_lines(table(spark, sf_dir, "documents")), "op1")
     return marked.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), F.array_join(F.col("removed").cast("array<string>"), ",").alias("removed"))
 
 
 OP1_SQL = r"""
-WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
-l AS (SELECT doc_id, pos, regexp_extract_all(lower(ls[pos + 1]), '[^\x20\x09-\x0D]+') AS ws FROM (SELECT doc_id, ls, unnest(range(0, len(ls))) AS pos FROM split)),
-firsts AS (SELECT ws, min((doc_id, pos)) AS place FROM l WHERE len(ws) >= 3 GROUP BY ws),
+WITH split AS (SELECT doc_id, ('0x' || substr(md5(coalesce(text, '')), 1, 15))::BIGINT AS dk, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, dk, pos, regexp_extract_all(lower(ls[pos + 1]), '[^\x20\x09-\x0D]+') AS ws FROM (SELECT DISTINCT doc_id, dk, ls, unnest(range(0, len(ls))) AS pos FROM split)),
+firsts AS (SELECT ws, min((doc_id, dk, pos)) AS place FROM l WHERE len(ws) >= 3 GROUP BY ws),
 v AS (SELECT ws, place, i, list_concat(list_slice(ws, 1, i - 1), list_slice(ws, i + 1, len(ws))) AS cut FROM (SELECT ws, place, unnest(range(1, len(ws) + 1)) AS i FROM firsts WHERE len(ws) >= 8)),
 held AS (SELECT cut, i, min(place) AS keeper FROM v GROUP BY cut, i HAVING count(*) > 1),
 near AS (
   SELECT v.ws FROM v JOIN held USING (cut, i) WHERE v.place > held.keeper
   UNION SELECT CASE WHEN v.place > f.place THEN v.ws ELSE f.ws END FROM v JOIN firsts f ON v.cut = f.ws WHERE len(f.ws) >= 8),
-gone AS (SELECT DISTINCT l.doc_id, l.pos FROM l JOIN firsts f USING (ws) LEFT JOIN (SELECT DISTINCT ws, 1 AS is_near FROM near) n USING (ws)
-  WHERE len(l.ws) >= 3 AND (is_near = 1 OR (l.doc_id, l.pos) <> f.place)),
-per AS (SELECT doc_id, count(*) AS n, string_agg(pos::VARCHAR, ',' ORDER BY pos) AS removed FROM gone GROUP BY doc_id)
-SELECT doc_id, len(ls)::BIGINT AS n_lines, coalesce(n, 0)::BIGINT AS n_removed, coalesce(removed, '') AS removed FROM split LEFT JOIN per USING (doc_id)
+gone AS (SELECT DISTINCT l.doc_id, l.dk, l.pos FROM l JOIN firsts f USING (ws) LEFT JOIN (SELECT DISTINCT ws, 1 AS is_near FROM near) n USING (ws)
+  WHERE len(l.ws) >= 3 AND (is_near = 1 OR (l.doc_id, l.dk, l.pos) <> f.place)),
+per AS (SELECT doc_id, dk, count(*) AS n, string_agg(pos::VARCHAR, ',' ORDER BY pos) AS removed FROM gone GROUP BY doc_id, dk)
+SELECT split.doc_id, len(ls)::BIGINT AS n_lines, coalesce(n, 0)::BIGINT AS n_removed, coalesce(removed, '') AS removed
+FROM split LEFT JOIN per ON split.doc_id IS NOT DISTINCT FROM per.doc_id AND split.dk = per.dk
 """
 
 
@@ -74,7 +73,7 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    linked = near_dup.link_components(table(spark, sf_dir, "documents"), k=3, percent=85)
+    linked = settled(spark, lambda: near_dup.link_components(table(spark, sf_dir, "documents"), k=3, percent=85), "op4")
     return linked.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
@@ -98,12 +97,12 @@ def op5_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_lm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = lm_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return judged.select("doc_id", "lang", "n_symbols", "perplexity", "least", "most", "kept")
+    judged = settled(spark, lambda: lm_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")), "op6")
+    return judged.select("doc_id", "lang", "n_symbols", "perplexity", "worst", "least", "most", "most_worst", "kept")
 
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.cut_repeats(table(spark, sf_dir, "documents"), size=35)
+    return settled(spark, lambda: substring_dedup.cut_repeats(table(spark, sf_dir, "documents"), size=35), "op7")
 
 
 OP7_SQL = r"""

@@ -250,6 +250,37 @@ def test_lines_of_insertions(spark):
     assert {r.doc_id: r.removed for r in line_dedup.mark_lines(df).collect()} == {1: [], 2: [0], 3: [0], 4: []}
 
 
+def test_lines_of_rows_that_share_an_id(spark):
+    near = "one two three four five six seven eight ten"
+    rows = [(1, "one two three four five six seven eight nine"), (5, near), (5, "unique words alpha beta gamma"), (None, near + " "), (None, "other words of a null id"), (5, near), (7, None), (8, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted((r.doc_id or 0, r.text or "") for r in line_dedup.dedup_lines(df).collect())
+    # a null id sorts first, so its line is the earliest
+    assert kept == [(0, near + " "), (0, "other words of a null id"), (5, "unique words alpha beta gamma"), (7, ""), (8, "")]
+
+
+@pytest.mark.parametrize("near_words", [2, 3, 5])
+def test_short_lines_one_edit_apart(spark, near_words):
+    r = random.Random(near_words)
+    lines = list(dict.fromkeys(" ".join(r.choice("ab cd ef".split()) for _ in range(r.randint(1, 9))) for _ in range(200)))
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+
+    def one(a, b):
+        a, b = sorted((a.split(), b.split()), key=len)
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1 if len(a) == len(b) else len(b) == len(a) + 1 and any(b[:k] + b[k + 1 :] == a for k in range(len(b)))
+
+    enough = [x if len(x.split()) >= near_words else None for x in lines]
+    expected = {i for i, x in enumerate(enough) if x and any(y and one(x, y) for y in enough[:i])}
+    assert {x.doc_id for x in line_dedup.mark_lines(df, exact_words=1, near_words=near_words).collect() if x.removed} == expected and expected
+
+
+def test_one_very_long_line(spark):
+    r = random.Random(1)
+    long = [f"w{r.randrange(10**6)}" for _ in range(60000)]
+    df = spark.createDataFrame([(1, " ".join(long)), (2, " ".join(long[:30000] + ["x"] + long[30000:])), (3, " ".join(long[:40000] + ["y", "z"] + long[40002:]))], "doc_id long, text string")
+    assert {x.doc_id: x.removed for x in line_dedup.mark_lines(df).collect()} == {1: [], 2: [0], 3: []}
+
+
 def test_substring_dedup(docs, texts, spark):
     size = 35
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
@@ -303,36 +334,108 @@ def test_divergence_rejects_symbols(spark):
     assert kept == {**dict.fromkeys(range(20), True), 99: False}
 
 
+class KneserNey:
+    """Interpolated modified Kneser-Ney over characters, from nested counts (brute force)."""
+
+    def __init__(self, texts, order):
+        self.order, self.tables = order, []
+        full = collections.Counter()
+        for t in texts:
+            padded = "\0" * (order - 1) + t
+            full.update(padded[i : i + order] for i in range(len(t)))
+        for n in range(order, 0, -1):
+            own = full if n == order else collections.Counter(g[1:] for g in self.tables[-1][0])
+            have = collections.Counter(own.values())
+            y = have[1] / (have[1] + 2 * have[2]) if have[1] else 0
+            cut = [max(0.0, min(k, k - (k + 1) * y * have[k + 1] / have[k])) if have[k] and have[1] else k * 0.5 for k in (1, 2, 3)]
+            after = collections.defaultdict(dict)
+            for g, c in own.items():
+                after[g[:-1]][g[-1]] = c
+            self.tables.append((own, cut, after))
+        self.symbols = len(self.tables[-1][0]) + 1
+
+    def p(self, g):
+        if not g:
+            return 1 / self.symbols
+        _, cut, after = self.tables[self.order - len(g)]
+        seen = after.get(g[:-1])
+        if not seen:
+            return self.p(g[1:])
+        total, taken = sum(seen.values()), sum(cut[min(c, 3) - 1] for c in seen.values())
+        c = seen.get(g[-1], 0)
+        return (max(c - cut[min(c, 3) - 1], 0) if c else 0) / total + taken / total * self.p(g[1:])
+
+
 def test_language_model(spark):
-    import numpy as np
+    import math
 
     r = random.Random(8)
-    rows = [(i, prose(r, 80), "en") for i in range(30)] + [(90, "".join(r.choice("zqxjkv%#") for _ in range(400)), "en"), (91, None, "en"), (92, prose(r, 50), "xx")]
+    odd = ["Ünïcode ßtraße Жук 字 " * 6, "x", "\0", "zqxjkv"]
+    rows = [(i, prose(r, 80), "en") for i in range(40)] + [(50 + i, t, "en") for i, t in enumerate(odd)] + [(60 + i, prose(r, 30), None) for i in range(3)]
+    rows += [(90, "".join(r.choice("zqxjkv%#") for _ in range(400)), "en"), (91, None, "en"), (92, prose(r, 50), "xx"), (None, prose(r, 20), "en"), (5, rows[5][1], "en")]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
-    labels = spark.createDataFrame([(i, 1, 0) for i in range(25)] + [(3, 1, 0), (90, 0, 0), (26, None, None)], "doc_id long, quality int, toxic int")
-    model = lm_quality.train(df, labels)
-    table = np.exp(model["en"].astype(float)).reshape(-1, lm_quality.SYMBOLS)
-    assert np.allclose(table.sum(axis=1), 1, atol=1e-3)  # every context has a distribution
-    got = {r.doc_id: r for r in lm_quality.classify(df, labels).collect()}
-    assert not got[90].kept and got[91].kept and got[92].kept and got[92].perplexity is None
-    assert all(got[i].kept for i in range(25))
-    assert {r.doc_id for r in lm_quality.filter_quality(df, labels).collect()} == {i for i, r in got.items() if r.kept}
-    text = rows[0][1]
-    keys, at = lm_quality._keys([text])
-    logp = [float(model["en"][k]) for k in keys[: len(text)]]
-    assert abs(np.exp(-np.mean(logp)) - got[0].perplexity) < 1e-6
+    labels = spark.createDataFrame([(i, 1, 0) for i in [*range(35), 50, 60, 61]] + [(3, 1, 0), (90, 0, 0), (36, None, None), (37, 1, 1), (None, 1, 0)], "doc_id long, quality int, toxic int")
+    held = {x.doc_id for x in df.where(F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(lm_quality.HELD)) == 0).select("doc_id").collect()}
+    trusted = {*range(35), 50, 60, 61}
+    models = {}
+    for lang in ("en", None):
+        own = [t for i, t, x in rows if x == lang and i in trusted and i not in held]
+        models[lang] = KneserNey(own, lm_quality.ORDER) if own else None
+    assert models["en"]
+    contexts = ["", "t", "the ", "q%", "zz"]
+    for c in contexts:  # every context has a distribution over the seen characters and one for all others
+        assert abs(sum(models["en"].p(c + x) for x in [*models["en"].tables[-1][0], "\uffff"]) - 1) < 1e-9
+    got = lm_quality.classify(df, labels).collect()
+    assert len(got) == len(rows)
+    by_text = {(i, x): t for i, t, x in rows}
+    measured = {}
+    for row in got:
+        text, model = by_text[(row.doc_id, row.lang)] or "", models.get(row.lang)
+        assert row.n_symbols == len(text)
+        if not text or not model:
+            assert row.perplexity is None and row.worst is None and row.kept
+            continue
+        padded = "\0" * (lm_quality.ORDER - 1) + text
+        s = [-math.log(model.p(padded[i : i + lm_quality.ORDER])) for i in range(len(text))]
+        w = min(lm_quality.WINDOW, len(s))
+        assert abs(math.log(row.perplexity) - sum(s) / len(s)) < 1e-5
+        assert abs(math.log(row.worst) - max(sum(s[i : i + w]) / w for i in range(len(s) - w + 1))) < 1e-5
+        measured.setdefault(row.lang, []).append(row)
+    own = [x for x in measured["en"] if x.doc_id in trusted]
+    out = [x for x in own if x.doc_id in held]
+    assert len(out) >= lm_quality.MIN_LANG
+    at = lambda xs, q: sorted(xs)[max(0, math.ceil(q * len(xs)) - 1)]
+    whole = (at([x.perplexity for x in own], lm_quality.LOW), at([x.perplexity for x in out], lm_quality.HIGH), at([x.worst for x in out], lm_quality.HIGH_WORST))
+    for x in measured["en"]:
+        if x.n_symbols < 256:  # no band of its own
+            assert (x.least, x.most, x.most_worst) == whole
+        assert x.kept == (x.n_symbols < 40 or (x.least <= x.perplexity <= x.most and x.worst <= x.most_worst))
+    kept = {x.doc_id: x.kept for x in got}
+    assert not kept[90] and kept[91] and kept[92] and sum(kept[i] for i in range(35)) >= 30
+
+
+def test_language_model_passes_on_every_column(spark):
+    r = random.Random(12)
+    names = ["doc_id", "text", "lang", "block", "at", "row", "s", "g", "held", "kept", "perplexity", "least", "_l1"]
+    rows = [(i, prose(r, 60), "en", *[f"{c}{i}" for c in names[3:]]) for i in range(60)] + [(70, "zqxjkv%# " * 40, "en", *names[3:]), (71, None, None, *[None] * len(names[3:]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, " + ", ".join(f"`{c}` string" for c in names[3:]))
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(55)], "doc_id long, quality int, toxic int")
+    kept = lm_quality.filter_quality(df, labels)
+    assert kept.columns == names
+    judged = {x.doc_id: x.kept for x in lm_quality.classify(df, labels).collect()}
+    assert not judged[70] and judged[71] and sum(judged.values()) > 50
+    assert sorted(map(str, kept.collect())) == sorted(str(x) for x in df.collect() if judged[x.doc_id])
 
 
 def test_language_model_judges_by_length(spark):
     r = random.Random(12)
-    rows = [(i, prose(r, 400), "en") for i in range(60)] + [(100 + i, prose(r, 12), "en") for i in range(60)]
-    rows += [(200, " ".join(w if k % 60 else "zqxjkv" for k, w in enumerate(prose(r, 400).split())), "en")]
+    rows = [(i, prose(r, 400), "en") for i in range(160)] + [(200 + i, prose(r, 12), "en") for i in range(60)]
+    rows += [(900, " ".join(w if k % 60 else "zqxjkv" for k, w in enumerate(prose(r, 400).split())), "en")]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
-    labels = spark.createDataFrame([(i, 1, 0) for i, _, _ in rows if i < 200], "doc_id long, quality int, toxic int")
-    got = {r.doc_id: r for r in lm_quality.classify(df, labels).collect()}
-    assert got[200].perplexity < max(got[100 + i].perplexity for i in range(60))  # no worse than short trusted texts
-    assert not got[200].kept and sum(got[i].kept for i in range(60)) >= 55
-    assert {r.doc_id for r in lm_quality.filter_quality(df, labels).collect()} == {i for i, r in got.items() if r.kept}
+    labels = spark.createDataFrame([(i, 1, 0) for i, _, _ in rows if i < 900], "doc_id long, quality int, toxic int")
+    got = {x.doc_id: x for x in lm_quality.classify(df, labels).collect()}
+    assert got[900].perplexity < max(got[200 + i].perplexity for i in range(60))  # no worse than short trusted texts
+    assert got[900].worst > got[900].most_worst and not got[900].kept and sum(got[i].kept for i in range(160)) >= 150
 
 
 def luhn(d):
