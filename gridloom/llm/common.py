@@ -93,3 +93,39 @@ def packed(df: DataFrame, **more: Column) -> DataFrame:
 def unpacked(df: DataFrame, like: DataFrame, **changed: Column) -> DataFrame:
     """The columns of ``like`` out of ``row``, those named in ``changed`` replaced."""
     return df.select(*[changed.get(c, F.col("row").getField(c)).alias(c) for c in like.columns])
+
+
+def running(values: Column, zero: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """For each entry what ``combine`` makes of ``zero`` and the entries before it; the last entry of the result takes in all.
+
+    Built within blocks of about the root of the length and then across them, as arrays
+    are copied when they grow.
+    """
+    n = F.size(values)
+    step = F.greatest(F.ceil(F.sqrt(n)).cast("int"), F.lit(1))
+    blocks = F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1, step), lambda s: F.slice(values, s + 1, step))).otherwise(F.slice(F.array(values), 1, 0))
+
+    def run(items: Column) -> Column:
+        start = F.struct(zero.alias("upto"), F.slice(F.array(zero), 1, 0).alias("out"))
+        return F.aggregate(items, start, lambda acc, x: F.struct(combine(acc["upto"], x).alias("upto"), F.concat(acc["out"], F.array(acc["upto"])).alias("out")))
+
+    inner = F.transform(blocks, run)
+    across = run(F.transform(inner, lambda x: x["upto"]))
+    shifted = F.flatten(F.zip_with(inner, across["out"], lambda x, b: F.transform(x["out"], lambda y: combine(b, y))))
+    return F.concat(shifted, F.array(across["upto"]))
+
+
+CHUNK = 4096
+
+
+def chunks(text: Column) -> Column:
+    """A text in pieces of ``CHUNK`` characters, out of which ``between`` cuts without scanning from the start."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+
+
+def between(pieces: Column, start: Column, end: Column) -> Column:
+    """The characters from ``start`` to before ``end`` of a text in ``chunks``."""
+    first = F.floor(start / CHUNK).cast("int")
+    last = F.floor((end - 1) / CHUNK).cast("int")
+    part = lambda k: F.substring(F.get(pieces, k), F.greatest(start - k * CHUNK, F.lit(0)) + 1, F.least(end - k * CHUNK, F.lit(CHUNK)) - F.greatest(start - k * CHUNK, F.lit(0)))
+    return F.when(end > start, F.array_join(F.transform(F.sequence(first, last), part), "")).otherwise("")

@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, packed, stored, unpacked
+from .common import SPACE, packed, running, stored, unpacked
 
 LINE, ROW = ["lh", "l2"], ["doc_id", "dk"]
 
@@ -83,24 +83,10 @@ def _xor(values: Column) -> Column:
     return F.aggregate(values, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(x))
 
 
-def _running_xor(values: Column) -> Column:
-    """For each entry the exclusive or of those before it; first within blocks of about the root of the length, then across them."""
-    step = F.ceil(F.sqrt(F.size(values))).cast("int")
-    blocks = F.transform(F.sequence(F.lit(0), F.size(values) - 1, step), lambda s: F.slice(values, s + 1, step))
-
-    def run(items: Column) -> Column:
-        start = F.struct(F.lit(0).cast("long").alias("upto"), F.expr("cast(array() as array<bigint>)").alias("out"))
-        return F.aggregate(items, start, lambda acc, x: F.struct(acc["upto"].bitwiseXOR(x).alias("upto"), F.concat(acc["out"], F.array(acc["upto"])).alias("out")))
-
-    inner = F.transform(blocks, run)
-    before = run(F.transform(inner, lambda x: x["upto"]))["out"]
-    return F.flatten(F.zip_with(inner, before, lambda x, b: F.transform(x["out"], lambda y: y.bitwiseXOR(b))))
-
-
 def _neighbourhood(hashed: DataFrame) -> DataFrame:
     """(line, held, cut) for each word of a line (line, hs): the line without it, its place held open or closed."""
     df = hashed.withColumns({"_a": _placed("hs", 0), "_b": _placed("hs", 1)}).withColumns({"_x": _xor(F.col("_a")), "_y": _xor(F.col("_b"))})
-    df = df.withColumn("_ab", F.zip_with("_a", "_b", lambda a, b: a.bitwiseXOR(b))).withColumn("_d", _running_xor(F.col("_ab")))
+    df = df.withColumn("_ab", F.zip_with("_a", "_b", lambda a, b: a.bitwiseXOR(b))).withColumn("_d", running(F.col("_ab"), F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(x)))
     n = F.size("hs")
     keys = F.transform("_a", lambda a, i: F.struct(
         F.xxhash64(n, i, F.col("_x").bitwiseXOR(a)).alias("held"),

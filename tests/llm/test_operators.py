@@ -300,16 +300,40 @@ def test_substring_dedup(docs, texts, spark):
 BENCH = [(1, "The quick brown fox jumps over the lazy dog and runs away home"), (2, "tiny item"), (3, None), (4, ""), (5, "Zwölf Boxkämpfer jagen Viktor quer über den großen Sylter Deich heute früh")]
 
 
-def test_decontaminate(spark):
+@pytest.mark.parametrize("set_bytes", [1 << 20, 0])
+def test_decontaminate(spark, set_bytes):
     rows = [(1, "so the QUICK brown fox jumps over the lazy dog and then, tiny-item!"), (2, "nothing"), (3, None), (4, "zwölf boxkämpfer jagen viktor quer über den großen sylter deich heute früh"), (5, "Zwölf boxkämpfer jagen viktor quer über den großen sylter deich heute")]
+    rows += [(None, "a tiny item"), (None, "another"), (2, "tiny item twice: tiny item"), (2, "nothing")]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("hit", F.lit("clash"))
     bench = spark.createDataFrame(BENCH, "item_id long, text string")
-    got = {r.doc_id: (r.n_words, r.hit, r["items"]) for r in decontaminate.find_hits(df, bench).collect()}
-    assert got[1] == (14, [*range(1, 11), 12, 13], ["1", "2"]) and got[2][1:] == ([], []) and got[3] == (0, [], [])
-    assert got[4] == (12, list(range(12)), ["5"]) and got[5] == (11, list(range(11)), ["5"])
-    long = spark.createDataFrame([(1, "Start here, friend. " + BENCH[0][1] + " End of it all; twelve more words follow here to keep the share low, yes.")], "doc_id long, text string")
-    assert decontaminate.decontaminate(long, bench).first().text == "Start here, friend. End of it all; twelve more words follow here to keep the share low, yes."
-    assert sorted(r.doc_id for r in decontaminate.decontaminate(df, bench).collect()) == [2, 3]
+    got = collections.Counter((r.doc_id, r.n_words, tuple(r.hit), tuple(r["items"])) for r in decontaminate.find_hits(df, bench, set_bytes=set_bytes).collect())
+    assert got == collections.Counter([(1, 14, (*range(1, 11), 12, 13), ("1", "2")), (2, 1, (), ()), (3, 0, (), ()), (4, 12, tuple(range(12)), ("5",)), (5, 11, tuple(range(11)), ("5",)),
+                                       (None, 3, (1, 2), ("2",)), (None, 1, (), ()), (2, 5, (0, 1, 3, 4), ("2",)), (2, 1, (), ())])
+    if set_bytes:
+        long = spark.createDataFrame([(1, "Start here, friend. " + BENCH[0][1] + " End of it all; twelve more words follow here to keep the share low, yes.")], "doc_id long, text string")
+        assert decontaminate.decontaminate(long, bench).first().text == "Start here, friend. End of it all; twelve more words follow here to keep the share low, yes."
+        assert sorted((r.doc_id or 0, r.text) for r in decontaminate.decontaminate(df, bench).collect() if r.text) == [(0, "another"), (2, "nothing"), (2, "nothing")]
+
+
+def test_decontaminate_random(spark):
+    r = random.Random(31)
+    vocabulary = ["a", "b", "c", "d", "é"]
+    text = lambda n: " ".join(r.choice(vocabulary) for _ in range(n))
+    items = [(i, text(r.choice((1, 2, 3, 5, 8)))) for i in range(8)] + [(20, "q q q q")]
+    docs = [(i, text(r.randint(0, 60))) for i in range(40)] + [(99, "q " * 3000)]
+    expected = {}
+    for i, t in docs:
+        w, hit, found = t.split(), set(), set()
+        for item, body in items:
+            g = body.split()
+            n = min(4, len(g))
+            for win in {tuple(g[k : k + n]) for k in range(len(g) - n + 1)}:
+                at = [k for k in range(len(w) - n + 1) if tuple(w[k : k + n]) == win]
+                hit.update(j for k in at for j in range(k, k + n))
+                found |= {str(item)} if at else set()
+        expected[i] = (len(w), sorted(hit), sorted(found))
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert {x.doc_id: (x.n_words, x.hit, x["items"]) for x in decontaminate.find_hits(df, bench, size=4).collect()} == expected
 
 
 def test_quality_rules(docs, texts):
