@@ -51,7 +51,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = _path(spark, label)
     schema = df.schema
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
@@ -60,7 +60,7 @@ def stored_by(df: DataFrame, key: str, label: str) -> DataFrame:
     spark = df.sparkSession
     name = f"gridloom_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.bucketBy(buckets, key).option("path", _path(spark, label)).saveAsTable(name)
+    df.write.bucketBy(buckets, key).option("compression", "zstd").option("path", _path(spark, label)).saveAsTable(name)
     return spark.table(name)
 
 
