@@ -149,10 +149,44 @@ FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = quality_rules.judge(table(spark, sf_dir, "documents"))
+    judged = settled(spark, lambda: quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")), "op10")
     return judged.select("doc_id", *quality_rules.BASE, "base_failed", "kept")
 
 
+OP10_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+tri AS (SELECT rid, i, list_slice(ws, i, i + 2) AS g FROM (SELECT rid, ws, unnest(range(1, len(ws) - 1)) AS i FROM d)),
+rep AS (SELECT rid, i FROM tri QUALIFY count(*) OVER (PARTITION BY rid, g) > 1),
+rw AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest([i, i + 1, i + 2]) AS p FROM rep) GROUP BY rid),
+ln AS (SELECT rid, count(*) - count(DISTINCT line) AS n FROM (SELECT rid, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY rid),
+b AS (SELECT d.rid, doc_id, lang, t, len(ws)::BIGINT AS n_words, len(array_to_string(ws, ''))::BIGINT AS word_chars, (len(t) - len(regexp_replace(t, '[#*$%&|<>]+', '', 'g')))::BIGINT AS n_symbols,
+  coalesce(ln.n, 0)::BIGINT AS n_dup_lines, coalesce(rw.n, 0)::BIGINT AS n_repeat_words FROM d LEFT JOIN rw USING (rid) LEFT JOIN ln USING (rid)),
+f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  regexp_replace(t, '\p{Ll}+', '', 'g') AS r1, regexp_replace(r1, '[\x20\x09-\x0D]+', '', 'g') AS r2, regexp_replace(r2, '\p{Lu}+', '', 'g') AS r3, regexp_replace(r3, '[.,;:!?''"()-]+', '', 'g') AS r4, regexp_replace(r4, '[0-9]+', '', 'g') AS r5 FROM b),
+lw AS (SELECT rid, lang, unnest(regexp_extract_all(lower(t), '\p{L}+')) AS w FROM d),
+top AS (SELECT lang, w, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, w) AS k FROM lw GROUP BY lang, w QUALIFY k <= 12),
+slots AS (SELECT f.rid, top.k, top.w FROM f JOIN top ON f.lang IS NOT DISTINCT FROM top.lang),
+hits AS (SELECT lw.rid, top.k, count(*) AS c FROM lw JOIN top ON lw.lang IS NOT DISTINCT FROM top.lang AND lw.w = top.w GROUP BY ALL),
+total AS (SELECT rid, count(*) AS n FROM lw GROUP BY rid),
+hist AS (
+  SELECT rid, 'c' AS kind, unnest(range(1, 7)) AS k, unnest([len(t) - len(r1), len(r1) - len(r2), len(r2) - len(r3), len(r3) - len(r4), len(r4) - len(r5), len(r5)]) AS c FROM f
+  UNION ALL SELECT rid, 'w', k, coalesce(hits.c, 0) FROM slots LEFT JOIN hits USING (rid, k)
+  UNION ALL SELECT f.rid, 'w', 99, coalesce(total.n, 0) - coalesce((SELECT sum(c) FROM hits WHERE hits.rid = f.rid), 0) FROM f LEFT JOIN total USING (rid) WHERE f.rid IN (SELECT rid FROM slots)),
+good AS (SELECT DISTINCT doc_id FROM labels WHERE quality = 1 AND toxic = 0),
+cand AS (SELECT rid, lang, (doc_id IN (SELECT doc_id FROM good))::INT AS g FROM f WHERE NOT base_failed),
+best AS (SELECT lang, max(g) AS g FROM cand GROUP BY lang),
+ref AS (SELECT cand.lang, kind, k, sum(c) AS c FROM cand JOIN best ON cand.lang IS NOT DISTINCT FROM best.lang AND cand.g = best.g JOIN hist USING (rid) GROUP BY ALL),
+q AS (SELECT lang, kind, k, c / sum(c) OVER (PARTITION BY lang, kind) AS q FROM ref),
+p AS (SELECT hist.rid, lang, kind, k, CASE WHEN sum(c) OVER (PARTITION BY hist.rid, kind) > 0 THEN c / sum(c) OVER (PARTITION BY hist.rid, kind) END AS p FROM hist JOIN f USING (rid)),
+js AS (SELECT rid, p.kind, sqrt(greatest(0, sum(CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2)) AS dist
+  FROM p JOIN q ON p.lang IS NOT DISTINCT FROM q.lang AND p.kind = q.kind AND p.k = q.k WHERE p IS NOT NULL GROUP BY rid, p.kind),
+wide AS (SELECT rid, max(dist) FILTER (kind = 'c') AS cd, max(dist) FILTER (kind = 'w') AS wd FROM js GROUP BY rid)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND NOT (word_chars >= 200 AND coalesce(cd, 0) > 0.2) AND NOT (n_words >= 100 AND coalesce(wd, 0) > 0.24) AS kept
+FROM f LEFT JOIN wide USING (rid)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": op1_line_dedup,
@@ -169,4 +203,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": OP1_SQL, "op2_mixing": OP2_SQL, "op4_near_dup": OP4_SQL, "op7_substring_dedup": OP7_SQL, "op9_decontaminate": OP9_SQL}
+    return {"op1_line_dedup": OP1_SQL, "op2_mixing": OP2_SQL, "op4_near_dup": OP4_SQL, "op7_substring_dedup": OP7_SQL, "op9_decontaminate": OP9_SQL, "op10_quality_rules": OP10_SQL}

@@ -358,6 +358,53 @@ def test_divergence_rejects_symbols(spark):
     assert kept == {**dict.fromkeys(range(20), True), 99: False}
 
 
+def test_divergence_distances(spark):
+    import math
+
+    r = random.Random(14)
+    rows = [(i, prose(r, r.choice((20, 60, 150))) + r.choice(("", " É Ü! 12", " The, THE.")), ("en", "de", None)[i % 3]) for i in range(45)] + [(60, None, "en"), (61, "a b c", "xx"), (7, prose(r, 80), "en"), (None, prose(r, 90), None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(0, 30, 3)] + [(0, 1, 0), (1, 0, 0)], "doc_id long, quality int, toxic int")
+    got = quality_rules.judge(df, labels).collect()
+    assert len(got) == len(rows)
+    trusted = set(range(0, 30, 3))
+    classes = [lambda c: c.islower(), lambda c: c in " \t\n", lambda c: c.isupper(), lambda c: c in ".,;:!?'\"()-", lambda c: c in "0123456789"]
+    letters = lambda t: re.findall(r"[^\W\d_]+", (t or "").lower())
+    failed = {(x.doc_id, x.lang, x.n_words): x.base_failed for x in got}
+    for lang in ("en", "de", None):
+        own = [(i, t) for i, t, x in rows if x == lang]
+        count = collections.Counter(w for _, t in own for w in letters(t))
+        top = sorted(count, key=lambda w: (-count[w], w))[: quality_rules.TOP]
+
+        def hist(t, top=top):
+            c = [0] * 6
+            for ch in t or "":
+                c[next((k for k, f in enumerate(classes) if f(ch)), 5)] += 1
+            w = collections.Counter(letters(t))
+            return c, [w[x] for x in top] + [sum(w.values()) - sum(w[x] for x in top)]
+
+        passing = [(i, t) for i, t in own if not failed[(i, lang, len(words(t)))]]
+        base = [t for i, t in passing if i in trusted] or [t for _, t in passing]
+        ref = [[sum(v) for v in zip(*x, strict=True)] for x in zip(*map(hist, base), strict=True)]
+
+        def distance(a, b):
+            if not sum(a):
+                return None
+            p, q = ([x / sum(v) for x in v] for v in (a, b))
+            part = lambda x, y: x * math.log2(2 * x / (x + y)) if x else 0
+            return math.sqrt(max(0, sum(part(x, y) + part(y, x) for x, y in zip(p, q, strict=True)) / 2))
+
+        texts_of = {(i, len(words(t))): t for i, t in own}
+        for x in (x for x in got if x.lang == lang):
+            t = texts_of[(x.doc_id, x.n_words)]
+            want = [distance(a, b) for a, b in zip(hist(t), ref, strict=True)]
+            for a, b in zip((x.char_distance, x.word_distance), want, strict=True):
+                assert (a is None) == (b is None) and (a is None or abs(a - b) < 1e-9), (x, want)
+            far = (x.word_chars >= 200 and (want[0] or 0) > 0.2) or (x.n_words >= 100 and (want[1] or 0) > 0.24)
+            assert x.kept == (not x.base_failed and not far)
+    assert [x.char_distance for x in got if x.lang == "xx"] == [None]
+
+
 class KneserNey:
     """Interpolated modified Kneser-Ney over characters, from nested counts (brute force)."""
 
