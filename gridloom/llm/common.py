@@ -9,6 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import let
+
 #: What separates words: ASCII white space.
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -109,10 +111,11 @@ def running(values: Column, zero: Column, combine: Callable[[Column, Column], Co
         start = F.struct(zero.alias("upto"), F.slice(F.array(zero), 1, 0).alias("out"))
         return F.aggregate(items, start, lambda acc, x: F.struct(combine(acc["upto"], x).alias("upto"), F.concat(acc["out"], F.array(acc["upto"])).alias("out")))
 
-    inner = F.transform(blocks, run)
-    across = run(F.transform(inner, lambda x: x["upto"]))
-    shifted = F.flatten(F.zip_with(inner, across["out"], lambda x, b: F.transform(x["out"], lambda y: combine(b, y))))
-    return F.concat(shifted, F.array(across["upto"]))
+    def join(inner: Column) -> Column:
+        across = run(F.transform(inner, lambda x: x["upto"]))
+        return let(across, lambda a: F.concat(F.flatten(F.zip_with(inner, a["out"], lambda x, b: F.transform(x["out"], lambda y: combine(b, y)))), F.array(a["upto"])))
+
+    return let(F.transform(blocks, run), join)
 
 
 CHUNK = 4096
