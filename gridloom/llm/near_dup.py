@@ -28,9 +28,14 @@ grows with the pairs of a family that share differences and are still unlinked.
 Components come from minimum labels with pointer jumping over stored tables; no links or
 labels reach the driver.
 
+Shingles are compared by 64-bit hashes, and only within a pair of sets or a bucket; equal
+sets meet by 128 bits of all their hashes.
+
 Nulls: a null or empty text has an empty set and no links, and is its own component; a
-null id takes no part in links. Rows that repeat an id share its component. An empty
-table gives an empty result. Extra columns are passed on by ``drop_near_duplicates``.
+null id takes no part in links. Rows that share an id but not their set are nodes of their
+own, with the component of their own links; rows that repeat an id and a text are one
+document and stay or go together. An empty table gives an empty result. Extra columns of
+any name are passed on by ``drop_near_duplicates``.
 """
 
 from __future__ import annotations
@@ -44,7 +49,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import packed, stored, unpacked
 from .hashing import M1, M2, M3, mix, word_hashes
 
 BINS, ROWS = 80, 4
@@ -117,37 +122,42 @@ def candidate_keys(s: np.ndarray, percent: int) -> np.ndarray:
     return np.unique(np.concatenate(keys)) if keys else np.zeros(0, np.uint64)
 
 
+def _narrow(docs: DataFrame) -> DataFrame:
+    text = F.col("text").cast("string")
+    return docs.select("doc_id", F.xxhash64(text).alias("key"), text.alias("text"))
+
+
 def _id_type(docs: DataFrame) -> str:
     return docs.select("doc_id").schema[0].dataType.simpleString()
 
 
+def _digests(sets: list[np.ndarray]) -> tuple[pa.Array, pa.Array]:
+    both = np.frombuffer(b"".join(xxhash.xxh3_128_digest(s.tobytes()) for s in sets), np.int64).reshape(-1, 2)
+    return pa.array(np.ascontiguousarray(both[:, 0])), pa.array(np.ascontiguousarray(both[:, 1]))
+
+
 def signatures(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """doc_id, n, same (128 bits of the set) and keys for every row."""
+    """doc_id, key (of the text), n, s and s2 (128 bits of the set) and keys for every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, same, keys = [], [], []
-            for x in batch.column(1).cast(pa.binary()):
-                s = shingle_set(x.as_py() or b"", k)
-                n.append(len(s))
-                same.append(xxhash.xxh3_128_digest(s.tobytes()))
-                keys.append(candidate_keys(s, percent).view(np.int64))
+            sets = [shingle_set(x.as_py() or b"", k) for x in batch.column(2).cast(pa.binary())]
+            keys = [candidate_keys(s, percent).view(np.int64) for s in sets]
             lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, keys)]), pa.int32()), pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(same, pa.binary()), lists], names=["doc_id", "n", "same", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()), *_digests(sets), lists], names=["doc_id", "key", "n", "s", "s2", "keys"])
 
-    narrow = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return narrow.mapInArrow(run, f"doc_id {_id_type(docs)}, n long, same binary, keys array<long>")
+    return _narrow(docs).mapInArrow(run, f"doc_id {_id_type(docs)}, key long, n long, s long, s2 long, keys array<long>")
 
 
 def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id and set (hashes as bytes) for every row."""
+    """doc_id, s (of the set's 128 bits) and set (hashes as bytes) for every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(x.as_py() or b"", k).tobytes() for x in batch.column(1).cast(pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["doc_id", "set"])
+            sets = [shingle_set(x.as_py() or b"", k) for x in batch.column(2).cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), _digests(sets)[0], pa.array([s.tobytes() for s in sets], pa.binary())], names=["doc_id", "s", "set"])
 
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {_id_type(docs)}, set binary")
+    return _narrow(docs).mapInArrow(run, f"doc_id {_id_type(docs)}, s long, set binary")
 
 
 def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -168,8 +178,8 @@ def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, unlike)]), pa.int32()), pa.array(np.concatenate(unlike) if unlike else np.zeros(0, np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_()), pa.array(n, pa.int64()), pa.array(d, pa.int64()), lists], names=["m", "h", "linked", "n", "d", "unlike"])
 
-    with_m = pairs.select("m", "h").join(sets.select(F.col("doc_id").alias("m"), F.col("set").alias("sm")), "m")
-    with_both = with_m.join(sets.select(F.col("doc_id").alias("h"), F.col("set").alias("sh")), "h")
+    with_m = pairs.select("m", "h").join(sets.select(F.col("node").alias("m"), F.col("set").alias("sm")), "m")
+    with_both = with_m.join(sets.select(F.col("node").alias("h"), F.col("set").alias("sh")), "h")
     return with_both.select("m", "h", "sm", "sh").mapInArrow(run, f"m {kind}, h {kind}, linked boolean, n long, d long, unlike array<long>")
 
 
@@ -224,29 +234,36 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def link_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles and component_id (the smallest linked doc_id) of every row."""
+def linked_rows(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """doc_id, key, n_shingles, component_id and own (whether the row is its component's smallest node) of every row."""
     sigs = stored(signatures(docs, k, percent), "near-signatures")
-    classes = stored(sigs.where((F.col("n") > 0) & F.col("doc_id").isNotNull()).groupBy("same").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys")), "near-classes")
+    # a node is a set under the smallest id that has it; s tells sets under one id apart
+    node = F.struct(F.min("doc_id").alias("id"), F.first("s").alias("s"))
+    classes = stored(sigs.where((F.col("n") > 0) & F.col("doc_id").isNotNull()).groupBy("s", "s2").agg(node.alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys")), "near-classes")
     places = classes.select("rep", "n", F.explode("keys").alias("key"))
     sizes = places.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     members = stored(places.join(sizes, "key"), "near-members")
     weight = members.groupBy("rep").agg(F.sum("size").alias("weight"))
     hubs = members.join(weight, "rep").groupBy("key").agg(F.min(F.struct((-F.col("weight")).alias("w"), F.col("rep"), F.col("n"))).alias("hub"))
     star = members.join(hubs, "key").where(F.col("rep") != F.col("hub.rep")).select(F.col("rep").alias("m"), F.col("hub.rep").alias("h")).distinct()
-    involved = stored(members.select("rep").distinct(), "near-involved")
-    sets = stored(shingle_sets(docs.select("doc_id", "text").join(involved.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi"), k).groupBy("doc_id").agg(F.first("set").alias("set")), "near-sets")
+    involved = stored(members.select(F.col("rep.id").alias("doc_id")).distinct(), "near-involved")
+    sets = shingle_sets(docs.select("doc_id", "text").join(involved, "doc_id", "left_semi"), k).groupBy("doc_id", "s").agg(F.first("set").alias("set"))
+    sets = stored(sets.select(F.struct(F.col("doc_id").alias("id"), "s").alias("node"), "set"), "near-sets")
     labels = components(all_links(stored(star, "near-star"), sets, percent))
-    named = classes.select("same", "rep").join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left").select("same", F.coalesce("label", "rep").alias("_component"))
+    named = classes.select("s", "s2", "rep").join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left").select("s", "s2", F.coalesce("label", "rep").alias("label"))
     linked = F.col("doc_id").isNotNull() & (F.col("n") > 0)
-    return (
-        sigs.select("doc_id", "n", "same")
-        .join(stored(named, "near-named"), "same", "left")
-        .select("doc_id", F.col("n").alias("n_shingles"), F.when(linked, F.col("_component")).otherwise(F.col("doc_id")).alias("component_id"))
-    )
+    joined = sigs.select("doc_id", "key", "n", "s", "s2").join(stored(named, "near-named"), ["s", "s2"], "left")
+    own = ~linked | ((F.col("label.id") == F.col("doc_id")) & (F.col("label.s") == F.col("s")))
+    return joined.select("doc_id", "key", F.col("n").alias("n_shingles"), F.when(linked, F.col("label.id")).otherwise(F.col("doc_id")).alias("component_id"), own.alias("own"))
+
+
+def link_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles and component_id (the smallest linked doc_id) of every row."""
+    return linked_rows(docs, k, percent).select("doc_id", "n_shingles", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """One row of ``docs`` for each component: that of the smallest doc_id. Rows without an id stay."""
-    out = stored(link_components(docs, k, percent).where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct(), "near-out")
-    return docs.join(out, "doc_id", "left_anti").select(*docs.columns)
+    """One document of ``docs`` for each component: that of the smallest doc_id (of several sets under it, one). Rows without an id stay."""
+    out = stored(linked_rows(docs, k, percent).where(~F.col("own")).select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).distinct(), "near-out")
+    rows = packed(docs, doc_id=F.col("doc_id"), key=F.xxhash64(F.col("text").cast("string")))
+    return unpacked(rows.join(out, (F.col("doc_id") == F.col("_id")) & (F.col("key") == F.col("_key")), "left_anti"), docs)
