@@ -13,9 +13,10 @@ documents hold much of a source. Bins are summed per (source, bin): a source wit
 third of all rows spreads over 4,096 keys.
 
 Nulls: a null text has size 0, a null source is a source of its own and comes last, a
-null id is hashed as the empty string. Repeated rows share their draw. Sources of size
-0 have target 0. An empty table gives an empty result. Extra columns are passed on by
-``mix``; the planning columns replace columns of the same names.
+null id is hashed as the empty string. Rows that share an id share their draw, whether
+their texts are equal or not. Equal caps are filled in the order of their sources; the draw
+decides ties of documents. Sources of size 0 have target 0. An empty table gives an empty
+result. Extra columns of any name are passed on by ``mix`` and not read by ``plan_mix``.
 """
 
 from __future__ import annotations
@@ -26,19 +27,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import SPACE, stored
+from .common import SPACE, packed, stored, unpacked
 
 SEED = "mix-1"
 BINS_HEX, FINE_HEX = 3, 10
 
 
-def _sized(docs: DataFrame, seed: str) -> DataFrame:
-    text = F.coalesce(F.col("text"), F.lit(""))
-    parts = F.split(text, SPACE)
+def _sized(rows: DataFrame, seed: str) -> DataFrame:
+    """``rows`` with what is read of their column ``row``: source, size and the hashed draw."""
+    parts = F.split(F.coalesce(F.col("row.text").cast("string"), F.lit("")), SPACE)
     # split leaves one empty string at each end that starts or ends with a separator
     edge = F.when(F.get(parts, F.lit(0)) == "", 1).otherwise(0) + F.when((F.size(parts) > 1) & (F.element_at(parts, -1) == ""), 1).otherwise(0)
-    digest = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    return docs.withColumns({
+    digest = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("row.doc_id").cast("string"), F.lit(""))))
+    return rows.withColumns({
+        "source": F.col("row.source"),
         "size": (F.size(parts) - edge).cast("long"),
         "_bin": F.conv(F.substring(digest, 1, BINS_HEX), 16, 10).cast("int"),
         "_fine": F.conv(F.substring(digest, 1 + BINS_HEX, FINE_HEX), 16, 10).cast("double") / float(16**FINE_HEX),
@@ -68,10 +70,9 @@ def source_targets(sizes: DataFrame, weights: Sequence[int], share: float, max_r
     return level.select("source", "source_size", F.least(cap, F.col("_level") * F.col("_w")).alias("target"))
 
 
-def plan_mix(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float = 1.5, max_repeat: float = 2.0, seed: str = SEED) -> DataFrame:
-    """``docs`` with size, source_size, target, copies and taken (= copies * size)."""
-    docs = docs.drop("size", "source_size", "target", "copies", "taken", "_bin", "_fine")
-    sized = _sized(docs, seed)
+def _planned(rows: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float = 1.5, max_repeat: float = 2.0, seed: str = SEED) -> DataFrame:
+    """``rows`` (row) with source, size, source_size, target, copies and taken."""
+    sized = _sized(rows, seed)
     bins = stored(sized.groupBy("source", "_bin").agg(F.sum("size").alias("_words")), "mix-bins")
     targets = source_targets(bins.groupBy("source").agg(F.sum("_words").alias("source_size")), weights, share, max_repeat)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
@@ -97,8 +98,13 @@ def plan_mix(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float =
     )
 
 
+def plan_mix(docs: DataFrame, **options) -> DataFrame:
+    """doc_id, source, size, source_size, target, copies and taken (= copies * size) of every row."""
+    planned = _planned(packed(docs.select("doc_id", "text", "source")), **options)
+    return planned.select("row.doc_id", "source", "size", "source_size", "target", "copies", "taken")
+
+
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mixed documents: every row of ``docs`` repeated ``copies`` times."""
-    planned = plan_mix(docs, **options)
-    names = [c for c in docs.columns if c in planned.columns]
-    return planned.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*names)
+    planned = _planned(packed(docs), **options).where("copies > 0")
+    return unpacked(planned.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))), docs)

@@ -186,7 +186,7 @@ def test_near_duplicates_lose_no_link_in_a_bucket(spark):
             sets.append(set(r.sample(sorted(own), 192)) | fresh(8))
             own = sets[-1] if r.random() < 0.5 else own
     rows = [(i, np.array(sorted(x), np.uint64).tobytes()) for i, x in enumerate(sets)]
-    stored = spark.createDataFrame(rows, "doc_id long, set binary")
+    stored = spark.createDataFrame(rows, "node long, set binary")
     true = [(i, j) for i in range(len(sets)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])]
     labels = lambda df: {x.node: x.label for x in near_dup.components(df).collect()}
     expected = labels(spark.createDataFrame(true, "a long, b long"))
@@ -196,6 +196,33 @@ def test_near_duplicates_lose_no_link_in_a_bucket(spark):
         assert labels(near_dup.all_links(star, stored, 85)) == expected
 
 
+def test_near_duplicates_that_share_an_id(spark):
+    r = random.Random(2)
+    a, b = prose(r, 60), prose(r, 60)
+    rows = [(5, a), (5, b), (7, a + " more"), (9, b + " more"), (9, b + " more"), (3, prose(r, 60)), (None, a), (None, None), (8, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((x.doc_id or 0, x.n_shingles, x.component_id or 0) for x in near_dup.link_components(df).collect())
+    size = {t: len(shingles(t, 5)) for _, t in rows}
+    assert got == sorted([(5, size[a], 5), (5, size[b], 5), (7, size[a + " more"], 5), (9, size[b + " more"], 5), (9, size[b + " more"], 5), (3, size[rows[5][1]], 3), (0, size[a], 0), (0, 0, 0), (8, 0, 8)])
+    kept = sorted((x.doc_id or 0, x.text or "") for x in near_dup.drop_near_duplicates(df).collect())
+    assert kept == sorted([(5, a), (5, b), (3, rows[5][1]), (0, a), (0, ""), (8, "")])
+
+
+CLASHES = ["_id", "_key", "_s", "_base", "_hits", "_ws", "_t", "_s_email", "_v_ip", "_all", "_kept", "_copy", "_bin", "_fine", "_runs", "_from", "row", "key", "dk", "removed", "all", "kept", "size", "copies", "taken", "target", "hit", "items", "n_words", "out", "runs", "from", "upto", "base_spans", "more_spans", "spans", "t", "c", "block", "at", "own", "node", "label"]
+
+
+@pytest.mark.parametrize("operator", [line_dedup.dedup_lines, mixing.mix, near_dup.drop_near_duplicates, pii.redact, lambda df: decontaminate.decontaminate(df, df.sparkSession.createDataFrame(BENCH, "item_id long, text string")), lambda df: lm_quality.filter_quality(df, df.sparkSession.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int"))])
+def test_every_extra_column_is_passed_on(spark, operator):
+    r = random.Random(4)
+    rows = [(i, prose(r, 30) + "\n" + prose(r, 12), "en", "ab"[i % 2], *[f"{c}/{i}" for c in CLASHES]) for i in range(6)] + [(9, None, None, None, *[None] * len(CLASHES))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, " + ", ".join(f"`{c}` string" for c in CLASHES))
+    got = operator(df)
+    assert got.columns == df.columns
+    by_id = {x[0]: x for x in rows}
+    out = got.collect()
+    assert len(out) >= 6 and all(tuple(x)[4:] == by_id[x.doc_id][4:] for x in out)
+
+
 def test_candidate_keys_meet():
     r = random.Random(4)
     missed = 0
