@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-CJK_DIGITS, ASCII_DIGITS = "〇零○一二三四五六七八九", "000123456789"
+#: Characters that stand for digits.
+CJK_DIGITS, ASCII_DIGITS = "〇零○Oo一二两三四五六七八九", "000001223456789"
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -21,7 +22,7 @@ def _text(c: Column) -> Column:
 
 def strip(c: Column) -> Column:
     """Trims every kind of white space, the ideographic space included."""
-    return F.regexp_replace(_text(c), r"(?U)\A\s+|\s+\z", "")
+    return F.regexp_replace(_text(c), r"(?U)\A\s++|(?<!\s)\s++\z", "")
 
 
 def compact(c: Column) -> Column:
@@ -72,15 +73,27 @@ def split_amount(c: Column) -> tuple[Column, Column]:
     return F.replace(number, F.lit(","), F.lit("")), strip(rest)
 
 
+def chinese_int(c: Column) -> Column:
+    """A number in Arabic digits, or in Chinese ones up to 99 or digit by digit; null else."""
+    t = compact(c)
+    plain = F.translate(t, CJK_DIGITS, ASCII_DIGITS)
+    tens, ones = F.regexp_extract(plain, r"\A([0-9]?)十([0-9]?)\z", 1), F.regexp_extract(plain, r"\A([0-9]?)十([0-9]?)\z", 2)
+    number = lambda d, blank: F.when(d == "", blank).otherwise(d.try_cast("int"))
+    mixed = F.when(plain.rlike(r"\A[0-9]?十[0-9]?\z"), number(tens, F.lit(1)) * 10 + number(ones, F.lit(0))).when(plain.rlike(r"\A十.\z"), 10)
+    return F.when(t.rlike(r"\A[0-9]+\z"), t.try_cast("int")).when(t.rlike("[0-9]"), None).when(plain.rlike(r"\A[0-9]+\z"), plain.try_cast("int")).otherwise(mixed)
+
+
 def date_iso(c: Column) -> Column:
-    """The first date, Arabic or Chinese numerals, as YYYY-MM-DD; blank without one."""
-    t = F.translate(compact(c), CJK_DIGITS, ASCII_DIGITS)
-    t = F.regexp_replace(t, "([1-9])十([1-9])", "$1$2")
-    t = F.regexp_replace(t, "([1-9])十", "$1" + "0")
-    t = F.regexp_replace(t, "十([1-9])", "1$1")
-    t = F.regexp_replace(t, "十", "10")
-    parts = [F.regexp_extract(t, r"([0-9]{4})[年./-]([0-9]{1,2})[月./-]([0-9]{1,2})", k) for k in (1, 2, 3)]
-    return F.when(parts[0] == "", "").otherwise(F.concat_ws("-", parts[0], *[F.lpad(p, 2, "0") for p in parts[1:]]))
+    """The first date of the years 1900 to 2099 in Arabic digits, else the first in Chinese numerals, as YYYY-MM-DD; blank without one."""
+    t = compact(c)
+    arabic, digit = r"((?:19|20)[0-9]{2})[年./-]([0-9]{1,2})[月./-]([0-9]{1,2})", f"[{CJK_DIGITS.replace('两', '')}]"
+    chinese = f"({digit}{{4}})年([十{CJK_DIGITS}]{{1,3}})月([十{CJK_DIGITS}]{{1,3}})日"
+    part = lambda pattern, k: F.regexp_extract(t, pattern, k)
+    two = lambda n: F.format_string("%02d", n)
+    plain = F.concat_ws("-", part(arabic, 1), *[two(part(arabic, k).try_cast("int")) for k in (2, 3)])
+    month, day = chinese_int(part(chinese, 2)), chinese_int(part(chinese, 3))
+    spelt = F.when((month > 0) & (day > 0), F.concat_ws("-", F.translate(part(chinese, 1), CJK_DIGITS, ASCII_DIGITS), two(month), two(day))).otherwise("")
+    return F.when(part(arabic, 1) != "", plain).when(part(chinese, 1) != "", spelt).otherwise("")
 
 
 def collapse_phrase(c: Column, strict: bool = False) -> Column:
@@ -116,3 +129,16 @@ def first_text(*cols: Column) -> Column:
 
 def json_cell(c: Column) -> Column:
     return F.when(F.size(c) > 0, F.to_json(c)).otherwise("")
+
+
+def row_key(row: Column, fields: list[str]) -> Column:
+    """Equal for rows whose fields are equal once the unit is normalised: JSON with sorted keys."""
+    value = lambda f: normalize_unit(row[f]) if f == "unit" else row[f]
+    return F.to_json(F.struct(*[value(f).alias(f) for f in sorted(fields)]), {"ignoreNullFields": "false"})
+
+
+def issue_label(code: Column, labels: dict[str, str]) -> Column:
+    """The label of an issue; an error's code carries its message after a colon, and so does the label."""
+    known = F.create_map(*[F.lit(x) for kv in labels.items() for x in kv])
+    kind, message = F.regexp_extract(code, r"(?s)\A(json_error|report_error):(.*)\z", 1), F.regexp_extract(code, r"(?s)\A(json_error|report_error):(.*)\z", 2)
+    return F.when(kind != "", F.concat(F.try_element_at(known, kind), F.lit(":"), message)).otherwise(F.coalesce(F.try_element_at(known, code), code))

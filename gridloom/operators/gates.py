@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import rules
-from ..functions.text import gate_compact, strip
+from ..functions.text import gate_compact, let, strip
 
 NUMERIC_CELL = r"\A[￥¥]?\s*[-+]?[0-9][0-9,]*(?:\.[0-9]+)?%?\z"
 BUCKET_X, BUCKET_Y = 90, 32
@@ -31,12 +31,17 @@ def target_decision(text: Column, skip=None, titles=None, structures=None) -> Co
     skip = [(t, (t,)) for t in rules.SKIP_TITLES] + list(rules.SKIP_PATTERNS) if skip is None else skip
     titles = [(t, (t,)) for t in rules.TARGET_TITLES] + list(rules.TARGET_PATTERNS) if titles is None else titles
     structures = rules.STRUCTURES if structures is None else structures
-    compact = gate_compact(text)
-    black, white, shape = (pattern_hits(compact, p) for p in (skip, titles, structures))
-    named = lambda label, hits: F.concat(F.lit(f"{label}="), F.array_join(hits, ","))
-    policy = F.when(F.size(black) > 0, "skip_blacklist_priority").when(F.size(white) > 0, "whitelist_priority").when(F.size(shape) > 0, "target_structure_priority").otherwise("skip_non_target_table")
-    reason = F.when(F.size(black) > 0, named("blacklist_hits", black)).when(F.size(white) > 0, named("whitelist_hits", white)).when(F.size(shape) > 0, named("structure_hits", shape)).otherwise("no_target_table_header")
-    return F.struct(((F.size(black) == 0) & (F.size(white) + F.size(shape) > 0)).alias("should_run"), policy.alias("policy"), reason.alias("reason"), white.alias("whitelist_hits"), shape.alias("structure_hits"), black.alias("blacklist_hits"))
+    hits = lambda t: F.struct(*[pattern_hits(t, p).alias(name) for name, p in (("black", skip), ("white", titles), ("shape", structures))])
+    return let(let(gate_compact(text), hits), _decision)
+
+
+def _decision(hits: Column) -> Column:
+    black, white, shape = (hits[k] for k in ("black", "white", "shape"))
+    named = lambda label, found: F.concat(F.lit(f"{label}="), F.array_join(found, ","))
+    policy = F.when(F.size(black) > 0, "blacklist").when(F.size(white) > 0, "whitelist").when(F.size(shape) > 0, "structure")
+    full = F.when(policy == "blacklist", "skip_blacklist_priority").when(policy == "whitelist", "whitelist_priority").when(policy == "structure", "target_structure_priority").otherwise("skip_non_target_table")
+    reason = F.when(policy == "blacklist", named("blacklist_hits", black)).when(policy == "whitelist", named("whitelist_hits", white)).when(policy == "structure", named("structure_hits", shape)).otherwise("no_target_table_header")
+    return F.struct(F.coalesce(policy != "blacklist", F.lit(False)).alias("should_run"), full.alias("policy"), reason.alias("reason"), white.alias("whitelist_hits"), shape.alias("structure_hits"), black.alias("blacklist_hits"))
 
 
 def table_score(texts: Column, n_items: Column, x_buckets: Column, y_buckets: Column, keywords: Sequence[str], strong: Sequence[str], strong_columns: Sequence[str] = rules.STRONG_COLUMNS, structures=None) -> Column:

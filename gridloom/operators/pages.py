@@ -88,3 +88,9 @@ def prefer_tables(html: Column, markdown: Column, order: str = "auto") -> Column
         return F.concat(html, markdown)
     first, second = (html, markdown) if order in ("auto", "html") else (markdown, html)
     return F.when(F.size(first) > 0, first).otherwise(second)
+
+
+def rule_text(screen: Column, page: Column) -> Column:
+    """The text that rules see: the screen text and the page's own, one below the other where both exist and differ."""
+    a, b = F.coalesce(screen, F.lit("")), F.coalesce(page, F.lit(""))
+    return F.when((a != "") & (a != b), F.concat(a, F.lit("\n"), b)).otherwise(b)

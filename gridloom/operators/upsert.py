@@ -73,3 +73,63 @@ def argmax_row(pairs: DataFrame, group: Sequence[str], score: Column, order: Col
 def merge_document_info(old: Column, new: Column, fields: Sequence[str]) -> Column:
     """New values where they are not blank, else the old ones."""
     return F.struct(*[F.coalesce(F.when(F.trim(new[f]) != "", new[f]), old[f]).alias(f) for f in fields])
+
+
+def merge_project_rows(existing: DataFrame, current: DataFrame, pages: DataFrame) -> DataFrame:
+    """Rows of one kind after a partial run: of each document the existing ones outside its run's ``pages`` (file_name, page_no), then all current ones."""
+    return existing.join(pages.select("file_name", "page_no").distinct(), ["file_name", "page_no"], "left_anti").unionByName(current, allowMissingColumns=True)
+
+
+def merge_sub_projects(existing: DataFrame, current: DataFrame) -> DataFrame:
+    """Sub-projects (file_name, sub_project_id, sub_project_name, parent_project, ord) of both runs, by id, else name; the current names win, existing ones keep their place and new ones follow."""
+    key = F.coalesce(F.when(F.col("sub_project_id") != "", F.col("sub_project_id")), F.col("sub_project_name"), F.lit("")).alias("id")
+    side = lambda df, now: df.select("file_name", key, "sub_project_name", "parent_project", "ord", F.lit(now).alias("now"))
+    both = side(existing, 0).unionByName(side(current, 1).where("id <> ''"))
+    last = F.max_by(F.struct("sub_project_name", "parent_project"), F.struct("now", "ord"))
+    merged = both.groupBy("file_name", "id").agg(last.alias("v"), F.min(F.struct("now", "ord")).alias("place"))
+    at = F.row_number().over(Window.partitionBy("file_name").orderBy("place")) - 1
+    return merged.select("file_name", F.col("id").alias("sub_project_id"), "v.sub_project_name", "v.parent_project", at.alias("ord"))
+
+
+def rekey_sub_projects(subs: DataFrame, rows: DataFrame, cleaned: Column) -> tuple[DataFrame, DataFrame]:
+    """(subs, rows) under cleaned ids: sub-projects whose ids become equal are one, and rows follow.
+
+    ``cleaned`` makes a clean id of ``value`` (with file_name and what else ``subs`` and ``rows`` have).
+    A blank cleaned id leaves the old one, or "_default". A row's own id is cleaned; where that is
+    an old id of its document it goes on to that id's new one, and blank it is the sub-project's.
+    ``subs`` has file_name, sub_project_id and ord; ``rows`` file_name, sub_id (the sub-project they stand in) and sub_project_id.
+    """
+    new = F.coalesce(F.nullif(cleaned, F.lit("")), F.nullif(F.col("value"), F.lit("")), F.lit("_default"))
+    mapped = subs.withColumn("value", F.coalesce("sub_project_id", F.lit(""))).withColumn("new_id", new)
+    ids = mapped.groupBy("file_name", F.col("value").alias("old_id")).agg(F.min_by("new_id", "ord").alias("new_id"))
+    at = F.row_number().over(Window.partitionBy("file_name").orderBy("first")) - 1
+    merged = mapped.groupBy("file_name", "new_id").agg(F.min("ord").alias("first")).select("file_name", F.col("new_id").alias("sub_project_id"), F.when(F.col("new_id") == "_default", "").otherwise(F.col("new_id")).alias("sub_project_name"), at.alias("ord"))
+    home = ids.select("file_name", F.col("old_id").alias("sub_id"), F.col("new_id").alias("home"))
+    own = rows.join(home, ["file_name", "sub_id"], "left").withColumn("value", F.coalesce("sub_project_id", F.lit("")))
+    own = own.withColumn("own", F.coalesce(F.nullif(F.when(F.col("value") != "", cleaned), F.lit("")), F.col("home"))).drop("value")
+    on = ids.select("file_name", F.col("old_id").alias("own"), F.col("new_id").alias("further"))
+    followed = own.join(on, ["file_name", "own"], "left")
+    target = F.when(F.col("own") == F.col("home"), F.col("home")).otherwise(F.coalesce("further", "own"))
+    return merged, followed.withColumn("sub_project_id", target).select("home", *rows.columns).withColumn("sub_id", F.col("home")).drop("home")
+
+
+def lift_quantities(top: DataFrame, nested: DataFrame) -> DataFrame:
+    """Quantity rows of a document: its own, then those that older records keep in sub-projects, without sub-project columns."""
+    bare = lambda df: df.drop("sub_project_id", "sub_project_name")
+    return bare(top).unionByName(bare(nested), allowMissingColumns=True)
+
+
+def merge_table_pages(rows: DataFrame, doc: str = "file_name", order: Sequence[str] = ("page_no", "pos")) -> DataFrame:
+    """One table of a document's pages: blank and repeated header rows go, and row_index counts on from page to page."""
+    from .. import rules
+    from ..functions.text import compact, is_blank
+
+    blank = is_blank(F.col("project_name")) & is_blank(F.col("project_code")) & is_blank(F.col("seq"))
+    header = compact(F.col("project_name")).isin(*rules.HEADER_CELLS["project_name"]) | compact(F.col("project_code")).isin(*rules.HEADER_CELLS["project_code"])
+    kept = rows.where(~blank & ~header)
+    return kept.withColumn("row_index", F.row_number().over(Window.partitionBy(doc).orderBy(*order)))
+
+
+def is_partial_run(selected: Sequence[int] | None = None, start: int | None = None, end: int | None = None, max_pages: int | None = None) -> bool:
+    """Whether any page limit is set."""
+    return bool(selected) or any((x or 0) > 0 for x in (start, end, max_pages))

@@ -2,15 +2,27 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .. import schemas
-from ..functions.text import page_number
+from .. import rules, schemas
+from ..functions.text import page_number, strip
+from ..operators.pages import page_select
+from . import scratch
+
+#: Names of the output folders.
+BUSINESS, OUTPUT = "business_json_vl_llm", "audit_ocr_vl_llm_json"
+
+
+def _path() -> Column:
+    """The path of the file a row was read from, as it is spelt on disk."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
 
 def _stem(path: Column) -> Column:
@@ -26,21 +38,31 @@ def documents(spark: SparkSession, root: str, pattern: str = "*.[pP][dD][fF]") -
     return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(root).select(_stem(F.col("path")).alias("file_name"), "path", "length")
 
 
+def _resolved(path: Column) -> Column:
+    """A path without doubled slashes, ``.`` steps and ``x/..`` detours."""
+    plain = F.regexp_replace(F.regexp_replace(path, "/+", "/"), r"(?:^|(?<=/))(?:\./)+", "")
+    for _ in range(8):
+        plain = F.regexp_replace(plain, r"(?:^|(?<=/))(?!\.\.(?:/|$))[^/]+/\.\.(?:/|$)", "")
+    return F.regexp_replace(plain, r"(?<=.)/+$", "")
+
+
 def resolve_list(spark: SparkSession, known: DataFrame, files: Sequence[str] = (), list_path: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(found, missing) of the wanted paths, each once in the order given; blank and # lines of the list file are skipped."""
+    """(found, missing) of the wanted paths (ord, path), resolved, each once in the order given; blank and # lines of the list file, read whole, are skipped."""
     wanted = spark.createDataFrame([(i, f) for i, f in enumerate(files)], "ord long, path string")
     if list_path:
-        lines = spark.read.text(list_path).select((F.monotonically_increasing_id() + len(files)).alias("ord"), F.trim("value").alias("path"))
+        lines = spark.read.text(list_path, wholetext=True).select(F.posexplode(F.split("value", r"\r?\n")).alias("k", "path"))
+        lines = lines.select((F.col("k") + len(files)).cast("long").alias("ord"), F.trim("path").alias("path"))
         wanted = wanted.unionByName(lines.where((F.col("path") != "") & ~F.col("path").startswith("#")))
-    first = wanted.groupBy("path").agg(F.min("ord").alias("ord"))
-    return first.join(known.select("path").distinct(), "path", "left_semi").orderBy("ord"), first.join(known.select("path"), "path", "left_anti").orderBy("ord")
+    first = wanted.select("ord", _resolved(F.col("path")).alias("path")).groupBy("path").agg(F.min("ord").alias("ord"))
+    have = known.select(_resolved(F.col("path")).alias("path")).distinct()
+    return first.join(have, "path", "left_semi").select("ord", "path").orderBy("ord"), first.join(have, "path", "left_anti").select("ord", "path").orderBy("ord")
 
 
 def json_pages(spark: SparkSession, root: str, schema: T.StructType, suffix: str) -> DataFrame:
     """One row per readable ``page_NNN<suffix>.json`` below ``root``: file_name (its folder), page_no (its own, else the path's, above 0), path and the payload."""
     raw = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", f"page_*{suffix}.json").text(root, wholetext=True)
-    path = F.col("_metadata.file_path")
-    parsed = raw.select(path.alias("path"), F.from_json("value", schema).alias("p"))
+    path = _path()
+    parsed = raw.where(F.try_parse_json("value").isNotNull()).select(path.alias("path"), F.from_json("value", schema).alias("p"))
     no = F.coalesce(F.when(F.col("p.page_no") > 0, F.col("p.page_no")), page_number(F.col("path"))) if "page_no" in schema.fieldNames() else page_number(F.col("path"))
     pages = parsed.where("p is not null").select(_folder(F.col("path")).alias("file_name"), no.alias("page_no"), "path", "p").where("page_no > 0")
     last = Window.partitionBy("file_name", "page_no").orderBy(F.desc("path"))
@@ -60,22 +82,74 @@ def ocr_pages(spark: SparkSession, root: str) -> DataFrame:
 def text_artifacts(spark: SparkSession, root: str, extension: str) -> DataFrame:
     """file_name, page_no, ordinal (0, then 2, 3, ... of numbered files) and content of ``page_NNN_vl[_KK].<extension>``."""
     raw = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", f"page_*_vl*.{extension}").text(root, wholetext=True)
-    path = F.col("_metadata.file_path")
+    path = _path()
     ordinal = F.coalesce(F.regexp_extract(path, r"_vl_(\d+)\.[^.]*$", 1).try_cast("int"), F.lit(0))
-    return raw.select(_folder(path).alias("file_name"), page_number(path).alias("page_no"), ordinal.alias("ordinal"), F.trim("value").alias("content")).where("page_no > 0")
+    return raw.select(_folder(path).alias("file_name"), page_number(path).alias("page_no"), ordinal.alias("ordinal"), strip(F.col("value")).alias("content")).where("page_no > 0")
+
+
+def _texts_in(node: object) -> Iterator[str]:
+    if isinstance(node, dict):
+        for key, value in node.items():
+            if key in rules.CONTENT_KEYS and isinstance(value, str):
+                if value.strip():
+                    yield value.strip()
+            else:
+                yield from _texts_in(value)
+    elif isinstance(node, list):
+        for value in node:
+            yield from _texts_in(value)
 
 
 def json_texts(payload: Column) -> Column:
-    """Distinct text values of a JSON payload's content keys, in order, joined by blank lines; blank for bad JSON."""
-    found = F.regexp_extract_all(payload, F.lit(r'"(?:block_content|markdown_texts|text)"\s*:\s*("(?:[^"\\]|\\.)*+")'), F.lit(1))
-    plain = F.transform(found, lambda q: F.from_json(F.concat(F.lit('{"v":'), q, F.lit("}")), "struct<v:string>")["v"])
-    return F.when(F.try_parse_json(payload).isNotNull(), F.array_join(F.array_distinct(F.filter(plain, lambda v: F.trim(v) != "")), "\n\n")).otherwise("")
+    """Distinct text values of a JSON payload's content keys at any depth, in order, joined by blank lines; blank for bad JSON."""
+    import pandas as pd
+
+    def walk(text: str | None) -> str:
+        try:
+            return "\n\n".join(dict.fromkeys(_texts_in(json.loads(text or ""))))
+        except ValueError:
+            return ""
+
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(walk)
+
+    run.__annotations__ = {"texts": pd.Series, "return": pd.Series}
+    return F.pandas_udf(run, "string")(payload)
+
+
+def business_root(spark: SparkSession, root: str) -> str:
+    """The folder of the business records: ``root`` if it is one, else one of its usual subfolders, else ``root``."""
+    root = root.rstrip("/")
+    nested = [f"{root}/{BUSINESS}", f"{root}/{OUTPUT}/{BUSINESS}"]
+    return root if root.rsplit("/", 1)[-1] == BUSINESS else next((p for p in nested if scratch.exists(spark, p)), root)
+
+
+def reports_root(spark: SparkSession, business: str, given: str | None = None) -> str | None:
+    """The folder of the extraction reports: ``given``, else the first of the usual places beside the business records; None where it is missing."""
+    above = business.rstrip("/").rsplit("/", 1)[0]
+    usual = [f"{above}/reports", f"{above.rsplit('/', 1)[0]}/reports", f"{above}/{OUTPUT}/reports"]
+    return next((p for p in ([given] if given else usual) if scratch.exists(spark, p)), None)
+
+
+def folders(spark: SparkSession, root: str, names: Sequence[str] = ()) -> DataFrame:
+    """(file_name) of the document folders below ``root`` that hold page files; with ``names``, of those that contain one. A missing root raises."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "page_*").load(root).select(_folder(F.col("path")).alias("file_name")).distinct()
+    return found.where(reduce(lambda a, b: a | b, [F.contains("file_name", F.lit(n)) for n in names])) if names else found
+
+
+def page_images(spark: SparkSession, root: str, selected: Sequence[int] | None = None, start: int | None = None, end: int | None = None, max_pages: int | None = None, pattern: str = "page_*.png") -> DataFrame:
+    """(file_name, page_no, path) of page images below ``root``, within the page limits; contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
+    named = files.select(_folder(F.col("path")).alias("file_name"), page_number(F.col("path")).alias("page_no"), "path").where("page_no > 0")
+    return page_select(named, "file_name", "page_no", selected, start, end, max_pages, ("path",))
 
 
 def business_records(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
-    """(records, errors): every business_extract.json below ``root``, and the paths whose JSON is no object."""
-    raw = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "business_extract.json").text(root, wholetext=True)
-    parsed = raw.select(F.col("_metadata.file_path").alias("json_path"), F.trim("value").alias("value"))
+    """(records, errors): every business_extract.json below ``root`` (any JSON file where there is none), and the paths whose JSON is no object."""
+    read = lambda pattern: spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).text(root, wholetext=True)
+    preferred = read("business_extract.json")
+    raw = read("*.json") if preferred.isEmpty() else preferred
+    parsed = raw.select(_path().alias("json_path"), F.trim("value").alias("value"))
     ok = F.col("value").startswith("{") & F.try_parse_json("value").isNotNull()
     records = parsed.where(ok).select(_folder(F.col("json_path")).alias("folder"), "json_path", F.from_json("value", schemas.PROJECT).alias("p"))
     return records, parsed.where(~ok).select("json_path", F.lit("json_error").alias("status"))
@@ -93,7 +167,7 @@ def sub_item_rows(records: DataFrame) -> DataFrame:
 def report_pages(spark: SparkSession, root: str) -> DataFrame:
     """file_name, page_no, extractor and rows of each entry of the extraction reports; one empty entry for a report without pages."""
     raw = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*_vl_llm_extract_summary.json").text(root, wholetext=True)
-    name = F.regexp_replace(F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)$", 1), "_vl_llm_extract_summary\\.json$", "")
+    name = F.regexp_replace(F.regexp_extract(_path(), r"([^/]+)$", 1), "_vl_llm_extract_summary\\.json$", "")
     return raw.select(name.alias("file_name"), F.explode_outer(F.from_json("value", schemas.REPORT)["pages"]).alias("e")).select("file_name", "e.page_no", "e.extractor", "e.rows")
 
 
@@ -103,23 +177,44 @@ def page_targets(spark: SparkSession, *paths: str) -> DataFrame:
     return raw.select("file_name", F.col("page_no").try_cast("int").alias("page_no")).where("page_no > 0").distinct()
 
 
-def render_pages(docs: DataFrame, dpi: int = 180, start: int | None = None, end: int | None = None) -> DataFrame:
-    """Page images of documents (file_name, path), by an optional rendering library; a failure gives an error row."""
+def render_pages(docs: DataFrame, dpi: int = 180, start: int | None = None, end: int | None = None, selected: Sequence[int] | None = None) -> DataFrame:
+    """Page images of documents (file_name, content), by an optional rendering library; pages out of range are ignored, a failure gives an error row."""
 
     def render(batches):
         import pandas as pd
 
         for batch in batches:
             out = []
-            for name, path in zip(batch.file_name, batch.path, strict=True):
+            for name, content in zip(batch.file_name, batch.content, strict=True):
                 try:
                     import fitz
 
-                    with fitz.open(path.removeprefix("file:")) as pdf:
+                    with fitz.open(stream=bytes(content), filetype="pdf") as pdf:
                         for no in range(max(1, start or 1), min(len(pdf), end or len(pdf)) + 1):
-                            out.append((name, no, pdf[no - 1].get_pixmap(dpi=dpi).tobytes("png"), None))
+                            if not selected or no in selected:
+                                out.append((name, no, pdf[no - 1].get_pixmap(dpi=dpi).tobytes("png"), None))
                 except Exception as e:  # noqa: BLE001  one bad document must not end the job
                     out.append((name, None, None, f"{type(e).__name__}: {e}"))
             yield pd.DataFrame(out, columns=["file_name", "page_no", "image", "error"])
 
-    return docs.select("file_name", "path").mapInPandas(render, "file_name string, page_no int, image binary, error string")
+    return docs.select("file_name", "content").mapInPandas(render, "file_name string, page_no int, image binary, error string")
+
+
+def recognise(images: DataFrame, make: Callable[[], Callable[[bytes], object]], schema: str) -> DataFrame:
+    """file_name, page_no, result (``schema``) and error of each image row: ``make()``, called once a worker, gives the recogniser, screen OCR and vision-language models alike."""
+
+    def run(batches):
+        import pandas as pd
+
+        recogniser = None
+        for batch in batches:
+            out = []
+            for name, no, image in zip(batch.file_name, batch.page_no, batch.image, strict=True):
+                try:
+                    recogniser = recogniser or make()
+                    out.append((name, no, recogniser(bytes(image)), None))
+                except Exception as e:  # noqa: BLE001  one bad page must not end the job
+                    out.append((name, no, None, f"{type(e).__name__}: {e}"))
+            yield pd.DataFrame(out, columns=["file_name", "page_no", "result", "error"])
+
+    return images.select("file_name", F.col("page_no").cast("int").alias("page_no"), "image").mapInPandas(run, f"file_name string, page_no int, result {schema}, error string")

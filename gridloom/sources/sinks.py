@@ -6,6 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from ..functions.text import page_name, page_suffix
+from ..operators.sequences import block_summary, harvest_html
 
 
 def write_tsv(df: DataFrame, path: str, columns: Sequence[str] | None = None, one_file: bool = False) -> None:
@@ -32,7 +36,79 @@ def rerun_commands(targets: DataFrame, command: str = "extract") -> DataFrame:
     return grouped.select("file_name", "pages", F.concat_ws(" ", F.lit(command), F.lit("--file"), quoted, F.lit("--page"), "pages").alias("value"))
 
 
+def rerun_script(targets: DataFrame, command: str = "extract") -> str:
+    """A shell script with one command per file of a work list, sorted; it ends at the first failure."""
+    rows = rerun_commands(targets, command).orderBy("file_name").collect()  # one line per file that people are to rerun
+    told = [f"echo '### {k}/{len(rows)} {r.file_name} pages={r.pages}'\n{r.value}\n" for k, r in enumerate(rows, 1)]
+    return "\n".join(["#!/usr/bin/env bash", "set -eo pipefail", "", *told])
+
+
 def bundled(df: DataFrame, source: str, payload: Column) -> DataFrame:
-    """file_count and files (source, payload as JSON; a payload that is no object is wrapped), sorted by source."""
-    text = F.to_json(F.struct(payload.alias("data"))) if not str(df.select(payload).schema[0].dataType).startswith("Struct") else F.to_json(payload)
-    return df.agg(F.count("*").alias("file_count"), F.array_sort(F.collect_list(F.struct(F.col(source).alias("source_json"), text.alias("payload")))).alias("files"))
+    """(source_json, payload): a bundle's entries as rows, payloads as JSON; one that is no object is wrapped as data."""
+    text = F.to_json(payload) if isinstance(df.select(payload).schema[0].dataType, StructType) else F.to_json(F.struct(payload.alias("data")))
+    return df.select(F.col(source).alias("source_json"), text.alias("payload"))
+
+
+def write_bundle(df: DataFrame, source: str, payload: Column, path: str, generated_at: str) -> int:
+    """Entries as JSON lines, sorted by source within files that follow one another, beside a manifest of their number; raises where there is none."""
+    entries = bundled(df, source, payload).sort("source_json")
+    count = df.count()
+    if count == 0:
+        raise ValueError("nothing to bundle")
+    entries.write.mode("overwrite").json(f"{path}/files")
+    manifest = df.sparkSession.range(1).select(F.lit(count).alias("file_count"), F.lit(generated_at).alias("generated_at"))
+    manifest.coalesce(1).write.mode("overwrite").json(f"{path}/manifest")
+    return count
+
+
+def page_text_files(texts: DataFrame) -> DataFrame:
+    """(name, content) of each page's text (file_name, page_no, image_path, engine, lines): a text file and a JSON file."""
+    text = F.array_join("lines", "\n")
+    payload = F.struct("image_path", "page_no", "engine", F.size("lines").alias("line_count"), "lines", text.alias("text"))
+    stem = F.concat(F.col("file_name"), F.lit("/"), page_name(F.col("page_no")))
+    files = F.array(F.struct(F.concat(stem, F.lit("_text.txt")).alias("name"), text.alias("t")), F.struct(F.concat(stem, F.lit("_text.json")).alias("name"), F.to_json(payload, {"ignoreNullFields": "false"}).alias("t")))
+    return texts.select(F.explode(files).alias("f")).select("f.name", F.encode("f.t", "UTF-8").alias("content"))
+
+
+def ocr_files(pages: DataFrame) -> DataFrame:
+    """(name, content) of each page's recognition (file_name, page_no, items and more): a JSON file and scored lines."""
+    stem = F.concat(F.col("file_name"), F.lit("/"), page_name(F.col("page_no")))
+    lines = F.array_join(F.transform("items", lambda i: F.format_string("%.4f\t%s", i["score"], i["text"])), "\n")
+    payload = F.to_json(F.struct(*[c for c in pages.columns if c != "file_name"]), {"ignoreNullFields": "false"})
+    files = F.array(F.struct(F.concat(stem, F.lit("_rapid_ocr.json")).alias("name"), payload.alias("t")), F.struct(F.concat(stem, F.lit("_rapid_ocr.txt")).alias("name"), lines.alias("t")))
+    return pages.select(F.explode(files).alias("f")).select("f.name", F.encode("f.t", "UTF-8").alias("content"))
+
+
+def vl_files(pages: DataFrame) -> DataFrame:
+    """(name, content) of each page's vision-language result (file_name, page_no, image_path, markdown, html, blocks): JSON with its summary, Markdown if any, an HTML file per value."""
+    stem = F.concat(F.col("file_name"), F.lit("/"), page_name(F.col("page_no")), F.lit("_vl"))
+    html = harvest_html(F.col("html"), F.col("blocks"))
+    markdown = F.trim(F.array_join(F.filter("markdown", lambda m: F.trim(m) != ""), "\n\n"))
+    labels = F.aggregate("blocks", F.expr("cast(map() as map<string,bigint>)"), lambda m, b: F.map_concat(F.map_filter(m, lambda k, v: k != b["block_label"]), F.create_map(b["block_label"], F.coalesce(F.try_element_at(m, b["block_label"]), F.lit(0).cast("long")) + 1)))
+    counts = block_summary(F.col("blocks"))
+    summary = F.struct(counts["block_count"].alias("block_count"), counts["table_blocks"].alias("table_blocks"), labels.alias("label_counts"), (markdown != "").alias("has_markdown"), F.size(html).alias("html_files"), F.lit(False).alias("generated_preview_html"))
+    payload = F.to_json(F.struct("image_path", "page_no", summary.alias("summary"), F.array(F.struct(F.col("blocks").alias("parsing_res_list"))).alias("results")), {"ignoreNullFields": "false"})
+    file = lambda ending, t: F.struct(F.concat(stem, ending).alias("name"), t.alias("t"))
+    numbered = F.transform(html, lambda h, i: file(F.when(i == 0, ".html").otherwise(F.format_string("_%02d.html", i + 1)), h))
+    none = F.slice(numbered, 1, 0)
+    files = F.concat(F.array(file(F.lit(".json"), payload)), F.when(markdown != "", F.array(file(F.lit(".md"), markdown))).otherwise(none), numbered)
+    return pages.select(F.explode(files).alias("f")).select("f.name", F.encode("f.t", "UTF-8").alias("content"))
+
+
+def debug_files(asked: DataFrame, label: str) -> DataFrame:
+    """(name, content): numbered prompt and reply files of rows (ord, prompt, reply)."""
+    safe = "".join(c if c.isascii() and (c.isalnum() or c in "_-") else "_" for c in label).strip("_") or "llm"
+    file = lambda n, kind, t: F.struct(F.format_string(f"%04d_{safe}_{kind}.txt", n).alias("name"), t.alias("t"))
+    files = F.array(file(F.col("ord") * 2 + 1, "prompt", F.col("prompt")), file(F.col("ord") * 2 + 2, "response", F.trim("reply")))
+    return asked.select(F.explode(files).alias("f")).select("f.name", F.encode(F.coalesce("f.t", F.lit("")), "UTF-8").alias("content"))
+
+
+def report_files(pages: DataFrame, partial: bool = False) -> DataFrame:
+    """(name, content): the extraction report of each document of ``pages`` (the fields of a page summary); a partial run names its pages."""
+    fields = F.struct(*[c for c in pages.columns if c != "file_name"])
+    entry = F.struct("page_no", F.coalesce("table_index", F.lit(-1)).alias("_t"), fields.alias("p"))
+    grouped = pages.groupBy("file_name").agg(F.array_sort(F.collect_list(entry)).alias("e"), F.collect_set("page_no").alias("pages"), F.sum("rows").alias("total_rows"))
+    payload = F.struct("file_name", F.size("pages").alias("processed_pages"), F.lit(partial).alias("partial_update"), "total_rows", F.transform("e", lambda x: x["p"]).alias("pages"))
+    suffix = F.concat(F.lit("_"), page_suffix(F.col("pages"))) if partial else F.lit("")
+    name = F.concat(F.col("file_name"), F.lit("_vl_llm_extract"), suffix, F.lit("_summary.json"))
+    return grouped.select(name.alias("name"), F.encode(F.to_json(payload, {"ignoreNullFields": "false"}), "UTF-8").alias("content"))

@@ -17,7 +17,7 @@ def upsert_pages(spark: SparkSession, source: str, schema: StructType, target: s
 
     def write(batch: DataFrame, version: int) -> None:
         marked = batch.withColumn("bucket", F.pmod(F.xxhash64("file_name"), F.lit(buckets)))
-        marked.write.mode("overwrite").parquet(f"{target}/version={version}")
+        marked.write.mode("overwrite").partitionBy("bucket").parquet(f"{target}/version={version}")
 
     stream = spark.readStream.schema(schema).json(source)
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -28,3 +28,10 @@ def latest_pages(spark: SparkSession, target: str) -> DataFrame:
     rows = spark.read.parquet(target)
     last = rows.groupBy("file_name", "page_no").agg(F.max("version").alias("version"))
     return rows.join(last, ["file_name", "page_no", "version"], "left_semi").drop("version", "bucket")
+
+
+def compact_pages(spark: SparkSession, target: str, compacted: str) -> DataFrame:
+    """Writes the latest pages to a new target as its version 0, so that reads need not look at all versions; later versions are then written there."""
+    rows = latest_pages(spark, target).withColumn("bucket", F.pmod(F.xxhash64("file_name"), F.lit(64)))
+    rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{compacted}/version=0")
+    return latest_pages(spark, compacted)
