@@ -150,3 +150,9 @@ def page_summaries(pages: DataFrame, tables: DataFrame) -> DataFrame:
     none = bare.select("file_name", "page_no", F.lit(None).cast("int").alias("table_index"), F.lit(None).cast("string").alias("table_type"), F.lit(0).cast("long").alias("rows"), F.when(is_blank(F.col("text")), "empty").otherwise("rules_pipeline_no_table").alias("extractor"))
     tag = F.when(~F.col("matched"), "unmatched_table").when(~F.col("enabled"), "disabled_by_config").otherwise(rules.MODEL_ROWS)
     return none.unionByName(tables.select("file_name", "page_no", "table_index", "table_type", F.when(F.col("enabled") & F.col("matched"), F.col("rows")).otherwise(0).cast("long").alias("rows"), tag.alias("extractor")))
+
+
+def removed_rows(rows: DataFrame) -> DataFrame:
+    """The rows that the export drops, each with its reasons and a preview of the fields it has."""
+    shown = [F.col(c) for c in LONG if c in rows.columns]
+    return rows.where(~is_exported()).withColumns({"reasons": loss_reason(), "preview": preview(*shown)})

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import rules
@@ -77,3 +77,16 @@ def item_texts(items: Column) -> Column:
 def gate(is_table: Column, is_target: Column, failed: Column) -> Column:
     """Both gates must agree; a failed gate lets the page through."""
     return F.when(failed, True).otherwise(F.coalesce(is_table, F.lit(True)) & F.coalesce(is_target, F.lit(True)))
+
+
+def document_summary(pages: DataFrame) -> DataFrame:
+    """Per document, and over all (is_total 1): pages, those of the target, those sent on, failed ones with processed, and the page lists.
+
+    ``pages`` has file_name, page_no, target, vl and error (null without one).
+    """
+    listed = lambda c: F.array_sort(F.collect_list(F.when(c, F.col("page_no"))))
+    total = F.grouping("file_name")
+    rows = pages.rollup("file_name").agg(
+        F.count("*").alias("pages"), F.count_if("target").alias("target_pages"), F.count_if("vl").alias("vl_pages"), F.count_if(F.col("error").isNotNull()).alias("failed_pages"), total.cast("int").alias("is_total"))
+    lists = pages.groupBy("file_name").agg(listed(F.col("target")).alias("target_page_list"), listed(F.col("vl")).alias("vl_page_list"))
+    return rows.join(lists, "file_name", "left").withColumn("processed", F.col("failed_pages") == 0)

@@ -1,19 +1,21 @@
 """Extraction by a language model: prompt, call, parse, normalise.
 
-A backend is any object with ``reply(prompt)``, Column to Column; the operators take it as an
-argument. ``RecordedBackend`` answers from recorded replies, ``CallBackend`` from any
+A backend is any object with ``answered(asked)``, which adds the replies to rows with a prompt;
+the operators take it as an argument. ``RecordedBackend`` answers from recorded replies, ``CallBackend`` from any
 Python function, made once a worker. Prompts and replies are columns, so that keeping
 them is a projection and not a debug mode.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from typing import Protocol
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import rules
 from ..functions.text import clean_amount, is_blank, let, strip
@@ -26,25 +28,27 @@ SYSTEM = "Map the recognised table text to the named JSON fields. Add and correc
 
 
 class Backend(Protocol):
-    def reply(self, prompt: Column) -> Column: ...
+    def answered(self, asked: DataFrame) -> DataFrame:
+        """``asked`` with the reply to each prompt."""
 
 
 class CallBackend:
-    """Replies of ``make()(prompts)``; ``make`` runs once in each worker, so a model is loaded there once."""
+    """Replies of ``make()(prompts)``; ``make`` runs once in each task, so a model is loaded there once, and each prompt is asked once."""
 
     def __init__(self, make: Callable[[], Callable[[list[str]], Iterable[str]]]):
         self.make = make
 
-    def reply(self, prompt: Column) -> Column:
-        make, held = self.make, []
+    def answered(self, asked: DataFrame) -> DataFrame:
+        make, at = self.make, asked.columns.index("prompt")
 
-        def run(prompts: pd.Series) -> pd.Series:
-            if not held:
-                held.append(make())
-            return pd.Series(list(held[0](prompts.fillna("").tolist())), dtype=object)
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            model = None
+            for batch in batches:
+                model = model or make()
+                replies = pa.array(list(model([p or "" for p in batch.column(at).to_pylist()])), pa.string())
+                yield pa.RecordBatch.from_arrays([*batch.columns, replies], names=[*batch.schema.names, "reply"])
 
-        run.__annotations__ = {"prompts": pd.Series, "return": pd.Series}
-        return F.pandas_udf(run, "string").asNondeterministic()(prompt)
+        return asked.mapInArrow(run, StructType([*asked.schema.fields, StructField("reply", StringType())]))
 
 
 def cell_text(cell: Column, limit: int) -> Column:
@@ -158,9 +162,8 @@ def extract_tables(tables: DataFrame, kind: str, backend: Backend, limit: int =
     named = [c for c in tables.columns if c != "grid"]
     cut = tables.select(*named, F.explode(table_chunks(F.col("grid"), kind, limit)).alias("c"))
     told = F.when((F.col("c.chunk_index") > 1) | (F.col("c.source_row_start") > 1), F.concat(F.format_string("TABLE_CHUNK_INFO chunk_index=%d data_rows=%d source_row_start=%d\n", "c.chunk_index", "c.data_rows", "c.source_row_start"))).otherwise("")
-    asked = cut.withColumn("prompt", prompt(F.concat(told, table_text(F.col("c.grid"), kind, limit=limit)), kind)).where(F.size("c.grid") > 0)
-    answered = asked.withColumn("reply", backend.reply(F.col("prompt")))
-    rows = answered.select(*named, F.col("c.chunk_index").alias("chunk_index"), *(["prompt", "reply"] if keep else []), F.posexplode(parse_replies(F.col("reply"))).alias("idx", "row"))
+    asked = cut.where(F.size("c.grid") > 0).select(*named, F.col("c.chunk_index").alias("chunk_index"), prompt(F.concat(told, table_text(F.col("c.grid"), kind, limit=limit)), kind).alias("prompt"))
+    rows = backend.answered(asked).select(*named, "chunk_index", *(["prompt", "reply"] if keep else []), F.posexplode(parse_replies(F.col("reply"))).alias("idx", "row"))
     return rows.withColumn("row", normalised(F.col("row"), kind)).select(*[c for c in rows.columns if c != "row"], "row.*")
 
 
@@ -177,14 +180,19 @@ def cleaned_processes(sections: DataFrame, backend: Backend, limit: int = PROCES
         import json
 
         def first(text):
-            rows = lenient_json(text)
-            return json.dumps(rows[0], ensure_ascii=False) if rows and isinstance(rows[0], dict) else None
+            bare = (text or "").strip().removeprefix("```json").removeprefix("```").removesuffix("```")
+            try:  # an object may hold lists, so it is tried whole first
+                rows = [json.loads(bare)]
+            except ValueError:
+                rows = lenient_json(text) or []
+            found = rows[0][0] if rows and isinstance(rows[0], list) and rows[0] else rows[0] if rows else None
+            return json.dumps(found, ensure_ascii=False) if isinstance(found, dict) else None
 
         return replies.map(first)
 
     parsed.__annotations__ = {"replies": pd.Series, "return": pd.Series}
-    asked = sections.select("file_name", F.posexplode(chunk_lines(F.split("content", "\n"), limit)).alias("k", "chunk")).withColumn("reply", backend.reply(process_prompt(F.col("chunk"))))
-    found = asked.withColumn("o", F.from_json(F.pandas_udf(parsed, "string")(F.col("reply")), f"cleaned_content string, structured_items {item}"))
+    asked = sections.select("file_name", F.posexplode(chunk_lines(F.split("content", "\n"), limit)).alias("k", "chunk")).withColumn("prompt", process_prompt(F.col("chunk")))
+    found = backend.answered(asked).withColumn("o", F.from_json(F.pandas_udf(parsed, "string")(F.col("reply")), f"cleaned_content string, structured_items {item}"))
     text = F.when(is_blank(F.col("o.cleaned_content")), F.col("chunk")).otherwise(strip(F.col("o.cleaned_content")))
     parts = found.groupBy("file_name").agg(F.array_sort(F.collect_list(F.struct("k", text.alias("t"), F.coalesce("o.structured_items", F.expr(f"cast(array() as {item})")).alias("i")))).alias("p"))
     mended = parts.select("file_name", strip(F.array_join(F.transform("p", lambda x: x["t"]), "\n")).alias("cleaned_content"), F.flatten(F.transform("p", lambda x: x["i"])).alias("structured_items"))

@@ -347,13 +347,6 @@ def phrase_collapse(spark, sf_dir):
     return _t(spark, sf_dir, "part").select("p_partkey", T.collapse_phrase(F.expr("repeat(p_type, 1 + p_size % 3)")).alias("phrase"))
 
 
-@query("greedy_chunk")
-def greedy_chunk(spark, sf_dir):
-    docs = _t(spark, sf_dir, "documents")
-    chunks = docs.select("doc_id", F.posexplode(sequences.chunk_lines(F.split("text", "\n"), 2000)).alias("chunk", "text"))
-    return chunks.select("doc_id", "chunk", F.length("text").alias("n_chars"), F.md5("text").alias("digest"))
-
-
 @query("alias_normalise", """
 SELECT event_id, coalesce(CASE WHEN event_id % 3 = 0 THEN event_type END, CASE WHEN event_id % 3 = 1 THEN user_id::VARCHAR END, '') AS quantity FROM events""")
 def alias_normalise(spark, sf_dir):
@@ -368,29 +361,6 @@ def bundle(spark, sf_dir):
     return sequences.bundle(joined, ["r_name"], "n_name", ["n_nationkey"]).select("r_name", "file_count", F.array_join(F.transform("files", lambda f: f["n_name"]), "|").alias("files"))
 
 
-@query("md_grid")
-def md_grid(spark, sf_dir):
-    from ..operators import grids
-
-    docs = _t(spark, sf_dir, "documents").where(F.contains("text", F.lit("|"))).select("doc_id", "text")
-    found = docs.select("doc_id", F.posexplode(grids.markdown_grids(F.col("text"))).alias("table_index", "grid"))
-    return found.select("doc_id", "table_index", F.size("grid").alias("n_rows"), F.size(F.get("grid", F.lit(0))).alias("n_cols"), F.md5(F.to_json("grid")).alias("digest"))
-
-
-@query("html_grid")
-def html_grid(spark, sf_dir):
-    from ..operators import grids
-
-    return _t(spark, sf_dir, "pages").select("page_id", F.size(grids.html_grids(F.col("html"))).alias("n_tables"))
-
-
-@query("gate_summary", """
-SELECT o_custkey, count(*) AS pages, count(*) FILTER (o_totalprice > 200000) AS target_pages, sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END)::BIGINT AS vl_pages, grouping(o_custkey)::INT AS is_total FROM orders GROUP BY ROLLUP (o_custkey)""")
-def gate_summary(spark, sf_dir):
-    return _t(spark, sf_dir, "orders").rollup("o_custkey").agg(
-        F.count("*").alias("pages"), F.count_if(F.col("o_totalprice") > 200000).alias("target_pages"), F.sum(F.when(F.col("o_orderstatus") == "F", 1).otherwise(0)).alias("vl_pages"), F.grouping("o_custkey").cast("int").alias("is_total"))
-
-
 @query("page_summaries", """
 WITH p AS (SELECT conv_id, turn, text FROM conversations), t AS (SELECT conv_id, turn, role, length(text) AS rows FROM conversations WHERE role <> 'user')
 SELECT 'c' || p.conv_id AS file_name, p.turn::INT AS page_no, CASE WHEN t.turn IS NULL THEN NULL ELSE 0 END AS table_index, t.role AS table_type, CASE WHEN t.turn IS NOT NULL AND t.rows > 80 THEN t.rows ELSE 0 END::BIGINT AS rows,

@@ -90,26 +90,21 @@ def read_sheet(content: bytes) -> Iterator[list[str]]:
 
 def excel_files(rows: DataFrame, columns: Sequence[str] = rules.EXPORT_COLUMNS, order: Sequence[str] = ("file_name",), rows_per_file: int = SHEET_ROWS - 1) -> DataFrame:
     """(name, content): workbooks of ``rows``, sorted, at most ``rows_per_file`` rows each; a table without rows gives one with headers only."""
-    files = max(1, -(-rows.count() // rows_per_file))
+    files = -(-rows.count() // rows_per_file)
     texts = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in columns]
-    names, each = list(columns), rows_per_file
+    keys = [F.col(c).alias(f"_o{k}") for k, c in enumerate(order)]
+    names, sort, each = list(columns), [(f"_o{k}", "ascending") for k in range(len(order))], rows_per_file
 
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
+    def books(table: pa.Table, group: int) -> pa.RecordBatch:
+        held = list(zip(*(c.to_pylist() for c in table.sort_by(sort).select(names).columns), strict=True))
         parts = [held[i : i + each] for i in range(0, len(held), each)] or [[]]
-        made = [(f"{(int(p[0][0]) if p else 0) // each:05d}.xlsx", workbook(names, [r[1:] for r in p])) for p in parts]
-        yield pa.RecordBatch.from_arrays([pa.array([m[0] for m in made]), pa.array([m[1] for m in made], pa.binary())], names=["name", "content"])
-
-    from pyspark.sql.window import Window
-
-    if files == 1:
-        numbered = rows.select(F.lit(0).alias("_n"), *texts, *[F.col(c).alias(f"_o{k}") for k, c in enumerate(order)]).coalesce(1).sortWithinPartitions(*[f"_o{k}" for k in range(len(order))])
-        return numbered.select("_n", *columns).mapInArrow(make, "name string, content binary")
-    # several files: rank by range, so that each task sorts and writes its own stretch
-    ranged = rows.repartitionByRange(files, *order).withColumn("_p", F.spark_partition_id())
-    at = F.row_number().over(Window.partitionBy("_p").orderBy(*order)) - 1
-    first = ranged.withColumn("_n", F.col("_p").cast("long") * each * 1000 + at)
-    return first.select("_n", *texts).repartition(files, F.floor(F.col("_n") / (each * 1000))).sortWithinPartitions("_n").mapInArrow(make, "name string, content binary")
+        made = [(f"{group:05d}-{k:03d}.xlsx", workbook(names, p)) for k, p in enumerate(parts)]
+        return pa.RecordBatch.from_arrays([pa.array([m[0] for m in made]), pa.array([m[1] for m in made], pa.binary())], names=["name", "content"])
+
+    if files == 0:
+        return rows.sparkSession.createDataFrame([("00000-000.xlsx", bytearray(workbook(names, [])))], "name string, content binary")
+    ranged = rows.repartitionByRange(files, *order).select(F.spark_partition_id().alias("_p"), *texts, *keys)
+    return ranged.groupBy("_p").applyInArrow(lambda table: pa.Table.from_batches([books(table, table.column("_p")[0].as_py())]), "name string, content binary")
 
 
 def excel_rows(spark: SparkSession, path: str) -> DataFrame:

@@ -6,9 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridloom.functions import text as T
-from gridloom.operators import audit, classify, docinfo, extract, gates, grids, pages, repair, sequences, upsert
+from gridloom.operators import audit, classify, docinfo, extract, gates, grids, pages, repair, sections, sequences, upsert
 from gridloom.plans import extraction
-from gridloom.sources import artifacts, sinks
+from gridloom.sources import artifacts, excel, sinks
 from gridloom.streaming import ingest
 
 
@@ -158,7 +158,6 @@ def test_document_info(spark):
     assert one(spark, text, docinfo.project_name) == "某小区改造工程"
     assert one(spark, text, docinfo.report_date) == "2024-12-03"
     assert one(spark, text, docinfo.renovation_text) == "屋面翻新"
-    assert one(spark, "施工工艺......3\n施工工艺\n先清理基层再涂刷\n二、下一章", lambda c: c) is not None
 
 
 def test_chunks(spark):
@@ -199,3 +198,59 @@ def test_streaming_upsert(spark, tmp_path):
         (source / f"{k}.json").write_text(json.dumps({"file_name": "f", "page_no": 1, "text": text}))
         ingest.upsert_pages(spark, str(source), schema, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
     assert [r.text for r in ingest.latest_pages(spark, str(tmp_path / "out")).collect()] == ["new"]
+
+
+@pytest.mark.parametrize(
+    ("pages", "expected"),
+    [
+        ([(1, "施工工艺\n先清理基层再涂刷")], "施工工艺\n先清理基层再涂刷"),
+        ([(1, "施工工艺......3")], None),  # an entry of a table of contents is no heading
+        ([(1, "目录\n施工工艺\n某某某某某某某")], None),
+        ([(1, "4、施工工艺\n5、现场踏勘记录表\n某某某某某某某")], None),
+        ([(1, "施工工艺\n短")], None),
+        ([(2, "1. 第二页的步骤"), (1, "三、施工工艺：\n先清理基层，")], "三、施工工艺：\n先清理基层，\n1. 第二页的步骤"),
+        ([(1, "施工工艺\n先清理基层再涂刷。"), (2, "普通的一句话")], "施工工艺\n先清理基层再涂刷。"),
+        ([(1, "施工工艺\n先清理基层再涂刷"), (2, ""), (3, "四、其他")], "施工工艺\n先清理基层再涂刷"),
+        ([(1, "施工工艺\n先清理基层再涂刷\n建设单位：某某\n后文")], "施工工艺\n先清理基层再涂刷"),
+        ([(1, None), (2, "")], None),
+    ],
+)
+def test_construction_section(pages, expected):
+    found = sections.read_section(pages)
+    assert (found and found["content"]) == expected
+
+
+def test_section_images():
+    found = sections.read_section([(3, "施工工艺\n![a](b.png)\n<img src='c.jpg'>\ndata:image/png;base64,xx\n先清理基层再涂刷")])
+    assert [(i["type"], i["target"], i["page_no"], i["line_no"]) for i in found["image_refs"]] == [("markdown_image", "b.png", 3, 2), ("html_image", "c.jpg", 3, 3), ("embedded_image", "", 3, 4)]
+
+
+def test_workbook_reads_back(spark, tmp_path):
+    rows = [["a & <b>", "", "x\ny"], ["二", "c" * 100, ""]]
+    content = excel.workbook(["h1", "h2", "h3"], rows)
+    assert list(excel.read_sheet(content)) == [["h1", "h2", "h3"], *rows]
+    assert [excel.column_name(k) for k in (0, 25, 26, 701, 702)] == ["A", "Z", "AA", "ZZ", "AAA"]
+    df = spark.createDataFrame([(f"f{i:02d}", str(i)) for i in range(25)], "file_name string, v string")
+    files = excel.excel_files(df, ["file_name", "v"], rows_per_file=10).collect()
+    read = [r for f in files for r in list(excel.read_sheet(bytes(f.content)))[1:]]
+    assert len({f.name for f in files}) == len(files) >= 3 and sorted(read) == [[f"f{i:02d}", str(i)] for i in range(25)]
+    assert [list(excel.read_sheet(bytes(f.content))) for f in excel.excel_files(df.limit(0), ["file_name", "v"]).collect()] == [[["file_name", "v"]]]
+
+
+@pytest.mark.parametrize(("value", "expected"), [("十", 10), ("十二", 12), ("二十", 20), ("九十九", 99), ("两", 2), ("二〇", 20), ("7", 7), ("1十", None), ("十十", 10), ("", None), ("甲", None)])
+def test_chinese_int(spark, value, expected):
+    assert one(spark, value, T.chinese_int) == expected
+
+
+def test_paths_of_lists_are_resolved(spark, tmp_path):
+    (tmp_path / "list.txt").write_text("# note\n\na/./b.pdf\na//b.pdf\nc/../d.pdf\n../e.pdf\n")
+    known = spark.createDataFrame([("./a/b.pdf",), ("../e.pdf",)], "path string")
+    found, missing = artifacts.resolve_list(spark, known, ["z.pdf", "a/b.pdf"], str(tmp_path / "list.txt"))
+    assert [r.path for r in found.collect()] == ["a/b.pdf", "../e.pdf"] and [r.path for r in missing.collect()] == ["z.pdf", "d.pdf"]
+
+
+def test_versions_compact(spark, tmp_path):
+    rows = lambda v: spark.createDataFrame([("f", 1, v)], "file_name string, page_no int, text string")
+    for version in (0, 1):
+        rows(f"v{version}").selectExpr("*", "3 AS bucket").write.partitionBy("bucket").parquet(str(tmp_path / f"t/version={version}"))
+    assert [r.text for r in ingest.compact_pages(spark, str(tmp_path / "t"), str(tmp_path / "c")).collect()] == ["v1"]
