@@ -22,11 +22,21 @@ class _Words(dict):
         return h
 
 
-_words = _Words()
+class _OtherWords(_Words):
+    """A second hash, independent of the first."""
 
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= KEPT_WORDS:
+            self.clear()
+        self[word] = h = xxhash.xxh3_64_intdigest(word, 1)
+        return h
+
+
+_words, _other_words = _Words(), _OtherWords()
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_words.__getitem__, words), np.uint64, len(words))
+
+def word_hashes(words: list[bytes], other: bool = False) -> np.ndarray:
+    return np.fromiter(map((_other_words if other else _words).__getitem__, words), np.uint64, len(words))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -45,33 +55,12 @@ def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumprod(up), np.cumprod(down)
 
 
-def windows(h: np.ndarray, size: int, base: int = 0x9E3779B97F4A7C15) -> np.ndarray:
-    """A hash of each ``size`` consecutive entries of ``h``, from sums of h[i] * base**i."""
-    n = len(h)
-    if n < size:
-        return np.zeros(0, np.uint64)
-    up, down = _powers(base, 1 << max(12, (n + 1).bit_length()))
-    upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * up[:n])])
-    return mix((upto[size:] - upto[:-size]) * down[: n - size + 1])
-
-
 class Spans:
-    """Hashes of any spans of a sequence of word hashes, in two independent ways."""
+    """Hashes of any spans of a sequence of word hashes."""
 
-    def __init__(self, h: np.ndarray):
-        self.n = len(h)
-        self.h = h
-        self.sums: dict[int, np.ndarray] = {}
-
-    def _of(self, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
-        up, down = _powers(base, 1 << max(12, (self.n + 1).bit_length()))
-        if base not in self.sums:
-            self.sums[base] = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.h * up[: self.n])])
-        upto = self.sums[base]
-        return mix((upto[ends] - upto[starts]) * down[starts] + (ends - starts).astype(np.uint64) * M2)
+    def __init__(self, h: np.ndarray, base: int = 0x9E3779B97F4A7C15):
+        self.up, self.down = _powers(base, 1 << max(12, (len(h) + 1).bit_length()))
+        self.upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * self.up[: len(h)])])
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return self._of(starts, ends, 0x9E3779B97F4A7C15)
-
-    def again(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return self._of(starts, ends, 0xD6E8FEB86659FD93)
+        return mix((self.upto[ends] - self.upto[starts]) * self.down[starts] + (ends - starts).astype(np.uint64) * M2)

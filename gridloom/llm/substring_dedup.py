@@ -12,8 +12,9 @@ the words from an anchor to the next one are the edges.
    through joins, and each run of edges over nonbranching anchors compacts to one path,
    which then occurs as often as its inner anchors do.
 3. Source coordinates give the words of each path, and of each candidate window that is
-   not inside a long path. Paths and windows are hashed with 128 bits over all their
-   words and counted; what occurs twice or more is removed.
+   not inside a long path. Paths and windows are hashed over all their words, twice, with
+   word hashes and bases that are independent of each other; what occurs twice or more by
+   both hashes (128 bits) is removed.
 
 Per-document lists hold only hashes that the document itself has. Nulls: a null text has
 no words; a null id is kept. Repeated rows are occurrences elsewhere, so both lose their
@@ -64,6 +65,10 @@ class _Doc:
             self.of_window = _anchors(self.kmers, size - K + 1)
             self.at = self.of_window[np.flatnonzero(np.diff(self.of_window, prepend=-1))]
 
+    def again(self) -> Spans:
+        """Spans by word hashes and a base that are independent of the first ones."""
+        return Spans(word_hashes(self.words, other=True), 0xD6E8FEB86659FD93)
+
     def edges(self) -> np.ndarray:
         """The hash of the words from each anchor to the end of the next."""
         return self.spans.of(self.at[:-1], self.at[1:] + K)
@@ -161,7 +166,7 @@ def _sequences(held: DataFrame, size: int) -> DataFrame:
                 a, at, c = np.unique(doc.spans.of(s, e), return_index=True, return_counts=True)
                 keys.append(np.full(len(a), key.as_py(), np.int64))
                 first.append(a)
-                second.append(doc.spans.again(s[at], e[at]))
+                second.append(doc.again().of(s[at], e[at]))
                 often.append(np.minimum(c, 2))
             flat = lambda xs: np.concatenate(xs) if xs else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(flat(keys)), pa.array(flat(first).view(np.int64)), pa.array(flat(second).view(np.int64)), pa.array(flat(often).astype(np.int32))], names=["key", "x", "y", "c"])
@@ -175,13 +180,14 @@ def _cut(held: DataFrame, size: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             removed, sha, text = [], [], []
-            for x, repeated, plain, found in zip(*(batch.column(k).cast(pa.binary()) if k == 2 else batch.column(k) for k in (2, 3, 4, 5)), strict=True):
-                doc, twice = _Doc(x.as_py(), size), _array(found)
+            for x, repeated, plain, found, also in zip(*(batch.column(k).cast(pa.binary()) if k == 2 else batch.column(k) for k in (2, 3, 4, 5, 6)), strict=True):
+                doc, twice, both = _Doc(x.as_py(), size), _array(found), _array(also)
                 starts, ends = doc.paths(_array(plain))
                 w = doc.open_windows(_array(repeated), starts, ends)
                 long = ends - starts >= size
                 s, e = np.concatenate([starts[long], w]), np.concatenate([ends[long], w + size])
-                hit = np.isin(doc.spans.of(s, e), twice)
+                hit = np.flatnonzero(np.isin(doc.spans.of(s, e), twice))
+                hit = hit[np.isin(doc.again().of(s[hit], e[hit]), both)]
                 depth = np.zeros(doc.n + 1, np.int64)
                 np.add.at(depth, s[hit], 1)
                 np.add.at(depth, e[hit], -1)
@@ -192,7 +198,7 @@ def _cut(held: DataFrame, size: int) -> DataFrame:
                 text.append(b" ".join(kept))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(removed, pa.int64()), pa.array(sha), pa.array(text, pa.binary()).cast(pa.string())], names=["doc_id", "key", "n_removed", "kept_sha", "kept"])
 
-    return held.select("doc_id", "key", "text", "repeated", "plain", "found").mapInArrow(run, f"doc_id {_kind(held)}, key long, n_removed long, kept_sha string, kept string")
+    return held.select("doc_id", "key", "text", "repeated", "plain", "found.x", "found.y").mapInArrow(run, f"doc_id {_kind(held)}, key long, n_removed long, kept_sha string, kept string")
 
 
 def _with_list(docs: DataFrame, rows: DataFrame, column: str, name: str, how: str) -> DataFrame:
@@ -216,8 +222,8 @@ def repeated_spans(docs: DataFrame, size: int = 35) -> tuple[DataFrame, DataFram
     held = stored(_with_list(held, mine.join(plain, "h"), "h", "plain", "left"), "span-graph")
     seen = stored(_sequences(held, size), "span-sequences")
     counted = stored(seen.groupBy("x", "y").agg(F.sum("c").alias("c")).where("c > 1").select("x", "y"), "span-counted")
-    found = seen.join(counted, ["x", "y"]).select("key", "x")
-    return base.select("doc_id", "key", "n_words", "sha"), _cut(_with_list(held, found, "x", "found", "inner"), size)
+    found = seen.join(counted, ["x", "y"]).select("key", F.struct("x", "y").alias("xy"))
+    return base.select("doc_id", "key", "n_words", "sha"), _cut(_with_list(held, found, "xy", "found", "inner"), size)
 
 
 def cut_repeats(docs: DataFrame, size: int = 35) -> DataFrame:

@@ -145,6 +145,12 @@ def test_tokens(docs, texts):
     assert got == {i: (len((t or "").encode()), len(whole.encode(t or "", add_special_tokens=False).ids)) for i, t in enumerate(texts)}
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "piece_bpe_32k.model", "byte_bpe_50k.tiktoken"])
+def test_tokens_of_other_vocabularies_are_refused(spark, name):
+    with pytest.raises(ValueError, match="word-level"):
+        tokens.count_tokens(nothing(spark), vocabulary=name)
+
+
 def shingles(t, k):
     w = (t or "").encode().lower().split()
     return frozenset(tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))) if w else frozenset()
