@@ -2,7 +2,17 @@
 
 Each stage takes (spark, docs, sf_dir) and returns what it keeps, with the columns of
 ``documents``; the last one returns the mixed documents, repeats included. ``run`` writes
-each stage's rows to the shared folder and reads them again as the next one's input.
+each stage's rows to the shared folder, reads them again as the next one's input, and deletes
+the tables that the stage stored on the way.
+
+Nulls: a null text is empty for every stage and stays null; the classifier and the near-dedup
+keep it, mixing takes it as size 0. A null id is never trusted or near-duplicate; a null
+language or source is one of its own. Rows that share an id but not their text are judged
+each by its own text. Rows that repeat id and text stay or go together, and share the draw of the mix.
+Of equal lines and documents the one of the smallest id stays; a value at a limit is kept.
+Empty tables give an empty result: without ``labels`` the classifier keeps all, without
+``benchmark`` the decontamination does. Extra columns of any name are passed on;
+n_chars, where there is one, follows the text. Texts are taken whole at any length.
 """
 
 from __future__ import annotations
