@@ -104,6 +104,12 @@ def _one_edit(a: Column, b: Column) -> Column:
     return F.when(gap > 1, False).otherwise((at > 0) & rest)
 
 
+def _of_several(ends: DataFrame) -> DataFrame:
+    """The ends that two lines or more have; plain numbers are aggregated by hash, structs would be sorted."""
+    extremes = [f(c).alias(f"{c}_{k}") for c in LINE for k, f in ((0, F.min), (1, F.max))]
+    return ends.groupBy("end").agg(*extremes).where("lh_0 != lh_1 OR l2_0 != l2_1").select("end")
+
+
 def later_lines(docs: DataFrame, exact_words: int = 3, near_words: int = 8) -> DataFrame:
     """(doc_id, dk, removed): for each row that loses lines, their sorted positions; dk is the row's ``text_key``."""
     if near_words < 2:
@@ -113,7 +119,7 @@ def later_lines(docs: DataFrame, exact_words: int = 3, near_words: int = 8) -> D
     place = F.struct(*ROW, "pos")
     firsts = stored(lines.groupBy(*LINE).agg(F.min(place).alias("first"), F.first("ends").alias("ends"), F.count("*").alias("c")), "line-firsts")
     ends = firsts.where("ends is not null").select(*LINE, "first", F.explode("ends").alias("end"))
-    shared = ends.groupBy("end").agg(F.min("first").alias("a"), F.max("first").alias("b")).where("a != b").select("end")
+    shared = _of_several(ends)
     close = stored(ends.join(shared, "end").select(*LINE, "first").distinct(), "line-close")
 
     # the words of the lines that may have a neighbour
@@ -122,9 +128,7 @@ def later_lines(docs: DataFrame, exact_words: int = 3, near_words: int = 8) -> D
     cut = text.withColumn("all", F.split("text", "\n", -1)).select(*ROW, F.explode(F.transform("at", lambda p: F.struct(p["pos"].alias("pos"), p["lh"].alias("lh"), p["l2"].alias("l2"), F.get(F.col("all"), p["pos"]).alias("line")))).alias("x"))
     spelt = stored(cut.select(*ROW, "x.pos", "x.lh", "x.l2", line_words(F.col("x.line")).alias("ws")).dropDuplicates(LINE), "line-words")
     quarters = spelt.select(*LINE, F.transform("ws", lambda w: F.xxhash64(w)).alias("hs")).select(*LINE, F.explode(_quarters("hs")).alias("end"))
-    line = F.struct(*LINE)
-    agree = quarters.groupBy("end").agg(F.min(line).alias("a"), F.max(line).alias("b")).where("a != b").select("end")
-    near_by = stored(quarters.join(agree, "end").select(*LINE).distinct(), "line-agree")
+    near_by = stored(quarters.join(_of_several(quarters), "end").select(*LINE).distinct(), "line-agree")
     spelt = stored(spelt.join(near_by, LINE, "left_semi"), "line-near")
     hashed = spelt.select(F.struct(*ROW, "pos", *LINE).alias("line"), F.transform("ws", lambda w: F.xxhash64(w)).alias("hs"))
     variants = stored(_neighbourhood(hashed), "line-variants")
