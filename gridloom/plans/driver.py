@@ -96,11 +96,12 @@ def skip_existing(spark, sf_dir):
 
 
 @query("reading_order", """
-SELECT p_brand, count(*) AS n, md5(string_agg(p_name, '|' ORDER BY p_size, p_retailprice, p_name)) AS digest FROM part GROUP BY p_brand""")
+SELECT l_orderkey, string_agg(l_partkey::VARCHAR, chr(10) ORDER BY l_quantity + 1, l_extendedprice, l_partkey::VARCHAR) AS text FROM lineitem GROUP BY l_orderkey""")
 def reading_order(spark, sf_dir):
-    box = F.array(F.array(F.col("p_retailprice"), F.col("p_size").cast("double")))
-    grouped = _t(spark, sf_dir, "part").groupBy("p_brand").agg(F.count("*").alias("n"), F.collect_list(F.struct(F.col("p_name").alias("text"), box.alias("bbox"))).alias("items"))
-    return grouped.select("p_brand", "n", F.md5(F.array_join(pages.reading_order(F.col("items")), "|")).alias("digest"))
+    corner = lambda dy: F.array(F.col("l_extendedprice"), F.col("l_quantity") + dy)
+    item = F.struct(F.col("l_partkey").cast("string").alias("text"), F.array(corner(0), corner(2)).alias("bbox"))
+    grouped = _t(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(item).alias("items"))
+    return grouped.select("l_orderkey", F.array_join(pages.reading_order(F.col("items")), "\n").alias("text"))
 
 
 GATE_LISTS = ([("skip", ("License",)), ("skip", ("token", "="))], [("target", ("version",)), ("target", ("Public", "License"))], [("shape", ("of", "the", "and"))])
@@ -139,14 +140,6 @@ def layout_buckets(spark, sf_dir):
     return grouped.select("l_orderkey", gates.buckets(F.col("x"), gates.BUCKET_X).cast("long").alias("x_buckets"), gates.buckets(F.col("y"), gates.BUCKET_Y).cast("long").alias("y_buckets"))
 
 
-@query("html_text", r"""
-SELECT page_id, regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) AS title, length(regexp_replace(html, '(?s)<[^>]*>', '', 'g'))::INT AS n_text, len(regexp_extract_all(lower(html), '<table'))::INT AS n_tables FROM pages""")
-def html_text(spark, sf_dir):
-    return _t(spark, sf_dir, "pages").select(
-        "page_id", F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1).alias("title"), F.length(F.regexp_replace("html", r"(?s)<[^>]*>", "")).alias("n_text"), F.regexp_count(F.lower("html"), F.lit("<table")).alias("n_tables")
-    )
-
-
 @query("carry_forward", """
 SELECT conv_id, turn, coalesce(last_value(CASE WHEN role = 'user' THEN md5(text) END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), '(root)') AS carried FROM conversations""")
 def carry_forward(spark, sf_dir):
@@ -193,16 +186,17 @@ def code_lookup_join(spark, sf_dir):
 
 
 @query("page_upsert", """
-WITH cur AS (SELECT o_orderkey, o_custkey, o_totalprice * 2 AS o_totalprice FROM orders WHERE o_orderkey % 10 < 3 AND o_custkey % 2 = 0)
-SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderkey % 10 >= 3 UNION ALL SELECT * FROM cur""")
+WITH cur AS (SELECT o_orderkey, o_custkey, o_totalprice * 2 AS o_totalprice FROM orders WHERE o_orderpriority = '1-URGENT' AND o_orderstatus = 'F')
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderpriority <> '1-URGENT' UNION ALL SELECT * FROM cur""")
 def page_upsert(spark, sf_dir):
-    orders = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    current = orders.where("o_custkey % 2 = 0").withColumn("o_totalprice", F.col("o_totalprice") * 2)
-    return upsert.page_upsert(orders, current, orders.where("o_orderkey % 10 < 3"), ["o_orderkey"])
+    orders = _t(spark, sf_dir, "orders")
+    cols = ["o_orderkey", "o_custkey", "o_totalprice"]
+    current = orders.where("o_orderstatus = 'F'").select(*cols).withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    return upsert.page_upsert(orders.select(*cols), current, orders.where("o_orderpriority = '1-URGENT'"), ["o_orderkey"])
 
 
 REPAIR = """
-original AS (SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_orderkey % 7 <> 0), repair AS (SELECT l_orderkey, l_linenumber, l_partkey + 1 AS l_partkey FROM lineitem WHERE l_orderkey % 5 <> 0),
+original AS (SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_returnflag <> 'R'), repair AS (SELECT l_orderkey, l_linenumber, l_partkey + 1 AS l_partkey FROM lineitem WHERE l_linestatus = 'O'),
 targets AS (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE l_quantity > 45),
 st AS (SELECT l_orderkey, count(*) AS pages, CASE WHEN l_orderkey NOT IN (SELECT l_orderkey FROM original) THEN 'missing_original' WHEN l_orderkey NOT IN (SELECT l_orderkey FROM repair) THEN 'missing_repair' ELSE 'ok' END AS status FROM targets GROUP BY l_orderkey)
 """
@@ -211,7 +205,7 @@ st AS (SELECT l_orderkey, count(*) AS pages, CASE WHEN l_orderkey NOT IN (SELECT
 def _repair(spark, sf_dir):
     rows = _t(spark, sf_dir, "lineitem")
     cols = ["l_orderkey", "l_linenumber", "l_partkey"]
-    original, repair = rows.where("l_orderkey % 7 <> 0").select(*cols), rows.where("l_orderkey % 5 <> 0").select(*cols).withColumn("l_partkey", F.col("l_partkey") + 1)
+    original, repair = rows.where("l_returnflag <> 'R'").select(*cols), rows.where("l_linestatus = 'O'").select(*cols).withColumn("l_partkey", F.col("l_partkey") + 1)
     return upsert.repair_merge(original, repair, rows.where("l_quantity > 45"), "l_orderkey", "l_linenumber")
 
 
@@ -268,7 +262,7 @@ def empty_after_filter(spark, sf_dir):
 
 @query("result_check", "WITH" + SUB_ITEMS + r"""
 , c AS (SELECT file_name, count(*) AS total_rows, count(*) FILTER (seq <> '' AND project_name <> '') AS effective_rows, 0::BIGINT AS empty_rows, count(*) FILTER (seq = '') AS rows_without_seq FROM items GROUP BY ALL),
-rep AS (SELECT 'o' || o_orderkey AS file_name, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS model_pages, CASE WHEN o_orderstatus = 'F' THEN o_custkey % 3 ELSE 0 END AS model_rows FROM orders WHERE o_orderkey % 4 <> 0),
+rep AS (SELECT 'o' || o_orderkey AS file_name, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS model_pages, CASE WHEN o_orderstatus = 'F' THEN o_custkey % 3 ELSE 0 END AS model_rows FROM orders WHERE o_orderpriority <> '5-LOW'),
 j AS (SELECT f.file_name, coalesce(total_rows, 0) AS total_rows, coalesce(effective_rows, 0) AS effective_rows, coalesce(empty_rows, 0) AS empty_rows, coalesce(rows_without_seq, 0) AS rows_without_seq,
   coalesce(model_pages, 0)::BIGINT AS model_pages, coalesce(model_rows, 0)::BIGINT AS model_rows, rep.file_name IS NOT NULL AS ok FROM (SELECT 'o' || o_orderkey AS file_name FROM orders) f LEFT JOIN c USING (file_name) LEFT JOIN rep ON rep.file_name = f.file_name),
 i AS (SELECT *, array_to_string(list_filter([CASE WHEN total_rows = 0 THEN '没有分部分项清单行' END, CASE WHEN effective_rows = 0 THEN '没有有效明细行' END, CASE WHEN rows_without_seq > 0 THEN '存在缺少序号的行' END,
@@ -277,7 +271,7 @@ SELECT file_name, issues, total_rows, effective_rows, empty_rows, rows_without_s
 def result_check(spark, sf_dir):
     orders = _t(spark, sf_dir, "orders").withColumn("file_name", F.concat(F.lit("o"), F.col("o_orderkey").cast("string")))
     tag = F.when(F.col("o_orderstatus") == "F", F.lit(audit.rules.MODEL_ROWS)).otherwise("rules_pipeline_no_table")
-    report = orders.where("o_orderkey % 4 <> 0").select("file_name", F.lit(1).alias("page_no"), tag.alias("extractor"), (F.col("o_custkey") % 3).alias("rows"))
+    report = orders.where("o_orderpriority <> '5-LOW'").select("file_name", F.lit(1).alias("page_no"), tag.alias("extractor"), (F.col("o_custkey") % 3).alias("rows"))
     return audit.result_check(orders, sub_items(_t(spark, sf_dir, "lineitem")), report)
 
 
@@ -315,11 +309,6 @@ def label_histogram(spark, sf_dir):
     return sequences.label_histogram(_t(spark, sf_dir, "events"), "user_id", "event_type").select("user_id", F.explode("histogram").alias("event_type", "n"), "total")
 
 
-@query("json_props", "SELECT event_id, json_extract_string(props, '$.k')::BIGINT AS k FROM events")
-def json_props(spark, sf_dir):
-    return _t(spark, sf_dir, "events").select("event_id", F.try_variant_get(F.try_parse_json("props"), "$.k", "long").alias("k"))
-
-
 @query("date_norm", "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS iso FROM orders")
 def date_norm(spark, sf_dir):
     day = F.col("o_orderdate")

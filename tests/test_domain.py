@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from gridloom.functions import settings
 from gridloom.functions import text as T
 from gridloom.operators import audit, classify, docinfo, extract, gates, grids, pages, repair, sections, sequences, upsert
 from gridloom.plans import extraction
@@ -254,3 +255,29 @@ def test_versions_compact(spark, tmp_path):
     for version in (0, 1):
         rows(f"v{version}").selectExpr("*", "3 AS bucket").write.partitionBy("bucket").parquet(str(tmp_path / f"t/version={version}"))
     assert [r.text for r in ingest.compact_pages(spark, str(tmp_path / "t"), str(tmp_path / "c")).collect()] == ["v1"]
+
+
+def test_settings(monkeypatch):
+    for value, expected in (("Yes", True), (" on ", True), ("0", False), ("", None)):
+        monkeypatch.setenv("GRIDLOOM_TEST", value)
+        assert settings.flag("GRIDLOOM_TEST") is expected
+    assert settings.flag("GRIDLOOM_UNSET", True) is True and settings.integer("GRIDLOOM_UNSET") is None
+    monkeypatch.setenv("GRIDLOOM_TEST", " 7 ")
+    assert settings.integer("GRIDLOOM_TEST") == 7
+
+
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [
+        ("工程名称：甲区\n标段：一\n3幢\n序号\n5幢", "甲区-3幢"),
+        ("0.9876\t工程名称：甲区-\n12室", "甲区-12室"),
+        ("工程名称：甲区及\n乙区\n项目编码", "甲区及乙区"),
+        ("工程名称：\n序号\n工程名称：丙区", "丙区"),
+        ("工程名称：甲区\n普通说明", "甲区"),
+        ("无标签 见 7号楼", "7号楼"),
+        ("", "丁区-1"),
+    ],
+)
+def test_label_name(spark, text, expected):
+    grid = F.array(F.array(F.lit("表"), F.lit("")), F.array(F.lit("工程名称：丁区-"), F.lit("1")))
+    assert one(spark, text, lambda c: classify.label_name(c, grid)) == expected
