@@ -16,14 +16,15 @@ is not linked to its hub can still be linked to another member y. Linked sets di
 at most t = r * (|x| + |y|) hashes, r = (100 - percent) / (100 + percent); x differs from
 the hub in more than that allows, so the two differences from the hub, of dx and dy
 hashes, share at least (dx + dy - t) / 2 > 0 of them, and the first they share, in
-whatever order (own hashes first, as they are rare), stands within the first
-(dx - dy + t) / 2 + 1 of x's and (dy - dx + t) / 2 + 1 of y's. So each comparison also
-gives the first t + 1 differences, for members of any size. Members that share one for
-the same hub form second buckets, with stars that only serve to settle most of them:
-buckets of one component, or without a member unlinked to the hub, are done. In the
-others every two members of different components that pass these bounds are compared, so
+any order that is the same for both, stands within the first (dx - dy + t) / 2 + 1 of x's
+and (dy - dx + t) / 2 + 1 of y's. So each comparison also gives all differences, and
+members that share one for the same hub form second buckets, with stars that serve to
+settle most of them: buckets of one component, or without a member unlinked to the hub,
+are done. Differences of no open bucket come first in the order, then the others from the
+rarest on; a member with more differences of its own than t thus meets nobody. In the open
+buckets every two members of different components that pass these bounds are compared, so
 that no link within a bucket is lost. All but that last step is linear in the members; it
-grows with the pairs of a family that share differences and are still unlinked.
+grows with the pairs of a family that share rare differences and are still unlinked.
 
 Components come from minimum labels with pointer jumping over stored tables; no links or
 labels reach the driver.
@@ -48,6 +49,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import packed, stored, unpacked
 from .hashing import M1, M2, M3, mix, word_hashes
@@ -160,8 +162,8 @@ def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
     return _narrow(docs).mapInArrow(run, f"doc_id {_id_type(docs)}, s long, set binary")
 
 
-def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``pairs`` (m, h) with linked, decided on the full sets, n and d (sizes of m's set and of the difference), and unlike, the first differences."""
+def compared(pairs: DataFrame, sets: DataFrame, percent: int, listed: bool = False) -> DataFrame:
+    """``pairs`` (m, h) with linked, decided on the full sets, n and d (sizes of m's set and of the difference), and unlike, the differences if ``listed``."""
     kind = pairs.schema["m"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,7 +176,7 @@ def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 linked.append(100 * both >= percent * (both + len(alone)))
                 n.append(len(p))
                 d.append(len(alone))
-                unlike.append(alone[: (100 - percent) * (len(p) + 100 * len(p) // percent) // (100 + percent) + 1].view(np.int64))
+                unlike.append((alone if listed else alone[:0]).view(np.int64))
             lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, unlike)]), pa.int32()), pa.array(np.concatenate(unlike) if unlike else np.zeros(0, np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_()), pa.array(n, pa.int64()), pa.array(d, pa.int64()), lists], names=["m", "h", "linked", "n", "d", "unlike"])
 
@@ -183,27 +185,31 @@ def compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return with_both.select("m", "h", "sm", "sh").mapInArrow(run, f"m {kind}, h {kind}, linked boolean, n long, d long, unlike array<long>")
 
 
-def shared_differences(at: DataFrame, links: DataFrame) -> DataFrame:
-    """Places (h, key, pos, m, n, d, c) of ``at`` in the second buckets that ``links`` have not settled, with their least loose and tied members."""
+def shared_differences(at: DataFrame, links: DataFrame, percent: int) -> DataFrame:
+    """Places (h, key, pos, m, n, d, c) of ``at`` in the second buckets that ``links`` have not settled, up to the last that can matter, with the buckets' least loose and tied members."""
     labels = components(links).select(F.col("node").alias("m"), "label")
     named = at.join(labels, "m", "left").withColumn("c", F.coalesce("label", "m"))
-    places = named.select("h", "m", "n", "d", "c", "linked", F.posexplode("unlike").alias("pos", "key"))
-    heads = places.groupBy("h", "key").agg(F.min(F.when(~F.col("linked"), F.col("m"))).alias("loose"), F.min(F.when(F.col("linked"), F.col("m"))).alias("tied"), F.min("c").alias("low"), F.max("c").alias("high"))
-    heads = heads.where("low <> high AND loose IS NOT NULL").select(F.col("h").alias("_h"), F.col("key").alias("_key"), "loose", "tied")
-    return stored(places.join(heads, (F.col("h") == F.col("_h")) & (F.col("key") == F.col("_key"))).drop("_h", "_key"), "near-met")
+    places = named.select("h", "m", "n", "d", "c", "linked", F.explode("unlike").alias("key"))
+    heads = places.groupBy("h", "key").agg(F.min(F.when(~F.col("linked"), F.col("m"))).alias("loose"), F.min(F.when(F.col("linked"), F.col("m"))).alias("tied"), F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("f"))
+    heads = heads.where("low <> high AND loose IS NOT NULL").select(F.col("h").alias("_h"), F.col("key").alias("_key"), "loose", "tied", "f")
+    live = places.join(heads, (F.col("h") == F.col("_h")) & (F.col("key") == F.col("_key"))).drop("_h", "_key")
+    own = Window.partitionBy("h", "m")
+    placed = live.withColumn("pos", F.col("d") - F.count("*").over(own) + F.row_number().over(own.orderBy("f", "key")) - 1)
+    most = (100 - percent) * (F.col("n") + F.col("n") * (100 / percent)) / (100 + percent)
+    return stored(placed.where(F.col("pos") <= most), "near-met")
 
 
 def all_links(star: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b): links that join all linked members of the buckets of ``star`` (m, h)."""
     ends = lambda x: x.where("linked").select(F.col("m").alias("a"), F.col("h").alias("b"))
     ordered = lambda x: stored(x.select(F.greatest("m", "h").alias("m"), F.least("m", "h").alias("h")).distinct(), "near-second")
-    at = stored(compared(star, sets, percent), "near-compared")
-    met = shared_differences(at, ends(at))
+    at = stored(compared(star, sets, percent, listed=True), "near-compared")
+    met = shared_differences(at, ends(at), percent)
     to_loose = met.where("m <> loose").select("m", F.col("loose").alias("h"))
     to_tied = met.where("NOT linked AND tied IS NOT NULL").select("m", F.col("tied").alias("h"))
     second = ordered(to_loose.unionByName(to_tied))
     links = stored(ends(at).unionByName(ends(compared(second, sets, percent))), "near-links")
-    met = shared_differences(at, links).select("h", "key", "pos", "m", "n", "d", "c")
+    met = shared_differences(at, links, percent).select("h", "key", "pos", "m", "n", "d", "c")
     other = met.select(*[F.col(x).alias(f"_{x}") for x in met.columns])
     t = (100 - percent) * (F.col("n") + F.col("_n"))  # times 100 + percent, as are the sides below
     within = lambda pos, more: (100 + percent) * (2 * F.col(pos) - more) <= t
