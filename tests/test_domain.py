@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions import settings
 from gridloom.functions import text as T
-from gridloom.operators import audit, classify, docinfo, extract, gates, grids, pages, repair, sections, sequences, upsert
+from gridloom.operators import audit, classify, docinfo, extract, gates, grids, model, pages, repair, sections, sequences, upsert
 from gridloom.plans import extraction
 from gridloom.sources import artifacts, excel, sinks
 from gridloom.streaming import ingest
@@ -183,7 +183,11 @@ def test_sources_sinks_and_extraction(spark, tmp_path):
     record = extraction.run(texts.where("text <> ''"), shown, empty, "2024-01-01").collect()
     assert len(record) == 1 and record[0].total_pages == 2
     assert [(s.sub_project_id, [r.unit_price for r in s.sub_item_project_rows]) for s in record[0].sub_projects] == [("doc-3幢", ["10.5", "5", "10.5", "5"])]
-    assert artifacts.json_texts(F.lit("x")) is not None
+    reply = json.dumps([{"序号": "1", "project_code": "010902001001", "项目名称": "屋面", "工程量": "2", "合价": "21"}, {"project_name": "本页小计", "合价": "21"}, {"seq": "2", "project_code": "010902001002", "project_name": "墙面", "unit_price": "￥6"}], ensure_ascii=False)
+    asked = extraction.run(texts.where("text <> ''"), shown, empty, "2024-01-01", backend=model.CallBackend(lambda: lambda prompts: [reply for _ in prompts])).collect()
+    # the first price comes from the rules' row, the second is the model's own
+    assert [[(r.seq, r.unit_price) for r in s.sub_item_project_rows] for s in asked[0].sub_projects] == [[("1", "10.5"), ("2", "6")] * 2]
+    assert asked[0].construction_processes == []
     assert one(spark, '{"a":[{"block_content":"p\\"q"},{"text":"r"},{"text":"r"}]}', artifacts.json_texts) == 'p"q\n\nr'
     targets = spark.createDataFrame([("it's", 3), ("it's", 1)], "file_name string, page_no int")
     assert sinks.rerun_commands(targets).first().value.endswith("--page 1,3")
