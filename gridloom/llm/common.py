@@ -14,7 +14,9 @@ from ..functions.text import let
 #: What separates words: ASCII white space.
 SPACE = r"[\x20\x09-\x0D]+"
 
-#: Paths written since the innermost ``settled`` began; None outside of it.
+#: Stands before the name of a catalog table among the paths.
+TABLE = "table:"
+#: Paths and tables written since the innermost ``settled`` began; None outside of it.
 _written: list[str] | None = None
 
 
@@ -62,6 +64,8 @@ def stored_by(df: DataFrame, key: str, label: str) -> DataFrame:
     spark = df.sparkSession
     name = f"gridloom_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if _written is not None:
+        _written.append(f"{TABLE}{name}")
     df.write.bucketBy(buckets, key).option("compression", "zstd").option("path", _path(spark, label)).saveAsTable(name)
     return spark.table(name)
 
@@ -77,6 +81,9 @@ def settled(spark: SparkSession, make: Callable[[], DataFrame], label: str) -> D
     finally:
         _written = outer
     for path in done:
+        if path.startswith(TABLE):
+            spark.sql(f"DROP TABLE IF EXISTS {path.removeprefix(TABLE)}")
+            continue
         where = spark._jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
     return kept
