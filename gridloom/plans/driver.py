@@ -313,7 +313,8 @@ def label_histogram(spark, sf_dir):
 def date_norm(spark, sf_dir):
     day = F.col("o_orderdate")
     chinese = F.translate(F.date_format(day, "yyyy"), "0123456789", "〇一二三四五六七八九")
-    shown = F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("签于 "), chinese, F.lit("年"), F.month(day), F.lit("月"), F.dayofmonth(day), F.lit("日"))).otherwise(F.concat_ws(".", F.year(day), F.month(day), F.dayofmonth(day)))
+    spelt = lambda n: F.element_at(F.array(*[F.lit(("" if k < 10 else "十" if k < 20 else "一二三"[k // 10 - 1] + "十") + " 一二三四五六七八九"[k % 10].strip()) for k in range(1, 32)]), n)
+    shown = F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.lit("签于 "), chinese, F.lit("年"), spelt(F.month(day)), F.lit("月"), spelt(F.dayofmonth(day)), F.lit("日"))).otherwise(F.concat_ws(".", F.year(day), F.month(day), F.dayofmonth(day)))
     return _t(spark, sf_dir, "orders").select("o_orderkey", T.date_iso(shown).alias("iso"))
 
 
