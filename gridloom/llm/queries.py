@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, lm_quality, mixing, near_dup, pii, quality_rules, secrets, substring_dedup, tokens
+from . import conversations, decontaminate, lexical, line_dedup, lm_quality, mixing, near_dup, pii, quality_rules, secrets, substring_dedup, tokens, toxicity
 from .common import settled, table
 
 
@@ -187,6 +187,66 @@ FROM f LEFT JOIN wide USING (rid)
 """
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return settled(spark, lambda: toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")), "op11")
+
+
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return settled(spark, lambda: lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10), "op12")
+
+
+OP12_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+s AS (SELECT count(*) FILTER (len(ts) > 0) AS docs, sum(len(ts))::BIGINT AS length FROM d),
+q AS (SELECT row_number() OVER () AS iid, item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+asked AS (SELECT iid, term, count(*)::BIGINT AS q FROM (SELECT iid, unnest(ts) AS term FROM q) GROUP BY ALL),
+post AS (SELECT rid, term, count(*)::BIGINT AS tf FROM (SELECT rid, unnest(ts) AS term FROM d) WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM post, s GROUP BY term),
+worth AS (SELECT rid, term, (1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * len(ts)::BIGINT * docs) // length)) AS impact FROM post JOIN d USING (rid), s),
+scores AS (SELECT iid, rid, sum(q * w * impact)::BIGINT AS score FROM asked JOIN w USING (term) JOIN worth USING (term) GROUP BY iid, rid HAVING score > 0),
+ranked AS (SELECT iid, doc_id, score, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scores JOIN d USING (rid))
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked JOIN q USING (iid) WHERE rank <= 10
+"""
+
+
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return settled(spark, lambda: conversations.audit(rows, conversations.damaged(rows)), "op13")
+
+
+OP13_SQL = r"""
+WITH RECURSIVE bits AS (SELECT i, 0 AS k, i AS v FROM range(256) t(i) UNION ALL SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM bits WHERE k < 8),
+tab AS (SELECT list(v ORDER BY i) AS t FROM bits WHERE k = 8),
+spelled AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS s FROM conversations),
+hashed AS (SELECT *, xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(s, ''), lambda c: ascii(c)::BIGINT), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS fault FROM spelled, tab),
+hit AS (SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role, CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE fault WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM hashed),
+convs AS (SELECT conv_id, row_number() OVER () AS c FROM (SELECT DISTINCT conv_id FROM conversations)),
+placed AS (SELECT c, turn, role, text, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, sha256(text)) AS i FROM hit JOIN convs ON hit.conv_id IS NOT DISTINCT FROM convs.conv_id),
+judged AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b' WHEN row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 THEN 'd' WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 't' ELSE '' END AS fault,
+  lag(left(role, 1)) OVER (PARTITION BY c ORDER BY i) || left(role, 1) NOT IN ('su', 'ua', 'au') AS bad FROM placed),
+counts AS (SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated, count(*) FILTER (bad) AS illegal FROM judged GROUP BY c),
+jumps(q, letters, r) AS (VALUES (0, '', 0), (0, 'I', 2), (0, 'II', 3), (1, '', 1), (1, 'I', 2), (1, 'II', 3), (2, '', 2), (2, 'I', 3), (3, '', 3), (3, 'I', 2)),
+acts(r, role, act, price, z) AS (VALUES (0, '', 'D', 4, 0), (1, '', 'D', 4, 1), (2, '', 'D', 4, 2), (3, '', 'D', 4, 3), (0, '', 'R', 3, 2), (1, '', 'R', 3, 2), (2, '', 'R', 3, 3), (3, '', 'R', 3, 2),
+  (0, 's', 'K', 0, 1), (0, 'u', 'K', 0, 2), (1, 'u', 'K', 0, 2), (3, 'u', 'K', 0, 2), (2, 'a', 'K', 0, 3)),
+best AS (
+  SELECT c, 0 AS i, 0 AS q, {'cost': 0::BIGINT, 'audit': ''} AS p FROM convs
+  UNION ALL
+  SELECT b.c, b.i + 1, acts.z, min({'cost': b.p.cost + 3 * len(jumps.letters) + acts.price + CASE WHEN act <> 'D' AND fault = 't' THEN 3 ELSE 0 END, 'audit': b.p.audit || jumps.letters || act})
+  FROM best b JOIN judged j ON j.c = b.c AND j.i = b.i + 1 JOIN jumps ON jumps.q = b.q JOIN acts ON acts.r = jumps.r AND (acts.role = '' OR acts.role = left(j.role, 1)) WHERE act = 'D' OR fault NOT IN ('b', 'd')
+  GROUP BY b.c, b.i, acts.z),
+size AS (SELECT convs.c, coalesce(max(judged.i), 0) AS n FROM convs LEFT JOIN judged USING (c) GROUP BY convs.c),
+done AS (SELECT c, min({'cost': p.cost + [0, 6, 3, 0][q + 1], 'audit': p.audit || ['', 'II', 'I', ''][q + 1]}) AS p FROM best JOIN size USING (c) WHERE i = n GROUP BY c),
+letters AS (SELECT c, pos, p.audit[pos] AS x FROM (SELECT c, p, unnest(range(1, len(p.audit) + 1)) AS pos FROM done)),
+spots AS (SELECT c, pos, x, count(*) FILTER (x <> 'I') OVER w AS i, count(*) FILTER (x <> 'D') OVER w AS o FROM letters WINDOW w AS (PARTITION BY c ORDER BY pos)),
+said AS (SELECT s.c, pos, x, o, CASE WHEN x = 'I' THEN '' ELSE j.role END AS role, CASE WHEN x = 'I' THEN '' ELSE j.text END AS text FROM spots s LEFT JOIN judged j ON s.c = j.c AND s.i = j.i WHERE x <> 'D'),
+heads AS (SELECT c, (x = 'K' AND left(role, 1) = 's')::INT AS head FROM said WHERE o = 1),
+repaired AS (SELECT c, string_agg(CASE WHEN x = 'K' THEN role WHEN (o - head) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY pos) AS text FROM said JOIN heads USING (c) GROUP BY c)
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal,
+  done.p.cost::BIGINT AS cost, done.p.audit AS audit, sha256(coalesce(repaired.text, '')) AS repaired_sha256
+FROM convs JOIN done USING (c) LEFT JOIN counts USING (c) LEFT JOIN repaired USING (c)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_line_dedup": op1_line_dedup,
@@ -199,8 +259,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_pii": op8_pii,
         "op9_decontaminate": op9_decontaminate,
         "op10_quality_rules": op10_quality_rules,
+        "op11_toxicity": op11_toxicity,
+        "op12_lexical": op12_lexical,
+        "op13_conversations": op13_conversations,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": OP1_SQL, "op2_mixing": OP2_SQL, "op4_near_dup": OP4_SQL, "op7_substring_dedup": OP7_SQL, "op9_decontaminate": OP9_SQL, "op10_quality_rules": OP10_SQL}
+    return {"op1_line_dedup": OP1_SQL, "op2_mixing": OP2_SQL, "op4_near_dup": OP4_SQL, "op7_substring_dedup": OP7_SQL, "op9_decontaminate": OP9_SQL, "op10_quality_rules": OP10_SQL, "op12_lexical": OP12_SQL, "op13_conversations": OP13_SQL}
