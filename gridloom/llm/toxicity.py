@@ -125,21 +125,28 @@ class Rows:
         return np.append(np.bincount(self.col, g[self.at] * self.value, self.width), g.sum())
 
 
-def risk(theta: np.ndarray, pos: Rows, unl: Rows, pi: float) -> tuple[float, float, np.ndarray, np.ndarray]:
-    """The positive and the negative part of the risk and their gradients; ``theta`` ends with the intercept."""
-    p, u = sigmoid(pos.dot(theta[:-1]) + theta[-1]), sigmoid(unl.dot(theta[:-1]) + theta[-1])
+def risk(theta: np.ndarray, pos: Rows, unl: Rows, pi: float, convex: bool = False) -> tuple[float, float, np.ndarray, np.ndarray]:
+    """The positive and the negative part of the risk and their gradients, by sigmoid or (``convex``) logistic loss; ``theta`` ends with the intercept."""
+    f, g = (rows.dot(theta[:-1]) + theta[-1] for rows in (pos, unl))
+    p, u = sigmoid(f), sigmoid(g)
+    if convex:
+        negative = np.logaddexp(0, g).mean() - pi * np.logaddexp(0, f).mean()
+        return pi * np.logaddexp(0, -f).mean(), negative, pos.back(-pi * (1 - p) / pos.n), unl.back(u / unl.n) - pos.back(pi * p / pos.n)
     up, uu = p * (1 - p) / pos.n, u * (1 - u) / unl.n
     return pi * (1 - p).mean(), u.mean() - pi * p.mean(), pos.back(-pi * up), unl.back(uu) - pos.back(pi * up)
 
 
-def fit(pos: Rows, unl: Rows, pi: float, steps: int = 300, rate: float = 0.05, decay: float = 1e-4) -> np.ndarray:
-    """Weights and intercept that lower the non-negative risk, by full-batch Adam steps."""
+def fit(pos: Rows, unl: Rows, pi: float, warm: int = 100, steps: int = 300, rate: float = 0.05, decay: float = 1e-4) -> np.ndarray:
+    """Weights and intercept that lower the non-negative risk, by full-batch Adam steps.
+
+    The first ``warm`` steps take the logistic loss, which is convex and does not flatten where all scores are low.
+    """
     theta = np.zeros(pos.width + 1)
     theta[-1] = -1.0
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     shrink = np.append(np.full(pos.width, decay), 0.0)
     for t in range(1, steps + 1):
-        _, negative, g_pos, g_neg = risk(theta, pos, unl, pi)
+        _, negative, g_pos, g_neg = risk(theta, pos, unl, pi, convex=t <= warm)
         g = (g_pos + g_neg if negative >= 0 else -g_neg) + shrink * theta
         first, second = 0.9 * first + 0.1 * g, 0.999 * second + 0.001 * g * g
         theta -= rate * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.999**t)) + 1e-9)
