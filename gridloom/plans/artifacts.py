@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import json
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .. import schemas
 from ..functions import text as T
-from ..operators import audit, pages, sequences
-from ..sources import artifacts, excel, scratch, sinks
+from ..operators import audit, pages, scans, sequences
+from ..sources import artifacts, excel, files, scratch, sinks
 from .driver import QUERIES, SQL, _t, query  # noqa: F401  (one registry)
 
 #: SQL of the same pages.
@@ -26,38 +24,68 @@ def nation_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select(F.col("r_name").alias("file_name"), at.alias("page_no"), "n_name", "n_nationkey")
 
 
+def _file(name: Column | str, content: Column | str) -> Column:
+    c = lambda x: F.lit(x) if isinstance(x, str) else x
+    return F.struct(c(name).alias("name"), c(content).alias("content"))
+
+
+def _page_files(rows: DataFrame) -> DataFrame:
+    """What a run leaves of every page: image, text, vision-language result in three forms."""
+    label, no = F.col("n_name"), F.col("page_no")
+    stem = F.concat(F.col("file_name"), F.lit("/"), T.page_name(no))
+    text = F.to_json(F.struct(F.when(no == 2, 0).otherwise(no).alias("page_no"), F.array(label, F.lit("second")).alias("lines"), F.when(no % 2 == 1, "").otherwise(F.concat(F.lit("text "), label)).alias("text")))
+    table = F.concat(F.lit("<table>"), label, F.lit("</table>"))
+    block = lambda kind, content, more: F.struct(F.lit(kind).alias("block_label"), content.alias("block_content"), more.alias("text"))
+    blocks = F.array(block("text", label, F.expr("cast(null as string)")), block("table", table, label))
+    result = F.to_json(F.struct(F.array(F.struct(F.struct(blocks.alias("parsing_res_list")).alias("raw_json"))).alias("results")))
+    vl = F.concat(F.lit("vl/"), stem)
+    every = F.array(
+        _file(F.concat(F.lit("images/"), stem, F.lit(".png")), label), _file(F.concat(F.lit("page_texts/"), stem, F.lit("_text.json")), text), _file(F.concat(vl, F.lit("_vl.json")), result),
+        _file(F.concat(vl, F.lit("_vl.md")), F.concat(F.lit(" # "), label, F.lit("\n"))), _file(F.concat(vl, F.lit("_vl.html")), F.concat(F.lit("<table><tr><td>"), label, F.lit("</td></tr></table>"))),
+    )
+    second = F.when(no == 1, F.array(_file(F.concat(vl, F.lit("_vl_02.html")), "<p>second</p>"))).otherwise(F.slice(every, 1, 0))
+    return rows.select(F.explode(F.concat(every, second)).alias("f")).select("f.*")
+
+
+def _document_files(rows: DataFrame) -> DataFrame:
+    """What it leaves of every document: the file itself, the business record and the report."""
+    no = F.col("page_no")
+    row = lambda seq: F.struct(seq.alias("seq"), F.col("n_name").alias("project_name"), F.lit("$ m^{2} $").alias("unit"), no.alias("page_no"))
+    both = F.array(row(no.cast("string")), row(F.lit("")))
+    sub = F.struct(no.alias("_k"), F.when(no > 1, F.col("n_name")).otherwise("").alias("sub_project_id"), F.concat(F.lit("name "), "n_name").alias("sub_project_name"), F.slice(both, F.lit(1), F.least(no, F.lit(2))).alias("sub_item_project_rows"))
+    entry = F.struct(no.alias("page_no"), F.when(no % 2 == 1, audit.rules.MODEL_ROWS).otherwise("disabled_by_config").alias("extractor"), no.alias("rows"))
+    each = rows.groupBy("file_name").agg(F.array_sort(F.collect_list(sub)).alias("subs"), F.array_sort(F.collect_list(entry)).alias("pages"), F.count("*").alias("n"))
+    name = F.col("file_name")
+    record = F.to_json(F.struct("file_name", F.col("n").alias("total_pages"), F.transform("subs", lambda x: x.dropFields("_k")).alias("sub_projects")))
+    made = F.array(
+        _file(F.concat(F.lit("pdf/"), name, F.when(name < "B", ".PDF").otherwise(".pdf")), F.repeat(name, F.lit(3))), _file(F.concat(F.lit(f"{artifacts.OUTPUT}/{artifacts.BUSINESS}/"), name, F.lit("/business_extract.json")), record),
+        _file(F.concat(F.lit(f"{artifacts.OUTPUT}/reports/"), name, F.lit("_vl_llm_extract_summary.json")), F.to_json(F.struct("file_name", "pages"))),
+    )
+    return each.select(F.explode(made).alias("f")).select("f.*")
+
+
+def _list_files(rows: DataFrame) -> DataFrame:
+    """Lists that people write: wanted documents, wanted pages."""
+    name, no = F.col("file_name"), F.col("page_no").cast("string")
+    lines = lambda c: F.array_join(F.array_sort(F.collect_list(c)), "\n")
+    wanted = F.concat(F.lit("x/./"), name, F.lit(".pdf\n x//"), name, F.lit(".pdf \nx/y/../"), F.reverse(name), F.lit(".pdf\na/b/c/../../../x/"), name, F.lit(".pdf"))
+    targets = F.concat(name, F.lit("\t"), no, F.lit("\tx\n"), name, F.lit("\t"), no, F.lit("\ty\n"), name, F.lit("\t-1\t"))
+    listed = rows.select("file_name").distinct().agg(F.concat(F.lit("# wanted\n\n"), lines(wanted), F.lit("\n")).alias("content")).select(F.lit("list.txt").alias("name"), "content")
+    paged = rows.agg(F.concat(F.lit("file_name\tpage_no\tnote\n"), lines(targets), F.lit("\nx\tnone\t\n")).alias("content")).select(F.lit("targets.tsv").alias("name"), "content")
+    return listed.unionByName(paged)
+
+
+#: Files that no reader may stumble over.
+ODD = {"pdf/notes.txt": "no document", "page_texts/bad/page_001_text.json": "{", f"{artifacts.OUTPUT}/{artifacts.BUSINESS}/bad/business_extract.json": "[1]", "vl/MEMO/readme.txt": "a folder without pages"}
+
+
 def tree(spark: SparkSession, sf_dir: str) -> str:
-    """The root of the files, written once a session: 25 pages, 5 documents."""
+    """The root of the files of 25 pages and 5 documents, written by the executors; made anew where its folder was cleared."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _trees:
-        root = scratch.new_folder(spark, "tree")
-        found: dict[str, list] = {}
-        for r in nation_pages(spark, sf_dir).collect():  # 25 rows
-            found.setdefault(r.file_name, []).append(r)
-        files: dict[str, str] = {"pdf/notes.txt": "no document", "list.txt": "# wanted\n\n", "page_texts/bad/page_001_text.json": "{", f"{artifacts.OUTPUT}/{artifacts.BUSINESS}/bad/business_extract.json": "[1]"}
-        targets = ["file_name\tpage_no\tnote"]
-        for name, rows in sorted(found.items()):
-            files[f"pdf/{name}.{'PDF' if name < 'B' else 'pdf'}"] = name * 3
-            files["list.txt"] += f"x/./{name}.pdf\n x//{name}.pdf \nx/y/../{name[::-1]}.pdf\n"
-            subs = []
-            for r in rows:
-                stem, label = f"{name}/page_{r.page_no:03d}", r.n_name
-                files[f"images/{stem}.png"] = label
-                files[f"page_texts/{stem}_text.json"] = json.dumps({"page_no": r.page_no if r.page_no != 2 else 0, "lines": [label, "second"], "text": "" if r.page_no % 2 else f"text {label}"})
-                files[f"vl/{stem}_vl.json"] = json.dumps({"results": [{"raw_json": {"parsing_res_list": [{"block_label": "text", "block_content": label}, {"block_label": "table", "block_content": f"<table>{label}</table>", "text": label}]}}]})
-                files[f"vl/{stem}_vl.md"] = f" # {label}\n"
-                files[f"vl/{stem}_vl.html"] = f"<table><tr><td>{label}</td></tr></table>"
-                if r.page_no == 1:
-                    files[f"vl/{stem}_vl_02.html"] = "<p>second</p>"
-                row = {"seq": str(r.page_no), "project_name": label, "unit": "$ m^{2} $", "page_no": r.page_no}
-                subs.append({"sub_project_id": label if r.page_no > 1 else "", "sub_project_name": f"name {label}", "sub_item_project_rows": [row, {**row, "seq": ""}][: r.page_no]})
-                targets += [f"{name}\t{r.page_no}\tx", f"{name}\t{r.page_no}\ty", f"{name}\t-1\t"]
-            files[f"{artifacts.OUTPUT}/{artifacts.BUSINESS}/{name}/business_extract.json"] = json.dumps({"file_name": name, "total_pages": len(rows), "sub_projects": subs})
-            report = [{"page_no": r.page_no, "extractor": audit.rules.MODEL_ROWS if r.page_no % 2 else "disabled_by_config", "rows": r.page_no} for r in rows]
-            files[f"{artifacts.OUTPUT}/reports/{name}_vl_llm_extract_summary.json"] = json.dumps({"file_name": name, "pages": report})
-        files["targets.tsv"] = "\n".join([*targets, "x\tnone\t"]) + "\n"
-        for name, content in files.items():
-            scratch.put(spark, f"{root}/{name}", content.encode())
+    if key not in _trees or not scratch.exists(spark, _trees[key]):
+        root, rows = scratch.new_folder(spark, "tree"), nation_pages(spark, sf_dir)
+        odd = spark.createDataFrame(list(ODD.items()), "name string, content string")
+        files.write_files(_page_files(rows).unionByName(_document_files(rows)).unionByName(_list_files(rows)).unionByName(odd), root)
         _trees[key] = root
     return _trees[key]
 
@@ -81,7 +109,7 @@ def image_scan(spark, sf_dir):
     return artifacts.page_images(spark, f"{tree(spark, sf_dir)}/images", start=2, max_pages=2).select("file_name", "page_no")
 
 
-@query("folder_scan", "SELECT r_name AS file_name FROM region WHERE contains(r_name, 'A') AND (contains(r_name, 'ME') OR contains(r_name, 'SI'))")
+@query("folder_scan", "SELECT r_name AS file_name FROM region WHERE contains(r_name, 'A') AND (contains(r_name, 'ME') OR contains(r_name, 'SI')) UNION ALL SELECT 'MEMO'")
 def folder_scan(spark, sf_dir):
     return artifacts.folders(spark, f"{tree(spark, sf_dir)}/vl", ["ME", "SI"])
 
@@ -155,7 +183,7 @@ def _export(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("excel_round_trip", f"WITH {PAGES} SELECT file_name, page_no::VARCHAR AS seq, n_name AS project_name, 'm2' AS unit FROM p")
 def excel_round_trip(spark, sf_dir):
     folder = scratch.new_folder(spark, "excel")
-    scratch.save_files(excel.excel_files(_export(spark, sf_dir), order=("file_name", "sub_project_id")), folder)
+    files.write_files(excel.excel_files(_export(spark, sf_dir), order=("file_name", "sub_project_id"), rows_per_file=7), folder)
     row = F.from_json("row", "seq string, project_name string, unit string")
     return excel.excel_rows(spark, folder).select("file_name", row.alias("r")).select("file_name", "r.*")
 
@@ -181,8 +209,8 @@ def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("ocr_dump", f"WITH {PAGES} SELECT printf('%s/page_%03d_rapid_ocr.txt', file_name, page_no) AS name, '0.9877' || chr(9) || n_name || chr(10) || '0.5000' || chr(9) || lower(n_name) AS content FROM p")
 def ocr_dump(spark, sf_dir):
-    files = sinks.ocr_files(_items(spark, sf_dir))
-    return files.where(F.col("name").endswith(".txt")).select("name", F.decode("content", "UTF-8").alias("content"))
+    made = sinks.ocr_files(_items(spark, sf_dir))
+    return made.where(F.col("name").endswith(".txt")).select("name", F.decode("content", "UTF-8").alias("content"))
 
 
 @query("ocr_lines_sink", f"WITH {PAGES} SELECT unnest(['0.9877' || chr(9) || n_name, '0.5000' || chr(9) || lower(n_name)]) AS value FROM p")
@@ -228,22 +256,82 @@ def debug_dump(spark, sf_dir):
     return sinks.debug_files(asked, "table type").select("name", F.decode("content", "UTF-8").alias("content"))
 
 
+#: Lines 2 to 4 of an order as the pages of a run, its lines as the rows of its record.
+REPORTED = """l AS (SELECT 'o' || l_orderkey AS file_name, l_linenumber AS page_no, l_quantity::BIGINT AS n_rows FROM lineitem),
+d AS (SELECT file_name, list(page_no ORDER BY page_no) AS every, list_sort(list(DISTINCT page_no)) AS pages, sum(n_rows)::BIGINT AS total_rows FROM l WHERE page_no BETWEEN 2 AND 4 GROUP BY file_name)"""
+
+
+def _reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = _t(spark, sf_dir, "lineitem").select(F.concat(F.lit("o"), F.col("l_orderkey").cast("string")).alias("file_name"), F.col("l_linenumber").cast("int").alias("page_no"), F.col("l_quantity").cast("long").alias("rows"))
+    seen = lines.where("page_no BETWEEN 2 AND 4")
+    summaries = seen.withColumns({"table_index": F.lit(0), "table_type": F.lit("t"), "extractor": F.lit("x")})
+    records = lines.groupBy("file_name").agg(F.collect_list(F.struct("page_no")).alias("labor_rows")).withColumn("document_info", F.struct(F.col("file_name").alias("consultation_project_name")))
+    counts = seen.groupBy("file_name").agg(F.array_sort(F.collect_set("page_no")).alias("page_numbers"), F.count("*").cast("int").alias("vl_page_count"), F.lit(0).alias("page_text_count"), F.lit(1.234).alias("elapsed_seconds"))
+    return sinks.reports(summaries, records, counts, partial=True)
+
+
 @query("report_dump", f"""
-WITH {PAGES}, u AS (SELECT * FROM p WHERE page_no BETWEEN 2 AND 3)
-SELECT file_name || '_vl_llm_extract_pages_002_003_summary.json' AS name, 2 AS processed_pages, 5::BIGINT AS total_rows, '2,3' AS pages FROM u GROUP BY file_name""")
+WITH {REPORTED}, w AS (SELECT file_name, count(*) AS n FROM l GROUP BY file_name)
+SELECT file_name || '_vl_llm_extract_' || CASE WHEN len(pages) = 1 THEN printf('page_%03d', pages[1]) ELSE printf('pages_%03d_%03d', pages[1], pages[-1]) END || '_partial_summary.json' AS name,
+  'file_name,processed_pages,partial_update,vl_page_count,page_text_count,sub_projects,specialty_fee_rows,quantity_confirm_rows,labor_rows,material_rows,machine_rows,construction_processes,document_info,elapsed_seconds,pages' AS keys,
+  len(pages)::INT AS processed_pages, n::INT AS labor_rows, 0 AS sub_projects, file_name AS project, 1.23::DOUBLE AS elapsed_seconds, total_rows, array_to_string(every, ',') AS pages, 20 + 7 * len(every)::INT AS n_lines
+FROM d JOIN w USING (file_name)""")
 def report_dump(spark, sf_dir):
-    rows = nation_pages(spark, sf_dir).where("page_no between 2 and 3").select("file_name", "page_no", F.lit(0).alias("table_index"), F.lit("t").alias("table_type"), F.col("page_no").cast("long").alias("rows"), F.lit("x").alias("extractor"))
-    read = F.from_json(F.decode("content", "UTF-8"), "processed_pages int, total_rows bigint, pages array<struct<page_no:int>>")
-    return sinks.report_files(rows, partial=True).select("name", read.alias("r")).select("name", "r.processed_pages", "r.total_rows", F.array_join(F.col("r.pages.page_no").cast("array<string>"), ",").alias("pages"))
+    told = F.decode("content", "UTF-8")
+    kind = "processed_pages int, labor_rows int, sub_projects int, document_info struct<consultation_project_name:string>, elapsed_seconds double, pages array<struct<page_no:int,rows:bigint>>"
+    read = sinks.report_files(_reports(spark, sf_dir), partial=True).select("name", F.array_join(F.json_object_keys(told), ",").alias("keys"), F.size(F.split(told, "\n")).alias("n_lines"), F.from_json(told, kind).alias("r"))
+    total = F.aggregate("r.pages", F.lit(0).cast("long"), lambda a, p: a + p["rows"])
+    return read.select("name", "keys", "n_lines", "r.processed_pages", "r.labor_rows", "r.sub_projects", F.col("r.document_info.consultation_project_name").alias("project"), "r.elapsed_seconds", total.alias("total_rows"), F.array_join(F.col("r.pages.page_no").cast("array<string>"), ",").alias("pages"))
+
+
+@query("run_report", f"WITH {REPORTED} SELECT file_name, (row_number() OVER (ORDER BY file_name) - 1)::INT AS pos, len(pages)::INT AS processed_pages FROM d")
+def run_report(spark, sf_dir):
+    path = scratch.new_folder(spark, "run-report")
+    sinks.write_run_report(_reports(spark, sf_dir), path)
+    whole = spark.read.text(path, wholetext=True)
+    return whole.select(F.posexplode(F.from_json("value", "array<struct<file_name:string,processed_pages:int>>")).alias("pos", "r")).select("r.file_name", "pos", "r.processed_pages")
+
+
+@query("record_files", """
+SELECT 'o' || o_orderkey AS file_name, o_totalprice AS price, n.n::INT AS n_rows, (10 + 3 * n.n)::INT AS n_lines, '价' || o_orderstatus AS status
+FROM orders JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey) n ON o_orderkey = l_orderkey WHERE o_totalprice > 300000""")
+def record_files(spark, sf_dir):
+    """A pretty JSON file for each large order, written by executors and read back by the artifact source."""
+    folder = scratch.new_folder(spark, "records")
+    lines = _t(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(F.col("l_linenumber").alias("line")))).alias("rows"))
+    orders = _t(spark, sf_dir, "orders").where("o_totalprice > 300000").join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+    info = F.struct(F.concat(F.lit("价"), "o_orderstatus").alias("status"), F.lit(None).cast("string").alias("none"))
+    files.write_files(sinks.record_files(orders.select(F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("file_name"), F.col("o_totalprice").alias("price"), "rows", info.alias("info"))), folder, overwrite=True)
+    text = F.decode("content", "UTF-8")
+    found = files.artifact_files(spark, folder, files.Wanted(kinds=["business_extract.json"])).where("kind IS NOT NULL")
+    read = found.select("file_name", F.size(F.split(text, "\n")).alias("n_lines"), F.from_json(text, "price double, rows array<struct<line:int>>, info struct<status:string>").alias("r"))
+    return read.select("file_name", "r.price", F.size("r.rows").alias("n_rows"), "n_lines", "r.info.status")
+
+
+@query("rerun_script", """
+WITH g AS (SELECT 'it''s ' || o_custkey AS file_name, list_sort(list(DISTINCT o_orderkey)) AS p FROM orders GROUP BY o_custkey),
+k AS (SELECT replace(file_name, '''', '''"''"''') AS q, array_to_string(p, ',') AS pages, row_number() OVER (ORDER BY file_name) AS k, count(*) OVER () AS n FROM g)
+SELECT ord::BIGINT AS ord, line FROM (VALUES (0, '#!/usr/bin/env bash'), (1, 'set -eo pipefail'), (2, '')) t(ord, line)
+UNION ALL SELECT 3 * k, 'echo ''### ' || k || '/' || n || ' ' || q || ' pages=' || pages || '''' FROM k UNION ALL SELECT 3 * k + 1, 'extract --file ''' || q || ''' --page ' || pages FROM k UNION ALL SELECT 3 * k + 2, '' FROM k""")
+def rerun_script(spark, sf_dir):
+    return sinks.rerun_script(_t(spark, sf_dir, "orders").select(F.concat(F.lit("it's "), F.col("o_custkey").cast("string")).alias("file_name"), F.col("o_orderkey").alias("page_no")))
 
 
-@query("rerun_script", f"""
-WITH {PAGES}, g AS (SELECT file_name, string_agg(page_no::VARCHAR, ',' ORDER BY page_no) AS pages, row_number() OVER (ORDER BY file_name) AS k FROM p GROUP BY file_name),
-l AS (SELECT * FROM (VALUES (-3, '#!/usr/bin/env bash'), (-2, 'set -eo pipefail')) t(ord, line) UNION ALL SELECT 2 * k, 'echo ''### ' || k || '/5 ' || file_name || ' pages=' || pages || '''' FROM g UNION ALL SELECT 2 * k + 1, 'extract --file ''' || file_name || ''' --page ' || pages FROM g)
-SELECT line, row_number() OVER (ORDER BY ord)::INT AS n FROM l""")
-def rerun_script(spark, sf_dir):
-    lines = [x for x in sinks.rerun_script(nation_pages(spark, sf_dir)).split("\n") if x]
-    return spark.createDataFrame([(x, i) for i, x in enumerate(lines, 1)], "line string, n int")
+@query("carry_forward_parts", """
+SELECT l_returnflag, l_orderkey, l_linenumber, coalesce(last_value(CASE WHEN l_quantity > 45 THEN l_partkey END IGNORE NULLS) OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice ROWS UNBOUNDED PRECEDING), -1) AS carried FROM lineitem""")
+def carry_forward_parts(spark, sf_dir):
+    lines = _t(spark, sf_dir, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
+    found = scans.carry_forward(lines, "l_returnflag", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"], F.when(F.col("l_quantity") > 45, F.col("l_partkey")), None)
+    return found.select("l_returnflag", "l_orderkey", "l_linenumber", F.coalesce("carried", F.lit(-1).cast("long")).alias("carried"))
+
+
+@query("prefix_first_parts", """
+WITH n AS (SELECT *, sum(CASE WHEN l_quantity < 10 THEN 1 ELSE 0 END) OVER w AS k FROM lineitem WINDOW w AS (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice ROWS UNBOUNDED PRECEDING))
+SELECT l_returnflag, l_orderkey, l_linenumber, first_value(CASE WHEN l_quantity < 10 AND k <= 10 AND l_discount > 0.05 THEN l_partkey END IGNORE NULLS) OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice ROWS UNBOUNDED PRECEDING) AS first_seen FROM n""")
+def prefix_first_parts(spark, sf_dir):
+    lines = _t(spark, sf_dir, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity", "l_discount")
+    found = scans.prefix_first(lines, "l_returnflag", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"], F.col("l_quantity") < 10, F.when(F.col("l_discount") > 0.05, F.col("l_partkey")), 10)
+    return found.select("l_returnflag", "l_orderkey", "l_linenumber", "first_seen")
 
 
 @query("bundle_sink", "SELECT r_name AS source_json, '{\"key\":' || r_regionkey || '}' AS payload, 5::BIGINT AS file_count FROM region")

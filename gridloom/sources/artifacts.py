@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,9 +16,10 @@ from .. import rules, schemas
 from ..functions.text import page_number, strip
 from ..operators.pages import page_select
 from . import scratch
+from .files import Wanted, artifact_files
 
-#: Names of the output folders.
-BUSINESS, OUTPUT = "business_json_vl_llm", "audit_ocr_vl_llm_json"
+#: Names of the folder of business records, of the one that may hold it with the reports, and of a document's record.
+BUSINESS, OUTPUT, BUSINESS_FILE = "business_json_vl_llm", "extraction_output", "business_extract.json"
 
 
 def _path() -> Column:
@@ -39,11 +41,16 @@ def documents(spark: SparkSession, root: str, pattern: str = "*.[pP][dD][fF]") -
 
 
 def _resolved(path: Column) -> Column:
-    """A path without doubled slashes, ``.`` steps and ``x/..`` detours."""
-    plain = F.regexp_replace(F.regexp_replace(path, "/+", "/"), r"(?:^|(?<=/))(?:\./)+", "")
-    for _ in range(8):
-        plain = F.regexp_replace(plain, r"(?:^|(?<=/))(?!\.\.(?:/|$))[^/]+/\.\.(?:/|$)", "")
-    return F.regexp_replace(plain, r"(?<=.)/+$", "")
+    """A path without doubled slashes, ``.`` steps and ``x/..`` detours, at any depth: one fold over its steps."""
+    none = F.expr("cast(array() as array<string>)")
+    rooted = path.startswith("/")
+
+    def step(done: Column, s: Column) -> Column:
+        last = F.try_element_at(done, F.lit(-1))
+        back = F.when(F.size(done) == 0, F.when(rooted, done).otherwise(F.array(s))).when(last == "..", F.concat(done, F.array(s))).otherwise(F.slice(done, 1, F.size(done) - 1))
+        return F.when((s == "") | (s == "."), done).when(s == "..", back).otherwise(F.concat(done, F.array(s)))
+
+    return F.concat(F.when(rooted, "/").otherwise(""), F.array_join(F.aggregate(F.split(path, "/"), none, step), "/"))
 
 
 def resolve_list(spark: SparkSession, known: DataFrame, files: Sequence[str] = (), list_path: str | None = None) -> tuple[DataFrame, DataFrame]:
@@ -58,33 +65,39 @@ def resolve_list(spark: SparkSession, known: DataFrame, files: Sequence[str] = (
     return first.join(have, "path", "left_semi").select("ord", "path").orderBy("ord"), first.join(have, "path", "left_anti").select("ord", "path").orderBy("ord")
 
 
-def json_pages(spark: SparkSession, root: str, schema: T.StructType, suffix: str) -> DataFrame:
-    """One row per readable ``page_NNN<suffix>.json`` below ``root``: file_name (its folder), page_no (its own, else the path's, above 0), path and the payload."""
-    raw = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", f"page_*{suffix}.json").text(root, wholetext=True)
-    path = _path()
-    parsed = raw.where(F.try_parse_json("value").isNotNull()).select(path.alias("path"), F.from_json("value", schema).alias("p"))
-    no = F.coalesce(F.when(F.col("p.page_no") > 0, F.col("p.page_no")), page_number(F.col("path"))) if "page_no" in schema.fieldNames() else page_number(F.col("path"))
-    pages = parsed.where("p is not null").select(_folder(F.col("path")).alias("file_name"), no.alias("page_no"), "path", "p").where("page_no > 0")
+def json_pages(spark: SparkSession, root: str, schema: T.StructType, suffix: str, wanted: Wanted | None = None) -> DataFrame:
+    """One row per readable ``page_NNN<suffix>.json`` of the document folders under ``root``: file_name, page_no (its own, else the name's, above 0), path and the payload.
+
+    ``wanted`` goes by the pages of the names.
+    """
+    raw = artifact_files(spark, root, replace(wanted or Wanted(), kinds=[f"{suffix}.json"])).select("file_name", F.col("page_no").alias("named"), "path", F.decode("content", "UTF-8").alias("value"))
+    parsed = raw.where(F.try_parse_json("value").isNotNull()).withColumn("p", F.from_json("value", schema))
+    no = F.coalesce(F.when(F.col("p.page_no") > 0, F.col("p.page_no")), F.col("named")) if "page_no" in schema.fieldNames() else F.col("named")
+    pages = parsed.where("p is not null").select("file_name", no.alias("page_no"), "path", "p").where("page_no > 0")
     last = Window.partitionBy("file_name", "page_no").orderBy(F.desc("path"))
     return pages.withColumn("_r", F.row_number().over(last)).where("_r = 1").drop("_r")
 
 
-def page_texts(spark: SparkSession, root: str) -> DataFrame:
+def page_texts(spark: SparkSession, root: str, wanted: Wanted | None = None) -> DataFrame:
     """file_name, page_no, text; the text is the lines where it is blank."""
-    pages = json_pages(spark, root, schemas.PAGE_TEXT, "_text")
+    pages = json_pages(spark, root, schemas.PAGE_TEXT, "_text", wanted)
     return pages.select("file_name", "page_no", F.when(F.trim(F.coalesce("p.text", F.lit(""))) != "", F.col("p.text")).otherwise(F.array_join(F.coalesce("p.lines", F.array()), "\n")).alias("text"))
 
 
-def ocr_pages(spark: SparkSession, root: str) -> DataFrame:
-    return json_pages(spark, root, schemas.OCR_PAGE, "_rapid_ocr").select("file_name", "page_no", "p.items", "p.engine", "p.elapsed_seconds")
+def ocr_pages(spark: SparkSession, root: str, wanted: Wanted | None = None) -> DataFrame:
+    return json_pages(spark, root, schemas.OCR_PAGE, "_rapid_ocr", wanted).select("file_name", "page_no", "p.items", "p.engine", "p.elapsed_seconds")
+
+
+def page_artifacts(spark: SparkSession, root: str, wanted: Wanted | None = None) -> DataFrame:
+    """file_name, page_no, extension, ordinal (0, then 2, 3, ... of numbered files) and content of all ``page_NNN_vl[_KK]`` JSON, HTML and Markdown files, in one scan."""
+    found = artifact_files(spark, root, replace(wanted or Wanted(), kinds=["_vl.json", "_vl.html", "_vl.md"])).where("page_no > 0 AND content IS NOT NULL")
+    return found.select("file_name", "page_no", F.regexp_extract("kind", r"[^.]+$", 0).alias("extension"), "ordinal", strip(F.decode("content", "UTF-8")).alias("content"))
 
 
-def text_artifacts(spark: SparkSession, root: str, extension: str) -> DataFrame:
-    """file_name, page_no, ordinal (0, then 2, 3, ... of numbered files) and content of ``page_NNN_vl[_KK].<extension>``."""
-    raw = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", f"page_*_vl*.{extension}").text(root, wholetext=True)
-    path = _path()
-    ordinal = F.coalesce(F.regexp_extract(path, r"_vl_(\d+)\.[^.]*$", 1).try_cast("int"), F.lit(0))
-    return raw.select(_folder(path).alias("file_name"), page_number(path).alias("page_no"), ordinal.alias("ordinal"), strip(F.col("value")).alias("content")).where("page_no > 0")
+def text_artifacts(spark: SparkSession, root: str, extension: str, wanted: Wanted | None = None) -> DataFrame:
+    """The same of one extension; files of others are not opened."""
+    found = artifact_files(spark, root, replace(wanted or Wanted(), kinds=[f"_vl.{extension}"])).where("page_no > 0 AND content IS NOT NULL")
+    return found.select("file_name", "page_no", "ordinal", strip(F.decode("content", "UTF-8")).alias("content"))
 
 
 def _texts_in(node: object) -> Iterator[str]:
@@ -117,39 +130,39 @@ def json_texts(payload: Column) -> Column:
     return F.pandas_udf(run, "string")(payload)
 
 
-def business_root(spark: SparkSession, root: str) -> str:
-    """The folder of the business records: ``root`` if it is one, else one of its usual subfolders, else ``root``."""
+def business_root(spark: SparkSession, root: str, business: str = BUSINESS, output: str = OUTPUT) -> str:
+    """The folder of the business records: ``root`` if it is one, else one of its usual subfolders, else ``root``; ``business`` and ``output`` name those."""
     root = root.rstrip("/")
-    nested = [f"{root}/{BUSINESS}", f"{root}/{OUTPUT}/{BUSINESS}"]
-    return root if root.rsplit("/", 1)[-1] == BUSINESS else next((p for p in nested if scratch.exists(spark, p)), root)
+    nested = [f"{root}/{business}", f"{root}/{output}/{business}"]
+    return root if root.rsplit("/", 1)[-1] == business else next((p for p in nested if scratch.exists(spark, p)), root)
 
 
-def reports_root(spark: SparkSession, business: str, given: str | None = None) -> str | None:
+def reports_root(spark: SparkSession, business: str, given: str | None = None, output: str = OUTPUT) -> str | None:
     """The folder of the extraction reports: ``given``, else the first of the usual places beside the business records; None where it is missing."""
     above = business.rstrip("/").rsplit("/", 1)[0]
-    usual = [f"{above}/reports", f"{above.rsplit('/', 1)[0]}/reports", f"{above}/{OUTPUT}/reports"]
+    usual = [f"{above}/reports", f"{above.rsplit('/', 1)[0]}/reports", f"{above}/{output}/reports"]
     return next((p for p in ([given] if given else usual) if scratch.exists(spark, p)), None)
 
 
 def folders(spark: SparkSession, root: str, names: Sequence[str] = ()) -> DataFrame:
-    """(file_name) of the document folders below ``root`` that hold page files; with ``names``, of those that contain one. A missing root raises."""
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "page_*").load(root).select(_folder(F.col("path")).alias("file_name")).distinct()
-    return found.where(reduce(lambda a, b: a | b, [F.contains("file_name", F.lit(n)) for n in names])) if names else found
+    """(file_name) of the document folders right under ``root``, with or without files; with ``names``, of those that contain one. A missing root raises."""
+    return artifact_files(spark, root, Wanted(containing=list(names), pages=[]), contents=False).select("file_name").distinct()
 
 
-def page_images(spark: SparkSession, root: str, selected: Sequence[int] | None = None, start: int | None = None, end: int | None = None, max_pages: int | None = None, pattern: str = "page_*.png") -> DataFrame:
+def page_images(spark: SparkSession, root: str, selected: Sequence[int] | None = None, start: int | None = None, end: int | None = None, max_pages: int | None = None, extension: str = "png") -> DataFrame:
     """(file_name, page_no, path) of page images below ``root``, within the page limits; contents are not read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
-    named = files.select(_folder(F.col("path")).alias("file_name"), page_number(F.col("path")).alias("page_no"), "path").where("page_no > 0")
+    wanted = Wanted(pages=selected and list(selected), first=max(1, start or 1), last=end or None, kinds=[f".{extension}"])
+    named = artifact_files(spark, root, wanted, contents=False).where("page_no > 0").select("file_name", "page_no", "path")
     return page_select(named, "file_name", "page_no", selected, start, end, max_pages, ("path",))
 
 
 def business_records(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
-    """(records, errors): every business_extract.json below ``root`` (any JSON file where there is none), and the paths whose JSON is no object."""
-    read = lambda pattern: spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).text(root, wholetext=True)
-    preferred = read("business_extract.json")
-    raw = read("*.json") if preferred.isEmpty() else preferred
-    parsed = raw.select(_path().alias("json_path"), F.trim("value").alias("value"))
+    """(records, errors): every business_extract.json of the folders under ``root`` (any JSON file below it where there is none), and the paths whose JSON is no object."""
+    preferred = artifact_files(spark, root, Wanted(kinds=[BUSINESS_FILE])).where("kind IS NOT NULL").select(F.col("path").alias("json_path"), F.decode("content", "UTF-8").alias("value"))
+    if artifact_files(spark, root, Wanted(kinds=[BUSINESS_FILE]), contents=False).where("kind IS NOT NULL").isEmpty():
+        raw = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").text(root, wholetext=True)
+        preferred = raw.select(_path().alias("json_path"), "value")
+    parsed = preferred.select("json_path", F.trim("value").alias("value"))
     ok = F.col("value").startswith("{") & F.try_parse_json("value").isNotNull()
     records = parsed.where(ok).select(_folder(F.col("json_path")).alias("folder"), "json_path", F.from_json("value", schemas.PROJECT).alias("p"))
     return records, parsed.where(~ok).select("json_path", F.lit("json_error").alias("status"))

@@ -1,16 +1,21 @@
-"""Writers. Everything is written by the executors as part files; nothing is gathered on the driver."""
+"""What is written: tables as part files, and rows (name, content) that ``files.write_files`` makes files of. Nothing is gathered on the driver."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.text import page_name, page_suffix
+from ..operators import scans
 from ..operators.sequences import block_summary, harvest_html
 
+SCRIPT_HEAD = ("#!/usr/bin/env bash", "set -eo pipefail", "")
+
 
 def write_tsv(df: DataFrame, path: str, columns: Sequence[str] | None = None, one_file: bool = False) -> None:
     """Tab-separated with a header; ``one_file`` is for lists that people read."""
@@ -36,11 +41,19 @@ def rerun_commands(targets: DataFrame, command: str = "extract") -> DataFrame:
     return grouped.select("file_name", "pages", F.concat_ws(" ", F.lit(command), F.lit("--file"), quoted, F.lit("--page"), "pages").alias("value"))
 
 
-def rerun_script(targets: DataFrame, command: str = "extract") -> str:
-    """A shell script with one command per file of a work list, sorted; it ends at the first failure."""
-    rows = rerun_commands(targets, command).orderBy("file_name").collect()  # one line per file that people are to rerun
-    told = [f"echo '### {k}/{len(rows)} {r.file_name} pages={r.pages}'\n{r.value}\n" for k, r in enumerate(rows, 1)]
-    return "\n".join(["#!/usr/bin/env bash", "set -eo pipefail", "", *told])
+def rerun_script(targets: DataFrame, command: str = "extract") -> DataFrame:
+    """(ord, line) of a shell script with one command per file of a work list, sorted; it ends at the first failure."""
+    rows = scans.numbered(rerun_commands(targets, command), ["file_name"], "k")
+    every = rows.agg(F.count("*").alias("n"))
+    told = F.format_string("echo '### %d/%d %s pages=%s'", "k", "n", F.regexp_replace("file_name", "'", "'\"'\"'"), "pages")
+    lines = F.array(F.struct((F.col("k") * 3).alias("ord"), told.alias("line")), F.struct((F.col("k") * 3 + 1).alias("ord"), F.col("value").alias("line")), F.struct((F.col("k") * 3 + 2).alias("ord"), F.lit("").alias("line")))
+    head = targets.sparkSession.range(3).select(F.col("id").alias("ord"), F.element_at(F.array(*map(F.lit, SCRIPT_HEAD)), (F.col("id") + 1).cast("int")).alias("line"))
+    return head.unionByName(rows.join(every).select(F.explode(lines).alias("x")).select("x.ord", "x.line"))
+
+
+def write_script(targets: DataFrame, path: str, command: str = "extract") -> None:
+    """The script as one text file in the folder ``path``: one task writes the lines as they come, sorted."""
+    rerun_script(targets, command).orderBy("ord").coalesce(1).select("line").write.mode("overwrite").text(path)
 
 
 def bundled(df: DataFrame, source: str, payload: Column) -> DataFrame:
@@ -103,12 +116,71 @@ def debug_files(asked: DataFrame, label: str) -> DataFrame:
     return asked.select(F.explode(files).alias("f")).select("f.name", F.encode(F.coalesce("f.t", F.lit("")), "UTF-8").alias("content"))
 
 
-def report_files(pages: DataFrame, partial: bool = False) -> DataFrame:
-    """(name, content): the extraction report of each document of ``pages`` (the fields of a page summary); a partial run names its pages."""
+def pretty(text: Column) -> Column:
+    """JSON laid out over lines, two blanks a level, characters as they are; null for what is no JSON."""
+
+    def laid_out(x: str | None) -> str | None:
+        try:
+            return None if x is None else json.dumps(json.loads(x), ensure_ascii=False, indent=2)
+        except ValueError:
+            return None
+
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(laid_out)
+
+    run.__annotations__ = {"texts": pd.Series, "return": pd.Series}
+    return F.pandas_udf(run, "string")(text)
+
+
+def record_files(records: DataFrame, file: str = "business_extract.json") -> DataFrame:
+    """(name, content): each record (file_name and more) as a pretty JSON file in its document's folder, nulls included."""
+    payload = F.to_json(F.struct(*records.columns), {"ignoreNullFields": "false"})
+    return records.select(F.concat("file_name", F.lit(f"/{file}")).alias("name"), F.encode(pretty(payload), "UTF-8").alias("content"))
+
+
+#: Lists of a record that a report counts.
+COUNTED = ("sub_projects", "specialty_fee_rows", "quantity_confirm_rows", "labor_rows", "material_rows", "machine_rows", "construction_processes")
+
+
+def reports(pages: DataFrame, records: DataFrame, counts: DataFrame, partial: bool = False) -> DataFrame:
+    """The extraction report of each document of ``counts``, one row each.
+
+    ``pages`` has the page summaries (file_name, page_no, table_index, rows and more), ``records`` the records as they are
+    stored, ``counts`` what the run saw: file_name, page_numbers, vl_page_count, page_text_count and elapsed_seconds.
+    """
     fields = F.struct(*[c for c in pages.columns if c != "file_name"])
     entry = F.struct("page_no", F.coalesce("table_index", F.lit(-1)).alias("_t"), fields.alias("p"))
-    grouped = pages.groupBy("file_name").agg(F.array_sort(F.collect_list(entry)).alias("e"), F.collect_set("page_no").alias("pages"), F.sum("rows").alias("total_rows"))
-    payload = F.struct("file_name", F.size("pages").alias("processed_pages"), F.lit(partial).alias("partial_update"), "total_rows", F.transform("e", lambda x: x["p"]).alias("pages"))
-    suffix = F.concat(F.lit("_"), page_suffix(F.col("pages"))) if partial else F.lit("")
+    grouped = pages.groupBy("file_name").agg(F.array_sort(F.collect_list(entry)).alias("_e"))
+    size = lambda c: F.coalesce(F.size(c), F.lit(0)) if c in records.columns else F.lit(0)
+    kept = records.select("file_name", *[F.greatest(size(c), F.lit(0)).alias(c) for c in COUNTED], F.col("document_info"))
+    joined = counts.join(kept, "file_name", "left").join(grouped, "file_name", "left")
+    return joined.select(
+        "file_name", F.size("page_numbers").alias("processed_pages"), F.lit(partial).alias("partial_update"), "vl_page_count", "page_text_count",
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in COUNTED], "document_info", F.round("elapsed_seconds", 2).alias("elapsed_seconds"), F.transform("_e", lambda x: x["p"]).alias("pages"), "page_numbers",
+    )
+
+
+def report_files(made: DataFrame, partial: bool = False) -> DataFrame:
+    """(name, content): a pretty JSON file for each of ``reports``; that of a partial run names its pages."""
+    fields = [c for c in made.columns if c != "page_numbers"]
+    suffix = F.concat(F.lit("_"), page_suffix(F.col("page_numbers")), F.lit("_partial")) if partial else F.lit("")
     name = F.concat(F.col("file_name"), F.lit("_vl_llm_extract"), suffix, F.lit("_summary.json"))
-    return grouped.select(name.alias("name"), F.encode(F.to_json(payload, {"ignoreNullFields": "false"}), "UTF-8").alias("content"))
+    return made.select(name.alias("name"), F.encode(pretty(_report_json(fields)), "UTF-8").alias("content"))
+
+
+def _report_json(fields: Sequence[str]) -> Column:
+    shown = {"pages": F.coalesce("pages", F.expr("array()")), "document_info": F.col("document_info")}
+    return F.to_json(F.struct(*[shown.get(c, F.col(c)).alias(c) for c in fields]), {"ignoreNullFields": "false"})
+
+
+def run_report(made: DataFrame) -> DataFrame:
+    """(ord, value): all reports of a run as the lines of one JSON list, by document; ``ord`` sorts them."""
+    fields = [c for c in made.columns if c != "page_numbers"]
+    rows = scans.numbered(made.select("file_name", _report_json(fields).alias("json")), ["file_name"], "k")
+    ends = made.sparkSession.range(2).select((F.col("id") * F.lit(1 << 62)).alias("ord"), F.when(F.col("id") == 0, "[").otherwise("]").alias("value"))
+    return ends.unionByName(rows.select(F.col("k").cast("long").alias("ord"), F.concat(F.when(F.col("k") > 1, ",").otherwise(""), "json").alias("value")))
+
+
+def write_run_report(made: DataFrame, path: str) -> None:
+    """The list of a run's reports as one file in the folder ``path``: one task writes the lines as they come."""
+    run_report(made).orderBy("ord").coalesce(1).select("value").write.mode("overwrite").text(path)
