@@ -15,3 +15,8 @@ def integer(name: str) -> int | None:
     """The number; None where unset or blank."""
     value = os.environ.get(name, "").strip()
     return int(value) if value else None
+
+
+def text(name: str) -> str | None:
+    """The value, trimmed; None where unset or blank."""
+    return os.environ.get(name, "").strip() or None

@@ -214,14 +214,3 @@ class RuleBackend:
 
     def rows(self, grid: Column, kind: str) -> Column:
         return extract(grid, kind)
-
-
-class RecordedBackend:
-    """Replies by the MD5 of their prompt: for tests, and for re-runs that must not ask again."""
-
-    def __init__(self, replies: dict[str, str]):
-        self.replies = replies
-
-    def answered(self, asked: DataFrame) -> DataFrame:
-        known = F.create_map(*[F.lit(x) for kv in self.replies.items() for x in kv]) if self.replies else F.expr("map('', '')")
-        return asked.withColumn("reply", F.try_element_at(known, F.md5("prompt")))

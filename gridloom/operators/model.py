@@ -1,9 +1,8 @@
 """Extraction by a language model: prompt, call, parse, normalise.
 
 A backend is any object with ``answered(asked)``, which adds the replies to rows with a prompt;
-the operators take it as an argument. ``RecordedBackend`` answers from recorded replies, ``CallBackend`` from any
-Python function, made once a worker. Prompts and replies are columns, so that keeping
-them is a projection and not a debug mode.
+the operators take it as an argument. ``StoredBackend`` (in ``replies``) asks what a table of replies doesn't answer, ``CallBackend`` asks
+each time. Prompts and replies are columns, so that keeping them is a projection and not a debug mode.
 """
 
 from __future__ import annotations
@@ -19,7 +18,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import rules
 from ..functions.text import clean_amount, is_blank, let, strip
-from .extract import RecordedBackend, lenient_json, parse_replies
+from ..sources import engines
+from .extract import lenient_json, parse_replies
 from .sequences import aliased, chunk_lines
 
 TEXT_LIMIT, PROCESS_LIMIT = 12000, 9000
@@ -33,19 +33,17 @@ class Backend(Protocol):
 
 
 class CallBackend:
-    """Replies of ``make()(prompts)``; ``make`` runs once in each task, so a model is loaded there once, and each prompt is asked once."""
+    """Replies of ``make(settings)(prompts)``; the model is made once a worker and settings (see ``engines``), and nothing is kept of what it says."""
 
-    def __init__(self, make: Callable[[], Callable[[list[str]], Iterable[str]]]):
-        self.make = make
+    def __init__(self, make: Callable[[object], Callable[[list[str]], Iterable[str]]], settings: object | None = None):
+        self.make, self.settings = make, settings or engines.ModelSettings()
 
     def answered(self, asked: DataFrame) -> DataFrame:
-        make, at = self.make, asked.columns.index("prompt")
+        make, settings, at = self.make, self.settings, asked.columns.index("prompt")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            model = None
             for batch in batches:
-                model = model or make()
-                replies = pa.array(list(model([p or "" for p in batch.column(at).to_pylist()])), pa.string())
+                replies = pa.array(list(engines.engine(make, settings)([p or "" for p in batch.column(at).to_pylist()])), pa.string())
                 yield pa.RecordBatch.from_arrays([*batch.columns, replies], names=[*batch.schema.names, "reply"])
 
         return asked.mapInArrow(run, StructType([*asked.schema.fields, StructField("reply", StringType())]))
@@ -157,12 +155,18 @@ def normalised(row: Column, kind: str) -> Column:
     return F.struct(*[v.alias(f) for f, v in value.items()])
 
 
-def extract_tables(tables: DataFrame, kind: str, backend: Backend, limit: int = TEXT_LIMIT, keep: bool = False) -> DataFrame:
-    """The normalised rows that ``backend`` finds in ``tables`` (grid and any columns): those columns, chunk_index, idx and the fields; with ``keep`` prompt and reply too."""
+def prompts(tables: DataFrame, kind: str, limit: int = TEXT_LIMIT) -> DataFrame:
+    """What a model is asked about ``tables`` (grid and any columns): those columns, chunk_index, data_rows, source_row_start and prompt, a row a chunk."""
     named = [c for c in tables.columns if c != "grid"]
     cut = tables.select(*named, F.explode(table_chunks(F.col("grid"), kind, limit)).alias("c"))
     told = F.when((F.col("c.chunk_index") > 1) | (F.col("c.source_row_start") > 1), F.concat(F.format_string("TABLE_CHUNK_INFO chunk_index=%d data_rows=%d source_row_start=%d\n", "c.chunk_index", "c.data_rows", "c.source_row_start"))).otherwise("")
-    asked = cut.where(F.size("c.grid") > 0).select(*named, F.col("c.chunk_index").alias("chunk_index"), prompt(F.concat(told, table_text(F.col("c.grid"), kind, limit=limit)), kind).alias("prompt"))
+    return cut.where(F.size("c.grid") > 0).select(*named, F.col("c.chunk_index").alias("chunk_index"), F.col("c.data_rows").alias("data_rows"), F.col("c.source_row_start").alias("source_row_start"), prompt(F.concat(told, table_text(F.col("c.grid"), kind, limit=limit)), kind).alias("prompt"))
+
+
+def extract_tables(tables: DataFrame, kind: str, backend: Backend, limit: int = TEXT_LIMIT, keep: bool = False) -> DataFrame:
+    """The normalised rows that ``backend`` finds in ``tables`` (grid and any columns): those columns, chunk_index, idx and the fields; with ``keep`` prompt and reply too."""
+    named = [c for c in tables.columns if c != "grid"]
+    asked = prompts(tables, kind, limit).drop("data_rows", "source_row_start")
     rows = backend.answered(asked).select(*named, "chunk_index", *(["prompt", "reply"] if keep else []), F.posexplode(parse_replies(F.col("reply"))).alias("idx", "row"))
     return rows.withColumn("row", normalised(F.col("row"), kind)).select(*[c for c in rows.columns if c != "row"], "row.*")
 
@@ -199,4 +203,4 @@ def cleaned_processes(sections: DataFrame, backend: Backend, limit: int = PROCES
     return sections.drop("cleaned_content", "structured_items").join(mended, "file_name", "left").withColumn("cleaned_content", F.coalesce("cleaned_content", F.lit("")))
 
 
-__all__ = ["Backend", "CallBackend", "RecordedBackend", "cleaned_processes", "extract_tables", "normalised", "table_chunks", "table_text"]
+__all__ = ["Backend", "CallBackend", "cleaned_processes", "extract_tables", "normalised", "table_chunks", "table_text"]

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import rules
+from ..functions.text import strip
 
 
 def chunk_lines(lines: Column, limit: int) -> Column:
@@ -25,7 +26,7 @@ def chunk_lines(lines: Column, limit: int) -> Column:
         )
 
     whole = F.aggregate(lines, state, step, lambda acc: F.concat(acc["done"], F.array(F.array_join(acc["open"], "\n"))))
-    return F.filter(F.transform(whole, F.trim), lambda c: c != "")
+    return F.filter(F.transform(whole, lambda c: strip(c)), lambda c: c != "")
 
 
 def label_histogram(df: DataFrame, key: str, label: str) -> DataFrame:

@@ -7,12 +7,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import rules
 from ..functions import text as T
-from ..operators import audit, classify, docinfo, extract, gates, grids, model, repair, sections, upsert
+from ..operators import audit, classify, docinfo, extract, gates, grids, model, repair, replies, sections, upsert
+from ..sources import engines, overlay, scratch
 from .driver import QUERIES, SQL, _t, query  # noqa: F401  (one registry)
 
 
@@ -465,60 +467,82 @@ def greedy_chunk(spark, sf_dir):
     return turns.select("conv_id", F.posexplode(chunk_lines(F.col("t.text"), 300)).alias("chunk", "c")).select("conv_id", "chunk", F.md5("c").alias("digest"))
 
 
-class _Echo:
-    """Answers a table's prompt with one row per data row: its first two cells."""
+def _recorded(spark: SparkSession, given: DataFrame, settings: engines.ModelSettings) -> replies.StoredBackend:
+    """A backend that answers from a table of recorded replies and asks nobody."""
+    store = replies.ReplyStore(spark, scratch.new_folder(spark, "replies"))
+    replies.record(store, given, settings)
+    return replies.StoredBackend(store, settings)
 
-    def __call__(self, prompts: list[str]) -> list[str]:
-        import json
-        import re
 
-        cells = [re.findall(r'^row_\d+: col_001="(\d+)" \| col_002="([^"]*)"', p, re.M) for p in prompts]
-        return ["```json\n" + json.dumps([{"序号": a, "名称": b} for a, b in found], ensure_ascii=False) + "\n```" for found in cells]
+def _told(rows: Column) -> Column:
+    """A reply as models give it: a fenced JSON list."""
+    return F.concat(F.lit("```json\n"), F.to_json(rows), F.lit("\n```"))
 
 
-@query("model_extraction", f"WITH {LINES} SELECT l_orderkey, line AS seq, 'p' || part AS name_spec FROM l")
+@query("model_extraction", f"WITH {LINES} SELECT l_orderkey, (line)::VARCHAR AS seq, 'p' || part AS name_spec FROM l")
 def model_extraction(spark, sf_dir):
+    """Orders as tables too long for one prompt; the replies to their chunks are rows of a table, the last one under another key."""
     tables = _orders(spark, sf_dir, [F.col("line"), F.concat(F.lit("p"), "part"), F.repeat(F.lit("x"), F.lit(490))], [_row("序号", "名称", "备注")])
-    return model.extract_tables(tables, "machine_table", model.CallBackend(_Echo), limit=3500).select("l_orderkey", "seq", "name_spec")
+    asked = model.prompts(tables.withColumn("_grid", F.col("grid")), "machine_table", 3500)
+    rows = F.transform(F.slice("_grid", F.col("source_row_start") + F.when(F.col("source_row_start") > 1, 0).otherwise(1), F.col("data_rows")), lambda r: F.struct(F.get(r, F.lit(0)).alias("序号"), F.get(r, F.lit(1)).alias("名称")))
+    backend = _recorded(spark, asked.select("prompt", _told(rows).alias("reply")), engines.ModelSettings("recorded"))
+    return model.extract_tables(tables, "machine_table", backend, limit=3500).select("l_orderkey", "seq", "name_spec")
 
 
-@query("recorded_extraction", "SELECT n_nationkey, 'n' || n_nationkey AS name FROM nation")
+@query("recorded_extraction", "SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN 'n' || o_custkey END AS name FROM orders")
 def recorded_extraction(spark, sf_dir):
-    import hashlib
+    """Orders without a recorded reply keep a null; what is asked for twice is stored once."""
+    orders = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_custkey", F.array(F.array(F.lit("名称")), F.array(_s("o_custkey"), "o_orderstatus")).alias("grid"))
+    asked = model.prompts(orders, "labor_table")
+    known = asked.where("o_orderstatus <> 'P'").select("prompt", F.concat(F.lit('[{"name": "n'), "o_custkey", F.lit('"},]')).alias("reply"))
+    found = _recorded(spark, known, engines.ModelSettings("recorded", max_tokens=64)).answered(asked)
+    return found.select("o_orderkey", F.get(extract.parse_replies(F.col("reply")), F.lit(0))["name"].alias("name"))
 
-    tables = _t(spark, sf_dir, "nation").select("n_nationkey", F.array(F.array(F.lit("名称")), F.array(_s("n_nationkey"))).alias("grid"))
-    asked = tables.select("n_nationkey", model.prompt(model.table_text(F.col("grid"), "labor_table"), "labor_table").alias("p")).collect()  # 25 rows to record
-    replies = {hashlib.md5(r.p.encode()).hexdigest(): f'[{{"name": "n{r.n_nationkey}"}}]' for r in asked}
-    return model.extract_tables(tables, "labor_table", model.RecordedBackend(replies)).select("n_nationkey", "name")
 
-
-class _Upper:
-    def __call__(self, prompts: list[str]) -> list[str]:
-        import json
-
-        return [json.dumps({"cleaned_content": p.rsplit("\n", 1)[-1].upper(), "structured_items": [{"target": "t", "section": "s", "steps": ["a", "b"]}]}) if "keep" not in p.rsplit("\n", 1)[-1] else "no" for p in prompts]
-
-
-@query("process_cleaning", "SELECT n_nationkey::VARCHAR AS file_name, CASE WHEN n_nationkey % 2 = 0 THEN upper(n_name || 'x') ELSE 'keep ' || n_name END AS cleaned_content, CASE WHEN n_nationkey % 2 = 0 THEN 1 ELSE 0 END AS n_items FROM nation")
+@query("process_cleaning", "SELECT o_orderkey::VARCHAR AS file_name, CASE WHEN o_totalprice > 200000 THEN upper(o_orderpriority) ELSE o_orderpriority || o_orderkey END AS cleaned_content, (o_totalprice > 200000)::INT AS n_items FROM orders")
 def process_cleaning(spark, sf_dir):
-    made = _t(spark, sf_dir, "nation").select(_s("n_nationkey").alias("file_name"), F.when(F.col("n_nationkey") % 2 == 0, F.concat("n_name", F.lit("x"))).otherwise(F.concat(F.lit("keep "), "n_name")).alias("content"))
-    return model.cleaned_processes(made, model.CallBackend(_Upper)).select("file_name", "cleaned_content", F.size("structured_items").alias("n_items"))
-
-
-@query("image_recognition", "SELECT n_nationkey::VARCHAR AS file_name, CASE WHEN n_nationkey % 5 <> 0 THEN n_name END AS text, n_nationkey % 5 = 0 AS failed FROM nation")
-def image_recognition(spark, sf_dir):
-    from ..sources.artifacts import recognise
-
-    def make():
-        def read(image: bytes) -> dict:
-            if not image:
-                raise ValueError("empty image")
-            return {"text": image.decode()}
-
-        return read
-
-    images = _t(spark, sf_dir, "nation").select(_s("n_nationkey").alias("file_name"), F.lit(1).alias("page_no"), F.encode(F.when(F.col("n_nationkey") % 5 == 0, "").otherwise(F.col("n_name")), "UTF-8").alias("image"))
-    return recognise(images, make, "struct<text:string>").select("file_name", F.col("result.text").alias("text"), F.col("error").isNotNull().alias("failed"))
+    rich = F.col("o_totalprice") > 200000
+    made = _t(spark, sf_dir, "orders").select(_s("o_orderkey").alias("file_name"), F.concat("o_orderpriority", _s("o_orderkey")).alias("content"), F.when(rich, F.upper("o_orderpriority")).alias("mended"))
+    item = F.struct(F.lit("t").alias("target"), F.lit("s").alias("section"), F.array(F.lit("a")).alias("steps"))
+    reply = F.when(F.col("mended").isNull(), "no").otherwise(F.to_json(F.struct(F.col("mended").alias("cleaned_content"), F.array(item).alias("structured_items"))))
+    backend = _recorded(spark, made.select(model.process_prompt(F.col("content")).alias("prompt"), reply.alias("reply")), engines.ModelSettings("recorded"))
+    return model.cleaned_processes(made.drop("mended"), backend).select("file_name", "cleaned_content", F.size("structured_items").alias("n_items"))
+
+
+def _blank_page(sizes: pd.DataFrame) -> pd.Series:
+    import numpy as np
+
+    return pd.Series([overlay.encode(np.full((h, w, 3), 255, np.uint8)) if w > 0 else b"no image" for w, h in zip(sizes["w"], sizes["h"], strict=True)])
+
+
+def _measure(settings: engines.PageSettings):
+    """A recogniser of drawn boxes: the image's size and its pixels in the boxes' colour."""
+
+    def read(image: bytes) -> dict:
+        pixels = overlay.decode(image)
+        return {"width": pixels.shape[1], "height": pixels.shape[0], "green": int((pixels == overlay.BOX).all(axis=2).sum())}
+
+    return read
+
+
+@query("box_overlay", """
+WITH o AS (SELECT o_orderkey, o_orderstatus, 6 + length(o_orderpriority) AS w, 6 + length(o_orderstatus || o_custkey) AS h FROM orders)
+SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN 40 END::INT AS width, CASE WHEN o_orderstatus <> 'P' THEN 30 END::INT AS height, CASE o_orderstatus WHEN 'P' THEN NULL WHEN 'F' THEN 0 ELSE 6 * w + 6 * h - 4 END::INT AS green,
+  CASE o_orderstatus WHEN 'P' THEN NULL WHEN 'F' THEN 0 ELSE 1 END::INT AS boxes, CASE WHEN o_orderstatus = 'P' THEN 'ValueError: no PNG image' END AS error FROM o""")
+def box_overlay(spark, sf_dir):
+    """A page an order: a box of sizes from its columns is drawn, then measured by a recogniser kept in the worker; one status has no image, one a box of three corners."""
+    w, h = (F.lit(6) + F.length("o_orderpriority")).cast("double"), (F.lit(6) + F.length(F.concat("o_orderstatus", _s("o_custkey")))).cast("double")
+    at = lambda x, y: F.array(F.lit(5.0) + x, F.lit(5.0) + y)
+    none = F.lit(0.0)
+    box = F.array(at(none, none), at(w, none), at(w, h), at(none, h))
+    item = F.struct(F.lit("t").alias("text"), F.lit(0.5).alias("score"), F.when(F.col("o_orderstatus") == "F", F.slice(box, 1, 3)).otherwise(box).alias("bbox"))
+    wide = F.when(F.col("o_orderstatus") == "P", 0).otherwise(40)
+    blank = F.pandas_udf(_blank_page, "binary")
+    pages = _t(spark, sf_dir, "orders").select(_s("o_orderkey").alias("file_name"), F.lit(1).alias("page_no"), blank(F.struct(wide.alias("w"), F.lit(30).alias("h"))).alias("image"), F.array(item).alias("items"))
+    made = overlay.overlays(pages, labels=False)
+    seen = engines.recognise(made.where("error IS NULL"), _measure, engines.PageSettings(device="cpu"), "struct<width:int,height:int,green:int>")
+    joined = made.select("file_name", "boxes", "error").join(seen.select("file_name", "result"), "file_name", "left")
+    return joined.select(F.col("file_name").cast("long").alias("o_orderkey"), "result.width", "result.height", "result.green", "boxes", "error")
 
 
 @query("cleaning_details", """

@@ -184,7 +184,7 @@ def test_sources_sinks_and_extraction(spark, tmp_path):
     assert len(record) == 1 and record[0].total_pages == 2
     assert [(s.sub_project_id, [r.unit_price for r in s.sub_item_project_rows]) for s in record[0].sub_projects] == [("doc-3幢", ["10.5", "5", "10.5", "5"])]
     reply = json.dumps([{"序号": "1", "project_code": "010902001001", "项目名称": "屋面", "工程量": "2", "合价": "21"}, {"project_name": "本页小计", "合价": "21"}, {"seq": "2", "project_code": "010902001002", "project_name": "墙面", "unit_price": "￥6"}], ensure_ascii=False)
-    asked = extraction.run(texts.where("text <> ''"), shown, empty, "2024-01-01", backend=model.CallBackend(lambda: lambda prompts: [reply for _ in prompts])).collect()
+    asked = extraction.run(texts.where("text <> ''"), shown, empty, "2024-01-01", backend=model.CallBackend(lambda settings: lambda prompts: [reply for _ in prompts])).collect()
     # the first price comes from the rules' row, the second is the model's own
     assert [[(r.seq, r.unit_price) for r in s.sub_item_project_rows] for s in asked[0].sub_projects] == [[("1", "10.5"), ("2", "6")] * 2]
     assert asked[0].construction_processes == []
