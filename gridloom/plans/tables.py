@@ -351,23 +351,39 @@ def gate_summary(spark, sf_dir):
     return gates.document_summary(rows).select("file_name", "pages", "target_pages", "vl_pages", "failed_pages", "is_total")
 
 
-@query("best_grid_row", f"WITH {LINES} SELECT l_orderkey, part || '|' || qty || '|' || price AS cells FROM l QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY pos::INT) = 1")
+@query("best_grid_row", f"""
+WITH {LINES}, g AS (SELECT l_orderkey, pos::INT AS k, [line, part, qty, price] AS cells FROM l),
+s AS (SELECT r.l_orderkey, r.pos::INT AS idx, g.k, g.cells, 3 * list_contains(g.cells, r.line)::INT + 3 * contains(array_to_string(g.cells, ''), left(r.part, 3))::INT + 2 * list_contains(g.cells, r.qty)::INT + 3 * list_contains(g.cells, r.supp)::INT AS score
+  FROM l r JOIN g ON r.l_orderkey = g.l_orderkey)
+SELECT l_orderkey, idx, score, k AS row_no, array_to_string(cells, '|') AS cells FROM s WHERE score >= 5 QUALIFY row_number() OVER (PARTITION BY l_orderkey, idx ORDER BY score DESC, k) = 1""")
 def best_grid_row(spark, sf_dir):
-    made = _orders(spark, sf_dir, [F.col("part"), F.col("qty"), F.col("price")], [_row("code", "qty", "total")])
-    first = F.get("grid", F.lit(1))
-    rows = made.select("l_orderkey", "grid", F.lit("").alias("seq"), first[0].alias("project_code"), F.lit("").alias("project_name"), first[1].alias("quantity"), first[2].alias("total_price"))
-    return rows.select("l_orderkey", F.array_join(repair.best_grid_row(F.col("grid")), "|").alias("cells"))
-
-
-@query("price_recovery", f"WITH {LINES} SELECT l_orderkey, CASE WHEN l_orderkey % 2 = 0 THEN '77' ELSE '88' END AS unit_price FROM l QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY pos::INT) = 1")
+    """Every line of an order against the order's grid: numbers, beginnings of names, quantities and totals that often fit other lines too."""
+    made = _orders(spark, sf_dir, [F.col("line"), F.col("part"), F.col("qty"), F.col("price"), F.col("supp")], [_row("no", "code", "qty", "total", "supp")])
+    made = scratch.stored(made.withColumn("table_id", _s("l_orderkey")), "orders")
+    shown = made.select("table_id", F.transform("grid", lambda r: F.slice(r, 1, 4)).alias("grid"))
+    lines = made.select("table_id", F.posexplode("grid").alias("idx", "r")).where("idx > 0")
+    rows = lines.select("table_id", "idx", F.col("r")[0].alias("seq"), F.lit("").alias("project_code"), F.left(F.col("r")[1], F.lit(3)).alias("project_name"), F.col("r")[2].alias("quantity"), F.col("r")[4].alias("total_price"))
+    found = repair.best_grid_rows(rows, repair.grid_lines(shown))
+    return found.select(F.col("table_id").cast("long").alias("l_orderkey"), "idx", "score", "row_no", F.array_join("cells", "|").alias("cells"))
+
+
+@query("price_recovery", f"""
+WITH {LINES} SELECT l_orderkey, line AS seq, CASE WHEN line = '7' THEN '11.5' ELSE ['77', '78', '79', '80'][line::INT % 4 + 1] END AS unit_price FROM l""")
 def price_recovery(spark, sf_dir):
-    made = _orders(spark, sf_dir, [F.col("line"), F.lit("010902001001"), F.lit("x"), F.lit("3.5"), F.lit("77.0"), F.lit("990")], [_row("序号", "项目编码", "项目名称", "工程量", "综合单价", "合价")])
-    even = F.col("l_orderkey") % 2 == 0
-    first = F.get("grid", F.lit(1))
-    price = F.when(even, "77").otherwise("88")
-    grid = F.array(F.get("grid", F.lit(0)), F.transform(first, lambda c: F.when(c == "77.0", price).otherwise(c)))
-    rows = made.select(_s("l_orderkey").alias("table_id"), F.lit(0).alias("idx"), grid.alias("grid"), "l_orderkey", first[0].alias("seq"), first[1].alias("project_code"), F.lit("x").alias("project_name"), F.lit("").alias("project_description"), F.lit("m").alias("unit"), F.lit("3.5").alias("quantity"), F.lit("").alias("unit_price"), F.when(even, "990").otherwise("").alias("total_price"), F.lit("").alias("remark"))
-    return repair.repair(rows, rows.select("table_id", "idx", "seq", "project_code", "project_name", "unit_price")).select("l_orderkey", "unit_price")
+    """Every line of an order: the price left of the total, in its own column, left of the total's column, right of the quantity, or (line 7) from the rules' row."""
+    way = F.col("line").cast("int") % 4
+    code = F.concat(F.lit("B"), "line")
+    cells = [F.lit("-"), code, F.when(way == 2, "79").otherwise("x"), F.lit("3.5"), F.when(way == 0, "77").when(way == 1, "78").otherwise("-"), F.when(way == 0, "990").when(way == 3, "80").otherwise("-"), F.col("line")]
+    made = _orders(spark, sf_dir, cells, [_row("序号", "项目编码", "项目名称", "工程量", "综合单价", "合价")])
+    made = scratch.stored(made.withColumn("table_id", _s("l_orderkey")), "orders")
+    lines = made.select("table_id", F.posexplode("grid").alias("idx", "r")).where("idx > 0")
+    blank, line = F.lit(""), F.col("r")[6]
+    rows = lines.select(
+        "table_id", "idx", line.alias("seq"), F.col("r")[1].alias("project_code"), blank.alias("project_name"), blank.alias("project_description"), F.lit("m").alias("unit"), F.lit("3.5").alias("quantity"), blank.alias("unit_price"),
+        F.when(F.col("r")[5] == "990", "990").otherwise("").alias("total_price"), blank.alias("remark"))
+    ruled = rows.where("seq = '7'").dropDuplicates(["table_id"]).withColumn("unit_price", F.lit("11.5"))
+    shown = made.select("table_id", F.transform("grid", lambda r: F.slice(r, 1, 6)).alias("grid"))
+    return repair.repair(rows, ruled, shown).select(F.col("table_id").cast("long").alias("l_orderkey"), "seq", "unit_price")
 
 
 @query("row_admission", f"""

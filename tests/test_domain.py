@@ -122,13 +122,14 @@ def test_repair(spark):
     fields = extract.fields_of("sub_item_project_table")
     base = dict.fromkeys(fields, "")
     made = [base | {"seq": "1", "project_code": "010902001001", "project_name": "屋面", "quantity": "2", "total_price": "21"}, base | {"project_name": "合计"}, base | {"seq": "序号", "project_name": "墙面", "quantity": "3", "total_price": "15"}]
-    names = ["table_id", "idx", "grid", *fields]
-    schema = "table_id string, idx int, grid array<array<string>>, " + ", ".join(f"{f} string" for f in fields)
-    rows = spark.createDataFrame([("t", i, GRID, *[r[f] for f in fields]) for i, r in enumerate(made)], schema)
-    rule = spark.createDataFrame([("t", i, GRID, *[r.get(f, "") for f in fields]) for i, r in enumerate(extract.extract_rows(GRID, "sub_item_project_table"))], schema)
-    got = {r.project_name: (r.seq, r.unit_price) for r in repair.repair(rows, rule).select(*names).collect()}
+    names = ["table_id", "idx", *fields]
+    schema = "table_id string, idx int, " + ", ".join(f"{f} string" for f in fields)
+    grids_ = spark.createDataFrame([("t", GRID)], "table_id string, grid array<array<string>>")
+    rows = spark.createDataFrame([("t", i, *[r[f] for f in fields]) for i, r in enumerate(made)], schema)
+    rule = spark.createDataFrame([("t", i, *[r.get(f, "") for f in fields]) for i, r in enumerate(extract.extract_rows(GRID, "sub_item_project_table"))], schema)
+    got = {r.project_name: (r.seq, r.unit_price) for r in repair.repair(rows, rule, grids_).select(*names).collect()}
     assert got == {"屋面": ("1", "10.5"), "墙面": ("2", "5")}
-    bare = repair.repair(rows, rule.limit(0)).collect()
+    bare = repair.repair(rows, rule.limit(0), grids_).collect()
     assert {r.project_name: r.unit_price for r in bare} == {"屋面": "10.5", "墙面": "5"}
 
 
