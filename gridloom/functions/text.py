@@ -65,12 +65,20 @@ def top_level_seq(c: Column) -> Column:
     return F.regexp_extract(strip(c), r"\A([1-7])(?![.．0-9])", 1)
 
 
-def split_amount(c: Column) -> tuple[Column, Column]:
-    """The first number without commas, and the text without it."""
-    number = F.regexp_extract(_text(c), r"-?[0-9][0-9,]*(?:\.[0-9]+)?", 0)
-    at = F.instr(_text(c), number)
-    rest = F.when(number == "", _text(c)).otherwise(F.concat(F.left(_text(c), at - 1), F.substring(_text(c), at + F.length(number), F.length(_text(c)))))
-    return F.replace(number, F.lit(","), F.lit("")), strip(rest)
+def split_amount(c: Column, keep_sign: bool = False) -> tuple[Column, Column]:
+    """The first number, and the trimmed text without it, of a text without its commas; blank and the text as it was where it has no number.
+
+    A minus before the number stays in the rest; ``keep_sign`` makes it part of the number.
+    """
+    number = r"-?[0-9]+\.?[0-9]*" if keep_sign else r"[0-9]+\.?[0-9]*"
+
+    def parts(t: Column) -> Column:
+        plain = F.replace(t, F.lit(","), F.lit(""))
+        rest = strip(F.regexp_replace(plain, rf"(?s)\A(.*?)(?:{number})(.*)\z", "$1$2"))
+        return let(F.regexp_extract(plain, number, 0), lambda n: F.struct(n.alias("amount"), F.when(n == "", t).otherwise(rest).alias("rest")))
+
+    found = let(strip(c), parts)
+    return found["amount"], found["rest"]
 
 
 def chinese_int(c: Column) -> Column:

@@ -73,6 +73,13 @@ def _top_seq(text: str) -> str:
     return m[1] if m else ""
 
 
+def split_amount(text: str) -> tuple[str, str]:
+    """The first number of a text without commas, and the text without it (``functions.text.split_amount`` for the cells of a row)."""
+    plain = text.replace(",", "")
+    number = re.search(r"[0-9]+\.?[0-9]*", plain)
+    return (number[0], (plain[: number.start()] + plain[number.end() :]).strip()) if number else ("", text.strip())
+
+
 def _unit_fee(row: Row, cells: list[str], at: dict[str, int]) -> Row | None:
     filled = [c for c in cells if c]
     top = _top_seq(row["seq"] or filled[0])
@@ -80,10 +87,8 @@ def _unit_fee(row: Row, cells: list[str], at: dict[str, int]) -> Row | None:
         return None
     merged = re.fullmatch(r"[1-7](?:\s*其中)?\s*(.+)", row["seq"]) if not row["fee_name"] else None
     name = row["fee_name"] or (merged[1].strip() if merged else "") or (filled[1] if len(filled) > 1 else "")
-    plain = row["amount"].replace(",", "")
-    number = re.search(r"\d+\.?\d*", plain)
-    rest = (plain[: number.start()] + plain[number.end() :]).strip() if number else plain.strip()
-    return row | {"seq": _top_seq(row["seq"]), "fee_name": name, "amount": number[0] if number else row["amount"], "remark": " ".join(x for x in (row["remark"], rest) if x)}
+    number, rest = split_amount(row["amount"])
+    return row | {"seq": _top_seq(row["seq"]), "fee_name": name, "amount": number or row["amount"], "remark": " ".join(x for x in (row["remark"], rest) if x)}
 
 
 def _sub_item(row: Row, cells: list[str], at: dict[str, int]) -> Row | None:

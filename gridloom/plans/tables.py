@@ -202,10 +202,19 @@ def incomplete_name(spark, sf_dir):
     return _t(spark, sf_dir, "nation").select("n_nationkey", classify.is_incomplete(F.concat("n_name", ending)).alias("incomplete"))
 
 
-@query("consultation_name", "SELECT c_custkey, c_name || CASE WHEN c_nationkey % 2 = 0 THEN 'part two' ELSE '' END AS name FROM customer")
+@query("consultation_name", """
+SELECT c_custkey, CASE c_nationkey % 10 WHEN 1 THEN c_name || 'part two' WHEN 2 THEN c_name || '及其附属部分' WHEN 5 THEN c_name || '改造工程' WHEN 7 THEN c_name || 'x y' WHEN 8 THEN NULL WHEN 9 THEN '' ELSE c_name END AS name FROM customer""")
 def consultation_name(spark, sf_dir):
-    text = F.concat(F.lit("cover\n咨询项目全称："), "c_name", F.when(F.col("c_nationkey") % 2 == 0, "\n part two __").otherwise(""), F.lit("\n委托单位：x\nmore"))
-    return _t(spark, sf_dir, "customer").select("c_custkey", docinfo.project_name(text).alias("name"))
+    """Names on and below the label, before it, after a title, in repeated pieces, with runs of blanks; no label, no name."""
+    label, name = F.lit("咨询项目全称："), F.col("c_name")
+    spaced = F.concat(F.left(name, F.lit(4)), F.lit(" "), F.substring(name, 5, 100))
+    lines = lambda *parts: F.concat_ws("\n", F.lit("cover"), *[p if isinstance(p, Column) else F.lit(p) for p in parts])
+    texts = [
+        lines(F.concat(label, name), "委托单位：x", "more"), lines(F.concat(label, name), " part two __", "（一）概况", "more"), lines(name, F.concat(label, F.lit("及其附属部分")), "二、其他"),
+        lines(name, label, "日期：x"), lines(label, "工程造价咨询报告书", name, "目录"), lines(name, F.concat(F.lit(" 咨询项全程 :"), F.lit("改造工程")), "工程名称：y"),
+        lines(name, "工程造价咨询报告", label, "委托单位：x"), lines(F.concat(label, name), spaced, "x \t y", name, "编制人"), lines(name), lines("目录", "审核报告", label, "__", "一、概况", name),
+    ]
+    return _t(spark, sf_dir, "customer").select("c_custkey", docinfo.project_name(F.get(F.array(*texts), (F.col("c_nationkey") % 10).cast("int"))).alias("name"))
 
 
 @query("report_date", "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders")
@@ -255,10 +264,16 @@ def top_level_seq(spark, sf_dir):
     return _t(spark, sf_dir, "part").select("p_partkey", T.top_level_seq(shown).alias("seq"))
 
 
-@query("split_amount", "SELECT c_custkey, printf('%.2f', abs(c_acctbal) * 1000) AS amount, 'about  元' AS remark FROM customer")
+@query("split_amount", """
+SELECT c_custkey, CASE c_nationkey % 6 WHEN 0 THEN printf('%.2f', abs(c_acctbal) * 1000) WHEN 2 THEN c_custkey || '.' WHEN 3 THEN '' ELSE c_custkey::VARCHAR END AS amount,
+  CASE c_nationkey % 6 WHEN 0 THEN 'about  元x' WHEN 1 THEN '-元' WHEN 2 THEN '元' WHEN 3 THEN 'none, at all' WHEN 4 THEN '' ELSE 'to 7 元' END AS remark,
+  CASE c_nationkey % 6 WHEN 0 THEN printf('%.2f', abs(c_acctbal) * 1000) WHEN 1 THEN '-' || c_custkey WHEN 2 THEN c_custkey || '.' WHEN 3 THEN '' ELSE c_custkey::VARCHAR END AS signed, CASE c_nationkey % 6 WHEN 1 THEN '元' END AS signed_rest FROM customer""")
 def split_amount(spark, sf_dir):
-    amount, remark = T.split_amount(F.concat(F.lit("about "), F.format_number(F.abs("c_acctbal") * 1000, 2), F.lit(" 元")))
-    return _t(spark, sf_dir, "customer").select("c_custkey", amount.alias("amount"), remark.alias("remark"))
+    key, c = F.col("c_custkey"), F.concat
+    texts = [c(F.lit(" about "), F.format_number(F.abs("c_acctbal") * 1000, 2), F.lit(" 元,x")), c(F.lit("-"), key, F.lit("元")), c(key, F.lit(".元")), F.lit("none, at all "), c(F.lit("　"), key), c(key, F.lit(" to 7 元"))]
+    text = F.get(F.array(*texts), (F.col("c_nationkey") % 6).cast("int"))
+    (amount, remark), (signed, rest) = T.split_amount(text), T.split_amount(text, keep_sign=True)
+    return _t(spark, sf_dir, "customer").select("c_custkey", amount.alias("amount"), remark.alias("remark"), signed.alias("signed"), F.when(F.col("c_nationkey") % 6 == 1, rest).alias("signed_rest"))
 
 
 @query("lenient_json", """

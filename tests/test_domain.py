@@ -24,6 +24,8 @@ def one(spark, value, f, kind="string"):
         (T.is_valid_seq, "1", True), (T.is_valid_seq, "1.1", True), (T.is_valid_seq, "1.", False), (T.is_valid_seq, "一", False), (T.is_valid_seq, None, False),
         (T.top_level_seq, "2 措施项目费", "2"), (T.top_level_seq, "2.1", ""), (T.top_level_seq, "12", ""), (T.top_level_seq, "8", ""), (T.top_level_seq, "3", "3"),
         (lambda c: T.split_amount(c)[0], "1,234.5元", "1234.5"), (lambda c: T.split_amount(c)[1], "1,234.5元", "元"),
+        (lambda c: F.concat_ws("|", *T.split_amount(c)), "-5元", "5|-元"), (lambda c: F.concat_ws("|", *T.split_amount(c)), "12.元", "12.|元"), (lambda c: F.concat_ws("|", *T.split_amount(c)), "a,b 1,000 c,", "1000|ab  c"), (lambda c: F.concat_ws("|", *T.split_amount(c)), " no, ", "|no,"), (lambda c: F.concat_ws("|", *T.split_amount(c, keep_sign=True)), "-5元", "-5|元"),
+        (docinfo.project_name, "某某小区\n咨询项目全称：及其附属工程", "某某小区及其附属工程"), (docinfo.project_name, "咨询项目全称：工程造价咨询报告书\n甲区", "甲区"), (docinfo.project_name, "甲\n乙小区\n咨询项目全称：\n委托单位：x", "乙小区"), (docinfo.project_name, "目录\n咨询项目全称：及其他", "及其他"), (docinfo.project_name, "none", None),
         (T.normalize_unit, "$ m^{2} $", "m2"), (T.date_iso, "二〇二四年十二月三日", "2024-12-03"), (T.date_iso, "2024.3.5", "2024-03-05"), (T.date_iso, "none", ""), (T.date_iso, "二〇二四年十月二十日", "2024-10-20"),
         (T.collapse_phrase, "甲区甲区", "甲区"), (T.collapse_phrase, "22", "2"), (T.collapse_phrase, "甲区", "甲区"), (lambda c: T.collapse_phrase(c, strict=True), "22", "22"),
         (T.strip, "\n a 　", "a"), (T.compact, "a　b c", "abc"), (T.is_project_code, "010902001001", True), (T.page_number, "x/page_007_vl.json", 7), (T.page_number, "none", None),
