@@ -20,9 +20,13 @@ def _text(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 
 
+#: Every white space character, the ideographic space included.
+WHITE = "".join(chr(c) for c in (*range(9, 14), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
+
+
 def strip(c: Column) -> Column:
-    """Trims every kind of white space, the ideographic space included."""
-    return F.regexp_replace(_text(c), r"(?U)\A\s++|(?<!\s)\s++\z", "")
+    """Trims every kind of white space."""
+    return F.btrim(_text(c), F.lit(WHITE))
 
 
 def compact(c: Column) -> Column:
@@ -45,15 +49,16 @@ def clean_amount(c: Column, keep_sign: bool = False) -> Column:
 
 
 def is_amount(c: Column) -> Column:
-    return F.regexp_replace(strip(c), r"(?U)[￥¥,\s]", "").rlike(r"(?U)\A\d+(?:\.\d+)?\z")
+    """A number, whatever currency signs, commas and white space stand among its digits."""
+    return _text(c).rlike(r"(?U)\A[￥¥,\s]*+(?:\d[￥¥,\s]*+)++(?:\.[￥¥,\s]*+(?:\d[￥¥,\s]*+)++)?\z")
 
 
 def is_valid_seq(c: Column) -> Column:
-    return strip(c).rlike(r"(?U)\A\d+(?:\.\d+)?\z")
+    return _text(c).rlike(r"(?U)\A\s*+\d++(?:\.\d++)?\s*+\z")
 
 
 def is_project_code(c: Column) -> Column:
-    return strip(c).rlike(r"(?U)\A\d{9,15}\z")
+    return _text(c).rlike(r"(?U)\A\s*+\d{9,15}\s*+\z")
 
 
 def normalize_unit(c: Column) -> Column:
@@ -83,25 +88,35 @@ def split_amount(c: Column, keep_sign: bool = False) -> tuple[Column, Column]:
 
 def chinese_int(c: Column) -> Column:
     """A number in Arabic digits, or in Chinese ones up to 99 or digit by digit; null else."""
-    t = compact(c)
-    plain = F.translate(t, CJK_DIGITS, ASCII_DIGITS)
-    tens, ones = F.regexp_extract(plain, r"\A([0-9]?)十([0-9]?)\z", 1), F.regexp_extract(plain, r"\A([0-9]?)十([0-9]?)\z", 2)
-    number = lambda d, blank: F.when(d == "", blank).otherwise(d.try_cast("int"))
-    mixed = F.when(plain.rlike(r"\A[0-9]?十[0-9]?\z"), number(tens, F.lit(1)) * 10 + number(ones, F.lit(0))).when(plain.rlike(r"\A十.\z"), 10)
-    return F.when(t.rlike(r"\A[0-9]+\z"), t.try_cast("int")).when(t.rlike("[0-9]"), None).when(plain.rlike(r"\A[0-9]+\z"), plain.try_cast("int")).otherwise(mixed)
+    digit = lambda d, blank: F.when(d == "", blank).otherwise(d.try_cast("int"))
+
+    def mixed(plain: Column) -> Column:
+        ten = F.instr(plain, "十")
+        tens, ones = F.left(plain, ten - 1), F.substring(plain, ten + 1, F.length(plain))
+        return F.when(plain.rlike(r"\A[0-9]?十[0-9]?\z"), digit(tens, F.lit(1)) * 10 + digit(ones, F.lit(0))).when(plain.rlike(r"\A十.\z"), 10)
+
+    def parsed(t: Column) -> Column:
+        spelt = let(F.translate(t, CJK_DIGITS, ASCII_DIGITS), lambda plain: F.coalesce(F.when(plain.rlike(r"\A[0-9]+\z"), plain.try_cast("int")), mixed(plain)))
+        return F.when(t.rlike(r"\A[0-9]+\z"), t.try_cast("int")).when(~t.rlike("[0-9]"), spelt)
+
+    return let(compact(c), parsed)
 
 
 def date_iso(c: Column) -> Column:
     """The first date of the years 1900 to 2099 in Arabic digits, else the first in Chinese numerals, as YYYY-MM-DD; blank without one."""
-    t = compact(c)
-    arabic, digit = r"((?:19|20)[0-9]{2})[年./-]([0-9]{1,2})[月./-]([0-9]{1,2})", f"[{CJK_DIGITS.replace('两', '')}]"
-    chinese = f"({digit}{{4}})年([十{CJK_DIGITS}]{{1,3}})月([十{CJK_DIGITS}]{{1,3}})日"
-    part = lambda pattern, k: F.regexp_extract(t, pattern, k)
-    two = lambda n: F.format_string("%02d", n)
-    plain = F.concat_ws("-", part(arabic, 1), *[two(part(arabic, k).try_cast("int")) for k in (2, 3)])
-    month, day = chinese_int(part(chinese, 2)), chinese_int(part(chinese, 3))
-    spelt = F.when((month > 0) & (day > 0), F.concat_ws("-", F.translate(part(chinese, 1), CJK_DIGITS, ASCII_DIGITS), two(month), two(day))).otherwise("")
-    return F.when(part(arabic, 1) != "", plain).when(part(chinese, 1) != "", spelt).otherwise("")
+    digit = f"[{CJK_DIGITS.replace('两', '')}]"
+    arabic, chinese = r"((?:19|20)[0-9]{2})[年./-]([0-9]{1,2})[月./-]([0-9]{1,2})", f"({digit}{{4}})年([十{CJK_DIGITS}]{{1,3}})月([十{CJK_DIGITS}]{{1,3}})日"
+    #: the parts of the first match as an array of three, null without one
+    parts = lambda t, pattern: F.split(F.regexp_replace(F.regexp_substr(t, F.lit(pattern)), pattern, "$1 $2 $3"), " ")
+    two = lambda n: F.lpad(n.cast("string"), 2, "0")
+    plain = lambda p: F.concat_ws("-", p[0], two(p[1]), two(p[2]))
+
+    def spelt(p: Column) -> Column:
+        number = F.struct(chinese_int(p[1]).alias("m"), chinese_int(p[2]).alias("d"))
+        return let(number, lambda n: F.when((n["m"] > 0) & (n["d"] > 0), F.concat_ws("-", F.translate(p[0], CJK_DIGITS, ASCII_DIGITS), two(n["m"]), two(n["d"]))).otherwise(""))
+
+    found = lambda t, pattern, shown: let(parts(t, pattern), lambda p: F.when(p.isNotNull(), shown(p)))
+    return let(compact(c), lambda t: F.coalesce(found(t, arabic, plain), found(t, chinese, spelt), F.lit("")))
 
 
 def collapse_phrase(c: Column, strict: bool = False) -> Column:

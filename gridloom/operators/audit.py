@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import rules
-from ..functions.text import is_amount, is_blank, is_project_code, is_valid_seq, normalize_unit, preview, strip
+from ..functions.text import is_amount, is_blank, is_project_code, is_valid_seq, let, normalize_unit, preview, strip
 
 NUMERIC = ("quantity", "unit_price", "total_price", "labor_cost", "machinery_cost")
 SHORT = ("seq", "project_code", "project_name", "unit", *NUMERIC)
@@ -25,26 +25,30 @@ def _present(*items: Column) -> Column:
 
 def misaligned_reasons() -> Column:
     """Why a row looks as if its columns had shifted; empty if it does not."""
-    c = {k: strip(F.col(k)) for k in ("project_code", "unit_price", "total_price", "labor_cost", "machinery_cost")}
-    shifted = (c["unit_price"] != "") & ((c["unit_price"] == c["project_code"]) | is_project_code(c["unit_price"]))
-    named = ~is_blank(F.col("seq")) & ~is_blank(F.col("project_name")) & ~is_blank(F.col("project_code"))
+    price, code = strip(F.col("unit_price")), strip(F.col("project_code"))
+    shifted = (price != "") & ((price == code) | is_project_code(F.col("unit_price")))
+    named = ~is_blank(F.col("seq")) & ~is_blank(F.col("project_name")) & (code != "")
     bad = _present(*[F.when((F.coalesce(F.col(k), F.lit("")) != "") & ~is_amount(F.col(k)), F.lit(k)) for k in NUMERIC])
-    return _present(
-        F.when(shifted, "unit_price像项目编码"),
-        F.when(shifted & is_amount(c["total_price"]) & is_amount(c["labor_cost"]), "疑似金额列整体右移"),
-        F.when(is_project_code(c["total_price"]) | is_project_code(c["labor_cost"]) | is_project_code(c["machinery_cost"]), "金额列出现项目编码"),
-        F.when(named & (F.size(bad) > 0), F.concat(F.lit("数值列非金额:"), F.array_join(bad, ","))),
-    )
+
+    def told(x: Column) -> Column:
+        return _present(
+            F.when(x["shifted"], "unit_price像项目编码"),
+            F.when(x["shifted"] & is_amount(F.col("total_price")) & is_amount(F.col("labor_cost")), "疑似金额列整体右移"),
+            F.when(is_project_code(F.col("total_price")) | is_project_code(F.col("labor_cost")) | is_project_code(F.col("machinery_cost")), "金额列出现项目编码"),
+            F.when(F.size(x["bad"]) > 0, F.concat(F.lit("数值列非金额:"), F.array_join(x["bad"], ","))),
+        )
+
+    return let(F.struct(shifted.alias("shifted"), F.when(named, bad).otherwise(F.slice(bad, 1, 0)).alias("bad")), told)
 
 
 def misaligned_pages(rows: DataFrame) -> DataFrame:
     """(file_name, page_no, hit_rows, reasons, sample) of pages with such rows."""
-    hits = rows.withColumn("_r", misaligned_reasons()).where(F.size("_r") > 0)
+    hits = rows.select("file_name", "page_no", "pos", *SHORT, F.posexplode(misaligned_reasons()).alias("_k", "_r"))  # a row without reasons goes
     return hits.groupBy("file_name", "page_no").agg(
-        F.count("*").alias("hit_rows"),
-        F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_set("_r")))), "、").alias("reasons"),
-        F.min_by(preview(*[F.col(c) for c in SHORT]), "pos").alias("sample"),
-    )
+        F.count_if(F.col("_k") == 0).alias("hit_rows"),
+        F.array_join(F.array_sort(F.collect_set("_r")), "、").alias("reasons"),
+        F.min_by(F.struct(*SHORT), "pos").alias("_first"),
+    ).select("file_name", "page_no", "hit_rows", "reasons", preview(*[F.col(f"_first.{c}") for c in SHORT]).alias("sample"))
 
 
 def is_exported() -> Column:
@@ -59,15 +63,16 @@ def loss_reason(sep: str = "、") -> Column:
 def empty_after_filter(rows: DataFrame) -> DataFrame:
     """Pages with rows of which the export keeps none, and a histogram of the reasons."""
     by_reason = rows.where("page_no > 0").withColumn("reason", loss_reason()).groupBy("file_name", "page_no", "reason").agg(
-        F.count("*").alias("n"), F.count_if(is_exported()).alias("k"), F.min(F.struct("pos", preview(*[F.col(c) for c in LONG]).alias("p"))).alias("first"))
+        F.count("*").alias("n"), F.count_if(is_exported()).alias("k"), F.min(F.struct("pos", *LONG)).alias("first"))
     return (
         by_reason.groupBy("file_name", "page_no")
         .agg(
             F.sum("n").alias("raw_rows"), F.sum("k").alias("kept_rows"),
             F.array_join(F.array_sort(F.collect_list(F.concat("reason", F.lit(":"), F.col("n").cast("string")))), "、").alias("reasons"),
-            F.min("first")["p"].alias("sample"),
+            F.min("first").alias("first"),
         )
         .where((F.col("raw_rows") > 0) & (F.col("kept_rows") == 0))
+        .select("file_name", "page_no", "raw_rows", "kept_rows", "reasons", preview(*[F.col(f"first.{c}") for c in LONG]).alias("sample"))
     )
 
 
@@ -122,7 +127,7 @@ def export_rows(documents: DataFrame, rows: DataFrame) -> DataFrame:
     warned = F.filter(F.transform("_rows", lambda r, i: F.struct(i.alias("row_index"), r["seq"].alias("seq"), r["project_code"].alias("project_code"), r["project_name"].alias("project_name"), r["_w"].alias("warnings"))), lambda r: F.size(r["warnings"]) > 0)
     joined = documents.join(listed, ["file_name", "sub_project_id"], "left")
     return joined.withColumns({
-        "sub_item_project_rows": F.when(F.size("_rows") > 0, row_json).otherwise(""), "sub_item_project_warnings": F.when(F.size(warned) > 0, F.to_json(warned)).otherwise("")
+        "sub_item_project_rows": F.when(F.size("_rows") > 0, row_json).otherwise(""), "sub_item_project_warnings": F.coalesce(let(warned, lambda w: F.when(F.size(w) > 0, F.to_json(w))), F.lit(""))
     }).drop("_rows")
 
 

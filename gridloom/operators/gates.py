@@ -47,22 +47,31 @@ def _decision(hits: Column) -> Column:
 def table_score(texts: Column, n_items: Column, x_buckets: Column, y_buckets: Column, keywords: Sequence[str], strong: Sequence[str], strong_columns: Sequence[str] = rules.STRONG_COLUMNS, structures=None) -> Column:
     """Struct with is_table_like, score and its parts, from trimmed non-blank item texts and layout buckets."""
     structures = rules.STRUCTURES if structures is None else structures
-    joined = F.array_join(texts, "\n")
-    n_key = F.size(pattern_hits(joined, [(k, (k,)) for k in keywords], squeeze=False))
-    n_strong = F.size(pattern_hits(joined, [(k, (k,)) for k in strong], squeeze=False))
-    shaped = F.size(pattern_hits(gate_compact(joined), structures)) > 0
-    numeric = F.size(F.filter(texts, lambda t: F.replace(t, F.lit(" "), F.lit("")).rlike(NUMERIC_CELL)))
-    short = F.size(F.filter(texts, lambda t: F.length(t) <= 8))
-    ratio = F.when(F.size(texts) > 0, short / F.size(texts)).otherwise(0.0)
-    column = reduce(lambda a, b: a | b, [F.contains(joined, F.lit(k)) for k in strong_columns])
-    score = (
-        F.when(n_key >= 2, 3).when(n_key == 1, 1).otherwise(0) + F.when(numeric >= 8, 2).when(numeric >= 4, 1).otherwise(0)
-        + F.when((n_items >= 25) & (x_buckets >= 4) & (y_buckets >= 6), 2).when((n_items >= 15) & (x_buckets >= 3) & (y_buckets >= 4), 1).otherwise(0)
-        + F.when(column, 2).otherwise(0) + F.when(shaped, 3).otherwise(0)
-    )
-    dense = (short >= 12) & (ratio >= 0.5)
-    like = (shaped & (n_items >= 8)) | ((n_strong > 0) & dense) | ((numeric >= 6) & dense) | ((score >= 7) & (ratio >= 0.45))
-    return F.struct(like.alias("is_table_like"), score.alias("score"), numeric.alias("numeric_count"), short.alias("short_text_count"), F.round(ratio, 4).alias("short_text_ratio"))
+    hit = lambda text, names: F.size(pattern_hits(text, [(k, (k,)) for k in names], squeeze=False))
+    shaped = lambda text: F.size(pattern_hits(text, structures)) > 0
+
+    def seen(text: Column) -> Column:
+        column = reduce(lambda a, b: a | b, [F.contains(text, F.lit(k)) for k in strong_columns])
+        return F.struct(hit(text, keywords).alias("key"), hit(text, strong).alias("strong"), let(gate_compact(text), shaped).alias("shaped"), column.alias("column"))
+
+    def counted(ts: Column) -> Column:
+        numeric = F.size(F.filter(ts, lambda t: F.replace(t, F.lit(" "), F.lit("")).rlike(NUMERIC_CELL)))
+        short = F.size(F.filter(ts, lambda t: F.length(t) <= 8))
+        return F.struct(let(F.array_join(ts, "\n"), seen).alias("has"), numeric.alias("numeric"), short.alias("short"), F.size(ts).alias("n"))
+
+    def judged(x: Column) -> Column:
+        has, numeric, short = x["has"], x["numeric"], x["short"]
+        ratio = F.when(x["n"] > 0, short / x["n"]).otherwise(0.0)
+        score = (
+            F.when(has["key"] >= 2, 3).when(has["key"] == 1, 1).otherwise(0) + F.when(numeric >= 8, 2).when(numeric >= 4, 1).otherwise(0)
+            + F.when((n_items >= 25) & (x_buckets >= 4) & (y_buckets >= 6), 2).when((n_items >= 15) & (x_buckets >= 3) & (y_buckets >= 4), 1).otherwise(0)
+            + F.when(has["column"], 2).otherwise(0) + F.when(has["shaped"], 3).otherwise(0)
+        )
+        dense = (short >= 12) & (ratio >= 0.5)
+        like = (has["shaped"] & (n_items >= 8)) | ((has["strong"] > 0) & dense) | ((numeric >= 6) & dense) | ((score >= 7) & (ratio >= 0.45))
+        return F.struct(like.alias("is_table_like"), score.alias("score"), numeric.alias("numeric_count"), short.alias("short_text_count"), F.round(ratio, 4).alias("short_text_ratio"))
+
+    return let(let(texts, counted), judged)
 
 
 def buckets(centres: Column, size: int) -> Column:

@@ -341,9 +341,9 @@ def table_gate(spark, sf_dir):
     head = F.array(*[item(F.lit(t), F.lit(float(100 * k)), F.lit(0.0)) for k, t in enumerate(("序号", "项目编码", "项目名称", "综合单价", "合价", " ", "a", "b", "c"))])
     rows = _orders(spark, sf_dir, [F.col("qty"), F.concat(F.lit("long name of the part "), "part")], [_row("h", "h")]).withColumn("r", F.slice("grid", 2, 99))
     cells = F.flatten(F.transform("r", lambda r, i: F.array(item(r[0], F.lit(0.0), (i + 1) * 40.0), item(r[1], F.lit(400.0), (i + 1) * 40.0))))
-    made = rows.select("l_orderkey", F.concat(head, cells).alias("items"))
-    texts = gates.item_texts(F.col("items"))
-    x, y = (F.transform("items", _centre(k)) for k in (0, 1))
+    made = rows.select("l_orderkey", F.concat(head, cells).alias("parts"))
+    texts = gates.item_texts(F.col("parts"))
+    x, y = (F.transform("parts", _centre(k)) for k in (0, 1))
     scored = made.select("l_orderkey", F.size(texts).alias("items"), gates.table_score(texts, F.size(texts), gates.buckets(x, gates.BUCKET_X), F.greatest(gates.buckets(y, gates.BUCKET_Y), F.lit(4)), ("项目编码", "综合单价"), ()).alias("s"))
     return scored.select("l_orderkey", "items", "s.is_table_like", "s.score")
 

@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from gridloom import rules
 from gridloom.functions import settings
 from gridloom.functions import text as T
 from gridloom.operators import audit, classify, docinfo, extract, gates, grids, model, pages, repair, sections, sequences, upsert
@@ -208,6 +209,11 @@ def test_streaming_upsert(spark, tmp_path):
     assert [r.text for r in ingest.latest_pages(spark, str(tmp_path / "out")).collect()] == ["new"]
 
 
+def read_section(spark, pages):
+    rows = sections.construction_processes(spark.createDataFrame([("d", *p) for p in pages], "file_name string, page_no int, text string")).collect()
+    return rows[0] if rows else None
+
+
 @pytest.mark.parametrize(
     ("pages", "expected"),
     [
@@ -223,13 +229,13 @@ def test_streaming_upsert(spark, tmp_path):
         ([(1, None), (2, "")], None),
     ],
 )
-def test_construction_section(pages, expected):
-    found = sections.read_section(pages)
+def test_construction_section(spark, pages, expected):
+    found = read_section(spark, pages)
     assert (found and found["content"]) == expected
 
 
-def test_section_images():
-    found = sections.read_section([(3, "施工工艺\n![a](b.png)\n<img src='c.jpg'>\ndata:image/png;base64,xx\n先清理基层再涂刷")])
+def test_section_images(spark):
+    found = read_section(spark, [(3, "施工工艺\n![a](b.png)\n<img src='c.jpg'>\ndata:image/png;base64,xx\n先清理基层再涂刷")])
     assert [(i["type"], i["target"], i["page_no"], i["line_no"]) for i in found["image_refs"]] == [("markdown_image", "b.png", 3, 2), ("html_image", "c.jpg", 3, 3), ("embedded_image", "", 3, 4)]
 
 
@@ -288,3 +294,45 @@ def test_settings(monkeypatch):
 def test_label_name(spark, text, expected):
     grid = F.array(F.array(F.lit("表"), F.lit("")), F.array(F.lit("工程名称：丁区-"), F.lit("1")))
     assert one(spark, text, lambda c: classify.label_name(c, grid)) == expected
+
+
+def fold_section(pages):
+    """The section by one pass over all lines, kept apart from the operator."""
+    import re
+
+    key = lambda x: re.sub(r"\s+", "", x)
+    ends = lambda x: key(x) in rules.OTHER_TITLES or key(x).startswith(rules.SECTION_ENDS)
+    kept, last, state = [], None, "before"
+    for no, text in sorted(pages):
+        lines = [x.strip() for x in text.split("\n")]
+        contents = any(key(x) in ("目录", "咨询报告书目录") for x in [x for x in lines if x][:5]) or sum(key(x) in rules.OTHER_TITLES for x in lines) >= 3
+        top = [x for x in lines if x][:5]
+        if state == "in" and top:
+            other = re.match(r"[一二三四五六七八九十]+[、.．](?!施工工艺)|[（(][一二三四五六七八九十\d]+[）)]", top[0]) or re.search(r"[第共]\s*\d+\s*页", top[0])
+            item = lambda x: not ends(x) and re.search(r"^(?:\d+|[一二三四五六七八九十]+)[、.．)]|^[^：:]{1,30}[：:]$|\d+\s*(?:m2|m²|㎡|m|米|台班|遍)", x)
+            heading = re.fullmatch(r"(?:[一二三四五六七八九十]+[、.．]\s*|\d+[、.．]?\s*)?施工工艺\s*[：:]?", top[0])
+            if contents or ends(top[0]) or other or not (heading or any(map(item, top)) or last[-1] in "，,、：（(【；;" or last[-1] not in "。.!！?？；;"):
+                break
+        for x in lines:
+            if state == "before":
+                if not contents and re.fullmatch(r"(?:[一二三四五六七八九十]+[、.．]\s*|\d+[、.．]?\s*)?施工工艺\s*[：:]?", x):
+                    state, kept = "in", [x]
+            elif state == "in" and ends(x):
+                state = "done"
+            elif state == "in" and x:
+                kept.append(x)
+        last = next((x for x in reversed(lines) if x), last)
+        if state == "done":
+            break
+    return "\n".join(kept) if any(len(key(x)) >= 6 for x in kept[1:]) else None
+
+
+def test_sections_against_a_fold(spark):
+    import random
+
+    r = random.Random(6)
+    parts = ["施工工艺", "三、施工工艺：", "普通的一句话。", "先清理基层再涂刷", "1、第一步先清理", "二、其他", "建设单位：某某", "目录", "", "（一）甲", "施工方案", "共 3 页", "刷2遍,", "工程量确认单", "现场踏勘记录表", "甲："]
+    documents = {f"d{i}": [(no, "\n".join(r.choices(parts, weights=[6, 3, 6, 6, 4, 1, 1, 1, 3, 1, 1, 1, 3, 1, 1, 2], k=r.randrange(7)))) for no in range(1, r.choice((2, 4)))] for i in range(400)}
+    df = spark.createDataFrame([(d, no, t) for d, ps in documents.items() for no, t in ps], "file_name string, page_no int, text string")
+    got = {x.file_name: x.content for x in sections.construction_processes(df).collect()}
+    assert got == {d: found for d, ps in documents.items() if (found := fold_section(ps)) is not None} and len(got) > 100
