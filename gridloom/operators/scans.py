@@ -48,6 +48,16 @@ def numbered(df: DataFrame, order: Sequence[str], name: str = "n") -> DataFrame:
     return placed.withColumn(name, F.col(name) + F.col("_before")).select(*df.columns, name)
 
 
+def summed_before(df: DataFrame, order: Sequence[str], values: dict[str, Column]) -> DataFrame:
+    """``df`` with, under each name, the sum of the value over all rows of the table before the row in ``order``; 0 before the first."""
+    sorted_ = parts(df.withColumn("_all", F.lit(0)), order)
+    within = Window.partitionBy(PART).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    out = sorted_.withColumns({name: F.coalesce(F.sum(value).over(within), F.lit(0)) for name, value in values.items()})
+    for k, (name, value) in enumerate(values.items()):
+        out = out.join(_before(sorted_, "_all", value, f"_more{k}").withColumnsRenamed({"_doc": f"_d{k}", "_p": f"_p{k}"}), (F.col("_all") == F.col(f"_d{k}")) & (F.col(PART) == F.col(f"_p{k}")))
+    return out.select(*df.columns, *[(F.col(name) + F.col(f"_more{k}")).alias(name) for k, name in enumerate(values)])
+
+
 def carry_forward(df: DataFrame, doc: str, order: Sequence[str], value: Column, default: str | None = "(root)", name: str = "carried") -> DataFrame:
     """The last non-null ``value`` so far in the document; ``default`` before the first."""
     sorted_ = parts(df.withColumn("_value", value), [doc, *order])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,8 +20,15 @@ def scratch_root(spark: SparkSession) -> str:
     return spark.conf.get("spark.checkpoint.dir")
 
 
+#: The folders named since a caller of this thread began to note them; None where nobody does.
+noted: ContextVar[list[str] | None] = ContextVar("noted", default=None)
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/gridloom/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/gridloom/{label}-{uuid.uuid4().hex}"
+    if (list_ := noted.get()) is not None:
+        list_.append(path)
+    return path
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -38,3 +46,8 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path, schema = new_folder(df.sparkSession, label), df.schema
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(schema).parquet(path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    where, fs = _file_system(spark, path)
+    fs.delete(where, True)

@@ -178,6 +178,11 @@ def test_scans_equal_windows(spark, long_document):
             assert shown(scans.prefix_first(df, *args, name="out")) == shown(pages.prefix_first(df, *args, name="out"))
         numbers = [r.n for r in scans.numbered(df, ["doc", "page"]).orderBy("doc", "page").collect()]
         assert numbers == list(range(1, 5010))
+        sums = scans.summed_before(df, ["doc", "page"], {"pages": F.col("page"), "ones": F.lit(1)}).orderBy("doc", "page").collect()
+        total = 0
+        for k, r in enumerate(sums):
+            assert (r.pages, r.ones) == (total, k)
+            total += r.page
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", 4)
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", True)
