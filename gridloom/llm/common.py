@@ -2,49 +2,27 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import let
+from ..sources.scratch import delete, new_folder, noted, scratch_root
 
 #: What separates words: ASCII white space.
 SPACE = r"[\x20\x09-\x0D]+"
 
 #: Stands before the name of a catalog table among the paths.
 TABLE = "table:"
-#: Paths and tables written since the innermost ``settled`` began; None outside of it.
-_written: list[str] | None = None
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from ``spark.checkpoint.dir``.
-
-    Only a local master may run without that setting; it then gets a temporary folder.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="gridloom-scratch-"))
-    return spark.conf.get("spark.checkpoint.dir")
-
-
-def _path(spark: SparkSession, label: str) -> str:
-    path = f"{scratch_root(spark)}/gridloom/{label}-{uuid.uuid4().hex}"
-    if _written is not None:
-        _written.append(path)
-    return path
-
-
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Writes ``df`` to the shared folder and reads it back.
 
@@ -53,7 +31,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     it only while it is below ``spark.sql.autoBroadcastJoinThreshold``.
     """
     spark = df.sparkSession
-    path = _path(spark, label)
+    path = new_folder(spark, label)
     schema = df.schema
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(schema).parquet(path)
@@ -64,29 +42,45 @@ def stored_by(df: DataFrame, key: str, label: str) -> DataFrame:
     spark = df.sparkSession
     name = f"gridloom_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if _written is not None:
-        _written.append(f"{TABLE}{name}")
-    df.write.bucketBy(buckets, key).option("compression", "zstd").option("path", _path(spark, label)).saveAsTable(name)
+    if (written := noted.get()) is not None:
+        written.append(f"{TABLE}{name}")
+    df.write.bucketBy(buckets, key).option("compression", "zstd").option("path", new_folder(spark, label)).saveAsTable(name)
     return spark.table(name)
 
 
 def settled(spark: SparkSession, make: Callable[[], DataFrame], label: str) -> DataFrame:
-    """Stores what ``make`` returns and deletes the tables that were stored on the way."""
-    global _written
-    outer, _written = _written, []
+    """Stores what ``make`` returns and deletes the tables that were stored on the way, also where it fails.
+
+    The list of those tables belongs to the thread, so queries on several threads of a driver leave each other's alone.
+    """
+    on_the_way: list[str] = []
+    token = noted.set(on_the_way)
     try:
         result = make()
-        done, _written = _written, outer
-        kept = stored(result, label)
+        path = f"{scratch_root(spark)}/gridloom/{label}-{uuid.uuid4().hex}"
+        result.write.option("compression", "zstd").parquet(path)
+    finally:
+        noted.reset(token)
+        for old in on_the_way:
+            if old.startswith(TABLE):
+                spark.sql(f"DROP TABLE IF EXISTS {old.removeprefix(TABLE)}")
+            else:
+                delete(spark, old)
+    if (outer := noted.get()) is not None:
+        outer.append(path)
+    return spark.read.schema(result.schema).parquet(path)
+
+
+@contextmanager
+def short_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """While it lasts, Python gets at most ``rows`` rows at a time from plans made in it; for rows that are long."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
     finally:
-        _written = outer
-    for path in done:
-        if path.startswith(TABLE):
-            spark.sql(f"DROP TABLE IF EXISTS {path.removeprefix(TABLE)}")
-            continue
-        where = spark._jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-    return kept
+        spark.conf.set(name, before)
 
 
 def words(text: Column) -> Column:

@@ -9,27 +9,28 @@ import xxhash
 
 #: Odd multipliers, modulo 2**64.
 M1, M2, M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
-KEPT_WORDS = 1_000_000
+#: Words kept with their hashes: at most so many, none longer than so many bytes, some 30 MB a worker.
+KEPT_WORDS, KEPT_BYTES = 200_000, 32
 
 
 class _Words(dict):
     """Word to hash; emptied when full, as it only saves work."""
 
+    seed = 0
+
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= KEPT_WORDS:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
+        h = xxhash.xxh3_64_intdigest(word, self.seed)
+        if len(word) <= KEPT_BYTES:
+            if len(self) >= KEPT_WORDS:
+                self.clear()
+            self[word] = h
         return h
 
 
 class _OtherWords(_Words):
     """A second hash, independent of the first."""
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= KEPT_WORDS:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word, 1)
-        return h
+    seed = 1
 
 
 _words, _other_words = _Words(), _OtherWords()

@@ -13,8 +13,8 @@ documents hold much of a source. Bins are summed per (source, bin): a source wit
 third of all rows spreads over 4,096 keys.
 
 Nulls: a null text has size 0, a null source is a source of its own and comes last, a
-null id is hashed as the empty string. Rows that share an id share their draw, whether
-their texts are equal or not. Equal caps are filled in the order of their sources; the draw
+row without an id draws by its text. Rows that share an id share their draw, whether
+their texts are equal or not. Very long texts count whole. Equal caps are filled in the order of their sources; the draw
 decides ties of documents. Sources of size 0 have target 0. An empty table gives an empty
 result. Extra columns of any name are passed on by ``mix`` and not read by ``plan_mix``.
 """
@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..operators import scans
 from .common import SPACE, packed, stored, unpacked
 
 SEED = "mix-1"
@@ -38,7 +39,7 @@ def _sized(rows: DataFrame, seed: str) -> DataFrame:
     parts = F.split(F.coalesce(F.col("row.text").cast("string"), F.lit("")), SPACE)
     # split leaves one empty string at each end that starts or ends with a separator
     edge = F.when(F.get(parts, F.lit(0)) == "", 1).otherwise(0) + F.when((F.size(parts) > 1) & (F.element_at(parts, -1) == ""), 1).otherwise(0)
-    digest = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("row.doc_id").cast("string"), F.lit(""))))
+    digest = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("row.doc_id").cast("string"), F.concat(F.lit("text:"), F.md5(F.coalesce(F.col("row.text").cast("string"), F.lit("")))))))
     return rows.withColumns({
         "source": F.col("row.source"),
         "size": (F.size(parts) - edge).cast("long"),
@@ -54,20 +55,16 @@ def source_targets(sizes: DataFrame, weights: Sequence[int], share: float, max_r
     share is (total - caps before k) / (weights from k on); the largest of these is the
     level at which resharing ends.
     """
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    by_fill = Window.orderBy("_fill", F.col("source").asc_nulls_last())
-    before = by_fill.rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy(F.lit(0))
-    pick = F.element_at(F.array(*[F.lit(int(w)) for w in weights]), ((F.row_number().over(by_name) - 1) % len(weights) + 1).cast("int"))
-    ranked = sizes.withColumn("_w", pick).withColumn("_fill", F.lit(float(max_repeat)) * F.col("source_size") / F.col("_w"))
-    level = (
-        ranked.withColumn("_total", F.lit(float(share)) * F.sum("source_size").over(everything))
-        .withColumn("_left", F.col("_total") - F.lit(float(max_repeat)) * F.coalesce(F.sum("source_size").over(before), F.lit(0)))
-        .withColumn("_wleft", F.sum("_w").over(everything) - F.coalesce(F.sum("_w").over(before), F.lit(0)))
-        .withColumn("_level", F.max(F.col("_left") / F.col("_wleft")).over(everything))
-    )
+    order = ["_none", "source"]
+    named = scans.numbered(sizes.withColumn("_none", F.col("source").isNull()), order, "_rank")
+    pick = F.element_at(F.array(*[F.lit(int(w)) for w in weights]), ((F.col("_rank") - 1) % len(weights) + 1).cast("int"))
+    ranked = named.withColumn("_w", pick).withColumn("_fill", F.lit(float(max_repeat)) * F.col("source_size") / F.col("_w"))
+    sums = scans.summed_before(ranked, ["_fill", *order], {"_sizes": F.col("source_size"), "_ws": F.col("_w")})
+    total, weight = sums.agg(F.sum("source_size"), F.sum("_w")).first()  # two numbers
+    left = F.lit(float(share)) * F.lit(total or 0) - F.lit(float(max_repeat)) * F.col("_sizes")
+    level = sums.agg(F.max(left / (F.lit(weight or 0) - F.col("_ws")))).first()[0]  # one number
     cap = F.lit(float(max_repeat)) * F.col("source_size")
-    return level.select("source", "source_size", F.least(cap, F.col("_level") * F.col("_w")).alias("target"))
+    return ranked.select("source", "source_size", F.least(cap, F.lit(level).cast("double") * F.col("_w")).alias("target"))
 
 
 def _planned(rows: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float = 1.5, max_repeat: float = 2.0, seed: str = SEED) -> DataFrame:

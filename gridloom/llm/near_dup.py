@@ -51,11 +51,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import packed, stored, unpacked
+from .common import packed, short_batches, stored, unpacked
 from .hashing import M1, M2, M3, mix, word_hashes
 
 BINS, ROWS = 80, 4
 SMALL = 128
+#: Tasks that the members compared with one hub are dealt over, and rows that Python takes at a time.
+SALTS, BATCH_ROWS = 128, 1000
 
 
 def shingle_set(text: bytes, k: int) -> np.ndarray:
@@ -163,26 +165,39 @@ def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
 
 
 def compared(pairs: DataFrame, sets: DataFrame, percent: int, listed: bool = False) -> DataFrame:
-    """``pairs`` (m, h) with linked, decided on the full sets, n and d (sizes of m's set and of the difference), and unlike, the differences if ``listed``."""
+    """``pairs`` (m, h) with linked, decided on the full sets, n and d (sizes of m's set and of the difference), and unlike, the differences if ``listed``.
+
+    The set of h goes first and those of its m follow as a stream, so no row holds two sets and a task holds one of h. The m of one h are dealt
+    over up to ``SALTS`` tasks, so a hub of many spokes is no hot key.
+    """
     kind = pairs.schema["m"].dataType.simpleString()
+    names = ["m", "h", "linked", "n", "d", "unlike"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hub = np.zeros(0, np.uint64)
         for batch in batches:
-            linked, n, d, unlike = [], [], [], []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                p, q = (np.frombuffer(v.as_py(), np.uint64) for v in (x, y))
-                alone = np.concatenate([np.setdiff1d(p, q, assume_unique=True), np.setdiff1d(q, p, assume_unique=True)])
-                both = (len(p) + len(q) - len(alone)) // 2
+            at, linked, n, d, unlike = [], [], [], [], []
+            for k, (first, v) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3), strict=True)):
+                p = np.frombuffer(v.as_py(), np.uint64)
+                if first:
+                    hub = p
+                    continue
+                alone = np.setxor1d(p, hub, assume_unique=True)
+                both = (len(p) + len(hub) - len(alone)) // 2
+                at.append(k)
                 linked.append(100 * both >= percent * (both + len(alone)))
                 n.append(len(p))
                 d.append(len(alone))
                 unlike.append((alone if listed else alone[:0]).view(np.int64))
             lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, unlike)]), pa.int32()), pa.array(np.concatenate(unlike) if unlike else np.zeros(0, np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_()), pa.array(n, pa.int64()), pa.array(d, pa.int64()), lists], names=["m", "h", "linked", "n", "d", "unlike"])
+            took = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(took), batch.column(1).take(took), pa.array(linked, pa.bool_()), pa.array(n, pa.int64()), pa.array(d, pa.int64()), lists], names=names)
 
-    with_m = pairs.select("m", "h").join(sets.select(F.col("node").alias("m"), F.col("set").alias("sm")), "m")
-    with_both = with_m.join(sets.select(F.col("node").alias("h"), F.col("set").alias("sh")), "h")
-    return with_both.select("m", "h", "sm", "sh").mapInArrow(run, f"m {kind}, h {kind}, linked boolean, n long, d long, unlike array<long>")
+    dealt = pairs.select("m", "h", F.pmod(F.xxhash64("m"), F.lit(SALTS)).alias("salt"))
+    spokes = dealt.join(sets.select(F.col("node").alias("m"), "set"), "m").select("m", "h", "salt", F.lit(False).alias("first"), "set")
+    hubs = dealt.select("h", "salt").distinct().join(sets.select(F.col("node").alias("h"), "set"), "h").select(F.col("h").alias("m"), "h", "salt", F.lit(True).alias("first"), "set")
+    streamed = hubs.unionByName(spokes).repartition("h", "salt").sortWithinPartitions("h", "salt", F.desc("first"))
+    return streamed.select("m", "h", "first", "set").mapInArrow(run, f"m {kind}, h {kind}, linked boolean, n long, d long, unlike array<long>")
 
 
 def shared_differences(at: DataFrame, links: DataFrame, percent: int) -> DataFrame:
@@ -242,6 +257,11 @@ def components(links: DataFrame) -> DataFrame:
 
 def linked_rows(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """doc_id, key, n_shingles, component_id and own (whether the row is its component's smallest node) of every row."""
+    with short_batches(docs.sparkSession, BATCH_ROWS):
+        return _linked_rows(docs, k, percent)
+
+
+def _linked_rows(docs: DataFrame, k: int, percent: int) -> DataFrame:
     sigs = stored(signatures(docs, k, percent), "near-signatures")
     # a node is a set under the smallest id that has it; s tells sets under one id apart
     node = F.struct(F.min("doc_id").alias("id"), F.first("s").alias("s"))

@@ -34,14 +34,15 @@ FROM split LEFT JOIN per ON split.doc_id IS NOT DISTINCT FROM per.doc_id AND spl
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.plan_mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    planned = settled(spark, lambda: mixing.plan_mix(table(spark, sf_dir, "documents")), "op2")
+    return planned.select("doc_id", "size", "source_size", "target", "taken")
 
 
 OP2_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-    ('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, '')), 1, 3))::INTEGER AS bin,
-    ('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, '')), 4, 10))::BIGINT::DOUBLE / 1099511627776.0 AS fine
+    ('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, 'text:' || md5(coalesce(text, '')))), 1, 3))::INTEGER AS bin,
+    ('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, 'text:' || md5(coalesce(text, '')))), 4, 10))::BIGINT::DOUBLE / 1099511627776.0 AS fine
   FROM documents),
 bins AS (SELECT source, bin, sum(size)::BIGINT AS words FROM sized GROUP BY ALL),
 sizes AS (SELECT source, sum(words)::BIGINT AS source_size FROM bins GROUP BY ALL),
