@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.text import let, strip
+
 
 def parse_page_list(text: str) -> list[int]:
     """Comma lists, full-width commas too, to sorted distinct positive page numbers."""
@@ -17,6 +19,13 @@ def parse_page_list(text: str) -> list[int]:
     return sorted({int(x) for x in numbers})
 
 
+def page_list(text: Column) -> Column:
+    """The same of a column, as an array; null for what is no list of positive numbers, empty for a blank one."""
+    parts = F.filter(F.transform(F.split(F.translate(F.coalesce(text, F.lit("")), "，", ","), ","), lambda x: strip(x)), lambda x: x != "")
+    good = lambda xs: F.forall(xs, lambda x: x.rlike(r"\A0*[1-9][0-9]*\z"))
+    return let(parts, lambda xs: F.when(good(xs), F.array_sort(F.array_distinct(F.transform(xs, lambda x: x.cast("int"))))))
+
+
 def page_select(df: DataFrame, doc: str, page: str, selected: Iterable[int] | None = None, start: int | None = None, end: int | None = None, max_pages: int | None = None, ties: Sequence[str] = ()) -> DataFrame:
     """Selected pages, from start to end, then the first ``max_pages`` of each document."""
     if selected is not None:

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.text import let
+
 
 def page_upsert(existing: DataFrame, current: DataFrame, pages: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Existing rows outside ``pages``, then the current rows inside them."""
@@ -75,6 +77,41 @@ def merge_document_info(old: Column, new: Column, fields: Sequence[str]) -> Colu
     return F.struct(*[F.coalesce(F.when(F.trim(new[f]) != "", new[f]), old[f]).alias(f) for f in fields])
 
 
+def _outside(rows: Column, pages: Column) -> Column:
+    return F.filter(F.coalesce(rows, F.array()), lambda r: F.coalesce(~F.array_contains(pages, r["page_no"]), F.lit(True)))
+
+
+def _sub_key(sub: Column) -> Column:
+    return F.coalesce(F.nullif(sub["sub_project_id"], F.lit("")), sub["sub_project_name"], F.lit(""))
+
+
+def merge_records(existing: DataFrame, current: DataFrame, pages: DataFrame, lists: Sequence[str], sub_lists: Sequence[str], info: Sequence[str]) -> DataFrame:
+    """Nested records after a partial run, one row a document.
+
+    Of a document in both, its ``lists`` and those of its sub-projects (``sub_lists``) lose their rows of the run's ``pages`` (file_name,
+    page_numbers) and get the current ones; sub-projects go by id, else name: existing ones keep their place and take the
+    current name, new ones follow. ``document_info`` takes current values that are not blank, doc_id, created_at and total_pages stay. Documents of
+    one side are that side's.
+    """
+    old, new = existing.select("file_name", F.struct(*existing.columns).alias("o")), current.select("file_name", F.struct(*existing.columns).alias("n"))
+    both = old.join(new, "file_name", "full_outer").join(pages.select("file_name", F.col("page_numbers").alias("p")), "file_name", "left").withColumn("p", F.coalesce("p", F.expr("cast(array() as array<int>)")))
+    o, n, p = F.col("o"), F.col("n"), F.col("p")
+
+    def joined(s: Column) -> Column:
+        c = F.get(F.filter(n["sub_projects"], lambda x: _sub_key(x) == _sub_key(s)), F.lit(0))
+        out = let(c, lambda c: F.struct(*[
+            (F.concat(_outside(s[f], p), F.coalesce(c[f], F.array())) if f in sub_lists else F.coalesce(F.nullif(c[f], F.lit("")), s[f]) if f in ("sub_project_name", "parent_project") else s[f]).alias(f) for f in fields]))
+        return out
+
+    fields = existing.schema["sub_projects"].dataType.elementType.fieldNames()
+    fresh = F.filter(F.coalesce(n["sub_projects"], F.array()), lambda c: (_sub_key(c) != "") & ~F.exists(F.coalesce(o["sub_projects"], F.array()), lambda s: _sub_key(s) == _sub_key(c)))
+    merged = {f: F.concat(_outside(o[f], p), F.coalesce(n[f], F.array())) for f in lists}
+    merged |= {"sub_projects": F.concat(F.transform(F.coalesce(o["sub_projects"], F.array()), joined), fresh), "document_info": merge_document_info(o["document_info"], n["document_info"], info)}
+    merged |= {f: F.coalesce(o[f], n[f]) for f in ("doc_id", "created_at", "total_pages") if f in existing.columns}
+    pick = lambda f: F.when(n.isNull(), o[f]).when(o.isNull(), n[f]).otherwise(merged.get(f, n[f]))
+    return both.select(*[pick(f).alias(f) for f in existing.columns])
+
+
 def merge_project_rows(existing: DataFrame, current: DataFrame, pages: DataFrame) -> DataFrame:
     """Rows of one kind after a partial run: of each document the existing ones outside its run's ``pages`` (file_name, page_no), then all current ones."""
     return existing.join(pages.select("file_name", "page_no").distinct(), ["file_name", "page_no"], "left_anti").unionByName(current, allowMissingColumns=True)
@@ -133,3 +170,9 @@ def merge_table_pages(rows: DataFrame, doc: str = "file_name", order: Sequence[s
 def is_partial_run(selected: Sequence[int] | None = None, start: int | None = None, end: int | None = None, max_pages: int | None = None) -> bool:
     """Whether any page limit is set."""
     return bool(selected) or any((x or 0) > 0 for x in (start, end, max_pages))
+
+
+def partial_runs(selected: Column, start: Column, end: Column, max_pages: Column) -> Column:
+    """The same of columns: runs as rows."""
+    some = lambda c: F.coalesce(c > 0, F.lit(False))
+    return some(F.size(selected)) | some(start) | some(end) | some(max_pages)

@@ -150,16 +150,20 @@ def rule_row_iteration(spark, sf_dir):
     return artifacts.sub_item_rows(records).select("file_name", "sp_index", "row_index", "sub_project_id", "seq", "project_name")
 
 
-@query("root_resolution", "SELECT * FROM (VALUES ('given', true, true), ('nested', true, true), ('other', false, true)) t(start, has_business, has_reports)")
+@query("root_resolution", f"""
+WITH c AS (SELECT 'r/' || c_custkey AS root, c_nationkey % 4 AS k FROM customer)
+SELECT CASE k WHEN 0 THEN root || '/{artifacts.BUSINESS}' ELSE root || CASE k WHEN 1 THEN '//' ELSE '' END END AS start,
+  CASE k WHEN 2 THEN root || '/{artifacts.OUTPUT}/{artifacts.BUSINESS}' WHEN 3 THEN root ELSE root || '/{artifacts.BUSINESS}' END AS business,
+  CASE k WHEN 0 THEN root || '/reports' WHEN 1 THEN root || '/{artifacts.OUTPUT}/reports' WHEN 2 THEN root || '/reports' END AS reports FROM c""")
 def root_resolution(spark, sf_dir):
-    root = tree(spark, sf_dir)
-    nested, business = f"{root}/{artifacts.OUTPUT}", f"{root}/{artifacts.OUTPUT}/{artifacts.BUSINESS}"
-    starts = {"given": business, "nested": nested, "other": f"{root}/vl"}
-    rows = []
-    for name, start in starts.items():
-        at = artifacts.business_root(spark, start)
-        rows.append((name, at == business, artifacts.reports_root(spark, at) == f"{nested}/reports"))
-    return spark.createDataFrame(rows, "start string, has_business boolean, has_reports boolean")
+    """A root a customer, in one of four layouts; which folders there are is a table."""
+    root, k = F.concat(F.lit("r/"), F.col("c_custkey").cast("string")), F.col("c_nationkey") % 4
+    at = lambda *parts: F.concat(root, F.lit("/" + "/".join(parts)))
+    made = _t(spark, sf_dir, "customer").select(
+        F.when(k == 0, at(artifacts.BUSINESS)).when(k == 1, F.concat(root, F.lit("//"))).otherwise(root).alias("start"),
+        F.when(k == 0, F.array(at(artifacts.BUSINESS), at("reports"))).when(k == 1, F.array(at(artifacts.BUSINESS), at(artifacts.OUTPUT, "reports"), at(artifacts.OUTPUT, artifacts.BUSINESS)))
+        .when(k == 2, F.array(at(artifacts.OUTPUT, artifacts.BUSINESS), at("reports"))).otherwise(F.array(at("vl"))).alias("folders"))
+    return artifacts.resolved_roots(made, made.select(F.explode("folders").alias("path")))
 
 
 @query("report_scan", f"WITH {PAGES} SELECT file_name, page_no, CASE WHEN page_no % 2 = 1 THEN 'rules_pipeline_qwen_fields' ELSE 'disabled_by_config' END AS extractor, page_no::BIGINT AS rows FROM p")
@@ -351,14 +355,13 @@ def prefer_text(spark, sf_dir):
     return _t(spark, sf_dir, "nation").select("n_nationkey", *[pages.prefer_text(md, F.concat(F.lit("ht "), "n_name"), js, k).alias(k) for k in ("auto", "html", "json")])
 
 
-@query("prefer_tables", "SELECT n_nationkey, CASE WHEN n_nationkey % 2 = 0 THEN 'html' ELSE 'md' END AS auto, CASE WHEN n_nationkey % 3 = 0 THEN 'md' WHEN n_nationkey % 2 = 0 THEN 'html' ELSE '' END AS md, (n_nationkey % 2 = 0)::INT + (n_nationkey % 3 = 0)::INT AS n_all FROM nation WHERE n_nationkey % 2 = 0 OR n_nationkey % 3 = 0")
+@query("prefer_tables", "SELECT n_nationkey, CASE WHEN n_nationkey % 2 = 0 THEN 'html' WHEN n_nationkey % 3 = 0 THEN 'md' ELSE '' END AS auto, CASE WHEN n_nationkey % 3 = 0 THEN 'md' WHEN n_nationkey % 2 = 0 THEN 'html' ELSE '' END AS md, (n_nationkey % 2 = 0)::INT + (n_nationkey % 3 = 0)::INT AS n_all FROM nation")
 def prefer_tables(spark, sf_dir):
     grid = lambda name: F.array(F.array(F.array(F.lit(name))))
     none = F.slice(grid("x"), 1, 0)
     html, md = F.when(F.col("n_nationkey") % 2 == 0, grid("html")).otherwise(none), F.when(F.col("n_nationkey") % 3 == 0, grid("md")).otherwise(none)
     first = lambda g: F.coalesce(F.get(F.get(F.get(g, F.lit(0)), F.lit(0)), F.lit(0)), F.lit(""))
-    rows = _t(spark, sf_dir, "nation").where("n_nationkey % 2 = 0 OR n_nationkey % 3 = 0")
-    return rows.select("n_nationkey", first(pages.prefer_tables(html, md, "auto")).alias("auto"), first(pages.prefer_tables(html, md, "md")).alias("md"), F.size(pages.prefer_tables(html, md, "all")).alias("n_all"))
+    return _t(spark, sf_dir, "nation").select("n_nationkey", first(pages.prefer_tables(html, md, "auto")).alias("auto"), first(pages.prefer_tables(html, md, "md")).alias("md"), F.size(pages.prefer_tables(html, md, "all")).alias("n_all"))
 
 
 @query("rule_text", "SELECT n_nationkey, CASE WHEN n_nationkey % 3 = 0 THEN n_name WHEN n_nationkey % 3 = 1 THEN n_name || chr(10) || 'page' ELSE 'page' END AS text FROM nation")
@@ -367,15 +370,12 @@ def rule_text(spark, sf_dir):
     return _t(spark, sf_dir, "nation").select("n_nationkey", pages.rule_text(F.when(k < 2, F.col("n_name")), F.when(k == 0, F.col("n_name")).otherwise("page")).alias("text"))
 
 
-@query("page_list_parse", "SELECT * FROM (VALUES ('3,1,2', '1,2,3'), ('7，7, 5', '5,7'), ('0', 'error'), ('x', 'error'), ('', '')) t(given, parsed)")
+@query("page_list_parse", """
+SELECT o_orderkey, CASE o_orderstatus WHEN 'P' THEN NULL WHEN 'F' THEN array_to_string(list_sort(list_distinct([o_custkey + 1, o_orderkey + 1])), ',') ELSE '' END AS parsed FROM orders""")
 def page_list_parse(spark, sf_dir):
-    def parsed(text: str) -> str:
-        try:
-            return ",".join(map(str, pages.parse_page_list(text)))
-        except ValueError:
-            return "error"
-
-    return spark.createDataFrame([(x, parsed(x)) for x in ("3,1,2", "7，7, 5", "0", "x", "")], "given string, parsed string")
+    key, cust = (F.col("o_orderkey") + 1).cast("string"), (F.col("o_custkey") + 1).cast("string")
+    text = F.when(F.col("o_orderstatus") == "P", F.concat(key, F.lit(",0"))).when(F.col("o_orderstatus") == "F", F.concat(F.lit(" "), key, F.lit("，"), cust, F.lit(",, "), key)).otherwise(" ，")
+    return _t(spark, sf_dir, "orders").select("o_orderkey", F.array_join(pages.page_list(text).cast("array<string>"), ",").alias("parsed"))
 
 
 @query("page_suffix", f"WITH {PAGES} SELECT file_name, 'pages_001_005' AS every, 'page_002' AS one, 'pages_none' AS none FROM p GROUP BY file_name")

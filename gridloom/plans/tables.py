@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from .. import rules
 from ..functions import text as T
 from ..operators import audit, classify, docinfo, extract, gates, grids, model, repair, replies, sections, upsert
-from ..sources import engines, overlay, scratch
+from ..sources import engines, overlay, scratch, sinks
+from . import extraction
 from .driver import QUERIES, SQL, _t, query  # noqa: F401  (one registry)
 
 
@@ -103,9 +104,9 @@ def extract_quantities(spark, sf_dir):
 WITH {LINES} SELECT l_orderkey, part, row_number() OVER (PARTITION BY l_orderkey ORDER BY pos::INT)::INT AS row_index FROM l WHERE supp::BIGINT % 5 > 1""")
 def merge_table_pages(spark, sf_dir):
     k = F.col("l_suppkey") % 5
-    rows = _orders(spark, sf_dir, [_s(k), F.col("part")], [_row("h", "h")]).select("l_orderkey", F.posexplode("grid").alias("pos", "c")).where("pos > 0")
+    rows = _orders(spark, sf_dir, [_s(k), F.col("part"), F.col("line")], [_row("h", "h", "h")]).select("l_orderkey", F.posexplode("grid").alias("pos", "c")).where("pos > 0")
     kind, part = F.col("c")[0], F.col("c")[1]
-    made = rows.select("l_orderkey", "pos", F.lit(1).alias("page_no"), part.alias("part"), F.when(kind == "0", " ").otherwise("1").alias("seq"), F.when(kind == "0", "").when(kind == "1", "项目 编码").otherwise("c").alias("project_code"), F.when(kind == "0", "").otherwise("n").alias("project_name"))
+    made = rows.select("l_orderkey", "pos", F.col("c")[2].cast("int").alias("page_no"), part.alias("part"), F.when(kind == "0", " ").otherwise("1").alias("seq"), F.when(kind == "0", "").when(kind == "1", "项目 编码").otherwise("c").alias("project_code"), F.when(kind == "0", "").otherwise("n").alias("project_name"))
     return upsert.merge_table_pages(made, "l_orderkey").select("l_orderkey", "part", "row_index")
 
 
@@ -159,9 +160,14 @@ def classify_headers(spark, sf_dir):
     return _t(spark, sf_dir, "part").select("p_partkey", F.array_join(classify.table_types(F.lit(""), classify.row_texts(grid)), ",").alias("types"))
 
 
-@query("backend_types", "SELECT * FROM (VALUES ('sub_item_project_table', 'sub_item_project_table', true), ('quantity_confirmation_form', 'quantity_confirm_table', false), ('quantity_resource_subtable_labor', 'labor_table', false), ('quantity_resource_subtable_material_equipment', 'material_table', false), ('quantity_resource_subtable_machine', 'machine_table', false), ('unit_project_fee_table', 'unit_project_fee_table', false), ('specialty_fee_table', 'specialty_fee_table', false)) t(rule_type, backend_type, enabled)")
+@query("backend_types", """
+SELECT o_orderkey, unnest([0, 1])::INT AS pos, unnest([['labor_table', 'material_table', 'machine_table', 'quantity_confirm_table', 'unit_project_fee_table'][left(o_orderpriority, 1)::INT], CASE o_orderstatus WHEN 'P' THEN NULL ELSE 'sub_item_project_table' END]) AS backend_type,
+  unnest([false, o_orderstatus <> 'P']) AS enabled FROM orders""")
 def backend_types(spark, sf_dir):
-    return spark.createDataFrame([(k, v, k in classify.ENABLED) for k, v in classify.BACKEND_TYPES.items()], "rule_type string, backend_type string, enabled boolean")
+    """The types found on a page, each as the backend names it and whether it is asked for."""
+    kinds = F.array(*map(F.lit, (classify.LABOR, classify.MATERIAL, classify.MACHINE, classify.QUANTITY, classify.UNIT_FEE)))
+    types = F.array(F.element_at(kinds, F.left("o_orderpriority", F.lit(1)).cast("int")), F.when(F.col("o_orderstatus") == "P", "unheard_of").otherwise(classify.SUB_ITEM))
+    return _t(spark, sf_dir, "orders").select("o_orderkey", F.posexplode(classify.backend_types(types)).alias("pos", "t")).select("o_orderkey", "pos", "t.backend_type", "t.enabled")
 
 
 @query("building_id", "SELECT c_custkey, (c_custkey % 90 + 1) || CASE WHEN c_nationkey % 2 = 0 THEN '号楼' ELSE '幢' END AS id FROM customer")
@@ -441,10 +447,12 @@ def partial_run_merge(spark, sf_dir):
     return merged.select(F.col("page_no").alias("o_orderkey"), F.col("file_name").alias("status"), "run")
 
 
-@query("partial_run", "SELECT * FROM (VALUES ('none', false), ('pages', true), ('start', true), ('zero', false), ('limit', true)) t(given, partial)")
+@query("partial_run", "SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN o_custkey % 2 > 0 WHEN 'P' THEN true ELSE o_custkey % 3 > 0 END AS partial FROM orders")
 def partial_run(spark, sf_dir):
-    given = {"none": {}, "pages": {"selected": [1]}, "start": {"start": 2}, "zero": {"end": 0, "max_pages": 0}, "limit": {"max_pages": 1}}
-    return spark.createDataFrame([(k, upsert.is_partial_run(**v)) for k, v in given.items()], "given string, partial boolean")
+    status, cust = F.col("o_orderstatus"), F.col("o_custkey")
+    none = F.lit(None).cast("int")
+    selected = F.when((status == "F") & (cust % 2 > 0), F.array(cust)).when(status == "F", F.slice(F.array(cust), 1, 0))
+    return _t(spark, sf_dir, "orders").select("o_orderkey", upsert.partial_runs(selected, F.when(status == "P", 2).otherwise(none), F.when(status == "F", 0).otherwise(none), F.when(status == "O", cust % 3)).alias("partial"))
 
 
 @query("merge_sub_projects", """
@@ -479,9 +487,9 @@ def prompt_text(spark, sf_dir):
 
 @query("row_chunking", f"""
 WITH {LINES}, s AS (SELECT l_orderkey, count(*)::INT AS n FROM l GROUP BY l_orderkey)
-SELECT l_orderkey, unnest(range(1, CASE WHEN n <= 1 THEN 2 ELSE n + 1 END))::INT AS chunk_index, 1 AS data_rows, 1 + unnest(range(1, CASE WHEN n <= 1 THEN 2 ELSE n + 1 END))::INT AS source_row_start FROM s WHERE n > 1""")
+SELECT l_orderkey, unnest(range(1, CASE WHEN n <= 1 THEN 2 ELSE n + 1 END))::INT AS chunk_index, 1 AS data_rows, 1 + unnest(range(1, CASE WHEN n <= 1 THEN 2 ELSE n + 1 END))::INT AS source_row_start FROM s""")
 def row_chunking(spark, sf_dir):
-    made = _orders(spark, sf_dir, [F.col("line"), F.repeat(F.lit("x"), F.lit(490)), F.repeat(F.lit("y"), F.lit(490)), F.repeat(F.lit("z"), F.lit(490))], [_row("序号", "a", "b", "c")]).where(F.size("grid") > 2)
+    made = _orders(spark, sf_dir, [F.col("line"), F.repeat(F.lit("x"), F.lit(490)), F.repeat(F.lit("y"), F.lit(490)), F.repeat(F.lit("z"), F.lit(490))], [_row("序号", "a", "b", "c")])
     chunks = made.select("l_orderkey", F.explode(model.table_chunks(F.col("grid"), "labor_table", 1000)).alias("c"))
     return chunks.select("l_orderkey", "c.chunk_index", "c.data_rows", "c.source_row_start")
 
@@ -576,6 +584,53 @@ def box_overlay(spark, sf_dir):
     return joined.select(F.col("file_name").cast("long").alias("o_orderkey"), "result.width", "result.height", "result.green", "boxes", "error")
 
 
+#: Orders as documents: a page a line number, its lines a table; the first two pages are of one building, the others of another.
+BOOKED = """p AS (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem),
+b AS (SELECT l_orderkey, CASE WHEN l_linenumber <= 2 THEN 'o' || l_orderkey || '-1幢' ELSE 'o' || l_orderkey || '-2幢' END AS sub_project_id, l_linenumber::VARCHAR AS seq, '0109' || lpad(l_partkey::VARCHAR, 7, '0') AS project_code, l_suppkey::VARCHAR AS unit_price FROM lineitem)"""
+
+
+def _booked(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """(texts, html) of the orders."""
+    lines = _t(spark, sf_dir, "lineitem").select(F.concat(F.lit("o"), _s("l_orderkey")).alias("file_name"), F.col("l_linenumber").cast("int").alias("page_no"), _s("l_linenumber").alias("seq"), F.concat(F.lit("0109"), F.lpad(_s("l_partkey"), 7, "0")).alias("code"), _s("l_suppkey").alias("price"), _s(F.col("l_quantity").cast("int")).alias("qty"))
+    cell = lambda c: F.concat(F.lit("<td>"), c, F.lit("</td>"))
+    row = F.concat(F.lit("<tr>"), *[cell(F.col(c) if isinstance(c, str) else c) for c in ("seq", "code", F.lit("屋面"), F.lit("m2"), "qty", "price", F.lit("999999999"))], F.lit("</tr>"))
+    head = F.lit("<table><tr>" + "".join(f"<td>{h}</td>" for h in ("序号", "项目编码", "项目名称", "计量单位", "工程量", "综合单价", "合价")) + "</tr>")
+    html = lines.groupBy("file_name", "page_no").agg(F.concat(head, F.array_join(F.array_sort(F.collect_list(row)), ""), F.lit("</table>")).alias("content")).withColumn("ordinal", F.lit(0))
+    texts = lines.select("file_name", "page_no").distinct().withColumn("text", F.concat(F.lit("工程名称：某小区"), F.when(F.col("page_no") <= 2, "1幢").otherwise("2幢")))
+    return texts, html
+
+
+def _flat(files: DataFrame) -> DataFrame:
+    """The rows of records that were written as JSON."""
+    kind = "file_name string, total_pages int, sub_projects array<struct<sub_project_id:string,sub_item_project_rows:array<struct<seq:string,project_code:string,unit_price:string,page_no:int>>>>"
+    read = files.select(F.from_json(F.decode("content", "UTF-8"), kind).alias("r"))
+    subs = read.select(F.substring("r.file_name", 2, 99).cast("long").alias("l_orderkey"), F.col("r.total_pages").cast("long").alias("total_pages"), F.explode("r.sub_projects").alias("s"))
+    return subs.select("l_orderkey", "total_pages", "s.sub_project_id", F.explode("s.sub_item_project_rows").alias("x")).select("l_orderkey", "total_pages", "sub_project_id", "x.seq", "x.project_code", "x.unit_price")
+
+
+@query("business_json", f"WITH {BOOKED} SELECT b.*, n.total_pages FROM b JOIN (SELECT l_orderkey, count(*) AS total_pages FROM p GROUP BY l_orderkey) n USING (l_orderkey)")
+def business_json(spark, sf_dir):
+    """Pages to nested records to pretty JSON, and back."""
+    texts, html = _booked(spark, sf_dir)
+    none = html.select("file_name", "page_no", "ordinal", "content").limit(0)
+    return _flat(scratch.stored(sinks.record_files(extraction.run(texts, html, none, "2024-01-01")), "files"))
+
+
+@query("business_merge", f"""
+WITH {BOOKED}, n AS (SELECT l_orderkey, count(*) AS total_pages FROM p GROUP BY l_orderkey)
+SELECT b.l_orderkey, total_pages, sub_project_id, seq, project_code, CASE WHEN seq IN ('2', '3') THEN '7' ELSE unit_price END AS unit_price FROM b JOIN n USING (l_orderkey)""")
+def business_merge(spark, sf_dir):
+    """A second run over pages 2 and 3, with another price, merged into the records of the first by page."""
+    texts, html = _booked(spark, sf_dir)
+    none = html.select("file_name", "page_no", "ordinal", "content").limit(0)
+    first = scratch.stored(extraction.run(texts, html, none, "2024-01-01"), "first-run")
+    again = html.where("page_no IN (2, 3)").withColumn("content", F.regexp_replace("content", "<td>[0-9]+</td><td>999999999", "<td>7</td><td>999999999"))
+    second = scratch.stored(extraction.run(texts.where("page_no IN (2, 3)"), again, none, "2024-01-02"), "second-run")
+    run = texts.where("page_no IN (2, 3)").groupBy("file_name").agg(F.collect_list("page_no").alias("page_numbers"))
+    merged = upsert.merge_records(first, second, run, [], ["sub_item_project_rows"], ["consultation_project_name", "consultation_date", "renovation_content"])
+    return _flat(scratch.stored(sinks.record_files(merged), "files"))
+
+
 @query("cleaning_details", """
 SELECT l_orderkey, l_linenumber, string_agg(reason, '、' ORDER BY k) AS reasons FROM (
   SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, unnest([1, 2]) AS k, unnest([CASE WHEN l_returnflag = 'R' THEN '缺少seq' END, CASE WHEN l_partkey % 17 = 0 THEN '缺少name' END]) AS reason FROM lineitem)

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import replace
 from functools import reduce
 
@@ -100,34 +99,19 @@ def text_artifacts(spark: SparkSession, root: str, extension: str, wanted: Wante
     return found.select("file_name", "page_no", "ordinal", strip(F.decode("content", "UTF-8")).alias("content"))
 
 
-def _texts_in(node: object) -> Iterator[str]:
-    if isinstance(node, dict):
-        for key, value in node.items():
-            if key in rules.CONTENT_KEYS and isinstance(value, str):
-                if value.strip():
-                    yield value.strip()
-            else:
-                yield from _texts_in(value)
-    elif isinstance(node, list):
-        for value in node:
-            yield from _texts_in(value)
+#: A string of JSON, and the string values of content keys: inside a string every quote is escaped, so a key in bare quotes before a colon is a key.
+STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+CONTENT = rf'(?<!\\)"(?:{"|".join(rules.CONTENT_KEYS)})"\s*+:\s*+({STRING})'
 
 
 def json_texts(payload: Column) -> Column:
-    """Distinct text values of a JSON payload's content keys at any depth, in order, joined by blank lines; blank for bad JSON."""
-    import pandas as pd
+    """Distinct text values of a JSON payload's content keys at any depth, in the order of the text, joined by blank lines; blank for bad JSON.
 
-    def walk(text: str | None) -> str:
-        try:
-            return "\n\n".join(dict.fromkeys(_texts_in(json.loads(text or ""))))
-        except ValueError:
-            return ""
-
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(walk)
-
-    run.__annotations__ = {"texts": pd.Series, "return": pd.Series}
-    return F.pandas_udf(run, "string")(payload)
+    Without Python, and not by way of VARIANT, which sorts the keys of objects. Of a key that stands twice in one object both values count.
+    """
+    values = F.from_json(F.concat(F.lit("["), F.array_join(F.regexp_extract_all(payload, F.lit(CONTENT), F.lit(1)), ","), F.lit("]")), "array<string>")
+    shown = F.array_join(F.array_distinct(F.filter(F.transform(values, lambda v: strip(v)), lambda v: v != "")), "\n\n")
+    return F.when(F.try_parse_json(payload).isNotNull(), shown).otherwise("")
 
 
 def business_root(spark: SparkSession, root: str, business: str = BUSINESS, output: str = OUTPUT) -> str:
@@ -144,6 +128,25 @@ def reports_root(spark: SparkSession, business: str, given: str | None = None, o
     return next((p for p in ([given] if given else usual) if scratch.exists(spark, p)), None)
 
 
+def resolved_roots(starts: DataFrame, existing: DataFrame, business: str = BUSINESS, output: str = OUTPUT) -> DataFrame:
+    """``starts`` (start) with business and reports, the folders that ``business_root`` and ``reports_root`` give, by a table of existing folders (path) instead of looking."""
+    have = existing.select(F.regexp_replace("path", "/+$", "").alias("path")).distinct()
+
+    def first(rows: DataFrame, candidates: Column, name: str) -> DataFrame:
+        tried = rows.select("_id", F.posexplode(candidates).alias("_k", "path")).join(have, "path")
+        return rows.join(tried.groupBy("_id").agg(F.min_by("path", "_k").alias(name)), "_id", "left")
+
+    root = F.regexp_replace("start", "/+$", "")
+    above = lambda c: F.regexp_replace(c, "/[^/]*$", "")
+    rows = starts.select("start").distinct().withColumn("_id", F.col("start"))
+    nested = first(rows, F.array(F.concat(root, F.lit(f"/{business}")), F.concat(root, F.lit(f"/{output}/{business}"))), "_found")
+    is_one = F.regexp_extract(root, "[^/]*$", 0) == business
+    found = nested.withColumn("business", F.when(is_one, root).otherwise(F.coalesce("_found", root)))
+    up = above(F.col("business"))
+    placed = first(found, F.array(F.concat(up, F.lit("/reports")), F.concat(above(up), F.lit("/reports")), F.concat(up, F.lit(f"/{output}/reports"))), "reports")
+    return placed.select("start", "business", "reports")
+
+
 def folders(spark: SparkSession, root: str, names: Sequence[str] = ()) -> DataFrame:
     """(file_name) of the document folders right under ``root``, with or without files; with ``names``, of those that contain one. A missing root raises."""
     return artifact_files(spark, root, Wanted(containing=list(names), pages=[]), contents=False).select("file_name").distinct()
