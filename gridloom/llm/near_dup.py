@@ -42,22 +42,23 @@ any name are passed on by ``drop_near_duplicates``.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import packed, short_batches, stored, unpacked
+from .common import packed, short_batches, stored, stored_by, unpacked
 from .hashing import M1, M2, M3, mix, word_hashes
 
 BINS, ROWS = 80, 4
 SMALL = 128
-#: Tasks that the members compared with one hub are dealt over, and rows that Python takes at a time.
-SALTS, BATCH_ROWS = 128, 1000
+#: About how many members of a hub one task compares with it, and how many rows Python takes at a time.
+SPOKES, BATCH_ROWS = 512, 1000
 
 
 def shingle_set(text: bytes, k: int) -> np.ndarray:
@@ -164,11 +165,21 @@ def shingle_sets(docs: DataFrame, k: int) -> DataFrame:
     return _narrow(docs).mapInArrow(run, f"doc_id {_id_type(docs)}, s long, set binary")
 
 
+def place(node: str) -> Column:
+    """What the sets are bucketed by."""
+    return F.xxhash64(F.col(node))
+
+
+def _equal(a: pa.Array, b: pa.Array) -> pa.Array:
+    return reduce(pc.and_, [pc.equal(x, y) for x, y in zip(a.flatten(), b.flatten(), strict=True)]) if pa.types.is_struct(a.type) else pc.equal(a, b)
+
+
 def compared(pairs: DataFrame, sets: DataFrame, percent: int, listed: bool = False) -> DataFrame:
     """``pairs`` (m, h) with linked, decided on the full sets, n and d (sizes of m's set and of the difference), and unlike, the differences if ``listed``.
 
-    The set of h goes first and those of its m follow as a stream, so no row holds two sets and a task holds one of h. The m of one h are dealt
-    over up to ``SALTS`` tasks, so a hub of many spokes is no hot key.
+    ``sets`` (place, node, set) is bucketed by the place of its node, so only pairs go to where sets are; that a set is the node's own and not one of the same place
+    is seen when it is read. The set of h goes first and those of its m follow as a stream, so no row holds two sets and a task holds one of h. The m of one h
+    are dealt over tasks of about ``SPOKES``, so a hub of many spokes is no hot key.
     """
     kind = pairs.schema["m"].dataType.simpleString()
     names = ["m", "h", "linked", "n", "d", "unlike"]
@@ -176,8 +187,12 @@ def compared(pairs: DataFrame, sets: DataFrame, percent: int, listed: bool = Fal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hub = np.zeros(0, np.uint64)
         for batch in batches:
+            m, node = batch.column(0), batch.column(4)
+            own = _equal(m, node).to_pylist()
             at, linked, n, d, unlike = [], [], [], [], []
             for k, (first, v) in enumerate(zip(batch.column(2).to_pylist(), batch.column(3), strict=True)):
+                if not own[k]:
+                    continue
                 p = np.frombuffer(v.as_py(), np.uint64)
                 if first:
                     hub = p
@@ -191,13 +206,15 @@ def compared(pairs: DataFrame, sets: DataFrame, percent: int, listed: bool = Fal
                 unlike.append((alone if listed else alone[:0]).view(np.int64))
             lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, unlike)]), pa.int32()), pa.array(np.concatenate(unlike) if unlike else np.zeros(0, np.int64)))
             took = pa.array(at, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(took), batch.column(1).take(took), pa.array(linked, pa.bool_()), pa.array(n, pa.int64()), pa.array(d, pa.int64()), lists], names=names)
+            yield pa.RecordBatch.from_arrays([m.take(took), batch.column(1).take(took), pa.array(linked, pa.bool_()), pa.array(n, pa.int64()), pa.array(d, pa.int64()), lists], names=names)
 
-    dealt = pairs.select("m", "h", F.pmod(F.xxhash64("m"), F.lit(SALTS)).alias("salt"))
-    spokes = dealt.join(sets.select(F.col("node").alias("m"), "set"), "m").select("m", "h", "salt", F.lit(False).alias("first"), "set")
-    hubs = dealt.select("h", "salt").distinct().join(sets.select(F.col("node").alias("h"), "set"), "h").select(F.col("h").alias("m"), "h", "salt", F.lit(True).alias("first"), "set")
+    stars = pairs.groupBy("h").agg(F.ceil(F.count("*") / SPOKES).alias("parts"))
+    dealt = pairs.join(stars, "h").select("m", "h", F.pmod(F.xxhash64("m"), F.col("parts")).alias("salt"))
+    spokes = dealt.withColumn("place", place("m")).join(sets, "place").select("m", "h", "salt", F.lit(False).alias("first"), "set", "node")
+    hubs = stars.select(F.col("h").alias("m"), "h", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("salt"))
+    hubs = hubs.withColumn("place", place("h")).join(sets, "place").select("m", "h", "salt", F.lit(True).alias("first"), "set", "node")
     streamed = hubs.unionByName(spokes).repartition("h", "salt").sortWithinPartitions("h", "salt", F.desc("first"))
-    return streamed.select("m", "h", "first", "set").mapInArrow(run, f"m {kind}, h {kind}, linked boolean, n long, d long, unlike array<long>")
+    return streamed.select("m", "h", "first", "set", "node").mapInArrow(run, f"m {kind}, h {kind}, linked boolean, n long, d long, unlike array<long>")
 
 
 def shared_differences(at: DataFrame, links: DataFrame, percent: int) -> DataFrame:
@@ -274,7 +291,7 @@ def _linked_rows(docs: DataFrame, k: int, percent: int) -> DataFrame:
     star = members.join(hubs, "key").where(F.col("rep") != F.col("hub.rep")).select(F.col("rep").alias("m"), F.col("hub.rep").alias("h")).distinct()
     involved = stored(members.select(F.col("rep.id").alias("doc_id")).distinct(), "near-involved")
     sets = shingle_sets(docs.select("doc_id", "text").join(involved, "doc_id", "left_semi"), k).groupBy("doc_id", "s").agg(F.first("set").alias("set"))
-    sets = stored(sets.select(F.struct(F.col("doc_id").alias("id"), "s").alias("node"), "set"), "near-sets")
+    sets = stored_by(sets.select(F.struct(F.col("doc_id").alias("id"), "s").alias("node"), "set").withColumn("place", place("node")), "place", "near-sets")
     labels = components(all_links(stored(star, "near-star"), sets, percent))
     named = classes.select("s", "s2", "rep").join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left").select("s", "s2", F.coalesce("label", "rep").alias("label"))
     linked = F.col("doc_id").isNotNull() & (F.col("n") > 0)

@@ -192,7 +192,7 @@ def test_near_duplicates_lose_no_link_in_a_bucket(spark):
             sets.append(set(r.sample(sorted(own), 192)) | fresh(8))
             own = sets[-1] if r.random() < 0.5 else own
     rows = [(i, np.array(sorted(x), np.uint64).tobytes()) for i, x in enumerate(sets)]
-    stored = spark.createDataFrame(rows, "node long, set binary")
+    stored = spark.createDataFrame(rows, "node long, set binary").withColumn("place", near_dup.place("node"))
     true = [(i, j) for i in range(len(sets)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])]
     labels = lambda df: {x.node: x.label for x in near_dup.components(df).collect()}
     expected = labels(spark.createDataFrame(true, "a long, b long"))
