@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from gridloom.plans import artifacts, driver, tables  # noqa: F401  (they register their queries)
+from gridloom.plans import artifacts, driver, statements, tables  # noqa: F401  (they register their queries)
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
