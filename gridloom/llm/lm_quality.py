@@ -4,7 +4,7 @@ The model is over characters as they stand (any script, case kept), with n-grams
 to ``ORDER`` of them, by language. Its tables are keyed by (lang, n-gram), grow with the
 trusted text and stay sharded:
 
-1. Rows are dealt to blocks of at most ``BLOCK_ROWS``, which are written in buckets, so that
+1. Rows are dealt to blocks of bounded rows and bytes, which are written in buckets, so that
    no text is shuffled afterwards. Each block gives its distinct n-grams, with how often
    they stand in its training rows.
 2. Sums over blocks are the counts. Continuation counts, discounts and context totals are
@@ -42,13 +42,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from .common import packed, stored, stored_by
 
 #: Orders of 4, 5, 6 and 8 catch the same labelled documents; the tables grow about threefold with each.
 ORDER, WINDOW = 4, 8
-BLOCK_ROWS_LOG2 = 14
+#: A block has at most 2 ** BLOCK_ROWS_LOG2 rows of up to BLOCK_ROW_BYTES; rows of up to twice the bytes have blocks of half the rows, and so on, so no block is above 512 MB (or one row).
+BLOCK_ROWS_LOG2, BLOCK_ROW_BYTES = 14, 32 << 10
 #: One in so many trusted documents is held out for the limits.
 HELD = 4
 #: Held-out trusted documents that a length band, and a language, need for limits of their own.
@@ -63,8 +63,12 @@ PAD = "\0"
 def blocked(docs: DataFrame, whole_rows: bool) -> DataFrame:
     """(block, at, row): the rows of ``docs``, or the three columns that are read, in blocks."""
     rows = docs if whole_rows else docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    at = F.monotonically_increasing_id()
-    return stored_by(packed(rows, at=at).withColumn("block", F.shiftright("at", BLOCK_ROWS_LOG2)), "block", "lm-blocks")
+    size = F.coalesce(F.octet_length(F.col("row.text").cast("string")), F.lit(0))
+    wide = F.least(F.greatest(F.ceil(F.log2(size / BLOCK_ROW_BYTES)), F.lit(0)), F.lit(BLOCK_ROWS_LOG2)).cast("int")  # null for an empty text
+    dealt = packed(rows, at=F.monotonically_increasing_id()).withColumn("_wide", F.coalesce(wide, F.lit(0)))
+    # the row's number without as many low bits as rows of its width share a block, and the width in the top bits
+    block = F.expr(f"shiftleft(cast(_wide AS bigint), 58) + shiftright(at, {BLOCK_ROWS_LOG2} - _wide)")
+    return stored_by(dealt.withColumn("block", block).select("row", "at", "block"), "block", "lm-blocks")
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -269,12 +273,8 @@ def classify(docs: DataFrame, labels: DataFrame, low: float = LOW, high: float =
 
 
 def filter_quality(docs: DataFrame, labels: DataFrame, low: float = LOW, high: float = HIGH, high_worst: float = HIGH_WORST, min_chars: int = 40) -> DataFrame:
-    """The rows of ``docs`` that are kept, with all their columns; the rejected places come to the blocks, so no text is shuffled."""
+    """The rows of ``docs`` that are kept, with all their columns; the rejected places come to the blocks by a join on what they are bucketed by, so no text is shuffled."""
     blocks = blocked(docs, True)
-    gone = stored(judged(blocks, labels, low, high, high_worst, min_chars).where(~F.col("kept")).select("block", "at"), "lm-rejected")
-
-    def keep(left: pa.Table, right: pa.Table) -> pa.Table:
-        return left.filter(pc.invert(pc.is_in(left.column("at"), value_set=_one(right.column("at"))))).select(["row"])
-
-    schema = StructType([f for f in blocks.schema if f.name == "row"])
-    return blocks.groupBy("block").cogroup(gone.groupBy("block")).applyInArrow(keep, schema).select("row.*")
+    gone = judged(blocks, labels, low, high, high_worst, min_chars).where(~F.col("kept"))
+    gone = stored(gone.groupBy("block").agg(F.collect_list("at").alias("_gone")), "lm-rejected")  # at most a block's rows each
+    return blocks.join(gone, "block", "left").where(~F.coalesce(F.array_contains("_gone", F.col("at")), F.lit(False))).select("row.*")

@@ -291,7 +291,9 @@ def _linked_rows(docs: DataFrame, k: int, percent: int) -> DataFrame:
     star = members.join(hubs, "key").where(F.col("rep") != F.col("hub.rep")).select(F.col("rep").alias("m"), F.col("hub.rep").alias("h")).distinct()
     involved = stored(members.select(F.col("rep.id").alias("doc_id")).distinct(), "near-involved")
     sets = shingle_sets(docs.select("doc_id", "text").join(involved, "doc_id", "left_semi"), k).groupBy("doc_id", "s").agg(F.first("set").alias("set"))
-    sets = stored_by(sets.select(F.struct(F.col("doc_id").alias("id"), "s").alias("node"), "set").withColumn("place", place("node")), "place", "near-sets")
+    placed = sets.select(F.struct(F.col("doc_id").alias("id"), "s").alias("node"), "set").withColumn("place", place("node"))
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sets = stored_by(placed.repartition(buckets, "place"), "place", "near-sets")  # dealt as the buckets are: one file each
     labels = components(all_links(stored(star, "near-star"), sets, percent))
     named = classes.select("s", "s2", "rep").join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left").select("s", "s2", F.coalesce("label", "rep").alias("label"))
     linked = F.col("doc_id").isNotNull() & (F.col("n") > 0)

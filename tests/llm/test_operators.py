@@ -626,3 +626,19 @@ def test_pii_national_account_lengths(spark):
         assert [m[0] for m in re.finditer(pii.MORE["account"], f"to {x} now")] == [x], x
     df = spark.createDataFrame([(i, f"transfer to the account: {x}, thanks") for i, x in enumerate(IBANS + grouped)], "doc_id long, text string")
     assert {r.text for r in pii.redact(df).collect()} == {"transfer to the account: <account>, thanks"}
+
+
+def test_blocks_of_long_rows_are_small(spark):
+    sizes = [0, 10, 32 << 10, (32 << 10) + 1, 200_000, 1_000_000]
+    rows = [(i, "x" * sizes[i % 6], "en", "a", 1) for i in range(60)] + [(60, None, "en", "a", 1)]
+    blocks = lm_quality.blocked(spark.createDataFrame(rows, SCHEMA).coalesce(1), False)
+    found = blocks.select("block", "at", F.col("row.doc_id").alias("id"), F.octet_length("row.text").alias("n")).collect()
+    assert sorted(x.id for x in found) == list(range(61))
+    held = collections.defaultdict(list)
+    for x in found:
+        held[x.block].append(x)
+    for block, own in held.items():
+        width = block >> 58
+        assert all((width == 0 and (x.n or 0) <= 32 << 10) or 32 << 10 << (width - 1) < x.n <= 32 << 10 << width for x in own)
+        assert len({x["at"] >> (14 - width) for x in own}) == 1
+    assert len(held) == 4
