@@ -12,7 +12,9 @@ Item lists are kept apart from the windows and joined with a document's distinct
 
 Nulls: a null text has no words, on either side; a window of a null item id is hit, but no
 item is reported for it. Every input row gives one row; repeated rows, and rows that share
-an id but not their text, get the results of their own text. An empty table on either side
+an id but not their text, get the results of their own text. Windows
+of several items count for each of them, items are listed in the order of their ids. Very long texts are scanned
+whole. An empty table on either side
 gives unhit documents or no rows. Extra columns of any name are kept by ``decontaminate``
 and not read by ``find_hits``.
 """

@@ -26,7 +26,8 @@ depend on the order of rows. A value that equals a limit is inside it.
 Nulls: a null text is empty; a null language is a language of its own; null labels and
 null ids are not trusted. Documents under ``min_chars``, and all documents of a language
 with fewer than ``MIN_LANG`` held-out trusted ones, are kept with what perplexity they
-have (null without a model). Repeated rows are scored alike; repeated trusted rows
+have (null without a model). Very long texts are
+scored whole, in slices; they stand in blocks of fewer rows. Repeated rows are scored alike; repeated trusted rows
 count as often as they stand there, a document with several labels once. An empty table
 gives an empty result. Extra columns of any name are passed on by ``filter_quality`` and
 not read by ``classify``.

@@ -35,7 +35,8 @@ sets meet by 128 bits of all their hashes.
 Nulls: a null or empty text has an empty set and no links, and is its own component; a
 null id takes no part in links. Rows that share an id but not their set are nodes of their
 own, with the component of their own links; rows that repeat an id and a text are one
-document and stay or go together. An empty table gives an empty result. Extra columns of
+document and stay or go together. Of members of equal weight the smaller node is
+the hub. Very long texts give sets in proportion, one at a time. An empty table gives an empty result. Extra columns of
 any name are passed on by ``drop_near_duplicates``.
 """
 

@@ -21,7 +21,8 @@ pieces before a match add up to its start. Offsets are code points, end exclusiv
 overlaps and cuts run over sorted spans in blocks, so that a text of n spans takes n ** 1.5
 steps at most.
 
-Nulls: a null text is empty for ``find_pii`` and stays null in ``redact``. Every row gives
+Nulls: a null text is empty for ``find_pii`` and stays null in ``redact``. Of selected spans that
+are equal the first kind stays; those that only overlap both stay. Very long texts are read whole (in n ** 1.5 steps over their spans). Every row gives
 one row, repeated rows included; an empty table an empty result. Extra columns of any name
 are passed on by ``redact`` and not read else.
 """

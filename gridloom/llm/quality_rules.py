@@ -11,7 +11,8 @@ or too large a share of words in 3-word windows that the text repeats.
 
 Nulls: a null text has no words; a null language is a language of its own. A distance at
 its threshold is kept; a language none of whose documents passes the base rules is not
-judged by distance. Equally frequent words are ordered by themselves. Every row gives
+judged by distance. Equally frequent words are ordered by themselves. Very long texts are
+read whole. Every row gives
 one row; repeated rows count as often as they stand there; an empty table gives an empty
 result. Extra columns are not read.
 """

@@ -7,7 +7,8 @@ leftmost start, and the pattern itself confirms the span and its minimum lengths
 Matches of a rule are leftmost, longest and do not overlap; a match that fails its
 lengths is dropped whole. Letters are ASCII. Offsets are code points, end exclusive.
 
-Nulls: a null text is empty. Every input row gives one row, repeated rows included; an
+Nulls: a null text is empty. Very long texts are scanned whole, in lanes. Spans that begin
+together all stay, in the order of their rules. Every input row gives one row, repeated rows included; an
 empty table gives an empty result. Only the two named columns are read.
 """
 

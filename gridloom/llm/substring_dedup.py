@@ -18,7 +18,9 @@ the words from an anchor to the next one are the edges.
 
 Per-document lists hold only hashes that the document itself has. Nulls: a null text has
 no words; a null id is kept. Repeated rows are occurrences elsewhere, so both lose their
-windows. An empty table gives an empty result. Extra columns are not read.
+windows. Windows that tie
+(equal ones) are all removed, whichever row or place they stand at. Very long texts are taken whole: a
+document is one row in a task. An empty table gives an empty result. Extra columns are not read.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ never cross white space. ``PieceCounts`` checks that, by the vocabulary's settin
 ``PROBES``, and raises ValueError for any other kind (byte-level with leading blanks,
 unigram or sentencepiece models).
 
-Nulls: a null text is empty. Every row gives one row, repeated rows included; an empty table
+Nulls: a null text is empty. Very long texts are counted whole; pieces are merged one by
+one, so their cost is that of the longest piece without white space. Every row gives one row, repeated rows included; an empty table
 an empty result. Only the two named columns are read; extra columns of any name are not.
 """
 
