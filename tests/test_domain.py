@@ -168,9 +168,6 @@ def test_document_info(spark):
 def test_chunks(spark):
     df = spark.createDataFrame([(["aaaa", "bbbb", "cc", "d" * 30],)], "l array<string>")
     assert df.select(sequences.chunk_lines(F.col("l"), 10).alias("r")).first().r == ["aaaa\nbbbb", "cc", "d" * 30]
-    rows = [["h"], ["x" * 1500], ["y" * 1500], ["z"]]
-    got = spark.createDataFrame([(rows,)], "g array<array<string>>").select(grids.row_chunks(F.col("g"), 1, 3000).alias("r")).first().r
-    assert [len(c) for c in got] == [2, 3] and all(c[0] == ["h"] for c in got)
 
 
 def test_sources_sinks_and_extraction(spark, tmp_path):
