@@ -9,8 +9,8 @@ import xxhash
 
 #: Odd multipliers, modulo 2**64.
 M1, M2, M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
-#: Words kept with their hashes: at most so many, none longer than so many bytes, some 30 MB a worker.
-KEPT_WORDS, KEPT_BYTES = 200_000, 32
+#: Words kept with their hashes: at most so many, none longer than so many bytes, some 100 MB a worker.
+KEPT_WORDS, KEPT_BYTES = 600_000, 32
 
 
 class _Words(dict):
