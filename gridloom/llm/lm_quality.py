@@ -151,7 +151,9 @@ def kneser_ney(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Of ``counts`` (lang, g, c): (lang, n, g, alpha), the discounted share of each n-gram in its context, and (lang, n, ctx, gamma), the weight that contexts leave to shorter n-grams.
 
     The context of single characters is empty; what it leaves is shared evenly by the
-    language's characters and one that stands for all others.
+    language's characters and one that stands for all others. Where many n-grams recur, the
+    discounts can come out as zero; a context that would leave nothing then has the usual half
+    counts taken off, so that every n-gram has a probability.
     """
     levels, at = [], counts.select("lang", "g", "c").withColumn("n", F.lit(ORDER))
     levels.append(at)
@@ -165,7 +167,10 @@ def kneser_ney(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
     cuts = stored(grams.groupBy("lang", "n").agg(*ones).select("lang", "n", *[usual(k).alias(f"d{k}") for k in (1, 2, 3)]), "lm-discounts")
     many = [F.sum((F.col("c") == k).cast("long")).alias(f"m{k}") for k in (1, 2)] + [F.sum((F.col("c") > 2).cast("long")).alias("m3")]
     totals = stored(grams.groupBy("lang", "n", "ctx").agg(F.sum("c").alias("total"), *many), "lm-contexts").join(cuts, ["lang", "n"])
-    gamma = (F.col("d1") * F.col("m1") + F.col("d2") * F.col("m2") + F.col("d3") * F.col("m3")) / F.col("total")
+    taken = F.col("d1") * F.col("m1") + F.col("d2") * F.col("m2") + F.col("d3") * F.col("m3")
+    totals = totals.withColumn("_none", taken <= 0)
+    totals = totals.select("lang", "n", "ctx", "total", "m1", "m2", "m3", *[F.when(F.col("_none"), k * 0.5).otherwise(F.col(f"d{k}")).alias(f"d{k}") for k in (1, 2, 3)])
+    gamma = taken / F.col("total")
     cut = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
     alpha = F.greatest(F.lit(0.0), F.col("c") - cut) / F.col("total")
     alphas = grams.join(totals, ["lang", "n", "ctx"]).select("lang", "n", "g", alpha.alias("alpha"))

@@ -470,6 +470,15 @@ class KneserNey:
         return (max(c - cut[min(c, 3) - 1], 0) if c else 0) / total + taken / total * self.p(g[1:])
 
 
+def test_contexts_leave_something_where_discounts_are_zero(spark):
+    """One n-gram seen once, one three times and two four times: the third discount comes out as zero, which left unseen n-grams a probability of zero and failed the scores."""
+    counts = spark.createDataFrame([("en", "aaax", 1), ("en", "bbby", 3), ("en", "cccz", 4), ("en", "dddw", 4)], "lang string, g string, c long")
+    symbols = ["x", "y", "z", "w", "\uffff"]
+    wanted = spark.createDataFrame([("en", "bbb" + x) for x in symbols], "lang string, g string")
+    p = {r.g: r.p for r in lm_quality.probabilities(wanted, *lm_quality.kneser_ney(counts)).collect()}
+    assert min(p.values()) > 0 and abs(sum(p.values()) - 1) < 1e-9
+
+
 def test_language_model(spark):
     import math
 
