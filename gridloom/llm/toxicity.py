@@ -14,12 +14,13 @@ itself. They are hashed to ``DIM`` numbers; the ``features`` kept are those that
 documents hold most unlike the others. Language, source, id and labels are never inputs.
 
 What is learned from: rows whose crc32 of the id, as text, is not divisible by ``HELD``. Of
-these up to about ``positives`` toxic and ``unlabelled`` other rows are drawn by a hash of the id: the
+these up to about ``positives`` toxic rows, and ``unlabelled`` rows of any kind, are drawn by a hash of the id: the
 documented bounds of the sample that is fitted on; its feature counts are summed by Spark,
 and only the kept features of its rows, some tens of numbers each, reach the driver. Every document
 is scored, whole, where it lies: no text is shuffled for it.
 
-pi is the toxic share of the labelled rows learned from unless ``prior`` is given.
+pi is the toxic share of the labelled rows learned from unless ``prior`` is given; E_U is over the rows drawn
+evenly, so that toxic ones stand among them as often as in the table, however many of them were drawn as positives.
 
 Nulls: a null text is empty, a null id counts as the empty text (which is held out), a null
 label is no label. A document with several labels is toxic if one says so. Texts without a known feature, empty
@@ -164,14 +165,15 @@ def _draw(doc_id: Column) -> Column:
 
 
 def sample(docs: DataFrame, known: DataFrame, positives: int, unlabelled: int) -> DataFrame:
-    """(key, positive, text): about ``positives`` toxic and ``unlabelled`` other rows of those to learn from."""
+    """(key, positive, even, text): about ``positives`` toxic and ``unlabelled`` rows of those to learn from; the latter, drawn evenly from all, are ``even``."""
     rows = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")).where(~is_held(F.col("doc_id")))
     share = lambda bound, n: F.lit(int(min(1.0, bound / max(n, 1)) * SCALE))
     toxic = known.where("toxic = 1").select("id")
     toxic = toxic.where(_draw(F.col("id")) < share(positives, toxic.count()))  # bounded, so it may be broadcast
     marked = rows.join(F.broadcast(toxic), F.col("doc_id") == F.col("id"), "left").withColumn("positive", F.col("id").isNotNull())
-    drawn = marked.where(F.col("positive") | (_draw(F.col("doc_id")) < share(unlabelled, rows.select("doc_id").count())))
-    return stored(drawn.select(F.xxhash64("doc_id", "text").alias("key"), "positive", "text"), "tox-sample")
+    even = F.coalesce(_draw(F.col("doc_id")) < share(unlabelled, rows.select("doc_id").count()), F.lit(False))
+    drawn = marked.withColumn("even", even).where(F.col("positive") | F.col("even"))
+    return stored(drawn.select(F.xxhash64("doc_id", "text").alias("key"), "positive", "even", "text"), "tox-sample")
 
 
 def feature_counts(drawn: DataFrame) -> DataFrame:
@@ -193,16 +195,16 @@ def feature_counts(drawn: DataFrame) -> DataFrame:
 
 
 def sample_rows(drawn: DataFrame, slots: dict[int, int]) -> DataFrame:
-    """(key, positive, n, slots, counts) of each row of the sample."""
+    """(key, positive, even, n, slots, counts) of each row of the sample."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = Counter(slots)
         for batch in batches:
-            found = [count(x.as_py()) for x in batch.column(2)]
+            found = [count(x.as_py()) for x in batch.column(3)]
             lists = [pa.array([list(f(seen)) for _, seen in found], pa.list_(pa.int64())) for f in (dict.keys, dict.values)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([n for n, _ in found], pa.int64()), *lists], names=["key", "positive", "n", "slots", "counts"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([n for n, _ in found], pa.int64()), *lists], names=["key", "positive", "even", "n", "slots", "counts"])
 
-    return drawn.mapInArrow(run, "key long, positive boolean, n long, slots array<long>, counts array<long>")
+    return drawn.mapInArrow(run, "key long, positive boolean, even boolean, n long, slots array<long>, counts array<long>")
 
 
 def train(docs: DataFrame, labels: DataFrame, positives: int = 8000, unlabelled: int = 24000, features: int = 1000, least: int = 3, prior: float | None = None) -> Model:
@@ -220,8 +222,8 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = 8000, unlabelled:
     kept = [r.feature for r in picked.collect()]  # at most ``features`` numbers
     found = sample_rows(drawn, {f: k for k, f in enumerate(kept)}).toPandas().sort_values("key", kind="stable")
     vectors = [(np.asarray(s, np.int64), rates(np.asarray(c, np.float64), n)) for n, s, c in zip(found["n"], found["slots"], found["counts"], strict=True)]
-    pos = Rows([v for v, is_pos in zip(vectors, found["positive"], strict=True) if is_pos], len(kept))
-    theta = fit(pos, Rows(vectors, len(kept)), pi)  # unlabelled text holds toxic text too
+    pos, unl = (Rows([v for v, marked in zip(vectors, found[c], strict=True) if marked], len(kept)) for c in ("positive", "even"))
+    theta = fit(pos, unl, pi)  # unlabelled text holds toxic text too
     return Model(kept, theta[:-1], float(theta[-1]), pi)
 
 
