@@ -371,3 +371,13 @@ def test_argmax_needs_few_suppliers(spark):
         return min((-points(x), x[0]) for x in rows if x[1] == 1)
 
     assert all(best(suppliers, b) == best([tuple(k) for k in kept], b) for b in (None, -1.0, 0.0, 10.0, 25.0, 50.0, 99.0))
+
+
+def test_repair_broadcasts_no_table(spark):
+    from gridloom.operators import repair
+
+    row = spark.createDataFrame([("t", 1, "1", "B1", "", "", "m", "3.5", "", "", "")], "table_id string, idx int, seq string, project_code string, project_name string, project_description string, unit string, quantity string, unit_price string, total_price string, remark string")
+    grid = spark.createDataFrame([("t", [["-", "B1", "79"]])], "table_id string, grid array<array<string>>")
+    made = repair.repair(row, row.where("false"), grid)
+    made.collect()
+    assert "Broadcast" not in made._jdf.queryExecution().executedPlan().toString()
