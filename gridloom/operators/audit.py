@@ -62,17 +62,14 @@ def loss_reason(sep: str = "、") -> Column:
 
 def empty_after_filter(rows: DataFrame) -> DataFrame:
     """Pages with rows of which the export keeps none, and a histogram of the reasons."""
-    by_reason = rows.where("page_no > 0").withColumn("reason", loss_reason()).groupBy("file_name", "page_no", "reason").agg(
-        F.count("*").alias("n"), F.count_if(is_exported()).alias("k"), F.min(F.struct("pos", *LONG)).alias("first"))
+    told = ["缺少seq、缺少name", "缺少seq", "缺少name", "其他"]
+    lost = F.when(~is_exported(), F.struct("pos", *LONG))  # rows that are kept need not be carried: with one of them the page goes
+    pages = rows.where("page_no > 0").withColumn("reason", loss_reason()).groupBy("file_name", "page_no").agg(
+        F.count("*").alias("raw_rows"), F.count_if(is_exported()).alias("kept_rows"), *[F.count_if(F.col("reason") == t).alias(f"n{k}") for k, t in enumerate(told)], F.min(lost).alias("first"))
+    listed = F.array_sort(_present(*[F.when(F.col(f"n{k}") > 0, F.concat(F.lit(f"{t}:"), F.col(f"n{k}").cast("string"))) for k, t in enumerate(told)]))
     return (
-        by_reason.groupBy("file_name", "page_no")
-        .agg(
-            F.sum("n").alias("raw_rows"), F.sum("k").alias("kept_rows"),
-            F.array_join(F.array_sort(F.collect_list(F.concat("reason", F.lit(":"), F.col("n").cast("string")))), "、").alias("reasons"),
-            F.min("first").alias("first"),
-        )
-        .where((F.col("raw_rows") > 0) & (F.col("kept_rows") == 0))
-        .select("file_name", "page_no", "raw_rows", "kept_rows", "reasons", preview(*[F.col(f"first.{c}") for c in LONG]).alias("sample"))
+        pages.where("kept_rows = 0")
+        .select("file_name", "page_no", "raw_rows", "kept_rows", F.array_join(listed, "、").alias("reasons"), preview(*[F.col(f"first.{c}") for c in LONG]).alias("sample"))
     )
 
 
