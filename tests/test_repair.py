@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridloom.operators import repair
+from gridloom.sources import scratch
 
 ROW = "table_id string, idx int, seq string, project_code string, project_name string, quantity string, total_price string"
 
@@ -43,6 +44,19 @@ def test_best_grid_rows(spark, seed):
     assert {(x.table_id, x.idx): (x.score, x.row_no, x.cells) for x in found.collect()} == brute(rows, grids)
 
 
+def test_small_tables_stay_where_they_are(spark):
+    """Both sides in buckets of the table: small tables are scored without moving a row; tables on either side of the bound agree with brute force."""
+    n = repair.FEW
+    grids = {f"t{t}": [[str(i), f"c{i % 5}", f"name{i % 3}", str(i % 7), str(i % 4)] for i in range(size)] for t, size in enumerate((1, n - 1, n, n + 1, 3 * n))}
+    rows = [(f"t{t}", i, str(i) if i % 2 else "", f"c{i % 6}" if i % 3 == 0 else None, f"name{i % 4}", str(i % 9), str(i % 5)) for t in range(6) for i in range(40)]
+    asked = scratch.stored_by(spark.createDataFrame(rows, ROW), "table_id", "asked")
+    shown = scratch.stored_by(spark.createDataFrame(list(grids.items()), "table_id string, grid array<array<string>>"), "table_id", "shown")
+    found = repair.best_grid_rows(asked, repair.grid_lines(shown))
+    assert {(x.table_id, x.idx): (x.score, x.row_no, x.cells) for x in found.collect()} == brute(rows, grids)
+    few = repair.best_grid_rows(asked, repair.grid_lines(shown.where(F.size("grid") <= n)))
+    assert few.count() and "Exchange" not in few._jdf.queryExecution().executedPlan().toString()
+
+
 def test_one_huge_table(spark):
     """20,000 rows with one quantity and twenty names, which are worth the points together; postings stay in proportion."""
     n = 20_000
