@@ -36,7 +36,9 @@ LINE, ROW = ["lh", "l2"], ["doc_id", "dk"]
 
 
 def line_words(line: Column) -> Column:
-    return F.array_remove(F.split(F.lower(line), SPACE), "")
+    """Lower-cased words; lines whose only white space are spaces, nearly all, are split without a pattern."""
+    low = F.lower(line)
+    return F.array_remove(F.when(line.rlike(r"[\x09-\x0D]"), F.split(low, SPACE)).otherwise(F.split(low, " ")), "")
 
 
 def text_key(text: Column) -> Column:
@@ -60,7 +62,8 @@ def _ends(ws: str, n: Column, near_words: int) -> Column:
 
 def _lines(docs: DataFrame, near_words: int) -> DataFrame:
     lines = docs.select(*ROW, F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("pos", "line"))
-    lines = lines.withColumn("ws", line_words(F.col("line"))).withColumn("n", F.size("ws"))
+    # words as a generated column: a filter on their number does not split the lines once more
+    lines = lines.select(*ROW, "pos", F.explode_outer(F.array(line_words(F.col("line")))).alias("ws")).withColumn("n", F.size("ws"))
     return lines.select(*ROW, "pos", "n", *_line_hashes(F.col("ws")), F.when(F.col("n") >= near_words, _ends("ws", F.col("n"), near_words)).alias("ends"))
 
 
@@ -127,20 +130,23 @@ def later_lines(docs: DataFrame, exact_words: int = 3, near_words: int = 8) -> D
     text = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("dk") == F.col("_dk")))
     cut = text.withColumn("all", F.split("text", "\n", -1)).select(*ROW, F.explode(F.transform("at", lambda p: F.struct(p["pos"].alias("pos"), p["lh"].alias("lh"), p["l2"].alias("l2"), F.get(F.col("all"), p["pos"]).alias("line")))).alias("x"))
     spelt = stored(cut.select(*ROW, "x.pos", "x.lh", "x.l2", line_words(F.col("x.line")).alias("ws")).dropDuplicates(LINE), "line-words")
-    quarters = spelt.select(*LINE, F.transform("ws", lambda w: F.xxhash64(w)).alias("hs")).select(*LINE, F.explode(_quarters("hs")).alias("end"))
+    quarters = spelt.select(*LINE, F.transform("ws", lambda w: F.xxhash64(w)).alias("hs"))
+    # the array first: within the generator its long code would not be compiled
+    quarters = stored(quarters.select(*LINE, _quarters("hs").alias("ends")).select(*LINE, F.explode_outer("ends").alias("end")), "line-quarters")
     near_by = stored(quarters.join(_of_several(quarters), "end").select(*LINE).distinct(), "line-agree")
-    spelt = stored(spelt.join(near_by, LINE, "left_semi"), "line-near")
-    hashed = spelt.select(F.struct(*ROW, "pos", *LINE).alias("line"), F.transform("ws", lambda w: F.xxhash64(w)).alias("hs"))
+    # numbers that rise with the place stand for the lines from here on: plain numbers are aggregated by hash
+    ranked = spelt.join(near_by, LINE, "left_semi").orderBy(*ROW, "pos").select(F.monotonically_increasing_id().alias("line"), *LINE, "ws")
+    words = stored(ranked, "line-near")
+    hashed = words.select("line", F.transform("ws", lambda w: F.xxhash64(w)).alias("hs"))
     variants = stored(_neighbourhood(hashed), "line-variants")
     earliest = variants.groupBy("held").agg(F.min("line").alias("keeper"), F.count("*").alias("c")).where("c > 1").select("held", "keeper")
     replaced = variants.join(earliest, "held").where("line > keeper").select("line", "keeper")
     whole = hashed.select(F.col("line").alias("self"), F.xxhash64(F.size("hs"), _xor(_placed("hs", 0))).alias("cut"))
     inserted = variants.join(whole, "cut").select(F.greatest("line", "self").alias("line"), F.least("line", "self").alias("keeper"))
-    pairs = replaced.unionByName(inserted).select("line.lh", "line.l2", F.col("keeper.lh").alias("kh"), F.col("keeper.l2").alias("k2")).distinct()
-    words = spelt.select(*LINE, "ws")
+    pairs = replaced.unionByName(inserted).distinct()
     near = (
-        pairs.join(words, LINE).withColumnRenamed("ws", "mine")
-        .join(words.select(F.col("lh").alias("kh"), F.col("l2").alias("k2"), F.col("ws").alias("theirs")), ["kh", "k2"])
+        pairs.join(words.withColumnRenamed("ws", "mine"), "line")
+        .join(words.select(F.col("line").alias("keeper"), F.col("ws").alias("theirs")), "keeper")
         .where(_one_edit(F.col("mine"), F.col("theirs"))).select(*LINE).distinct().withColumn("near", F.lit(True))
     )
     marks = firsts.where("c > 1").select(*LINE, "first").join(near, LINE, "full_outer").select(*LINE, "first", F.coalesce("near", F.lit(False)).alias("near"))

@@ -277,6 +277,27 @@ def test_line_dedup(docs, texts):
         assert kept.get(i) == (t if not gone[i] else "\n".join(left) if any(len(words(x)) >= 3 for x in left) else None)
 
 
+def test_lines_are_split_into_words_once(spark):
+    """Any white space parts words; no filter splits a line that is split again for its hashes."""
+    r = random.Random(11)
+    lines = ["".join(r.choice(("a", "Ä", "ß7", " ", "  ", "\t", "\x0b", "\x0c", "\r", "\u00a0", "")) for _ in range(r.randrange(14))) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    made = {x.doc_id: x.ws for x in df.select("doc_id", line_dedup.line_words(F.col("text")).alias("ws")).collect()}
+    assert made == {i: re.findall(r"[^\x20\x09-\x0D]+", x.lower()) for i, x in enumerate(lines)}
+    rows = line_dedup._lines(df.withColumn("dk", line_dedup.text_key(F.col("text"))), 8).where("n >= 3")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert not [x for x in plan if "Filter" in x and "split(lower" in x]
+
+
+def test_near_lines_keep_the_first_place(spark):
+    """Ids of any order over several partitions, a null one first: of lines one edit apart the one of the smallest place stays."""
+    words = [f"w{k}" for k in range(20)]
+    ids = [7, 30, None, 2, 11, 5]
+    rows = [(i, f"alone {i}\n" + " ".join([*words[:12], f"x{k}", *words[13:]])) for k, i in enumerate(ids)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert {x.doc_id: x.removed for x in line_dedup.mark_lines(df).collect()} == {i: [] if i is None else [1] for i in ids}
+
+
 def test_lines_of_insertions(spark):
     a, b = "one two three four five six seven eight nine", "one two three four extra five six seven eight nine"
     df = spark.createDataFrame([(1, a), (2, b), (3, a.replace("nine", "ten")), (4, "two one three four five six seven eight nine")], "doc_id long, text string")
