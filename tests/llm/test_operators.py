@@ -4,11 +4,15 @@ import collections
 import hashlib
 import random
 import re
+import sys
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from gridloom.llm import automaton, decontaminate, line_dedup, lm_quality, mixing, near_dup, pii, quality_rules, secrets, substring_dedup, tokens
+from gridloom.llm.common import brief_shuffles
 
 VOCABULARY = "the of and to in is that it for was on as with by at from this be are or an not but his they".split()
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -351,6 +355,74 @@ def test_substring_dedup(docs, texts, spark):
     assert got == expected and sum(v[1] for v in got.values()) > 100
 
 
+def test_substring_dedup_odd_texts(spark):
+    size, r = 35, random.Random(7)
+    shared = [prose(r, 1) for _ in range(90)]
+    long = " ".join(f"w{r.randrange(10**6)}" for _ in range(90000))  # more bytes than a group
+    texts = [long, "\x0b".join(shared[:60]) + "\x1c", "start\t" + " \r\n".join(shared[10:70]), long[300000:310000], None, "a\u00a0b " * 50, ("z" * 40 + "é ") * 35, ("z" * 40 + "è ") * 35, ("z" * 8 + "\0 ") * 35, "z" * 9, ("z" * 8 + "\0\0 ") * 35]
+    count = collections.Counter(tuple(w[i : i + size]) for w in map(words, texts) for i in range(len(w) - size + 1))
+    expected = {}
+    for i, t in enumerate(texts):
+        w = words(t)
+        hit = {j for k in range(len(w) - size + 1) if count[tuple(w[k : k + size])] > 1 for j in range(k, k + size)}
+        expected[i] = (len(w), len(hit), hashlib.sha256(" ".join(x for j, x in enumerate(w) if j not in hit).encode()).hexdigest())
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    assert {x.doc_id: (x.n_words, x.n_removed, x.kept_sha256) for x in substring_dedup.cut_repeats(df, size).collect()} == expected
+    assert [k for k, v in expected.items() if v[1]] == [0, 1, 2, 3, 5]
+    kept = {x.doc_id: x.kept for x in substring_dedup.repeated_spans(df, size)[1].collect()}
+    assert {k: hashlib.sha256(v.encode()).hexdigest() for k, v in kept.items()} == {k: expected[k][2] for k in kept} and {0, 1, 2, 3, 5} <= set(kept)
+
+
+def test_substring_dedup_work_by_groups(monkeypatch):
+    """Python is called for groups of texts, not for words or texts, and groups don't change what is found."""
+
+    def calls(texts):
+        n = 0
+
+        def count(*_):
+            nonlocal n
+            n += 1
+
+        sys.setprofile(count)
+        try:
+            list(substring_dedup._groups(texts, 35))
+        finally:
+            sys.setprofile(None)
+        return n
+
+    r = random.Random(8)
+    texts = [prose(r, 300) for _ in range(100)] + ["", None, "x", prose(r, 34), prose(r, 35)]
+    few, many = calls(pa.array(texts[:1])), calls(pa.array(texts))
+    assert many < 2 * few
+
+    def found(texts):
+        return [(np.diff(g.first).tolist(), [sorted(g.h[a:b].tolist()) for a, b in zip(g.first_at[:-1], g.first_at[1:], strict=True)], [bytes(x) for x in g.joined(np.ones(g.n, bool))]) for _, g in substring_dedup._groups(texts, 35)]
+
+    together = found(pa.array(texts))
+    monkeypatch.setattr(substring_dedup, "GROUP_BYTES", 1)
+    alone = found(pa.array(["y", *texts])[1:])
+    assert len(together) == 1 and len(alone) > 100 and [sum((g[k] for g in alone), []) for k in range(3)] == list(together[0])
+    assert together[0][2] == [" ".join(words(t)).encode() for t in texts]
+
+
+def test_brief_shuffles(spark):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    with pytest.raises(ZeroDivisionError), brief_shuffles(spark):
+        assert spark.conf.get(name) == "true"
+        1 / 0  # noqa: B018
+    assert spark.conf.get(name) == before
+
+
+def test_anchors_across_pieces():
+    kmers = np.random.default_rng(3).integers(0, 1 << 63, substring_dedup.AT_ONCE * 2 + 50, np.uint64) << np.uint64(1)
+    kmers[5:9] = 0
+    upper = kmers >> np.uint64(20)
+    expected = np.lib.stride_tricks.sliding_window_view(upper, 24).argmin(axis=1) + np.arange(len(kmers) - 23)
+    assert np.array_equal(substring_dedup._anchors(kmers, 24), expected)
+    assert len(substring_dedup._anchors(kmers[:23], 24)) == 0
+
+
 BENCH = [(1, "The quick brown fox jumps over the lazy dog and runs away home"), (2, "tiny item"), (3, None), (4, ""), (5, "Zwölf Boxkämpfer jagen Viktor quer über den großen Sylter Deich heute früh")]
 
 
