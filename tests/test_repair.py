@@ -67,3 +67,21 @@ def test_one_huge_table(spark):
     wrong = found.where("row_no <> CASE WHEN idx % 2 = 0 OR idx % 4 = 1 THEN idx ELSE idx % 20 END OR score <> CASE WHEN idx % 2 = 0 OR idx % 4 = 1 THEN 8 ELSE 5 END")
     assert found.count() == n and wrong.count() == 0
     assert repair.postings(lines).count() <= 8 * n
+
+
+def test_page_tables_parse_once(spark):
+    """Simple HTML is split where it is, other HTML is parsed once, not anew for the filter of the rows; both give the parser's grids."""
+    from gridloom.operators import classify, grids
+    from gridloom.plans import extraction
+
+    cells = lambda *rows: "<table>" + "".join("<tr>" + "".join(f"<td>{c}</td>" for c in r) + "</tr>" for r in rows) + "</table>"
+    texts = [cells(["a", " b　", ""], ["c > d"]), cells(["a  b"]), cells(["a&amp;b"], []), "<table></table>", "<table><tr></tr></table>", "x", "", None, cells([""]), cells(["a\nb"]), cells(["a"]) * 2, "<TABLE><tr><td colspan=2>a</td></tr></TABLE>", "<table><tr><th>a</td><td>b</th></tr></table>"]
+    html = spark.createDataFrame([("f", i, 0, t) for i, t in enumerate(texts)], "file_name string, page_no int, ordinal int, content string")
+    got = {r.page_no: r.g for r in html.select("page_no", grids.html_grids(html["content"]).alias("g")).collect()}
+    assert got == {i: grids.html_tables(t) for i, t in enumerate(texts)}
+    made = extraction.page_tables(html, html.select("file_name", "page_no", "content").limit(0))
+    assert [(r.page_no, r.table_index, r.grid) for r in made.orderBy("page_no", "table_index").collect()] == [(i, k, g) for i, t in enumerate(texts) for k, g in enumerate(grids.html_tables(t))]
+    shown = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert shown(made).count("ArrowEvalPython") + shown(made).count("run(") <= 2
+    typed = made.select(classify.table_types(made["grid"][0][0], classify.row_texts(made["grid"])).alias("t"))
+    assert shown(typed).count("transform(grid") <= 2
