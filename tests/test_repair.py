@@ -85,3 +85,12 @@ def test_page_tables_parse_once(spark):
     assert shown(made).count("ArrowEvalPython") + shown(made).count("run(") <= 2
     typed = made.select(classify.table_types(made["grid"][0][0], classify.row_texts(made["grid"])).alias("t"))
     assert shown(typed).count("transform(grid") <= 2
+
+
+def test_json_layout():
+    import json
+
+    from gridloom.sources.sinks import _indented
+
+    for value in ({}, [], {"a": [], "b": {}}, {"a": {"b": [1, 2.5, -1e300, True, None, ' "\\\n\x01é']}, 'é"': "屋"}, [[[]], [{}]], 1e16, 10**20):
+        assert _indented(json.loads(json.dumps(value))) == json.dumps(value, ensure_ascii=False, indent=2)
