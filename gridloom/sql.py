@@ -9,8 +9,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from inspect import signature as signature_of
 
+import pyarrow as pa
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
 
 from . import rules
@@ -22,14 +25,6 @@ GRID = "array<array<string>>"
 FIELDS = list(dict.fromkeys(f for kind in extract.TABLES for f in extract.fields_of(kind)))
 
 
-@udtf(returnType=f"table_index int, grid {GRID}")
-class HtmlTable:
-    """The tables of an HTML text, spans laid out."""
-
-    def eval(self, content: str, strict: bool = False) -> Iterator[tuple]:
-        yield from enumerate(grids.html_tables(content, strict=bool(strict)))
-
-
 @udtf(returnType=f"table_index int, grid {GRID}")
 class MdTable:
     """The tables of a Markdown text."""
@@ -38,15 +33,17 @@ class MdTable:
         yield from enumerate(grids.markdown_tables(content))
 
 
-@udtf(returnType="idx int, " + ", ".join(f"{f} string" for f in FIELDS))
-class ExtractRows:
-    """The rows that the rules find in a grid of a table type; fields of other types are null."""
+def html_grids(texts: pa.Array, strict: pa.Array) -> pa.Array:
+    """The tables of HTML texts, spans laid out."""
+    return pa.array([grids.html_tables(t, strict=bool(s)) for t, s in zip(texts.to_pylist(), strict.to_pylist(), strict=True)], pa.list_(pa.list_(pa.list_(pa.string()))))
+
 
-    def eval(self, grid: list, kind: str) -> Iterator[tuple]:
-        if kind not in extract.TABLES:
-            raise ValueError(f"no table type {kind!r}; there are {', '.join(extract.TABLES)}")
-        for k, row in enumerate(extract.extract_rows([[c or "" for c in r or []] for r in grid or []], kind)):
-            yield (k, *(row.get(f) for f in FIELDS))
+def grid_rows(tables: pa.Array, kinds: pa.Array) -> pa.Array:
+    """The rows that the rules find in grids of table types; fields of other types are null."""
+    names = kinds.to_pylist()
+    for kind in set(names) - extract.TABLES.keys():
+        raise ValueError(f"no table type {kind!r}; there are {', '.join(extract.TABLES)}")
+    return extract.listed_rows(tables, names, FIELDS, None)
 
 
 @udtf(returnType=f"chunk_index int, first_row int, grid {GRID}")
@@ -60,7 +57,14 @@ class TableChunks:
             yield k, head + at + 1, [*grid[:head], *body[at : at + rows]]
 
 
-TABLE_FUNCTIONS = {"html_table": HtmlTable, "md_table": MdTable, "extract_rows": ExtractRows, "table_chunks": TableChunks}
+TABLE_FUNCTIONS = {"md_table": MdTable, "table_chunks": TableChunks}
+#: Functions of Arrow batches, and what they return; table functions in SQL unfold it, where one in Python would be called, and paid for, row by row.
+BATCHED = {"gridloom_html_grids": (html_grids, grids.GRIDS), "gridloom_grid_rows": (grid_rows, "array<struct<" + ", ".join(f"{f}: string" for f in FIELDS) + ">>")}
+#: name(parameters), the table and the query that gives it.
+UNFOLDED = (
+    ("html_table(content STRING, strict BOOLEAN DEFAULT false)", f"table_index INT, grid {GRID}", "SELECT pos, col FROM posexplode(gridloom_html_grids(html_table.content, html_table.strict))"),
+    (f"extract_rows(grid {GRID}, kind STRING)", "idx INT, " + ", ".join(f"{f} STRING" for f in FIELDS), "SELECT pos, col.* FROM posexplode(gridloom_grid_rows(extract_rows.grid, extract_rows.kind))"),
+)
 
 
 def _quoted(text: str) -> str:
@@ -86,5 +90,10 @@ def register(spark: SparkSession) -> None:
     """Makes the functions known to the session; scalar ones are SQL, which the optimizer sees through."""
     for name, function in TABLE_FUNCTIONS.items():
         spark.udtf.register(name, function)
+    for name, (function, kind) in BATCHED.items():
+        function.__annotations__ = {**dict.fromkeys(signature_of(function).parameters, pa.Array), "return": pa.Array}  # types, not their names
+        spark.udf.register(name, F.arrow_udf(function, kind))
+    for signature, columns, body in UNFOLDED:
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {signature} RETURNS TABLE ({columns}) RETURN {body}")
     for signature, kind, body in SCALARS:
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {signature} RETURNS {kind} RETURN {body}")

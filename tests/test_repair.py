@@ -94,3 +94,15 @@ def test_json_layout():
 
     for value in ({}, [], {"a": [], "b": {}}, {"a": {"b": [1, 2.5, -1e300, True, None, ' "\\\n\x01é']}, 'é"': "屋"}, [[[]], [{}]], 1e16, 10**20):
         assert _indented(json.loads(json.dumps(value))) == json.dumps(value, ensure_ascii=False, indent=2)
+
+
+def test_sql_table_functions_in_batches(spark):
+    """The table functions keep their rows and run over Arrow batches, not by calls for each row."""
+    from gridloom import sql
+
+    sql.register(spark)
+    spark.createDataFrame([(1, "<table><tr><td>序号</td><td>名称</td></tr><tr><td>1</td><td>a &amp; b</td></tr></table>"), (2, "x"), (3, None)], "k int, c string").createOrReplaceTempView("html_texts")
+    made = spark.sql("SELECT t.k, g.table_index, x.idx, x.seq, x.name_spec, x.row_index, x.tax FROM html_texts t, LATERAL html_table(t.c) g, LATERAL extract_rows(array(array('序号', '机械', '名称', '合价'), array(g.grid[1][0], 'm', g.grid[1][1])), 'machine_table') x")
+    assert [tuple(r) for r in made.collect()] == [(1, 0, 0, "1", "m", "1", None)]
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "UDTF" not in plan
